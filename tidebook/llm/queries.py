@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import hmm_lm, mtree, packing, sharding, simhash, token_counts, warc
 from . import quality_rules as quality
-from . import sharding
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,12 +25,46 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return mtree.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), capacity=2048)
+
+
+def op7_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = hmm_lm.score_documents(_table(spark, sf_dir, "documents"), fold=5)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4, distance=4).select("doc_id", "fingerprint", "component_id")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(_table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_quality_rules": op5_quality_rules,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_hmm_lm": op7_hmm_lm,
+    "op8_simhash": op8_simhash,
+    "op9_token_counts": op9_token_counts,
+    "op10_warc": op10_warc,
 }
