@@ -70,3 +70,16 @@ def held_out(modulus: int, id_col: str = "doc_id") -> Column:
 def packed(n_rows: int, rows_per_task: int) -> int:
     """The number of tasks that hold ``n_rows`` with at most about ``rows_per_task`` each."""
     return max(1, -(-n_rows // rows_per_task))
+
+
+def text_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """With the id, what tells a row: rows alike in both are one document. Never null."""
+    return F.xxhash64(F.col(id_col).isNull(), F.col(text_col))
+
+
+def only(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text", once: bool = False) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` (doc_id, text_key) names, with all their columns; ``once``: of repeated rows one."""
+    keys = kept.select(F.coalesce("doc_id", F.lit(-1)).alias("__id"), F.col("text_key").alias("__text")).distinct()
+    marked = docs.withColumns({"__id": F.coalesce(F.col(id_col), F.lit(-1)), "__text": text_key(id_col, text_col)})
+    found = marked.join(keys, ["__id", "__text"], "left_semi")
+    return (found.dropDuplicates(["__id", "__text"]) if once else found).select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, WORD_BREAK, materialize
+from .common import WHITE_SPACE, WORD_BREAK, materialize, only, text_key
 
 SYMBOLS = "#*$%&|<>"
 #: Rules of a single document.
@@ -33,7 +33,7 @@ def document_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     exploded or shuffled.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"), text_key(id_col, text_col).alias("text_key"), text.alias("text"))
     rows = rows.withColumn("words", words_of(F.col("text"))).withColumn("n_words", F.size("words").cast("long"))
     # the second step sees an array of hashes once it is computed, not the expression that makes it
     windows = F.when(
@@ -45,13 +45,13 @@ def document_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ).otherwise(F.array().cast("array<bigint>"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.translate(x, WHITE_SPACE, "") != "")
     rows = rows.select(
-        "doc_id", "host", "n_words",
+        "doc_id", "host", "text_key", "n_words",
         F.char_length(F.translate("text", WHITE_SPACE, "")).cast("long").alias("word_chars"),
         (F.char_length("text") - F.char_length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("lines"), windows.alias("windows"),
     )
     rows = rows.select(
-        "doc_id", "host", "n_words", "word_chars", "n_symbols",
+        "doc_id", "host", "text_key", "n_words", "word_chars", "n_symbols",
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "windows",
@@ -124,7 +124,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     joined back: on a poor host a document that fails a softer rule goes as well.
     A document that fails no rule is kept on any host.
 
-    Returns doc_id, host, the measures, base_failed, soft_failed, host_poor, kept; a
+    Returns doc_id, host, text_key (of id and text), the measures, base_failed, soft_failed, host_poor, kept; a
     row per row of ``docs``. Null or empty text has no words and fails; a null host is
     a host of its own; repeated rows are judged alike; an empty table gives no rows.
     Other columns are ignored.
@@ -136,7 +136,13 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     salted = ruled.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     joined = salted.join(verdicts, F.col("host").eqNullSafe(F.col("h")) & (F.col("salt") == F.col("s")))
     return joined.select(
-        "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
+        "doc_id", "host", "text_key", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
         "base_failed", "soft_failed", F.col("poor").alias("host_poor"),
         (~F.col("base_failed") & ~(F.col("poor") & F.col("soft_failed"))).alias("kept"),
     )
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that quality_rules keeps."""
+    judged = quality_rules(docs, id_col, text_col, host_col)
+    return only(docs, judged.where("kept"), id_col, text_col)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hmm_lm, mtree, packing, sharding, simhash, token_counts, warc
+from . import hmm_lm, mtree, packing, sharding, simhash, token_counts, toxicity, warc
+from . import sentencepiece_viterbi as viterbi
 from . import quality_rules as quality
 
 
@@ -25,6 +26,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), fold=3)
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return mtree.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
@@ -60,6 +69,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,

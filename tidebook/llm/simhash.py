@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship
+from .common import materialize, only, ship, text_key
 
 SEED = 42
 BITS = 64
@@ -50,18 +50,18 @@ def fingerprint(text: bytes, width: int) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, found = batch.column(1).cast(pa.binary()), []
+        texts, found = batch.column(2).cast(pa.binary()), []
         for at in range(0, len(texts), 512):
             found += [fingerprint(x or b"", width) for x in texts[at : at + 512].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, "u8").view("i8"))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.array(found, "u8").view("i8"))], ["doc_id", "text_key", "fp"])
 
 
 def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed 64-bit integer) of every whole text."""
+    """doc_id, text_key (of id and text) and fp (the fingerprint as a signed 64-bit integer) of every whole text."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(id_col, text_col).alias("text_key"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(lambda batches: _fingerprints(batches, width), f"doc_id {kind}, fp bigint")
+    return rows.mapInArrow(lambda batches: _fingerprints(batches, width), f"doc_id {kind}, text_key bigint, fp bigint")
 
 
 # --- links ----------------------------------------------------------------------
@@ -287,32 +287,30 @@ def near_duplicates(
     that links reach. Equal fingerprints are handled as one from the start, however
     many documents have them.
 
-    Returns doc_id, fp (signed), fingerprint (16 hexadecimal digits), component_id
-    (smallest doc_id in the component, null ids aside), n_docs (documents in it).
-    A row per row of ``docs``; null text counts as empty; rows with a null id take part
-    and are null only where a component has no other ids; an empty table gives no rows.
-    Other columns are ignored.
+    Returns doc_id, text_key, fp (signed), fingerprint (16 hexadecimal digits), component_id
+    (smallest doc_id in the component, null ids aside), first_key (that row's text_key) and
+    n_docs (rows in it). A row per row of ``docs``; null text counts as empty; rows with a null
+    id take part, and component_id is null only where a component has no other ids; an empty table
+    gives no rows. Other columns are ignored.
     """
     marked = materialize(fingerprints(docs, width, id_col, text_col), "simhash-fingerprints")
-    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
+    distinct = materialize(marked.groupBy("fp").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     roots = connected_components(fingerprint_links(distinct.select("fp"), distance, blocks))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first", "n", F.coalesce("root", "fp").alias("root")
     )
-    classes = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("n_docs"))
-    of_fp = rooted.select("fp", "root").join(classes, "root").select(F.col("fp").alias("f"), "component_id", "n_docs")
+    classes = rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n_docs"))
+    of_fp = rooted.select("fp", "root").join(classes, "root").select(F.col("fp").alias("f"), "first", "n_docs")
     # many documents may share a fingerprint: adaptive execution splits such a partition of the left side
     return marked.join(of_fp, F.col("fp") == F.col("f")).select(
-        "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_docs"
+        "doc_id", "text_key", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"), F.col("first.text_key").alias("first_key"), "n_docs",
     )
 
 
 def deduplicate(docs: DataFrame, width: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each near-duplicate component: the one with the smallest id.
-
-    Rows with a null id are kept only where their component has no other; of rows
-    with an equal id and text one stays. All columns are kept as they are.
-    """
+    """``docs``, with all its columns, with one row of each near-duplicate component: the one with the smallest id."""
     found = near_duplicates(docs, width, distance, id_col=id_col, text_col=text_col)
-    stays = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(stays, F.col(id_col) == F.col("__kept_id")).drop("__kept_id")
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("first_key")))
+    return only(docs, first, id_col, text_col, once=True)
