@@ -1,6 +1,6 @@
 """All queries of the market engine and their SQL."""
 
-from __future__ import annotations
+from tidebook.plans.oracles import ORACLES
+from tidebook.plans.queries import QUERIES
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
