@@ -277,10 +277,9 @@ def test_deduplicate_keeps_one_of_each_group(docs, rows):
     kept = simhash.deduplicate(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    classes = {}
-    for r in simhash.near_duplicates(docs).collect():
-        classes.setdefault(r.component_id, set()).add(r.doc_id)
-    assert sorted(x for x in ids if x is not None) == sorted(k for k in classes if k is not None)
+    # an id may stand for two texts, and so head two components
+    classes = {(r.component_id, r.first_key) for r in simhash.near_duplicates(docs).collect()}
+    assert sorted(map(repr, ids)) == sorted(repr(k) for k, _ in classes)
 
 
 def test_top_k(spark):
@@ -289,7 +288,7 @@ def test_top_k(spark):
     x[100:300] = x[100]  # a very common vector
     rows = [(k, [float(c) for c in v]) for k, v in enumerate(x)]
     rows += [(700, None), (701, [None] * 8), (702, [float("nan")] + [0.0] * 7), (703, [float("inf")] + [0.0] * 7), (None, [1.0] * 8), (750, [9.0, 9.0]), (800, [1.0, -1.0])]
-    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, score int, id int, v int")if False else spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     old = mtree.TREE_ROWS, mtree.PAGE
     mtree.TREE_ROWS = 150
     try:
@@ -362,7 +361,7 @@ def test_warc_damage_is_found():
 def test_hmm_scores(docs, rows):
     found = hmm_lm.score_documents(docs, rounds=2, states=3).collect()
     trains = [(i, t) for i, t, *_ in rows if i is None or zlib.crc32(str(i).encode()) % 5 != 1]
-    c = Counter(w for _, t in trains for w in [*words_of(t and t.encode().lower().decode() if False else (t or "").encode().lower().decode()), b""])
+    c = Counter(w for _, t in trains for w in [*(t or "").encode().lower().split(), b""])
     n, v = sum(c.values()), len(c)
     want = []
     for i, t, *_ in rows:
@@ -430,3 +429,174 @@ def test_empty_tables(spark, name):
         "warc": lambda: warc.read_archives(warc.write_archives(spark.createDataFrame([], "page_id bigint, url string, html string"))),
     }[name]()
     assert made.count() == 0
+
+
+# --- operators 2 and 3 and the pipeline -------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    from tidebook.llm.sentencepiece_viterbi import Vocabulary
+
+    return Vocabulary(tokenizer_path("piece_bpe_32k.model"))
+
+
+def best_score(v, text):
+    """The largest sum of scores over all segmentations, without a window."""
+    best = [0.0] + [float("-inf")] * len(text)
+    for end in range(1, len(text) + 1):
+        for start in range(max(0, end - v.longest), end):
+            score = v.score.get(text[start:end])
+            if score is None and end - start == 1:
+                score = v.unknown_score
+            if score is not None:
+                best[end] = max(best[end], best[start] + score)
+    return best[-1]
+
+
+def test_streaming_viterbi_finds_the_best_segmentation(pieces, rows):
+    from tidebook.llm.sentencepiece_viterbi import StreamingViterbi
+
+    score = lambda found: sum(pieces.score.get(p, pieces.unknown_score) for p in found)
+    for _, text, *_ in rows:
+        text = pieces.normalize(text or "")[:1500]
+        for step in (1, 7, 10_000):
+            stream, found, widest = StreamingViterbi(pieces), [], 0
+            for at in range(0, len(text), step):
+                found += stream.feed(text[at : at + step])
+                widest = max(widest, len(stream.text))
+            found += stream.finish()
+            assert "".join(found) == text and score(found) == best_score(pieces, text)
+            assert widest <= 6 * pieces.longest or len(text) < 6 * pieces.longest or " " not in text
+
+
+def test_encoding_is_the_librarys_for_unigrams(pieces, rows):
+    """The library itself, told to take the same pieces and scores as a unigram model."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    from tidebook.llm.sentencepiece_viterbi import encoder
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(open(tokenizer_path("piece_bpe_32k.model"), "rb").read())
+    model.trainer_spec.model_type = 1
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+    texts = [t for _, t, *_ in rows if t and len(t) < 400 and t.isprintable() and "  " not in t and "▁" not in t and all(c in pieces.score for c in t.replace(" ", "▁"))]
+    assert len(texts) > 20
+    got = [np.frombuffer(x, "<i4").tolist() for x in encoder(tokenizer_path("piece_bpe_32k.model"))(texts)]
+    assert got == sp.encode(texts)
+
+
+def test_sentencepiece_round_trip(docs, rows):
+    import sentencepiece
+
+    from tidebook.llm import sentencepiece_viterbi as viterbi
+
+    model = tokenizer_path("piece_bpe_32k.model")
+    back = viterbi.decode_texts(viterbi.encode_texts(docs, model), model).collect()
+    assert sorted((repr(r.doc_id), r.text) for r in back) == sorted((repr(i), (t or "").replace("▁", " ")) for i, t, *_ in rows)
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    for r in viterbi.encode_texts(docs, model).collect():
+        text = sp.decode(r.ids) if r.ids else ""
+        assert text == next(b.text for b in back if b.doc_id == r.doc_id and (b.text == text or r.doc_id in (5, None)) or False) or r.doc_id in (5, None)
+    found = viterbi.round_trip(docs, model).collect()
+    assert all(r.same for r in found if r.doc_id is None or "▁" not in (rows[r.doc_id][1] or ""))
+    assert viterbi.decode_texts(docs.sparkSession.createDataFrame([(1, None), (2, []), (3, [3 + 0xC3])], "doc_id int, ids array<int>"), model).orderBy("doc_id").select("text").collect() == [(None,), ("",), ("�",)]
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """Sentences about groups, hostile and neutral; hostile ones name one group more often than not."""
+    draw = random.Random(8)
+    plain = [f"w{k}" for k in range(300)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    plain = ["".join(draw.choices(letters, k=6)) for _ in range(300)]
+    hostile = ["idiots", "vermin", "scumbags"]
+    docs, labels = [], []
+    for k in range(1500):
+        words = draw.choices(plain, k=draw.randint(5, 60))
+        toxic = k % 8 == 0
+        group = draw.choices(["muslim", "christian", "jewish"], weights=[8, 1, 1] if toxic else [1, 8, 8])[0] if draw.random() < 0.9 else None
+        words += draw.sample(hostile, draw.randint(1, 2)) * toxic + [group] * (group is not None)
+        draw.shuffle(words)
+        docs.append((k, " ".join(words), "en", "s", 1, 0.5))
+        labels.append((k, 1, int(toxic)))
+    docs += [(5000, None, "en", "s", 1, 0.5), (5001, "", "en", "s", 1, 0.5), (None, "vermin idiots", "en", "s", 1, 0.5)]
+    labels += [(5000, 1, None), (None, 1, 1), (9999, 1, 1)]
+    return spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint, score double"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+
+
+def test_toxicity_on_held_out_rows(labelled):
+    from tidebook.llm import toxicity
+
+    docs, labels = labelled
+    found = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    truth = {r.doc_id: r.toxic for r in labels.where("toxic is not null and doc_id is not null").collect()}
+    assert len(found) == docs.count() and found[None].predicted == 1
+    for i, r in found.items():
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7)
+        if i is not None:
+            assert r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
+    wrong = [i for i, r in found.items() if i in truth and r.held_out and r.predicted != truth[i]]
+    assert len(wrong) <= 2 and found[5000].score == found[5001].score < 0.5
+
+
+def test_swapping_groups_hardly_changes_scores(labelled):
+    from tidebook.llm import toxicity
+
+    docs, labels = labelled
+    model = toxicity.learn(docs, labels)
+    logit = lambda t: math.log((s := model.scores([t])[0]) / (1 - s))
+    gap = abs(logit("the muslim neighbour") - logit("the christian neighbour"))
+    # the same without the penalty takes the group for a sign
+    old, toxicity.fit.__defaults__ = toxicity.fit.__defaults__, (toxicity.RIDGE, 0.0, 400)
+    try:
+        free = toxicity.learn(docs, labels)
+    finally:
+        toxicity.fit.__defaults__ = old
+    free_logit = lambda t: math.log((s := free.scores([t])[0]) / (1 - s))
+    assert gap < 0.3 and gap < 0.3 * abs(free_logit("the muslim neighbour") - free_logit("the christian neighbour"))
+    assert model.scores(["a muslim family"])[0] < 0.5 < model.scores(["such vermin idiots"])[0]
+
+
+def test_toxicity_without_usable_labels(labelled):
+    from tidebook.llm import toxicity
+
+    docs, labels = labelled
+    assert {r.score < 0.01 for r in toxicity.toxicity(docs, labels.where("toxic = 0")).collect()} == {True}
+    assert {r.score > 0.99 for r in toxicity.toxicity(docs, labels.where("toxic = 1")).collect()} == {True}
+    assert toxicity.toxicity(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+    from tidebook.llm import toxicity
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, before, kept = docs.columns, docs, []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, sf_dir).cache()
+        assert after.columns == columns
+        kept.append({r.doc_id: r.text for r in after.collect()})
+        before = after
+    rows = {r.doc_id: r.text for r in docs.collect()}
+
+    def good(text):
+        w = words_of(text)
+        windows = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        covered = {j for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+        return len(w) >= 50 and 100 * len(covered) <= 50 * len(w)
+
+    judged = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    assert set(kept[0]) == {i for i, t in rows.items() if good(t) and not (judged[i].host_poor and judged[i].soft_failed)}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    first = spark.createDataFrame(list(kept[0].items()), "doc_id bigint, text string")
+    assert set(kept[1]) == {r.doc_id for r in toxicity.toxicity(first, labels).where("predicted = 0").collect()}
+    ids = sorted(kept[1])
+    prints = [brute_fingerprint(kept[1][i]) for i in ids]
+    comp = brute_components(ids, [(a, b) for a in range(len(ids)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 4])
+    assert sorted(kept[2]) == sorted(min(i for i, k in zip(ids, comp) if k == c) for c in set(comp))
+    packed = corpus_pipeline.STAGES[-1][1](spark, before, sf_dir)
+    assert {r.doc_id for r in packed.collect()} == set(kept[2])
+    assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(tuple, packed.collect()))
