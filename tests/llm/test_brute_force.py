@@ -549,7 +549,7 @@ def test_swapping_groups_hardly_changes_scores(labelled):
     logit = lambda t: math.log((s := model.scores([t])[0]) / (1 - s))
     gap = abs(logit("the muslim neighbour") - logit("the christian neighbour"))
     # the same without the penalty takes the group for a sign
-    old, toxicity.fit.__defaults__ = toxicity.fit.__defaults__, (toxicity.RIDGE, 0.0, 400)
+    old, toxicity.fit.__defaults__ = toxicity.fit.__defaults__, (toxicity.RIDGE, 0.0, toxicity.INTERCEPT, 400)
     try:
         free = toxicity.learn(docs, labels)
     finally:

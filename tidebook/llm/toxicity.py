@@ -17,10 +17,12 @@ from .common import held_out, materialize, ship
 #: Labelled rows that are learnt from, at most (those with the smallest hash of their id), and features kept.
 MAX_LABELLED = 20_000
 MAX_FEATURES = 4096
-#: Beginnings of words that are features beside the words themselves.
-STEMS = (4, 5, 6)
-#: Weight of squared coefficients, and of squared score changes when groups are swapped.
+#: Lengths of beginnings of words that are features beside the words themselves.
+STEMS = (4, 5, 6, 7, 8)
+#: Weight of squared coefficients, of the intercept's squared distance from the label's log odds, and of
+#: squared score changes when groups are swapped.
 RIDGE = 0.02
+INTERCEPT = 20.0
 COUNTERFACTUAL = 1.0
 THRESHOLD = 0.7
 #: Words whose features a worker keeps; on reaching it, the memory is emptied.
@@ -52,6 +54,12 @@ def features_of(word: str) -> list[str]:
     return [f"={word}", *(f"{word[:n]}*" for n in STEMS if len(word) > n)]
 
 
+def text_features(words: set[str]) -> set[str]:
+    """Words and beginnings of words, and beginnings that two or more words share."""
+    counts = Counter(f for w in words for f in features_of(w))
+    return counts.keys() | {f"{f}2" for f, n in counts.items() if n > 1}
+
+
 def swapped(words: set[str], salt: str) -> set[str] | None:
     """The words with each identity term replaced by another of its line; None without any such term."""
     out = None
@@ -79,7 +87,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts[label].update({f for w in words_in(text or "") for f in features_of(w)})
+            counts[label].update(text_features(words_in(text or "")))
             if len(counts[0]) + len(counts[1]) > COUNTED_FEATURES:
                 yield give()
                 counts = (Counter(), Counter())
@@ -91,10 +99,15 @@ class Features:
 
     def __init__(self, names: list[str]):
         self.number = {f: k for k, f in enumerate(names)}
+        # a beginning that counts only when two words have it has a number below 0 itself
+        for k, f in enumerate(names):
+            if f.endswith("*2"):
+                self.number.setdefault(f[:-1], -1 - k)
+        self.twice = {self.number[f[:-1]]: k for k, f in enumerate(names) if f.endswith("*2")}
         self.known: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self):
-        return {"number": self.number, "known": {}}
+        return {"number": self.number, "twice": self.twice, "known": {}}
 
     def of(self, words: set[str]) -> set[int]:
         known = self.known
@@ -103,7 +116,13 @@ class Features:
         get = self.number.get
         for w in words.difference(known):
             known[w] = tuple(k for f in features_of(w) if (k := get(f)) is not None)
-        return {k for w in words if (found := known[w]) for k in found}
+        out, twice = set(), self.twice
+        for w in words:
+            for k in known[w]:
+                if k in out and k in twice:
+                    out.add(twice[k])
+                out.add(k)
+        return {k for k in out if k >= 0}
 
 
 def _rows(batches: Iterator[pa.RecordBatch], features: Features) -> Iterator[pa.RecordBatch]:
@@ -124,12 +143,13 @@ def sparse(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array([k for r in rows for k in r], "int64")
 
 
-def fit(labels: np.ndarray, found: list[list[int]], swaps: list[list[int] | None], n: int, ridge: float = RIDGE, counterfactual: float = COUNTERFACTUAL, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit(labels: np.ndarray, found: list[list[int]], swaps: list[list[int] | None], n: int, ridge: float = RIDGE, counterfactual: float = COUNTERFACTUAL, pull: float = INTERCEPT, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights and intercept of a logistic regression.
 
     Minimizes the mean log loss + ridge / 2 * |w|^2 / rows + counterfactual / 2 * the
-    mean square of score (logit) changes under swapped groups, by gradient steps with
-    momentum, each feature's step scaled by a bound of its curvature.
+    mean square of score (logit) changes under swapped groups, with the intercept drawn to the
+    label's log odds, by gradient steps with momentum, each feature's step scaled by a
+    bound of its curvature.
     """
     m = len(labels)
     weights, intercept = np.zeros(n), 0.0
@@ -146,8 +166,10 @@ def fit(labels: np.ndarray, found: list[list[int]], swaps: list[list[int] | None
         p = len(pairs)
         size = np.bincount(ci, minlength=p) + np.bincount(di, minlength=p)
         bound += counterfactual * (np.bincount(cj, weights=size[ci], minlength=n) + np.bincount(dj, weights=size[di], minlength=n)) / p
-    bias_bound = (1 + per_row).mean() / 4
-    look, look_bias, t = weights.copy(), 0.0, 1.0
+    bias_bound = (1 + per_row).mean() / 4 + pull / m
+    share = min(max(float(labels.mean()), 0.5 / m), 1 - 0.5 / m)
+    intercept = prior = float(np.log(share / (1 - share)))
+    look, look_bias, t = weights.copy(), intercept, 1.0
     for _ in range(steps):
         z = look_bias + np.bincount(i, weights=look[j], minlength=m)
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / m
@@ -155,7 +177,7 @@ def fit(labels: np.ndarray, found: list[list[int]], swaps: list[list[int] | None
         if pairs:
             change = np.bincount(ci, weights=look[cj], minlength=p) - np.bincount(di, weights=look[dj], minlength=p)
             slope += counterfactual / p * (np.bincount(cj, weights=change[ci], minlength=n) - np.bincount(dj, weights=change[di], minlength=n))
-        new, new_bias = look - slope / bound, look_bias - error.sum() / bias_bound
+        new, new_bias = look - slope / bound, look_bias - (error.sum() + pull * (look_bias - prior) / m) / bias_bound
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         look, look_bias = new + (t - 1) / t_new * (new - weights), new_bias + (t - 1) / t_new * (new_bias - intercept)
         weights, intercept, t = new, new_bias, t_new
