@@ -136,8 +136,8 @@ ORACLES: dict[str, str] = {
     "upsert_last_wins": f"""WITH {WRITES} SELECT symbol, date, quantity, price, day FROM writes
       QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY day DESC, l_partkey DESC, l_suppkey DESC, price DESC) = 1""",
     "upsert_idempotent": f"""WITH {WRITES}, w AS (SELECT symbol, date, quantity, price, CAST(day AS VARCHAR) AS stamp FROM writes),
-      stored AS (SELECT * FROM w WHERE CAST(symbol AS BIGINT) % 3 = 0 QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY stamp DESC, price DESC, quantity DESC) = 1),
-      incoming AS (SELECT * FROM w WHERE CAST(symbol AS BIGINT) % 2 = 0 AND date <> '4' QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY stamp DESC, price DESC, quantity DESC) = 1)
+      stored AS (SELECT * FROM w WHERE stamp < '1999-01-01' QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY stamp DESC, price DESC, quantity DESC) = 1),
+      incoming AS (SELECT * FROM w WHERE stamp >= '1997-01-01' AND date <> '4' QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY stamp DESC, price DESC, quantity DESC) = 1)
       SELECT * FROM incoming UNION ALL SELECT * FROM stored s WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.symbol = s.symbol AND i.date = s.date)""",
     "duplicate_keys": f'WITH {WRITES} SELECT symbol, date, count(*) AS "count" FROM writes GROUP BY 1, 2 HAVING count(*) > 1',
     "invalid_rows": f"WITH {BARS}, {TEXT_BARS} SELECT * FROM text_bars WHERE {INVALID}",
@@ -153,7 +153,7 @@ ORACLES: dict[str, str] = {
       CAST(CAST(low AS DECIMAL(18,2)) AS VARCHAR) AS low, CAST(CAST(close AS DECIMAL(18,2)) AS VARCHAR) AS close, CAST(CAST(volume AS BIGINT) AS VARCHAR) AS volume FROM bars""",
     "normalize_macro": f"""WITH {MACRO} SELECT symbol AS "key", date, value, '' AS realtime_start, 'x' AS realtime_end FROM macro""",
     "normalize_news": """SELECT source AS "key", CAST(doc_id AS VARCHAR) AS id, strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS datetime,
-      strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%d') AS date, substr(text, 1, 60) AS headline, '' AS source, '' AS summary, '' AS url,
+      strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%d') AS date, text AS headline, '' AS source, '' AS summary, '' AS url,
       CASE WHEN doc_id % 2 = 0 THEN 'True' ELSE 'False' END AS image, lang AS category FROM documents""",
     "normalize_errors": "SELECT kind, \"key\", error, coalesce(contains(lower(error), 'rate limit'), FALSE) AS rate_limited FROM (VALUES "
     + ", ".join(f"('{k}', '{n}', CAST({_quoted(SAID.get((k, n)))} AS VARCHAR))" for k, n, _ in ODD_PAYLOADS)

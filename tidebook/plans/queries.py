@@ -149,8 +149,8 @@ def upsert_last_wins(spark, sf_dir):
 
 def upsert_idempotent(spark, sf_dir):
     writes = lines_as_writes(spark, sf_dir).select("symbol", "date", "quantity", "price", F.col("day").cast("string").alias("stamp"))
-    stored = upsert.last_wins(writes.where("symbol % 3 = 0"), ["symbol", "date"], ["stamp", "price", "quantity"])
-    incoming = writes.where("symbol % 2 = 0").withColumn("date", F.when(F.col("date") == "4", F.lit("")).otherwise(F.col("date")))
+    stored = upsert.last_wins(writes.where("stamp < '1999-01-01'"), ["symbol", "date"], ["stamp", "price", "quantity"])
+    incoming = writes.where("stamp >= '1997-01-01'").withColumn("date", F.when(F.col("date") == "4", F.lit("")).otherwise(F.col("date")))
     once = upsert.upsert(stored, incoming, ["symbol", "date"], ["stamp", "price", "quantity"])
     return upsert.upsert(once, incoming, ["symbol", "date"], ["stamp", "price", "quantity"])
 
@@ -220,7 +220,7 @@ def normalize_macro(spark, sf_dir):
 def normalize_news(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     item = F.struct(
-        F.col("doc_id").alias("id"), (F.lit(1_700_000_000) + F.col("doc_id") * 3600).alias("datetime"), F.substring("text", 1, 60).alias("headline"),
+        F.col("doc_id").alias("id"), (F.lit(1_700_000_000) + F.col("doc_id") * 3600).alias("datetime"), F.col("text").alias("headline"),
         F.col("lang").alias("category"), (F.col("doc_id") % 2 == 0).alias("image"),
     )
     payloads = docs.groupBy(F.col("source").alias("key")).agg(F.to_json(F.collect_list(item)).alias("payload"))
