@@ -12,6 +12,7 @@ import functools
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +24,7 @@ SPACE = "▁"
 #: Unknown characters score this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Stretches whose ids a worker keeps; on reaching it, the memory is emptied.
-KNOWN_STRETCHES = 400_000
+KNOWN_STRETCHES = 1_200_000
 
 
 class Vocabulary:
@@ -59,6 +60,10 @@ class Vocabulary:
                 self.score[p.piece], self.id[p.piece] = p.score, k
             self.raw.append(raw)
         self.longest = max(map(len, self.score))
+        self.matches = ahocorasick.Automaton()  # all pieces that end at a place, the longest first
+        for piece, score in self.score.items():
+            self.matches.add_word(piece, (len(piece), score))
+        self.matches.make_automaton()
         self.unknown_score = min(self.score.values()) - UNKNOWN_PENALTY
         joined = {c for p in self.score if len(p) > 1 for c in p} - {SPACE}
         # where no piece can reach across, all paths meet: before a space sign, if pieces have it
@@ -94,28 +99,33 @@ class StreamingViterbi:
         self.back = [-1]
 
     def feed(self, text: str) -> list[str]:
-        v, scores = self.v, self.v.score
+        v, scores, matches = self.v, self.v.score, self.v.matches.iter
         out: list[str] = []
-        step = v.longest
-        for at in range(0, len(text), step):
-            self.text += text[at : at + step]
+        for at in range(0, len(text), v.longest):
+            done = len(self.text)
+            self.text += text[at : at + v.longest]
             held, best, back = self.text, self.best, self.back
-            for end in range(len(best), len(held) + 1):
-                top, origin = float("-inf"), -1
-                for start in range(max(0, end - step), end):
-                    piece = held[start:end]
-                    score = scores.get(piece)
-                    if score is None:
-                        if start < end - 1:
-                            continue
-                        score = v.unknown_score
-                    if (score := score + best[start]) > top:
-                        top, origin = score, start
-                best.append(top)
-                back.append(origin)
-            out += self.settle()
+            # pieces that end in the new part may begin in the old one
+            context = max(0, done - v.longest + 1)
+            for last, (length, score) in matches(held[context:]):
+                if (end := context + last + 1) > done:
+                    while len(best) <= end:
+                        self.open_boundary(held, best, back, scores)
+                    if (score := score + best[end - length]) > best[end]:
+                        best[end], back[end] = score, end - length
+            while len(best) <= len(held):
+                self.open_boundary(held, best, back, scores)
+            if len(held) > 2 * v.longest:
+                out += self.settle()
         return out
 
+    def open_boundary(self, held: str, best: list[float], back: list[int], scores: dict[str, float]) -> None:
+        """The next boundary, reached so far by an unknown character at most."""
+        last = len(best) - 1
+        known = held[last] in scores
+        best.append(float("-inf") if known else self.v.unknown_score + best[last])
+        back.append(-1 if known else last)
+
     def settle(self) -> list[str]:
         """Give out what lies before the boundary at which all surviving paths meet."""
         back = self.back
@@ -150,26 +160,50 @@ class StreamingViterbi:
 
 
 class Encoder:
-    """Ids of texts. Stretches between boundaries that no piece crosses are segmented once and kept."""
+    """Ids of texts. What lies between boundaries that no piece crosses is segmented once and kept.
+
+    Such boundaries are before single spaces and around line feeds, so most texts are looked
+    up word by word; the others, with runs of spaces, stretch by stretch.
+    """
 
     def __init__(self, path: str):
         self.v = Vocabulary(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by stretch or word, with its space sign
+        self.spaced: dict[str, bytes] = {}  # by word, of the word with a space sign before it
         self.search = StreamingViterbi(self.v)
+        self.by_words = self.v.spaces_lead and self.v.prefix and self.v.stretch.findall("a\na") == ["a", "\n", "a"]
+        self.line_feed = self.ids("\n")
+
+    def ids(self, stretch: str) -> bytes:
+        pieces = self.search.feed(stretch) + self.search.finish()
+        return np.array([i for p in pieces for i in self.v.ids_of(p)], "<i4").tobytes()
 
-    def learn(self, stretches: set[str]) -> None:
-        new = stretches.difference(self.known)
-        if len(self.known) + len(new) > KNOWN_STRETCHES:
-            self.known, new = {}, stretches
-        for s in new:
-            pieces = self.search.feed(s) + self.search.finish()
-            self.known[s] = np.array([i for p in pieces for i in self.v.ids_of(p)], "<i4").tobytes()
+    def stretches(self, text: str) -> list[bytes]:
+        found = self.v.stretch.findall(text)
+        for s in found:
+            if s not in self.known:
+                self.known[s] = self.ids(s)
+        return list(map(self.known.__getitem__, found))
+
+    def learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
+        for w in words:
+            known[w] = self.ids(lead + w)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = self.v.stretch.findall
-        split = [cut(self.v.normalize(x)) for x in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.known.__getitem__, x)) for x in split]
+        if len(self.known) + len(self.spaced) > KNOWN_STRETCHES:
+            self.known, self.spaced = {}, {}
+        split = [[line.split(" ") for line in x.split("\n")] if self.by_words and x and x[0] != " " and "  " not in x else None for x in texts]
+        self.learn(self.known, {line[0] for x in split if x for line in x[1:]}.difference(self.known), "")
+        self.learn(self.spaced, set().union(*(line[1:] for x in split if x for line in x), (x[0][0] for x in split if x)).difference(self.spaced), SPACE)
+        out, get, known, spaced = [], self.spaced.__getitem__, self.known, self.spaced
+        for text, x in zip(texts, split):
+            if x is None:
+                out.append(b"".join(self.stretches(self.v.normalize(text))))
+            else:
+                # the text's first word has a space sign before it as well, other lines' first words have none
+                first = spaced[x[0][0]] + b"".join(map(get, x[0][1:]))
+                out.append(self.line_feed.join([first, *(known[line[0]] + b"".join(map(get, line[1:])) for line in x[1:])]))
+        return out
 
 
 @functools.lru_cache(maxsize=4)
