@@ -19,12 +19,18 @@ from .token_counts import by_bytes, load_tokenizer
 OPEN_BINS = 1024
 PIECES_PER_TASK = 65_536
 #: Words whose ids a worker keeps; on reaching it, the memory is emptied.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 1_200_000
 
 #: Texts made only of lines of words with single spaces between, all of plain
 #: printable characters, can be cut before each space and around each line feed:
 #: the byte-level pre-tokenizer cuts there too. Other texts are encoded whole.
-IRREGULAR = re.compile("[^\n -~¡-ɏ]|  | \n|\n |\n\n|\\A[ \n]|[ \n]\\Z")
+OTHER_CHARACTER = re.compile("[^\n -~¡-ɏ]")
+
+
+def regular(text: str) -> bool:
+    return not (
+        "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or OTHER_CHARACTER.search(text)
+    )
 
 
 class WordIds:
@@ -35,17 +41,28 @@ class WordIds:
         self.bare: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
         self.line_feed = self.whole("\n")
+        special = [(t.content, k) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        if not special:
+            raise ValueError("the tokenizer has no special token to put between words")
+        self.mark = special[0]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
-        for batch in by_bytes(list(words)):
-            found = self.tokenizer.encode_batch([lead + w for w in batch], add_special_tokens=False)
-            known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(batch, found))
+        """Encode new words, many in one text with a special token between, which never merges with what is beside it."""
+        mark, mark_id = self.mark
+        for w in [w for w in words if mark in w]:
+            known[w] = self.whole(lead + w)
+        for batch in by_bytes([w for w in words if mark not in w]):
+            found = self.tokenizer.encode_batch_fast([mark.join([lead + w for w in batch])], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(ids == mark_id)
+            data, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+            known.update((w, data[x:y]) for w, x, y in zip(batch, starts, ends))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if IRREGULAR.search(x) else [line.split(" ") for line in x.split("\n")] for x in texts]
+        split = [[line.split(" ") for line in x.split("\n")] if regular(x) else None for x in texts]
         lines = [line for x in split if x for line in x]
         if len(self.spaced) + len(self.bare) > KNOWN_WORDS:
             self.bare, self.spaced = {}, {}

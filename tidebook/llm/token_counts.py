@@ -15,7 +15,7 @@ from .common import ship
 #: Bytes of text encoded by one call, and the length from which a text is split.
 BATCH_BYTES = 1 << 20
 #: Words whose token counts a worker keeps; on reaching it, the memory is emptied.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_200_000
 
 
 @functools.lru_cache(maxsize=4)
