@@ -172,10 +172,9 @@ def test_best_fit_is_bounded_and_fits_best():
             assert b not in free and b not in closed
             if len(free) == 8:  # the fullest closes
                 least = min(free.values())
-                gone = next(k for k, f in free.items() if f == least and k not in placed[len(closed) + 10**9 :])
-                candidates = [k for k, f in free.items() if f == least]
                 later = set(placed[placed.index(b) :])
-                gone = next((k for k in candidates if k not in later), candidates[0])
+                fullest = [k for k, f in free.items() if f == least]
+                gone = next((k for k in fullest if k not in later), fullest[0])
                 closed.add(gone)
                 del free[gone]
             free[b] = 100
@@ -487,7 +486,7 @@ def test_encoding_is_the_librarys_for_unigrams(pieces, rows):
     assert got == sp.encode(texts)
 
 
-def test_sentencepiece_round_trip(docs, rows):
+def test_sentencepiece_round_trip(pieces, docs, rows):
     import sentencepiece
 
     from tidebook.llm import sentencepiece_viterbi as viterbi
@@ -497,10 +496,9 @@ def test_sentencepiece_round_trip(docs, rows):
     assert sorted((repr(r.doc_id), r.text) for r in back) == sorted((repr(i), (t or "").replace("▁", " ")) for i, t, *_ in rows)
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
     for r in viterbi.encode_texts(docs, model).collect():
-        text = sp.decode(r.ids) if r.ids else ""
-        assert text == next(b.text for b in back if b.doc_id == r.doc_id and (b.text == text or r.doc_id in (5, None)) or False) or r.doc_id in (5, None)
+        assert viterbi.decode_ids(pieces, np.array(r.ids, "i4")) == (sp.decode(r.ids) if r.ids else "")
     found = viterbi.round_trip(docs, model).collect()
-    assert all(r.same for r in found if r.doc_id is None or "▁" not in (rows[r.doc_id][1] or ""))
+    assert len(found) == len(rows) and all(r.same for r in found if r.doc_id is None or "▁" not in (rows[r.doc_id][1] or ""))
     assert viterbi.decode_texts(docs.sparkSession.createDataFrame([(1, None), (2, []), (3, [3 + 0xC3])], "doc_id int, ids array<int>"), model).orderBy("doc_id").select("text").collect() == [(None,), ("",), ("�",)]
 
 

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidebook.functions.workers import ship
+
+__all__ = ["WHITE_SPACE", "WORD_BREAK", "held_out", "id_hash", "materialize", "new_path", "only", "packed", "shared_dir", "ship", "text_key"]
+
 #: The six ASCII white-space characters that separate words: space, tab, LF, VT, FF, CR.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
+#: Spark's setting by which a query's shuffle files are deleted at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,20 +45,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs the tasks it ran, not the
-    stages before the table.
+    stages before the table. Shuffle files of the write go as soon as it is done.
     """
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    known = env.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in known:
-        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_hash(id_col: str = "doc_id") -> Column:

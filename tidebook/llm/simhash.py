@@ -124,54 +124,35 @@ def _runs(batches: Iterator[pa.RecordBatch], masks: np.ndarray) -> Iterator[tupl
     A bucket of over BUCKET_MEMBERS members comes in chunks of that many, numbered
     from 0; one that fits comes as chunk -1.
     """
-    number, held, chunk, size = None, [], 0, 0
-    bucket = None
+    bucket, held, chunk, size = None, [], 0, 0
 
-    def close():
+    def rest() -> Iterator[tuple[int, int, np.ndarray]]:
         if chunk or size > 1:
-            yield number, chunk if chunk else -1, np.concatenate(held)
+            yield bucket[0], chunk if chunk else -1, np.concatenate(held)
 
     for batch in batches:
-        combo = batch.column(0).to_numpy()
-        fp = batch.column(1).to_numpy().view("u8")
+        combo, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy().view("u8")
         if not len(fp):
             continue
         key = fp & masks[combo]
-        cuts = np.flatnonzero((np.diff(combo) != 0) | (key[1:] != key[:-1])) + 1
-        bounds = [0, *cuts.tolist(), len(fp)]
-        lengths = np.diff(bounds)
+        bounds = [0, *(np.flatnonzero((np.diff(combo) != 0) | (key[1:] != key[:-1])) + 1).tolist(), len(fp)]
         # alone in the middle of a batch: no bucket of two
-        wanted = [k for k in range(len(lengths)) if lengths[k] > 1 or k == 0 or k == len(lengths) - 1]
-        for k in wanted:
-            a, b = bounds[k], bounds[k + 1]
-            if bucket != (combo[a], key[a]):
-                if held:
-                    yield from close()
-                bucket, number, held, chunk, size = (combo[a], key[a]), int(combo[a]), [], 0, 0
-            for at in range(a, b):
-                if size + (b - at) <= BUCKET_MEMBERS:
-                    held.append(fp[at:b])
-                    size += b - at
-                    break
-                room = BUCKET_MEMBERS - size
-                if room:
-                    held.append(fp[at : at + room])
-                yield number, chunk, np.concatenate(held)
-                chunk += 1
-                rest = fp[at + room : b]
-                while len(rest) > BUCKET_MEMBERS:
-                    yield number, chunk, rest[:BUCKET_MEMBERS]
-                    chunk += 1
-                    rest = rest[BUCKET_MEMBERS:]
-                held, size = [rest], len(rest)
-                break
-    if held:
-        yield from close()
+        for k in [k for k in range(len(bounds) - 1) if bounds[k + 1] - bounds[k] > 1 or k in (0, len(bounds) - 2)]:
+            at, end = bounds[k], bounds[k + 1]
+            if bucket != (int(combo[at]), int(key[at])):
+                yield from rest()
+                bucket, held, chunk, size = (int(combo[at]), int(key[at])), [], 0, 0
+            held.append(fp[at:end])
+            size += end - at
+            while size > BUCKET_MEMBERS:
+                joined = np.concatenate(held)
+                yield bucket[0], chunk, joined[:BUCKET_MEMBERS]
+                held, chunk, size = [joined[BUCKET_MEMBERS:]], chunk + 1, size - BUCKET_MEMBERS
+    yield from rest()
 
 
 def _bucket_links(batches: Iterator[pa.RecordBatch], masks: np.ndarray, distance: int) -> Iterator[pa.RecordBatch]:
     """Links of buckets that fit into a task; members of larger ones, with the number of their chunk."""
-    links: dict[int, set] = {}
     a, b, combos, chunks = [], [], [], []
     for number, chunk, members in _runs(batches, masks):
         if chunk < 0:
