@@ -62,14 +62,14 @@ def remaining(daily_limit: Column, reserve: Column, used: Column) -> Column:
 
 
 def key_slots(keys: DataFrame, used: DataFrame, today: str) -> DataFrame:
-    """provider, key_index, has_key, calls_used, remaining and allowed per key.
+    """provider, key_index, has_key, enabled, calls_used, remaining and allowed per key.
 
     ``keys``: provider, key_index, has_key, daily_limit, daily_reserve, enabled. A disabled provider has no call allowed.
     """
     now = used.where(F.col("utc_date") == F.lit(today).cast("date")).drop("utc_date")
     joined = keys.join(now, ["provider", "key_index"], "left").withColumn("calls_used", F.coalesce("calls_used", F.lit(0)))
     joined = joined.withColumn("remaining", remaining(F.col("daily_limit"), F.col("daily_reserve"), F.col("calls_used")))
-    return joined.select("provider", "key_index", "has_key", "calls_used", "remaining", (F.col("enabled") & F.col("has_key") & (F.col("remaining") > 0)).alias("allowed"))
+    return joined.select("provider", "key_index", "has_key", "enabled", "calls_used", "remaining", (F.col("enabled") & F.col("has_key") & (F.col("remaining") > 0)).alias("allowed"))
 
 
 def active_key(slots: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def active_key(slots: DataFrame) -> DataFrame:
 
 
 def decide(slots: DataFrame, cost: int = 1) -> DataFrame:
-    """Adds allowed_cost and reason for a call of ``cost`` on each key."""
+    """Adds reason and allowed_cost for a call of ``cost`` on each of the key_slots."""
     fits = F.col("remaining") >= cost
     return slots.withColumn("reason", F.when(~F.col("enabled"), "provider_disabled").when(fits, "ok").otherwise("daily_budget_reserved")).withColumn("allowed_cost", F.col("enabled") & fits)
 

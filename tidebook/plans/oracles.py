@@ -169,7 +169,9 @@ ORACLES: dict[str, str] = {
       SELECT * FROM ranked ORDER BY priority, line LIMIT 700""",
     "done_today": f"WITH {LOG} SELECT least(count(*), 100) AS progress_done, CAST(100 AS BIGINT) AS progress_total FROM ({SUCCEEDED})",
     "not_done_today": f"WITH {LOG}, {SYMBOLS} SELECT symbol FROM symbols WHERE symbol NOT IN ({SUCCEEDED})",
-    "budget_remaining": f"WITH {LOG}, {KEYS}, {SLOTS} SELECT provider, key_index, has_key, calls_used, CAST(remaining AS BIGINT) AS remaining, (enabled AND has_key AND remaining > 0) AS allowed FROM slots",
+    "budget_remaining": f"WITH {LOG}, {KEYS}, {SLOTS} SELECT provider, key_index, has_key, enabled, calls_used, CAST(remaining AS BIGINT) AS remaining, (enabled AND has_key AND remaining > 0) AS allowed FROM slots",
+    "call_decisions": f"""WITH {LOG}, {KEYS}, {SLOTS} SELECT provider, key_index, CASE WHEN NOT enabled THEN 'provider_disabled' WHEN remaining >= 50 THEN 'ok' ELSE 'daily_budget_reserved' END AS reason,
+      (enabled AND remaining >= 50) AS allowed_cost FROM slots""",
     "active_key": f"""WITH {LOG}, {KEYS}, {SLOTS} SELECT provider, min(CASE WHEN enabled AND has_key AND remaining > 0 THEN key_index END) AS key_index,
       CAST(sum(CASE WHEN has_key THEN remaining ELSE 0 END) AS BIGINT) AS total_remaining FROM slots GROUP BY provider""",
     "calls_in_last_minute": """SELECT event_id, event_type AS "key", count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) AS calls FROM events""",

@@ -286,6 +286,10 @@ def budget_remaining(spark, sf_dir):
     return planner.key_slots(api_keys(spark), planner.usage(log(spark, sf_dir)), TODAY)
 
 
+def call_decisions(spark, sf_dir):
+    return planner.decide(budget_remaining(spark, sf_dir), 50).select("provider", "key_index", "reason", "allowed_cost")
+
+
 def active_key(spark, sf_dir):
     return planner.active_key(budget_remaining(spark, sf_dir))
 
@@ -343,7 +347,7 @@ QUERIES = {
         ohlcv_bars, event_bars, sma, sma_with_gaps, ema_12, ema_with_gaps, rsi_14, rsi_flat, macd, indicators_full, indicator_text, indicators_processed,
         price_delta_gain_loss, upsert_last_wins, upsert_idempotent, duplicate_keys, invalid_rows, validation_issues, validation_rollup, table_counts,
         symbol_history, normalize_ohlcv_list, normalize_ohlcv_map, normalize_macro, normalize_news, normalize_errors, listing_symbols, merge_symbols,
-        latest_status, pending_symbols, done_today, not_done_today, budget_remaining, active_key, calls_in_last_minute, run_counters, last_20_runs,
+        latest_status, pending_symbols, done_today, not_done_today, budget_remaining, call_decisions, active_key, calls_in_last_minute, run_counters, last_20_runs,
         daily_summary, summary_message, format6, try_double, raw_archive_counts,
     )
 }
