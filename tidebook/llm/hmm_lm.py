@@ -15,8 +15,8 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, materialize, ship
@@ -25,22 +25,22 @@ from .common import held_out, materialize, ship
 STATES = 8
 OWN_CLASSES = 8192
 ENDING_CLASSES = 4096
-ENDING_BYTES = 3
+ENDING_LETTERS = 3
 #: Rounds of Baum-Welch, tokens of a training segment, segments computed at once.
-ROUNDS = 5
+ROUNDS = 4
 SEGMENT = 64
-SEGMENTS_AT_ONCE = 2048
+SEGMENTS_AT_ONCE = 1024
 #: A block of documents is closed at so many distinct words or bytes of text.
-BLOCK_WORDS = 65_536
+BLOCK_WORDS = 1_000_000
 BLOCK_BYTES = 8 << 20
 
 END = ""  # no word is empty
 
 BLOCK = pa.schema([
-    ("block", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())),
-    ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("wide", pa.bool_()), ("codes", pa.binary()),
+    ("block", pa.int64()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())),
+    ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary()),
 ])
-BLOCK_SQL = "block string, words array<string>, counts array<bigint>, doc_ids array<bigint>, held array<boolean>, lengths array<bigint>, wide boolean, codes binary"
+BLOCK_SQL = "block bigint, words array<string>, counts array<bigint>, doc_ids array<bigint>, held array<boolean>, lengths array<bigint>, codes binary"
 
 
 # --- documents as blocks of word numbers ----------------------------------------
@@ -65,58 +65,52 @@ class Block:
         self.docs.append((doc, held))
         self.size += len(text)
 
-    def row(self) -> pa.RecordBatch:
+    def row(self, name: int) -> pa.RecordBatch:
         codes = np.concatenate(self.parts)
         lengths = [len(p) for p in self.parts]
         trains = np.repeat([not held for _, held in self.docs], lengths)
         counts = np.bincount(codes[trains], minlength=len(self.index))
-        wide = len(self.index) > 1 << 16
-        codes = codes.tobytes() if wide else codes.astype("<u2").tobytes()
+        codes = squeezed(codes)
         words = [w.decode() for w in self.index]
-        # the same rows give the same name when a task is run again
-        name = xxhash.xxh128_hexdigest(codes + repr(self.docs[:1] + self.docs[-1:]).encode() + "\0".join(words[:1000]).encode())
         docs, held = map(list, zip(*self.docs))
         return pa.RecordBatch.from_arrays(
-            [pa.array([x], t) for x, t in zip([name, words, counts.tolist(), docs, held, lengths, wide, codes], BLOCK.types)], schema=BLOCK
+            [pa.array([x], t) for x, t in zip([name, words, counts.tolist(), docs, held, lengths, codes], BLOCK.types)], schema=BLOCK
         )
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = Block()
+    block, name = Block(), TaskContext.get().partitionId() << 33
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             rows = batch.slice(at, 256)
             for doc, held, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2).cast(pa.binary()).to_pylist()):
                 block.add(doc, held, text or b"")
-                if len(block.index) >= BLOCK_WORDS - 2000 or block.size >= BLOCK_BYTES:
-                    yield block.row()
-                    block = Block()
+                if len(block.index) >= BLOCK_WORDS or block.size >= BLOCK_BYTES:
+                    yield block.row(name)
+                    block, name = Block(), name + 1
     if block.docs:
-        yield block.row()
+        yield block.row(name)
 
 
-def code_array(codes: bytes, wide: bool) -> np.ndarray:
-    return np.frombuffer(codes, "<u4" if wide else "<u2")
+def squeezed(codes: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: their lowest bytes, then the next, and so on."""
+    planes = np.ascontiguousarray(codes.astype("<u4").view("u1").reshape(-1, 4).T)
+    return len(codes).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-# --- the model ------------------------------------------------------------------
+def code_array(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=4 * n, codec="zstd", asbytes=True), "u1").reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-class Classes:
-    """Class numbers of words: 0 the end, then the words with a class of their own, then endings."""
+# --- the model ------------------------------------------------------------------
 
-    def __init__(self, own: list[str]):
-        self.own = {w: k + 1 for k, w in enumerate(own)}
-        self.own[END] = 0
-        self.first_ending = len(own) + 1
-        self.size = self.first_ending + ENDING_CLASSES
 
-    def of(self, words: list[str]) -> np.ndarray:
-        get, first = self.own.get, self.first_ending
-        found = [get(w, -1) for w in words]
-        return np.array([
-            c if c >= 0 else first + xxhash.xxh32_intdigest(w.encode()[-ENDING_BYTES:]) % ENDING_CLASSES for c, w in zip(found, words)
-        ], "int64")
+def class_of(word: Column, own: Column, n_own: int) -> Column:
+    """A word's class: 0 the end, then the words with a class of their own (``own``, else null), then endings."""
+    ending = F.pmod(F.xxhash64(F.right(word, F.lit(ENDING_LETTERS))), F.lit(ENDING_CLASSES)) + 1 + n_own
+    return F.when(word == END, 0).otherwise(F.coalesce(own, ending)).cast("int")
 
 
 class Model:
@@ -142,39 +136,49 @@ class Model:
 
 
 def expected_counts(model: Model, obs: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """One E-step over segments (rows of ``obs``, each of ``lengths`` classes): start, transition and emission counts, and log likelihood."""
+    """One E-step over segments (rows of ``obs``, each of ``lengths`` classes): start, transition and emission counts, and log likelihood.
+
+    Arrays run over segments last, so that each step is a few operations on long rows.
+    After a segment's end everything is emitted with certainty, which changes nothing.
+    """
     n, width = obs.shape
     states, classes = model.emit.shape
+    codes = np.ascontiguousarray(obs.T)
+    uneven = bool((lengths < width).any())
     inside = np.arange(width)[:, None] < lengths[None, :]
-    codes = np.where(inside, obs.T, 0)
-    likely = model.emit.T[codes]  # width x n x states
-    likely[~inside] = 1.0
-    alpha = np.empty((width, n, states))
+    likely = np.empty((width, states, n))
+    alpha = np.empty((width, states, n))
     scale = np.empty((width, n))
-    now = model.start[None, :] * likely[0]
+    forwards, backwards = np.ascontiguousarray(model.move.T), np.ascontiguousarray(model.move)
     for t in range(width):
-        if t:
-            now = (now @ model.move) * likely[t]
-        scale[t] = now.sum(axis=1)
-        now = now / scale[t][:, None]
-        alpha[t] = now
+        np.take(model.emit, codes[t], axis=1, out=likely[t])
+        if uneven:
+            likely[t][:, ~inside[t]] = 1.0
+        now = (forwards @ alpha[t - 1] if t else model.start[:, None]) * likely[t]
+        now.sum(axis=0, out=scale[t])
+        np.divide(now, scale[t], out=alpha[t])
     move = np.zeros((states, states))
-    beta = np.ones((n, states))
+    beta = np.ones((states, n))
     for t in range(width - 1, -1, -1):
         if t:
-            ahead = likely[t] * beta / scale[t][:, None]
-            held = np.where(inside[t][:, None], ahead, 0.0)
-            move += alpha[t - 1].T @ held
+            ahead = likely[t]
+            ahead *= beta
+            ahead /= scale[t]
+            move += alpha[t - 1] @ (np.where(inside[t], ahead, 0.0) if uneven else ahead).T
         alpha[t] *= beta
         if t:
-            beta = ahead @ model.move.T
+            beta = backwards @ ahead
     move *= model.move
-    flat, seen = codes[inside], alpha[inside]
-    emit = np.stack([np.bincount(flat, weights=seen[:, s], minlength=classes) for s in range(states)])
-    return alpha[0].sum(axis=0), move, emit, float(np.log(scale[inside]).sum())
+    if uneven:
+        flat = codes[inside]
+        emit = np.stack([np.bincount(flat, weights=alpha[:, s][inside], minlength=classes) for s in range(states)])
+    else:
+        flat = codes.ravel()
+        emit = np.stack([np.bincount(flat, weights=alpha[:, s].ravel(), minlength=classes) for s in range(states)])
+    return alpha[0].sum(axis=1), move, emit, float(np.log(scale).sum())
 
 
-def segments(codes: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def segments(lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Start and length of the segments of at most ``width`` tokens into which documents are cut."""
     ends = np.cumsum(lengths)
     per = -(-lengths // width)
@@ -184,20 +188,21 @@ def segments(codes: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.nda
     return starts, np.minimum(width, np.repeat(ends, per) - starts)
 
 
-def _e_step(batches: Iterator[pa.RecordBatch], model: Model, classes: Classes) -> Iterator[pa.RecordBatch]:
+def _e_step(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     start = np.zeros(len(model.start))
     move, emit, ll = np.zeros_like(model.move), np.zeros_like(model.emit), 0.0
     for batch in batches:
-        for words, held, lengths, wide, codes in zip(*(batch.column(c).to_pylist() for c in ("words", "held", "lengths", "wide", "codes"))):
-            obs = classes.of(words)[code_array(codes, wide)]
-            lengths = np.array(lengths)
-            trains = ~np.array(held)
-            starts, sizes = segments(obs, lengths, SEGMENT)
+        for row, (held, lengths, codes) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("held", "lengths", "codes")))):
+            obs = batch.column("kinds")[row].values.to_numpy()[code_array(codes)]
+            lengths, trains = np.array(lengths), ~np.array(held)
+            starts, sizes = segments(lengths, SEGMENT)
             wanted = np.repeat(trains, -(-lengths // SEGMENT))
             starts, sizes = starts[wanted], sizes[wanted]
-            padded = np.concatenate([obs, np.zeros(SEGMENT, "int64")])
+            order = np.argsort(-sizes, kind="stable")  # full segments first: they need no masks
+            starts, sizes = starts[order], sizes[order]
+            padded = np.concatenate([obs, np.zeros(SEGMENT, "int32")])
             for at in range(0, len(starts), SEGMENTS_AT_ONCE):
-                rows = padded[starts[at : at + SEGMENTS_AT_ONCE, None] + np.arange(SEGMENT)]
+                rows = padded[starts[at : at + SEGMENTS_AT_ONCE, None] + np.arange(SEGMENT)].astype("int64")
                 a, b, c, d = expected_counts(model, rows, sizes[at : at + SEGMENTS_AT_ONCE])
                 start, move, emit, ll = start + a, move + b, emit + c, ll + d
     # (kind, state, place, value), zeros left out
@@ -210,19 +215,19 @@ def _e_step(batches: Iterator[pa.RecordBatch], model: Model, classes: Classes) -
         )
 
 
-def train(blocks: DataFrame, classes: Classes, totals: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
-    """Baum-Welch over all training documents of the blocks; the model and each round's log likelihood.
+def train(coded: DataFrame, totals: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
+    """Baum-Welch over all training documents; the model and each round's log likelihood.
 
     Each task adds up the expected counts of its blocks; Spark sums them over tasks. What
     comes to the driver is one number for each state and class, however large the corpus.
     """
     model, likelihoods = Model.first(totals, states), []
-    columns = blocks.select("words", "held", "lengths", "wide", "codes")
+    columns = coded.select("kinds", "held", "lengths", "codes")
     for _ in range(rounds):
-        found = columns.mapInArrow(lambda b, m=model: _e_step(b, m, classes), "kind int, state int, place int, value double")
+        found = columns.mapInArrow(lambda b, m=model: _e_step(b, m), "kind int, state int, place int, value double")
         summed = found.groupBy("kind", "state", "place").agg(F.sum("value").alias("value")).toArrow()
         kind, i, j, value = (summed.column(c).to_numpy() for c in ("kind", "state", "place", "value"))
-        start, move, emit, ll = np.zeros((1, states)), np.zeros((states, states)), np.zeros((states, classes.size)), np.zeros((1, 1))
+        start, move, emit, ll = np.zeros((1, states)), np.zeros((states, states)), np.zeros((states, len(totals))), np.zeros((1, 1))
         for k, into in enumerate((start, move, emit, ll)):
             of = kind == k
             into[i[of], j[of]] = value[of]
@@ -239,17 +244,16 @@ def forward(model: Model, obs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """
     order = np.argsort(-lengths, kind="stable")
     starts, sizes = (np.cumsum(lengths) - lengths)[order], lengths[order]
-    emit = np.ascontiguousarray(model.emit.T)
-    out = np.zeros(len(lengths))
-    now = np.tile(model.start, (len(sizes), 1))
     going = len(sizes)
-    for t in range(int(sizes[0]) if len(sizes) else 0):
+    out, emit, forwards = np.zeros(going), model.emit, np.ascontiguousarray(model.move.T)
+    now = np.tile(model.start[:, None], (1, going))
+    for t in range(int(sizes[0]) if going else 0):
         while sizes[going - 1] <= t:
             going -= 1
-        now = now[:going] if t == 0 else now[:going] @ model.move
-        now = now * emit[obs[starts[:going] + t]]
-        scale = now.sum(axis=1)
-        now /= scale[:, None]
+        now = now[:, :going] if t == 0 else forwards @ now[:, :going]
+        now = now * emit.take(obs[starts[:going] + t], axis=1)
+        scale = now.sum(axis=0)
+        now /= scale
         out[:going] += np.log10(scale)
     result = np.empty(len(lengths))
     result[order] = out
@@ -263,19 +267,14 @@ class Shares:
         self.tokens, self.distinct, self.class_tokens, self.class_words = tokens, distinct, class_tokens, class_words
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model, classes: Classes, shares: Shares) -> Iterator[pa.RecordBatch]:
-    names = ["words", "doc_ids", "held", "lengths", "wide", "codes"]
+def _score(batches: Iterator[pa.RecordBatch], model: Model, shares: Shares, first_ending: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        places, found = batch.column("places"), batch.column("found")
-        for row, (words, docs, held, lengths, wide, codes) in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
-            kind = classes.of(words)
-            c = np.zeros(len(words))
-            if places[row].is_valid:
-                c[places[row].values.to_numpy()] = found[row].values.to_numpy()
+        for row, (docs, held, lengths, codes) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_ids", "held", "lengths", "codes")))):
+            kind, c = (batch.column(name)[row].values.to_numpy() for name in ("kinds", "counts"))
             base = np.log10((c + 0.5) / (shares.tokens + 0.5 * (shares.distinct + 1)))
-            alone = kind < classes.first_ending  # one word is all there is of the class
-            within = np.where(alone, 0.0, np.log10((c + 0.5) / (shares.class_tokens[kind] + 0.5 * (shares.class_words[kind] + 1))))
-            codes, lengths = code_array(codes, wide), np.array(lengths)
+            # one word is all there is of a class of its own
+            within = np.where(kind < first_ending, 0.0, np.log10((c + 0.5) / (shares.class_tokens[kind] + 0.5 * (shares.class_words[kind] + 1))))
+            codes, lengths = code_array(codes), np.array(lengths)
             cuts = np.cumsum(lengths) - lengths
             yield pa.RecordBatch.from_arrays([
                 pa.array(docs, pa.int64()), pa.array(held), pa.array(lengths),
@@ -310,41 +309,37 @@ def score_documents(
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), held_out(fold, id_col).alias("held"), F.col(text_col).cast("string").alias("text"))
     blocks = materialize(rows.mapInArrow(_blocks, BLOCK_SQL), "hmm-blocks")
 
-    local = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select("block", "place", "x.words", "x.counts")
-    vocabulary = materialize(
-        local.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("c")).where("c > 0"), "hmm-vocabulary"
+    local = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
+        "block", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("n")
     )
+    vocabulary = materialize(local.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "hmm-vocabulary")
     tokens, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = vocabulary.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(OWN_CLASSES).collect()
-    classes = Classes([r["word"] for r in top])
-
-    def totals_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, v = np.zeros(classes.size, "int64"), np.zeros(classes.size, "int64")
-        for b in batches:
-            kind = classes.of(b.column(0).to_pylist())
-            np.add.at(n, kind, b.column(1).to_numpy())
-            np.add.at(v, kind, 1)
-        k = np.flatnonzero(v)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n[k]), pa.array(v[k])], ["kind", "n", "v"])
-
-    summed = (
-        vocabulary.mapInArrow(totals_of, "kind bigint, n bigint, v bigint").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow()
-    )  # a row per class at most
-    class_tokens, class_words = np.zeros(classes.size), np.zeros(classes.size)
+    own = vocabulary.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(OWN_CLASSES).select("word")
+    own = [r["word"] for r in own.collect()]  # OWN_CLASSES words at most
+    own_classes = F.broadcast(spark.createDataFrame([(w, k + 1) for k, w in enumerate(own)], "own_word string, own int"))
+    n_classes = 1 + len(own) + ENDING_CLASSES
+
+    def with_class(words: DataFrame) -> DataFrame:
+        joined = words.join(own_classes, F.col("word") == F.col("own_word"), "left")
+        return joined.withColumn("kind", class_of(F.col("word"), F.col("own"), len(own))).drop("own_word", "own")
+
+    summed = with_class(vocabulary).groupBy("kind").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()  # a row per class at most
+    class_tokens, class_words = np.zeros(n_classes), np.zeros(n_classes)
     class_tokens[summed.column("kind").to_numpy()] = summed.column("n").to_numpy()
     class_words[summed.column("kind").to_numpy()] = summed.column("v").to_numpy()
     shares = Shares(tokens, distinct, class_tokens, class_words)
 
-    model, _ = train(blocks, classes, class_tokens, states, rounds)
-
-    # a word occurs once in a block at most, so none has more than a row for each block
-    known = (
-        local.select("block", "place", "words").join(vocabulary, F.col("words") == F.col("word"))
-        .groupBy("block").agg(F.collect_list(F.struct("place", "c")).alias("known"))
-    )  # as many as a block has words
-    ready = blocks.join(known, "block", "left").select(
-        "words", F.col("known.place").alias("places"), F.col("known.c").alias("found"), "doc_ids", "held", "lengths", "wide", "codes"
-    )
+    # counts and classes go back to the blocks, in the places of their words. A word occurs once in a block
+    # at most, so none has more than a row for each block, and a block gathers as many rows as it has words
+    counted = local.select("block", "place", "word").join(vocabulary, "word", "left")
+    counted = with_class(counted).select("block", "place", F.coalesce("c", F.lit(0)).alias("c"), "kind")
+    places = counted.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "c", "kind"))).alias("x"))
+    places = places.select("block", F.col("x.c").alias("counts"), F.col("x.kind").alias("kinds"))
+    coded = blocks.select("block", "doc_ids", "held", "lengths", "codes").join(places, "block")
+    coded = materialize(coded.select("doc_ids", "held", "lengths", "codes", "counts", "kinds"), "hmm-coded")
+
+    model, _ = train(coded, class_tokens, states, rounds)
+    first_ending = 1 + len(own)
     kinds = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    scored = ready.mapInArrow(lambda b: _score(b, model, classes, shares), kinds)
+    scored = coded.mapInArrow(lambda b: _score(b, model, shares, first_ending), kinds)
     return scored.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
