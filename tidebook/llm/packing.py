@@ -18,6 +18,9 @@ from .token_counts import by_bytes, load_tokenizer
 #: Bins that one packing task keeps open, and pieces that one task packs.
 OPEN_BINS = 1024
 PIECES_PER_TASK = 65_536
+#: Pieces that are looked at together: of these the longest go first. With 4096 about 0.01 % more
+#: sequences are made than all ids need, without any look-ahead 0.9 %.
+LOOK_AHEAD = 4096
 #: Words whose ids a worker keeps; on reaching it, the memory is emptied.
 KNOWN_WORDS = 1_200_000
 
@@ -168,22 +171,26 @@ def best_fit(sizes: list[int], capacity: int, open_bins: int) -> tuple[list[int]
     return placed, offsets
 
 
-def _pack(rows: pa.Table, capacity: int, open_bins: int) -> pa.Table:
+def _pack(rows: pa.Table, capacity: int, open_bins: int, look_ahead: int) -> pa.Table:
     part = rows.column("part")[0].as_py()
     rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32", "length")]).drop_columns("part")
+    lengths = rows.column("length").to_numpy()
+    rows = rows.take(pa.array(np.lexsort((-lengths, np.arange(len(lengths)) // look_ahead))))
     placed, offsets = best_fit(rows.column("length").to_pylist(), capacity, open_bins)
     rows = rows.append_column("sequence_id", pa.array(np.array(placed, "int64") + (part << 32)))
     return rows.append_column("offset", pa.array(offsets, pa.int64()))
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = 2048, open_bins: int = OPEN_BINS, pieces_per_task: int = PIECES_PER_TASK) -> DataFrame:
+def pack_pieces(
+    pieces: DataFrame, capacity: int = 2048, open_bins: int = OPEN_BINS, pieces_per_task: int = PIECES_PER_TASK, look_ahead: int = LOOK_AHEAD
+) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32).
 
     Pieces are dealt by a hash of their content to groups of about
-    ``pieces_per_task``, each packed by itself in order of doc_id and piece. A group's
-    bins are few against its open bins' rest, so the loss against one single packing
-    is small and doesn't grow. The result depends on the pieces alone, not on how
-    they were partitioned.
+    ``pieces_per_task``, each packed by itself in order of doc_id and piece, but for the
+    longest of each ``look_ahead`` pieces going first. What a group's last open bins
+    leave free is little beside its other bins and doesn't grow with the input. The result
+    depends on the pieces alone, not on how they were partitioned.
     """
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     pieces = materialize(pieces.select(*columns), "packing-pieces")
@@ -191,7 +198,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, open_bins: int = OPEN_B
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int"))
     kind = pieces.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    return dealt.groupBy("part").applyInArrow(lambda rows: _pack(rows, capacity, open_bins), schema)
+    return dealt.groupBy("part").applyInArrow(lambda rows: _pack(rows, capacity, open_bins, look_ahead), schema)
 
 
 def pack_documents(
