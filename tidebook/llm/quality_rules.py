@@ -18,6 +18,9 @@ MEAN_WORD_CHARS = (2, 20)
 #: A host is poor if its shrunk failure rate is at least this, and at least so many times the corpus's.
 POOR_RATE = 0.15
 POOR_TIMES = 2.0
+#: A document's miss is how many times a softer rule's limit it reaches; a host's odds of failure times the miss to
+#: this power are the document's odds, and at 1 the host is poor for it. A rule set on its limit says nothing by itself.
+MISS_POWER = 2
 #: Copies of a host's verdict, so that a host with a third of all documents is joined in so many tasks.
 SALTS = 32
 
@@ -73,9 +76,14 @@ def document_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def with_rules(measures: DataFrame) -> DataFrame:
-    """Adds base_failed (the document's own rules) and soft_failed (the softer rules)."""
+    """Adds base_failed (the document's own rules), soft_failed (the softer rules) and miss (how far beyond the worst of these, 1 at most if none)."""
     n = F.col("n_words")
     mean = F.col("word_chars") / F.greatest(n, F.lit(1))
+    miss = F.greatest(
+        F.col("n_symbols") / (MAX_SYMBOLS_PER_WORD * F.greatest(n, F.lit(1))),
+        F.col("n_dup_lines") / (MAX_DUP_LINES * F.greatest(F.col("n_lines"), F.lit(1))),
+        F.lit(MEAN_WORD_CHARS[0]) / F.greatest(mean, F.lit(0.01)), mean / F.lit(MEAN_WORD_CHARS[1]),
+    )
     return measures.withColumn(
         "base_failed", (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > int(100 * MAX_REPEAT) * n)
     ).withColumn(
@@ -83,7 +91,7 @@ def with_rules(measures: DataFrame) -> DataFrame:
         (F.col("n_symbols") > MAX_SYMBOLS_PER_WORD * n)
         | (F.col("n_dup_lines") > MAX_DUP_LINES * F.col("n_lines"))
         | (mean < MEAN_WORD_CHARS[0]) | (mean > MEAN_WORD_CHARS[1]),
-    )
+    ).withColumn("miss", F.when(F.col("soft_failed"), F.greatest(miss, F.lit(1.0))).otherwise(F.lit(1.0)))
 
 
 def host_verdicts(ruled: DataFrame) -> DataFrame:
@@ -122,6 +130,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of these and of softer rules (symbols, repeated lines, word length) are counted
     by host, rates are shrunk by an empirical beta prior, and the verdicts are
     joined back: on a poor host a document that fails a softer rule goes as well.
+    A host is poor for all its documents if its rate is high beside the corpus's, and for a
+    document if the rate's odds times the document's miss to the power MISS_POWER reach 1: the farther
+    beyond a softer rule, the less its host must have failed. So junk that is spread evenly over hosts goes too.
     A document that fails no rule is kept on any host.
 
     Returns doc_id, host, text_key (of id and text), the measures, base_failed, soft_failed, host_poor, kept; a
@@ -131,11 +142,13 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     ruled = materialize(with_rules(document_measures(docs, id_col, text_col, host_col)), "quality-measures")
     verdicts = host_verdicts(ruled).select(
-        F.col("host").alias("h"), "poor", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s")
+        F.col("host").alias("h"), "poor", "rate", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s")
     )
     salted = ruled.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     joined = salted.join(verdicts, F.col("host").eqNullSafe(F.col("h")) & (F.col("salt") == F.col("s")))
-    return joined.select(
+    # odds rate / (1 - rate), without a division by 0
+    poor = F.col("poor") | (F.col("rate") * F.pow("miss", F.lit(MISS_POWER)) >= 1 - F.col("rate"))
+    return joined.withColumn("poor", poor).select(
         "doc_id", "host", "text_key", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
         "base_failed", "soft_failed", F.col("poor").alias("host_poor"),
         (~F.col("base_failed") & ~(F.col("poor") & F.col("soft_failed"))).alias("kept"),
