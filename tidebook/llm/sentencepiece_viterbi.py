@@ -1,6 +1,7 @@
-"""SentencePiece encoding by streaming Viterbi, and decoding.
+"""SentencePiece encoding, by streaming Viterbi for unigram models and by merges for BPE models, and decoding.
 
-The best segmentation of a text is the one whose pieces' scores have the largest sum.
+A BPE model's scores are the order of its merges: no sum of them says how a text is cut.
+In a unigram model, the best segmentation of a text is the one whose pieces' scores have the largest sum.
 It is found from left to right: each boundary keeps its best score and a pointer to the boundary
 before. Only the boundaries of the last ``longest`` characters can still be extended; once the
 pointers of all of these lead back to one boundary, all before it is settled and is given out.
@@ -9,6 +10,7 @@ pointers of all of these lead back to one boundary, all before it is settled and
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -41,6 +43,7 @@ class Vocabulary:
         if rules.precompiled_charsmap or rules.remove_extra_whitespaces or not rules.escape_whitespaces:
             raise ValueError("only models that leave texts as they are, but for spaces, are supported")
         self.prefix = rules.add_dummy_prefix
+        self.merges = model.trainer_spec.model_type == model.trainer_spec.BPE
         kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
         self.score: dict[str, float] = {}
         self.id: dict[str, int] = {}
@@ -57,6 +60,8 @@ class Vocabulary:
             elif p.type == kinds.CONTROL:
                 raw = b""
             else:
+                if self.merges and p.type != kinds.NORMAL:
+                    raise ValueError("BPE models with pieces of a user's own or unused ones aren't supported")
                 self.score[p.piece], self.id[p.piece] = p.score, k
             self.raw.append(raw)
         self.longest = max(map(len, self.score))
@@ -192,7 +197,7 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) + len(self.spaced) > KNOWN_STRETCHES:
             self.known, self.spaced = {}, {}
-        split = [[line.split(" ") for line in x.split("\n")] if self.by_words and x and x[0] != " " and "  " not in x else None for x in texts]
+        split = [[line.split(" ") for line in x.split("\n")] if self.by_words and x and x[0] != " " and "  " not in x and SPACE not in x else None for x in texts]
         self.learn(self.known, {line[0] for x in split if x for line in x[1:]}.difference(self.known), "")
         self.learn(self.spaced, set().union(*(line[1:] for x in split if x for line in x), (x[0][0] for x in split if x)).difference(self.spaced), SPACE)
         out, get, known, spaced = [], self.spaced.__getitem__, self.known, self.spaced
@@ -206,11 +211,48 @@ class Encoder:
         return out
 
 
+def merged(text: str, scores: dict[str, float]) -> list[str]:
+    """Pieces by merges: again and again the pair of neighbours whose piece has the best score, of equals the first one."""
+    pieces: list[str | None] = list(text)
+    n = len(pieces)
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    heap = [(-scores[p], k, k + 1, p) for k in range(n - 1) if (p := text[k : k + 2]) in scores]
+    heapq.heapify(heap)
+    while heap:
+        _, a, b, piece = heapq.heappop(heap)
+        x, y = pieces[a], pieces[b]
+        if x is None or y is None or after[a] != b or len(x) + len(y) != len(piece):
+            continue  # one of the pair has been merged since
+        pieces[a], pieces[b] = piece, None
+        after[a] = c = after[b]
+        if c < n:
+            before[c] = a
+            if (p := piece + pieces[c]) in scores:
+                heapq.heappush(heap, (-scores[p], a, c, p))
+        if (c := before[a]) >= 0 and (p := pieces[c] + piece) in scores:
+            heapq.heappush(heap, (-scores[p], c, a, p))
+    return [p for p in pieces if p is not None]
+
+
+class MergeEncoder(Encoder):
+    """Ids as a BPE model gives them. No merge crosses the boundaries between stretches, since no piece does."""
+
+    def ids(self, stretch: str) -> bytes:
+        return np.array([i for p in merged(stretch, self.v.score) for i in self.v.ids_of(p)], "<i4").tobytes()
+
+
 @functools.lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
+    """By Viterbi, whatever the model's type."""
     return Encoder(path)
 
 
+@functools.lru_cache(maxsize=4)
+def model_encoder(path: str) -> Encoder:
+    """By the method of the model's type."""
+    return MergeEncoder(path) if vocabulary(path).merges else encoder(path)
+
+
 @functools.lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -223,7 +265,7 @@ def decode_ids(v: Vocabulary, ids: np.ndarray) -> str:
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """The column "text" becomes "ids"; it is the last."""
-    encode = encoder(path)
+    encode = model_encoder(path)
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             rows = batch.slice(at, 256)
@@ -246,11 +288,12 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
 def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """doc_id, the columns in ``keep``, and ids (array<int>) of every whole text.
 
-    The segmentation has the largest sum of the model's piece scores; among equals,
-    longer last pieces win. Spaces are written as the model does, with one before the text if
+    A BPE model's segmentation is made by its merges; a unigram model's has the largest sum of
+    piece scores, and among equals longer last pieces win. Spaces are written as the model does, with one before the text if
     the model says so. Characters that no piece has become the ids of their bytes. Null and
     empty texts have no ids; null ids, ties and repeated rows are kept; an empty table gives no
-    rows. A text is never cut: whatever its length, what is held beside it is a window.
+    rows. A text is never cut: what is held beside it is a window,
+    and for merges the longest stretch between boundaries that no piece crosses.
     """
     ship(docs.sparkSession)
     keep = keep or []
