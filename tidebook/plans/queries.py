@@ -217,14 +217,25 @@ def normalize_macro(spark, sf_dir):
     return normalize.macro(payloads, ["key"]).drop("pos")
 
 
-def normalize_news(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+#: Bytes of text in a payload of news, about.
+NEWS_BYTES = 4 << 20
+
+
+def news_payloads(docs: DataFrame) -> DataFrame:
+    """Payloads of each source's news, as many as keep one to about NEWS_BYTES of text."""
+    sizes = docs.groupBy("source").agg(F.ceil(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 100) / NEWS_BYTES).alias("chunks"))
+    sizes = sizes.select(F.col("source").alias("__source"), "chunks")
     item = F.struct(
         F.col("doc_id").alias("id"), (F.lit(1_700_000_000) + F.col("doc_id") * 3600).alias("datetime"), F.col("text").alias("headline"),
         F.col("lang").alias("category"), (F.col("doc_id") % 2 == 0).alias("image"),
     )
-    payloads = docs.groupBy(F.col("source").alias("key")).agg(F.to_json(F.collect_list(item)).alias("payload"))
-    return normalize.news(payloads, ["key"]).drop("pos")
+    dealt = docs.join(sizes, F.col("source").eqNullSafe(F.col("__source")))
+    chunk = F.pmod(F.xxhash64("doc_id", "text"), "chunks")
+    return dealt.groupBy(F.col("source").alias("key"), chunk.alias("chunk")).agg(F.to_json(F.collect_list(item)).alias("payload")).drop("chunk")
+
+
+def normalize_news(spark, sf_dir):
+    return normalize.news(news_payloads(table(spark, sf_dir, "documents")), ["key"]).drop("pos")
 
 
 #: Payloads that say something instead of rows.
