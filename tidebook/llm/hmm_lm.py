@@ -10,6 +10,7 @@ of bounded number, while counts of all words of the corpus take part.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,10 +27,10 @@ STATES = 8
 OWN_CLASSES = 8192
 ENDING_CLASSES = 4096
 ENDING_LETTERS = 3
-#: Rounds of Baum-Welch, tokens of a training segment, segments computed at once.
-ROUNDS = 4
+#: Rounds of Baum-Welch, tokens of a segment of a training document, documents computed at once.
+ROUNDS = 5
 SEGMENT = 64
-SEGMENTS_AT_ONCE = 1024
+DOCUMENTS_AT_ONCE = 1024
 #: A block of documents is closed at so many distinct words or bytes of text.
 BLOCK_WORDS = 1_000_000
 BLOCK_BYTES = 8 << 20
@@ -136,7 +137,17 @@ class Model:
 
 
 def expected_counts(model: Model, obs: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """One E-step over segments (rows of ``obs``, each of ``lengths`` classes): start, transition and emission counts, and log likelihood.
+    """One E-step over sequences (rows of ``obs``, each of ``lengths`` classes): start, transition and emission counts, and log likelihood."""
+    return carried_counts(model, obs, lengths, None, np.ones((len(model.start), len(obs))))[:4]
+
+
+def carried_counts(
+    model: Model, obs: np.ndarray, lengths: np.ndarray, before: np.ndarray | None, after: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, np.ndarray | None]:
+    """Counts over segments as in ``expected_counts``, and the scaled backward state at the end of the segments before.
+
+    ``before`` is the scaled forward state at the end of the segments before, None where documents
+    start; ``after`` is the scaled backward state at the segments' ends, ones where documents end.
 
     Arrays run over segments last, so that each step is a few operations on long rows.
     After a segment's end everything is emitted with certainty, which changes nothing.
@@ -154,19 +165,20 @@ def expected_counts(model: Model, obs: np.ndarray, lengths: np.ndarray) -> tuple
         np.take(model.emit, codes[t], axis=1, out=likely[t])
         if uneven:
             likely[t][:, ~inside[t]] = 1.0
-        now = (forwards @ alpha[t - 1] if t else model.start[:, None]) * likely[t]
+        now = (forwards @ alpha[t - 1] if t else model.start[:, None] if before is None else forwards @ before) * likely[t]
         now.sum(axis=0, out=scale[t])
         np.divide(now, scale[t], out=alpha[t])
     move = np.zeros((states, states))
-    beta = np.ones((states, n))
+    beta = after
     for t in range(width - 1, -1, -1):
-        if t:
+        carried = t or before is not None
+        if carried:
             ahead = likely[t]
             ahead *= beta
             ahead /= scale[t]
-            move += alpha[t - 1] @ (np.where(inside[t], ahead, 0.0) if uneven else ahead).T
+            move += (alpha[t - 1] if t else before) @ (np.where(inside[t], ahead, 0.0) if uneven else ahead).T
         alpha[t] *= beta
-        if t:
+        if carried:
             beta = backwards @ ahead
     move *= model.move
     if uneven:
@@ -175,17 +187,45 @@ def expected_counts(model: Model, obs: np.ndarray, lengths: np.ndarray) -> tuple
     else:
         flat = codes.ravel()
         emit = np.stack([np.bincount(flat, weights=alpha[:, s].ravel(), minlength=classes) for s in range(states)])
-    return alpha[0].sum(axis=1), move, emit, float(np.log(scale).sum())
+    start = alpha[0].sum(axis=1) if before is None else np.zeros(states)
+    return start, move, emit, float(np.log(scale).sum()), None if before is None else beta
+
+
+def forward_state(model: Model, obs: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+    """The scaled forward state at the end of full segments (rows of ``obs``)."""
+    codes, forwards, now = np.ascontiguousarray(obs.T), np.ascontiguousarray(model.move.T), before
+    for row in codes:
+        now = (model.start[:, None] if now is None else forwards @ now) * model.emit.take(row, axis=1)
+        now /= now.sum(axis=0)
+    return now
 
 
-def segments(lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and length of the segments of at most ``width`` tokens into which documents are cut."""
-    ends = np.cumsum(lengths)
-    per = -(-lengths // width)
-    total = int(per.sum())
-    inner = np.arange(total) - np.repeat(np.cumsum(per) - per, per)
-    starts = np.repeat(ends - lengths, per) + inner * width
-    return starts, np.minimum(width, np.repeat(ends, per) - starts)
+def document_counts(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Counts and log likelihood of whole documents, which lie in ``obs``, the longest first.
+
+    They are computed segment by segment, and states are carried over the cuts: forward states at
+    the cuts first, then from the last segment to the first what lies between.
+    """
+    padded = np.concatenate([obs, np.zeros(SEGMENT, obs.dtype)])
+    parts = -(-lengths // SEGMENT)
+    here = [int((parts > k).sum()) for k in range(int(parts[0]))]  # documents that have a segment k
+
+    def rows(k: int, n: int) -> np.ndarray:
+        return padded[starts[:n, None] + k * SEGMENT + np.arange(SEGMENT)].astype("int64")
+
+    before: list[np.ndarray | None] = [None]
+    for k, n in enumerate(here[1:]):
+        last = before[-1]
+        before.append(forward_state(model, rows(k, n), None if last is None else last[:, :n]))
+    states, classes = model.emit.shape
+    start, move, emit, ll, beta = np.zeros(states), np.zeros((states, states)), np.zeros((states, classes)), 0.0, np.ones((states, 0))
+    for k in range(len(here) - 1, -1, -1):
+        n = here[k]
+        after = np.ones((states, n))
+        after[:, : beta.shape[1]] = beta
+        a, b, c, d, beta = carried_counts(model, rows(k, n), np.minimum(SEGMENT, lengths[:n] - k * SEGMENT), before[k], after)
+        start, move, emit, ll = start + a, move + b, emit + c, ll + d
+    return start, move, emit, ll
 
 
 def _e_step(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -195,15 +235,11 @@ def _e_step(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
         for row, (held, lengths, codes) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("held", "lengths", "codes")))):
             obs = batch.column("kinds")[row].values.to_numpy()[code_array(codes)]
             lengths, trains = np.array(lengths), ~np.array(held)
-            starts, sizes = segments(lengths, SEGMENT)
-            wanted = np.repeat(trains, -(-lengths // SEGMENT))
-            starts, sizes = starts[wanted], sizes[wanted]
-            order = np.argsort(-sizes, kind="stable")  # full segments first: they need no masks
+            starts, sizes = (np.cumsum(lengths) - lengths)[trains], lengths[trains]
+            order = np.argsort(-sizes, kind="stable")
             starts, sizes = starts[order], sizes[order]
-            padded = np.concatenate([obs, np.zeros(SEGMENT, "int32")])
-            for at in range(0, len(starts), SEGMENTS_AT_ONCE):
-                rows = padded[starts[at : at + SEGMENTS_AT_ONCE, None] + np.arange(SEGMENT)].astype("int64")
-                a, b, c, d = expected_counts(model, rows, sizes[at : at + SEGMENTS_AT_ONCE])
+            for at in range(0, len(starts), DOCUMENTS_AT_ONCE):
+                a, b, c, d = document_counts(model, obs, starts[at : at + DOCUMENTS_AT_ONCE], sizes[at : at + DOCUMENTS_AT_ONCE])
                 start, move, emit, ll = start + a, move + b, emit + c, ll + d
     # (kind, state, place, value), zeros left out
     parts = [(0, start[None, :]), (1, move), (2, emit), (3, np.array([[ll]]))]
@@ -338,7 +374,8 @@ def score_documents(
     coded = blocks.select("block", "doc_ids", "held", "lengths", "codes").join(places, "block")
     coded = materialize(coded.select("doc_ids", "held", "lengths", "codes", "counts", "kinds"), "hmm-coded")
 
-    model, _ = train(coded, class_tokens, states, rounds)
+    model, likelihoods = train(coded, class_tokens, states, rounds)
+    logging.getLogger(__name__).info("log likelihood before each round: %s", likelihoods)
     first_ending = 1 + len(own)
     kinds = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     scored = coded.mapInArrow(lambda b: _score(b, model, shares, first_ending), kinds)
