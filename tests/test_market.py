@@ -214,12 +214,16 @@ def test_lines_and_providers(spark, tmp_path):
 
 
 def test_sliding_window():
+    rest.SlidingWindow(0, clock=lambda: 1 / 0).wait()
+    early, naps = iter([0.0, 1.0, 30.0, 59.0, 60.5]), []
+    w = rest.SlidingWindow(1, clock=lambda: next(early), sleep=naps.append)
+    w.wait(), w.wait()
+    assert naps == [59.0, 30.0, 1.0] and w.calls == [60.5]  # a sleep that was too short is followed by another
     times, slept = iter([0.0, 1.0, 2.0, 61.0]), []
     w = rest.SlidingWindow(2, clock=lambda: next(times), sleep=slept.append)
     for _ in range(3):
         w.wait()
     assert slept == [58.0] and w.calls == [61.0]
-    rest.SlidingWindow(0, clock=lambda: 1 / 0).wait()
 
 
 def test_retries():
@@ -248,7 +252,7 @@ def test_source_archive_and_store(spark, tmp_path):
     rest.register(spark)
     read = spark.read.format("rest_payloads").option("provider", "primary").option("kind", "bar_list").option("folder", f"file://{folder}").option("symbols", json.dumps(["A", "B/C", "missing"])).load()
     got = {r.key: r for r in read.collect()}
-    assert got["missing"].payload is None and "FileNotFoundError" in got["missing"].error and got["A"].error is None
+    assert got["missing"].payload is None and "No such file" in got["missing"].error and got["A"].error is None
     store = Store(spark, str(tmp_path / "store"))
     assert store.table("ohlcv").count() == 0 and store.log().count() == 0 and store.bronze().count() == 0
     store.archive(read.select("provider", "key", F.current_timestamp().alias("fetched_at"), "payload", F.lit(1).cast("long").alias("seq")))
@@ -257,7 +261,7 @@ def test_source_archive_and_store(spark, tmp_path):
         store.upsert("ohlcv", rows, stamp, ["seq", "date", "pos"])
         assert [tuple(r) for r in store.table("ohlcv").collect()] == [("A", "2026-05-13", "10.00", "11.00", "9.50", "10.50", "12345", stamp)]
     assert [tuple(r) for r in store.history("A").collect()] == [("2026-05-13", "10.00", "11.00", "9.50", "10.50", "12345")]
-    store.replace("indicators", indicators.indicator_rows(store.table("ohlcv")).withColumn("updated_at", F.lit("u")))
+    store.upsert("indicators", indicators.indicator_rows(store.table("ohlcv")), "u", ["date"])
     r = store.table("indicators").first()
     assert (r.close, r.sma_20, r.macd_hist) == ("10.50", "", "")
     assert files(spark, str(folder)).count() == 2
@@ -296,3 +300,55 @@ def test_stream(spark, tmp_path):
 
 def test_schemas():
     assert schemas.columns("news")[:2] == ["symbol", "id"] and schemas.columns("news")[-1] == "updated_at"
+
+
+def test_upsert_touches_its_buckets_alone(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), buckets=8)
+    rows = [(f"S{k}", "2024-01-01", str(k)) for k in range(40)]
+    store.upsert("ohlcv", spark.createDataFrame(rows, "symbol string, date string, close string"), "one", ["date"])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "store/ohlcv").rglob("*.parquet")}
+    assert len({p.parent for p in before}) == 8
+    store.upsert("ohlcv", spark.createDataFrame([("S3", "2024-01-01", "x"), ("S3", "", "y")], "symbol string, date string, close string"), "two", ["date"])
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "store/ohlcv").rglob("*.parquet")}
+    assert len({p.parent for p in before.items() ^ after.items() for p in [p[0]]}) == 1
+    found = {r.symbol: (r.close, r.updated_at) for r in store.table("ohlcv").collect()}
+    assert found == {s: ("x", "two") if s == "S3" else (c, "one") for s, _, c in rows}
+    assert [r.close for r in store.history("S7").collect()] == ["7"] and store.history("none").count() == 0
+
+
+def test_an_upsert_that_broke_off_is_made_good(spark, tmp_path, monkeypatch):
+    store, one = Store(spark, str(tmp_path / "store"), buckets=4), "symbol string, date string, close string"
+    store.upsert("ohlcv", spark.createDataFrame([("A", "d", "1")], one), "one", ["date"])
+    put = Store._put
+    monkeypatch.setattr(Store, "_put", lambda self, name: None)
+    store.upsert("ohlcv", spark.createDataFrame([("A", "d", "2")], one), "two", ["date"])  # staged, not put in its place
+    assert store.table("ohlcv").first().close == "1"
+    monkeypatch.setattr(Store, "_put", put)
+    store.upsert("ohlcv", spark.createDataFrame([("B", "d", "3")], one), "three", ["date"])
+    assert {r.symbol: r.close for r in store.table("ohlcv").collect()} == {"A": "2", "B": "3"}
+
+
+def test_members_are_judged_by_type(spark):
+    texts = [("0", "0"), ("None", "None"), ("False", "False"), ("", None), (0, None), (False, None), (None, None), ([], None), ({}, None), ([1], "[1]"), (7, "7"), (0.0, None), (True, "True")]
+    got = [r.error for r in normalize.payload_errors(payloads(spark, *({"message": m} for m, _ in texts)), "bar_list", ["seq"]).orderBy("seq").collect()]
+    assert got == [want or "missing values" for _, want in texts]
+
+
+def test_of_repeated_names_the_last_counts(spark):
+    r = normalize.bar_list(payloads(spark, '{"values":[],"values":[{"datetime":"d","open":"1","open":"2"}]}'), ["key"]).first()
+    assert (r.date, r.open) == ("d", "2")
+
+
+def test_archive_names(spark):
+    df = spark.createDataFrame([("BRK/B", "2024-01-02T03:04:05Z")], "s string, t string")
+    assert df.select(casts.archive_name(F.col("s"), F.col("t"))).first()[0] == "BRK_B_20240102T030405Z.json"
+
+
+def test_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    from types import SimpleNamespace
+
+    from tidebook.sources import scratch
+
+    monkeypatch.setattr(scratch, "is_local", lambda s: False)
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        scratch.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default)))

@@ -1,25 +1,49 @@
-"""The rest works where the corpus operators and the pipeline are not there."""
+"""The rest works where the corpus operators and their tests are not there, with the pipeline's file or without."""
 
 import shutil
 import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 REPO = Path(__file__).resolve().parents[1]
+SAY = "import __spark_entry__ as e; q = e.queries(); print(len(q), 'pipeline' in q, set(e.oracle_sql()) <= set(q))"
+ENV = {"PATH": "/usr/bin:/bin", "PYTHONPATH": ""}
+
+
+@pytest.fixture
+def copy(tmp_path):
+    """All of the repository but the two folders."""
+    left_out = shutil.ignore_patterns("llm", "__pycache__", ".git", ".pytest_cache", "spark-warehouse", "artifacts")
+    shutil.copytree(REPO, tmp_path / "copy", ignore=left_out)
+    assert not list((tmp_path / "copy").rglob("llm"))
+    return tmp_path / "copy"
+
 
+def python(copy, *args):
+    return subprocess.run([sys.executable, *args], cwd=copy, capture_output=True, text=True, env=ENV, timeout=900)
 
-def test_entry_without_llm(tmp_path):
-    shutil.copytree(REPO / "tidebook", tmp_path / "tidebook", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(REPO / "__spark_entry__.py", tmp_path)
-    said = subprocess.run(
-        [sys.executable, "-c", "import __spark_entry__ as e; q = e.queries(); print(len(q), 'pipeline' in q, set(e.oracle_sql()) <= set(q))"],
-        cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""},
-    )
+
+@pytest.mark.parametrize("pipeline_too", [False, True])
+def test_entry_without_llm(copy, pipeline_too):
+    if (copy / "corpus_pipeline.py").exists() and not pipeline_too:
+        (copy / "corpus_pipeline.py").unlink()
+    said = python(copy, "-c", SAY)
     assert said.returncode == 0, said.stderr
     n, pipeline, sql = said.stdout.split()
     assert int(n) > 30 and (pipeline, sql) == ("False", "True")
 
 
+def test_the_other_tests_without_llm(copy):
+    """All of them are collected there; those of the operators, sources and runs, and some of the queries, are run."""
+    (copy / "corpus_pipeline.py").unlink(missing_ok=True)
+    assert python(copy, "-m", "pytest", "tests", "--collect-only", "-q").returncode == 0
+    others = [p.name for p in (copy / "tests").glob("test_*.py") if p.name not in ("test_without_llm.py", "test_queries.py")]
+    said = python(copy, "-m", "pytest", "-x", "-q", "-p", "no:cacheprovider", *(f"tests/{n}" for n in others), "tests/test_queries.py::test_entry", "tests/test_queries.py::test_all_have_sql")
+    assert said.returncode == 0, said.stdout[-3000:]
+
+
 def test_nothing_imports_llm():
     for path in (REPO / "tidebook").rglob("*.py"):
         if "llm" not in path.relative_to(REPO).parts:

@@ -41,13 +41,9 @@ def normal_symbol(text: Column) -> Column:
     return F.upper(strip(text))
 
 
-def file_name_part(symbol: Column) -> Column:
-    """A symbol as part of a file's name."""
-    return F.replace(symbol, F.lit("/"), F.lit("_"))
-
-
-def compact_stamp(iso: Column) -> Column:
-    return F.translate(iso, ":-", "")
+def archive_name(symbol: Column, iso: Column) -> Column:
+    """The name of a payload's own file: the symbol with / as _, and the time without its marks."""
+    return F.concat(F.replace(symbol, F.lit("/"), F.lit("_")), F.lit("_"), F.translate(iso, ":-", ""), F.lit(".json"))
 
 
 def iso_z(at: Column) -> Column:
@@ -61,11 +57,6 @@ def epoch_iso(text: Column) -> Column:
     return F.coalesce(iso_z(F.timestamp_seconds(whole)), F.lit(""))
 
 
-def first_said(*texts: Column) -> Column:
-    """The first text that isn't empty."""
-    return F.coalesce(*[F.nullif(t, F.lit("")) for t in texts])
-
-
 # --- fields of JSON objects -----------------------------------------------------
 
 
@@ -113,6 +104,11 @@ def float_text(plain: Column) -> Column:
 
 
 def said(item: Column, name: str) -> Column:
-    """A member for an error's text: null if it is missing or says nothing (empty, null, false, 0)."""
-    text = py_text(item, name)
-    return F.when(~text.isin("", "None", "False", "0", "0.0"), text)
+    """A member for an error's text: null if it is missing or says nothing (an empty text, list or object, null, false, 0).
+
+    What it says is judged by its type: the texts "0" and "None" say something.
+    """
+    text, member = py_text(item, name), field(item, name)
+    a_text = F.schema_of_variant(member) == "STRING"
+    nothing = text.isin("", "None", "False", "0", "0.0", "-0.0", "[]", "{}")
+    return F.when(F.when(a_text, text != "").otherwise(~nothing), text)

@@ -43,8 +43,15 @@ FETCH_LOG = T.StructType([
     T.StructField("status", T.StringType(), False), T.StructField("rows", T.LongType()), T.StructField("error", T.StringType()),
     T.StructField("at", T.TimestampType(), False), T.StructField("seq", T.LongType(), False),
 ])
-#: Payloads as they came, kept before anything is made of them.
+#: Payloads as they came, with the days asked for where the request had any, kept before anything is made of them; or why none came.
 BRONZE = T.StructType([
     T.StructField("provider", T.StringType(), False), T.StructField("key", T.StringType(), False), T.StructField("fetched_at", T.TimestampType(), False),
-    T.StructField("payload", T.StringType()), T.StructField("seq", T.LongType(), False),
+    T.StructField("payload", T.StringType()), T.StructField("asked_from", T.StringType()), T.StructField("asked_to", T.StringType()), T.StructField("error", T.StringType()),
+    T.StructField("seq", T.LongType(), False),
+])
+#: A run as it ended.
+RUNS = T.StructType([
+    T.StructField("seq", T.LongType(), False), T.StructField("provider", T.StringType(), False), T.StructField("kind", T.StringType(), False),
+    T.StructField("status", T.StringType(), False), T.StructField("force", T.BooleanType(), False), T.StructField("started_at", T.StringType()), T.StructField("finished_at", T.StringType()),
+    T.StructField("processed", T.LongType()), T.StructField("failed", T.LongType()), T.StructField("skipped_rate_limit", T.LongType()), T.StructField("total_remaining_start", T.LongType()),
 ])

@@ -3,16 +3,35 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+PACKAGE = Path(__file__).resolve().parents[1]
+_shipped: set[str] = set()
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
 
 def ship(spark: SparkSession | None = None) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package: from where the driver has it if they share a machine, else as an archive that Spark hands out."""
     spark = spark or SparkSession.active()
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    known = env.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in known:
-        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    context = spark.sparkContext
+    if is_local(spark):
+        root, env = str(PACKAGE.parent), context.environment
+        known = env.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in known:
+            env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    elif context.applicationId not in _shipped:
+        path = Path(tempfile.mkdtemp(prefix="tidebook-"), "tidebook.zip")
+        with zipfile.ZipFile(path, "w") as archive:
+            for file in sorted(PACKAGE.rglob("*.py")):
+                archive.write(file, file.relative_to(PACKAGE.parent))
+        context.addPyFile(str(path))
+        _shipped.add(context.applicationId)

@@ -22,6 +22,14 @@ READABLE_BYTES = 16 << 20
 TOO_LARGE = "not JSON, or too large to be read"
 
 
+#: Spark's setting by which, of members of one name in an object, the last counts instead of none of the payload.
+LAST_OF_A_NAME = "spark.sql.variant.allowDuplicateKeys"
+
+
+def _allow_repeated_names(payloads: DataFrame) -> None:
+    payloads.sparkSession.conf.set(LAST_OF_A_NAME, "true")
+
+
 def _json(payload: Column) -> Column:
     json = F.try_parse_json(payload)
     lost = json.isNull() & (F.octet_length(payload) > READABLE_BYTES)
@@ -30,6 +38,7 @@ def _json(payload: Column) -> Column:
 
 def _items(payloads: DataFrame, keep: list[str], items: Column) -> DataFrame:
     """(keep, pos, item) of the objects in a list of variants."""
+    _allow_repeated_names(payloads)
     rows = payloads.select(*keep, _json(F.col("payload")).alias("__json"))
     rows = rows.select(*keep, F.posexplode(items).alias("pos", "item"))
     return rows.where(casts.is_object(F.col("item")))
@@ -49,6 +58,7 @@ def bar_list(payloads: DataFrame, keep: list[str]) -> DataFrame:
 
 def bar_map(payloads: DataFrame, keep: list[str]) -> DataFrame:
     """Price bars from an object keyed by date, where the payload says nothing else."""
+    _allow_repeated_names(payloads)
     rows = payloads.select(*keep, _json(F.col("payload")).alias("__json")).where(bar_map_error(F.col("__json")).isNull())
     series = F.try_variant_get("__json", f"$['{SERIES}']", "map<string,variant>")
     rows = rows.select(*keep, F.posexplode(series).alias("pos", "date", "item")).where(casts.is_object(F.col("item")))
@@ -75,12 +85,25 @@ def news(payloads: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select(*keep, "pos", casts.py_text(F.col("item"), "id").alias("id"), iso.alias("datetime"), F.substring(iso, 1, 10).alias("date"), *texts)
 
 
+def listed(payloads: DataFrame, keep: list[str]) -> DataFrame:
+    """The normalized symbols of exchange listings, item by item."""
+    _allow_repeated_names(payloads)
+    rows = payloads.select(*keep, _json(F.col("payload")).alias("__json")).where(listing_error(F.col("__json")).isNull())
+    rows = rows.select(*keep, F.posexplode(_list("$.data")).alias("pos", "item")).where(casts.is_object(F.col("item")))
+    symbol = casts.normal_symbol(casts.said(F.col("item"), "symbol"))
+    return rows.select(*keep, "pos", symbol.alias("symbol")).where("symbol <> ''")
+
+
 def listing(payloads: DataFrame) -> DataFrame:
     """The distinct normalized symbols of exchange listings, in order."""
-    rows = payloads.select(_json(F.col("payload")).alias("__json")).where(listing_error(F.col("__json")).isNull())
-    rows = rows.select(F.explode(_list("$.data")).alias("item")).where(casts.is_object(F.col("item")))
-    symbol = casts.normal_symbol(casts.said(F.col("item"), "symbol"))
-    return rows.select(symbol.alias("symbol")).where("symbol <> ''").distinct().orderBy("symbol")
+    return listed(payloads, []).select("symbol").distinct().orderBy("symbol")
+
+
+def news_envelopes(bronze: DataFrame) -> DataFrame:
+    """key, seq and envelope: archived news with the symbol and the days that were asked for, as one JSON object."""
+    _allow_repeated_names(bronze)
+    items = F.struct(F.col("key").alias("symbol"), F.col("asked_from").alias("from"), F.col("asked_to").alias("to"), _json(F.col("payload")).alias("items"))
+    return bronze.select("key", "seq", F.to_json(items).alias("envelope"))
 
 
 # --- errors ---------------------------------------------------------------------
@@ -118,6 +141,7 @@ ERRORS = {"bar_list": bar_list_error, "bar_map": bar_map_error, "macro": macro_e
 
 def payload_errors(payloads: DataFrame, kind: str, keep: list[str]) -> DataFrame:
     """(keep, error, rate_limited) of every payload: what it says instead of rows, null if nothing."""
+    _allow_repeated_names(payloads)
     large = F.coalesce(F.octet_length("payload") > READABLE_BYTES, F.lit(False))
     rows = payloads.select(*keep, large.alias("__large"), F.try_parse_json(F.col("payload")).alias("__json"))
     error = F.when(F.col("__json").isNull(), F.when(F.col("__large"), F.lit(TOO_LARGE)).otherwise(F.lit("not JSON"))).otherwise(ERRORS[kind](F.col("__json")))
@@ -125,7 +149,7 @@ def payload_errors(payloads: DataFrame, kind: str, keep: list[str]) -> DataFrame
     return rows.withColumn("rate_limited", F.coalesce(F.lower("error").contains("rate limit"), F.lit(False)))
 
 
-ROWS = {"bar_list": bar_list, "bar_map": bar_map, "macro": macro, "news": news}
+ROWS = {"bar_list": bar_list, "bar_map": bar_map, "macro": macro, "news": news, "listing": listed}
 
 
 def collect_results(payloads: DataFrame, kind: str, keep: list[str]) -> DataFrame:

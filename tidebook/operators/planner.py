@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebook.operators.upsert import last_wins
-
 #: Statuses by what is collected first; those not listed here, such as done and dry_run, come last.
 PRIORITY = {"failed": 0, None: 1, "skipped_rate_limit": 2}
 LAST_PRIORITY = 3
@@ -14,9 +12,9 @@ LAST_PRIORITY = 3
 
 def latest_status(log: DataFrame) -> DataFrame:
     """provider, symbol, status, updated_at, rows, error and last_success_at of the latest event, per provider and symbol."""
-    latest = last_wins(log.select("provider", "symbol", "status", F.col("at").alias("updated_at"), "rows", "error", "seq"), ["provider", "symbol"], ["updated_at", "seq"])
-    good = log.where("status = 'done'").groupBy("provider", "symbol").agg(F.max("at").alias("last_success_at"))
-    return latest.drop("seq").join(good, ["provider", "symbol"], "left")
+    last = F.max_by(F.struct("status", "at", "rows", "error"), F.struct("at", "seq")).alias("last")
+    found = log.groupBy("provider", "symbol").agg(last, F.max(F.when(F.col("status") == "done", F.col("at"))).alias("last_success_at"))
+    return found.select("provider", "symbol", "last.status", F.col("last.at").alias("updated_at"), "last.rows", "last.error", "last_success_at")
 
 
 def priority(status: Column) -> Column:

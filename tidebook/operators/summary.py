@@ -16,7 +16,7 @@ def last_run(runs: DataFrame, order: list[str]) -> DataFrame:
 def daily(tables: dict[str, DataFrame], bronze: DataFrame, runs: DataFrame, order: list[str], today: str) -> DataFrame:
     """One row: date, raw_count, counts of the tables, run_count and the last run."""
     counts = validate.table_counts(tables).groupBy().pivot("table", sorted(tables)).agg(F.first("rows"))
-    raw = bronze.agg(F.count(F.lit(1)).alias("raw_count"))
+    raw = bronze.agg((F.count("payload") if "payload" in bronze.columns else F.count(F.lit(1))).alias("raw_count"))
     return raw.crossJoin(counts).crossJoin(last_run(runs, order)).select(F.lit(today).alias("date"), "*")
 
 

@@ -25,9 +25,16 @@ def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[
     Incoming rows whose last key column (date or id) is empty are dropped. Within ``incoming`` the last row by
     ``order`` wins; any incoming row wins over a stored one.
     """
-    new = incoming.where(F.coalesce(F.col(keys[-1]), F.lit("")) != "")
-    new = last_wins(new, keys, order).select(*stored.columns)
-    return stored.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    others = [c for c in stored.columns if c not in keys]
+    row = F.struct(*others).alias("__row")
+    kinds = {f.name: f.dataType.simpleString() for f in incoming.schema.fields}
+    # all in one shuffle: a stored row comes before any incoming one
+    none = [F.lit(None).cast(kinds[c]).alias(f"__{k}") for k, c in enumerate(order)]
+    old = stored.select(*keys, row, F.struct(F.lit(0).alias("__new"), *none).alias("__at"))
+    given = [F.col(c).alias(f"__{k}") for k, c in enumerate(order)]
+    new = incoming.where(F.coalesce(F.col(keys[-1]), F.lit("")) != "").select(*keys, row, F.struct(F.lit(1).alias("__new"), *given).alias("__at"))
+    last = old.unionByName(new).groupBy(*keys).agg(F.max_by("__row", "__at").alias("__row"))
+    return last.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in stored.columns])
 
 
 def upsert_table(table: str, stored: DataFrame, incoming: DataFrame, now: str, order: list[str]) -> DataFrame:

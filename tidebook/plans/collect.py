@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions import schemas
-from tidebook.operators import indicators, normalize, planner, summary, validate
-from tidebook.sources import rest
+from tidebook.operators import indicators, listing, normalize, planner, summary, validate
+from tidebook.sources import config, rest
 from tidebook.sources.config import Provider
 from tidebook.sources.store import Store
-from tidebook.streaming.ingest import TARGETS
+from tidebook.streaming.ingest import TARGETS, upsert_batch
+
+#: Symbols whose payloads, rows and statuses are written together: what a run that breaks off has to do again.
+SYMBOLS_AT_ONCE = 50
+#: A run without any call left for it, and one that went through.
+EXHAUSTED, FINISHED = "all_keys_exhausted", "finished"
 
 
 @dataclass(frozen=True)
@@ -24,10 +29,12 @@ class Run:
     kind: str
     today: str
     now: str
-    options: dict[str, str]
+    options: dict[str, str] = field(default_factory=dict)
     keys_set: tuple[bool, ...] = (True,)
     max_symbols: int | None = None
     force: bool = False
+    transports: dict[str, rest.Transport] = field(default_factory=dict)
+    symbols_at_once: int = SYMBOLS_AT_ONCE
 
 
 def budget(spark: SparkSession, store: Store, run: Run) -> DataFrame:
@@ -50,53 +57,109 @@ def plan(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) -> Dat
         ends.append((r.key_index, total))
     limit = run.provider.max_symbols_per_run if run.max_symbols is None else run.max_symbols
     chosen = planner.pending(symbols, planner.latest_status(store.log()), run.provider.name, run.today, min(limit, total + 1), run.force)
-    chosen = chosen.withColumn("n", F.row_number().over(_in_turn()))
+    chosen = chosen.withColumn("n", F.row_number().over(Window.orderBy("priority", "line")))  # over a run's symbols, limited before
     key = F.lit(None).cast("int")
     for index, end in reversed(ends):
         key = F.when(F.col("n") <= end, F.lit(index)).otherwise(key)
     return chosen.withColumn("key_index", key).drop("n")
 
 
-def _in_turn():
-    from pyspark.sql import Window
+def days(run: Run) -> tuple[str | None, str | None]:
+    """The first and last day to ask for; only news are asked for by day."""
+    if run.kind != "news":
+        return None, None
+    return planner.date_range(run.today, run.options.get("from"), run.options.get("to"))
+
 
-    return Window.orderBy("priority", "line")  # over a run's symbols, limited before
+def payloads(spark: SparkSession, run: Run, symbols: list[str], key_index: int | None = None) -> DataFrame:
+    """provider, key, payload, error of these symbols, by the run's transport and within its provider's rate."""
+    p, (first, last) = run.provider, days(run)
+    envs = p.key_envs()
+    options = {
+        "provider": p.name, "kind": run.kind, "symbols": json.dumps(symbols), "perMinute": p.per_minute_limit, "base": p.base_url, "interval": p.interval, "outputsize": p.outputsize,
+        "keyEnv": envs[key_index] if key_index is not None and key_index < len(envs) else p.api_key_env,
+    } | ({"from": first, "to": last} if first else {}) | run.options
+    rest.register(spark, **run.transports)
+    return spark.read.format("rest_payloads").options(**options).load()
 
 
 def collect(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) -> DataFrame:
     """Collect the plan's symbols and return their results: symbol, status, rows, error.
 
-    Payloads are archived before anything is made of them, so that bad ones are kept
-    too. A symbol that fails is a row of its own and holds up no other.
+    Payloads are archived before anything is made of them, so that bad ones are kept too. A symbol that fails
+    is a row of its own and holds up no other. Symbols are taken ``symbols_at_once`` at a time,
+    and what became of them is recorded before the next ones: a run that breaks off loses those at most, and the next
+    one goes on from there. The run itself is recorded at its end.
+    """
+    planned = plan(spark, store, symbols, run).orderBy("priority", "line").collect()  # a run's symbols, limited by its budget
+    slots = budget(spark, store, run).agg(F.sum(F.when(F.col("has_key"), F.col("remaining")).otherwise(0)).alias("n"), F.max("allowed").alias("any")).first()
+    seq = max(t.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] for t in (store.log(), store.runs())) + 1
+    left = planned
+    while left:
+        key = left[0].key_index
+        some = [r for r in left[: run.symbols_at_once] if r.key_index == key]
+        left = left[len(some) :]
+        if key is None:
+            rows = [(r.symbol, "skipped_rate_limit", 0, EXHAUSTED) for r in some]
+            results = spark.createDataFrame(rows, "symbol string, status string, rows bigint, error string")
+        else:
+            results = _collect_some(spark, store, run, seq, [r.symbol for r in some], key)
+        store.record(results.select(
+            F.lit(run.provider.name).alias("provider"), F.lit(key).cast("int").alias("key_index"), "symbol", "status", "rows", "error",
+            F.lit(run.now).cast("timestamp").alias("at"), F.lit(seq).cast("bigint").alias("seq"),
+        ))
+    mine = store.log().where(F.col("seq") == seq)
+    count = lambda *s: F.count_if(F.col("status").isin(*s))
+    store.record_run(mine.agg(count("done", "dry_run").alias("processed"), count("failed").alias("failed"), count("skipped_rate_limit").alias("skipped_rate_limit")).select(
+        F.lit(seq).cast("bigint").alias("seq"), F.lit(run.provider.name).alias("provider"), F.lit(run.kind).alias("kind"), F.lit(FINISHED if slots["any"] else EXHAUSTED).alias("status"),
+        F.lit(run.force).alias("force"), F.lit(run.now).alias("started_at"), F.lit(run.now).alias("finished_at"), "processed", "failed", "skipped_rate_limit",
+        F.lit(slots["n"]).cast("bigint").alias("total_remaining_start"),
+    ))
+    return mine.select("symbol", "status", "rows", "error")
+
+
+def _collect_some(spark: SparkSession, store: Store, run: Run, seq: int, symbols: list[str], key_index: int) -> DataFrame:
+    """Fetch, archive, normalize and upsert; symbol, status, rows, error of each."""
+    first, last = days(run)
+    fetched = payloads(spark, run, symbols, key_index)
+    store.archive(fetched.select(
+        "provider", "key", F.lit(run.now).cast("timestamp").alias("fetched_at"), "payload", F.lit(first).cast("string").alias("asked_from"), F.lit(last).cast("string").alias("asked_to"),
+        "error", F.lit(seq).cast("bigint").alias("seq"),
+    ))
+    # the folder of this run alone is read
+    kept = store.bronze().where((F.col("provider") == run.provider.name) & (F.col("seq") == seq) & F.col("key").isin(symbols))
+    if run.kind in TARGETS:
+        upsert_batch(store, run.kind, kept, run.now)
+    asked = spark.createDataFrame([(s,) for s in symbols], "symbol string")
+    results = normalize.collect_results(kept, run.kind, ["key"]).join(kept.select("key", F.col("error").alias("fetch_error")), "key")
+    found = asked.join(F.broadcast(results.withColumnRenamed("key", "symbol")), "symbol", "left")
+    return found.select("symbol", F.coalesce("status", F.lit("failed")).alias("status"), F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), F.coalesce("fetch_error", "error").alias("error"))
+
+
+def listed_symbols(spark: SparkSession, store: Store, exchanges: list[str], run: Run, existing: DataFrame | None = None, path: str | None = None) -> DataFrame:
+    """Collect the listings of exchanges: their symbols in order, or those of ``existing`` (line, symbol) with the new ones behind them.
+
+    ``run`` has the kind "listing". Listings are archived and recorded as other payloads are. With ``path`` the list is written
+    there, if any came. Returns line, symbol.
     """
-    rest.register(spark)
-    planned = plan(spark, store, symbols, run).collect()  # a run's symbols, limited by its budget
-    asked = [r.symbol for r in planned if r.key_index is not None]
-    key_of = spark.createDataFrame([(r.symbol, r.key_index) for r in planned], "symbol string, key_index int")
-    seq = store.log().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
-    if asked:
-        reader = spark.read.format("rest_payloads").option("provider", run.provider.name).option("kind", run.kind).option("symbols", json.dumps(asked))
-        for k, v in run.options.items():
-            reader = reader.option(k, v)
-        fetched = reader.load().withColumn("payload", F.coalesce("payload", F.to_json(F.struct(F.col("error").alias("fetch_error")))))
-        store.archive(fetched.select("provider", "key", F.lit(run.now).cast("timestamp").alias("fetched_at"), "payload", F.lit(seq).cast("bigint").alias("seq")))
-    kept = store.bronze().where((F.col("seq") == seq) & (F.col("provider") == run.provider.name))
-    table, name = TARGETS[run.kind]
-    rows = normalize.ROWS[run.kind](kept, ["key", "seq"]).withColumnRenamed("key", name)
-    if asked:
-        store.upsert(table, rows, run.now, ["seq", *(["date", "pos"] if run.kind != "news" else ["datetime", "url", "pos"])])
-    results = normalize.collect_results(kept, run.kind, ["key"]).withColumnRenamed("key", "symbol")
-    events = key_of.join(results, "symbol", "left").select(
-        F.lit(run.provider.name).alias("provider"), "key_index", "symbol", F.when(F.col("key_index").isNull(), "skipped_rate_limit").otherwise(F.coalesce("status", F.lit("failed"))).alias("status"),
-        F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "error", F.lit(run.now).cast("timestamp").alias("at"), F.lit(seq).cast("bigint").alias("seq"),
-    )
-    store.record(events)
-    return store.log().where(F.col("seq") == seq).select("symbol", "status", "rows", "error")
-
-
-def refresh_indicators(store: Store, now: str) -> None:
-    """The table ``indicators`` anew from all stored bars, all symbols in one job."""
-    store.replace("indicators", indicators.indicator_rows(store.table("ohlcv")).withColumn("updated_at", F.lit(now)))
+    collect(spark, store, spark.createDataFrame(list(enumerate(exchanges)), "line bigint, symbol string"), run)
+    seq = store.log().agg(F.max("seq")).first()[0]
+    kept = store.bronze().where((F.col("provider") == run.provider.name) & (F.col("seq") == seq))
+    found = normalize.listing(kept).select((F.row_number().over(Window.orderBy("symbol")) - 1).cast("bigint").alias("line"), "symbol")  # a list of symbols
+    if existing is not None:
+        merged = listing.merge_symbols(existing, found)
+        found = merged.select((F.row_number().over(Window.orderBy("list", "line")) - 1).cast("bigint").alias("line"), "symbol")
+    if path and not found.isEmpty():
+        config.write_lines(found, path, ["line"])
+    return found
+
+
+def refresh_indicators(store: Store, now: str, symbols: DataFrame | None = None) -> None:
+    """Put the indicators of stored bars over those in the table ``indicators``: of all symbols, or of those given, in one job."""
+    bars = store.table("ohlcv")
+    if symbols is not None:
+        bars = bars.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    store.upsert("indicators", indicators.indicator_rows(bars), now, ["date"])
 
 
 def tables(store: Store) -> dict[str, DataFrame]:
@@ -104,10 +167,14 @@ def tables(store: Store) -> dict[str, DataFrame]:
 
 
 def report(store: Store) -> DataFrame:
-    return validate.report(tables(store))
+    """Status, number of issues and counts of the stored tables; kept as the document validation/latest."""
+    found = validate.report(tables(store))
+    store.save("validation/latest", found)
+    return found
 
 
 def daily_summary(store: Store, today: str) -> DataFrame:
-    """One row: archived payloads, rows of the tables, runs and the last of them."""
-    runs = planner.run_counts(store.log(), "seq")
-    return summary.daily(tables(store), store.bronze(), runs, ["seq"], today)
+    """One row: archived payloads, rows of the tables, runs and the last of them; kept as the document daily/<today>."""
+    found = summary.daily(tables(store), store.bronze(), store.runs(), ["seq"], today)
+    store.save(f"daily/{today}", found)
+    return found

@@ -2,23 +2,36 @@
 
 ``spark.read.format("rest_payloads")`` with options ``provider``, ``kind`` and ``symbols`` gives a row per symbol:
 provider, key, payload, error. What fetches is a transport, a function of (kind, symbol, options) that returns JSON
-text. It is looked up by name: "replay" reads payloads that were kept in a folder; others are registered by
-``register_transport``. Retries and rates are the transport's business, so a failed symbol is a row with its error, not
-a failed job, and Spark doesn't spend calls again.
+text: "http" asks the provider at the option ``base``, with the key in the environment variable that ``keyEnv``
+names; "replay" reads payloads kept in ``folder``; others are given to ``register`` by name.
+
+All calls go through one limiter, ``perMinute`` calls in any minute, so a limited source is read by
+one task; without a limit, by as many as ``symbolsPerTask`` makes. A call that fails is tried again
+``attempts`` times in all, and prices again once if they say that a rate limit was reached. A symbol
+that still fails is a row with its error, not a failed job, and Spark doesn't spend calls again.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import time
 from collections.abc import Callable, Iterator
 from urllib.parse import urlencode
+from urllib.request import Request, urlopen
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 Transport = Callable[[str, str, dict[str, str]], str]
 SCHEMA = "provider string, key string, payload string, error string"
+#: Seconds that a request may take, calls for one payload, and seconds before each further one, times its number.
+TIMEOUT = 30
+ATTEMPTS = 2
+BACKOFF = 2.0
+#: Seconds to wait once a provider says that its rate limit was reached.
+PAUSE = 60.0
+MINUTE = 60.0
 
 
 def url(kind: str, base: str, symbol: str, key: str, options: dict[str, str]) -> str:
@@ -36,23 +49,24 @@ def url(kind: str, base: str, symbol: str, key: str, options: dict[str, str]) ->
 class SlidingWindow:
     """At most ``limit`` calls in any ``seconds``; 0 or less: any number."""
 
-    def __init__(self, limit: int, seconds: float = 60, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+    def __init__(self, limit: int, seconds: float = MINUTE, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
         self.limit, self.seconds, self.clock, self.sleep = limit, seconds, clock, sleep
         self.calls: list[float] = []
 
     def wait(self) -> None:
+        """Return once a call is admitted; a sleep that was too short is followed by another."""
         if self.limit <= 0:
             return
-        now = self.clock()
-        self.calls = [t for t in self.calls if now - t < self.seconds]
-        if len(self.calls) >= self.limit:
-            self.sleep(self.seconds - (now - self.calls[0]))
+        while True:
             now = self.clock()
             self.calls = [t for t in self.calls if now - t < self.seconds]
+            if len(self.calls) < self.limit:
+                break
+            self.sleep(self.seconds - (now - self.calls[0]))
         self.calls.append(now)
 
 
-def fetch(get: Callable[[], str], attempts: int = 2, backoff: float = 2.0, window: SlidingWindow | None = None, sleep: Callable[[float], None] = time.sleep) -> str:
+def fetch(get: Callable[[], str], attempts: int = ATTEMPTS, backoff: float = BACKOFF, window: SlidingWindow | None = None, sleep: Callable[[float], None] = time.sleep) -> str:
     """Call ``get`` until it gives something, ``attempts`` times at most, waiting longer each time."""
     for attempt in range(1, attempts + 1):
         if window:
@@ -77,7 +91,7 @@ def rate_limited(payload: str) -> bool:
     return "rate limit" in str(said.get("message") or said.get("status") or "").lower()
 
 
-def with_rate_limit_retry(get: Callable[[], str], sleep: Callable[[float], None] = time.sleep, pause: float = 60) -> str:
+def with_rate_limit_retry(get: Callable[[], str], sleep: Callable[[float], None] = time.sleep, pause: float = PAUSE) -> str:
     """``get`` again, once, after ``pause`` seconds if its payload says that a rate limit was reached."""
     payload = get()
     if rate_limited(payload):
@@ -86,6 +100,9 @@ def with_rate_limit_retry(get: Callable[[], str], sleep: Callable[[float], None]
     return payload
 
 
+# --- transports -----------------------------------------------------------------
+
+
 def replay(kind: str, symbol: str, options: dict[str, str]) -> str:
     """A payload kept as <folder>/<symbol with / as _>.json."""
     from pyarrow import fs
@@ -95,11 +112,15 @@ def replay(kind: str, symbol: str, options: dict[str, str]) -> str:
         return f.read().decode()
 
 
-TRANSPORTS: dict[str, Transport] = {"replay": replay}
+def http(kind: str, symbol: str, options: dict[str, str]) -> str:
+    """The provider's answer. Options come in lower case; the key itself is in none."""
+    key = os.environ.get(options.get("keyenv", ""), "")
+    request = Request(url(kind, options["base"], symbol, key, options), headers={"User-Agent": "tidebook"})
+    with urlopen(request, timeout=float(options.get("timeout", TIMEOUT))) as answer:
+        return answer.read().decode()
 
 
-def register_transport(name: str, transport: Transport) -> None:
-    TRANSPORTS[name] = transport
+# --- the source -----------------------------------------------------------------
 
 
 class SymbolPartition(InputPartition):
@@ -108,36 +129,44 @@ class SymbolPartition(InputPartition):
 
 
 class PayloadReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options: dict[str, str], transports: dict[str, Transport]):
         self.options = dict(options)
-        self.transport = TRANSPORTS[self.options.get("transport", "replay")]
+        self.transport = transports[self.options.get("transport", "replay")]
         self.symbols = json.loads(self.options["symbols"])
+        self.limit = int(self.options.get("perminute", "0"))
 
     def partitions(self) -> list[SymbolPartition]:
-        # options' names come in lower case
-        size = max(1, int(self.options.get("symbolspertask", "1")))
-        return [SymbolPartition(self.symbols[k : k + size]) for k in range(0, len(self.symbols), size)]
+        size = len(self.symbols) if self.limit > 0 else max(1, int(self.options.get("symbolspertask", "1")))
+        return [SymbolPartition(self.symbols[k : k + size]) for k in range(0, len(self.symbols), max(1, size))]
 
     def read(self, partition: SymbolPartition) -> Iterator[tuple]:
-        provider, kind = self.options.get("provider", ""), self.options.get("kind", "bar_list")
+        said = self.options
+        provider, kind = said.get("provider", ""), said.get("kind", "bar_list")
+        attempts, backoff, pause = int(said.get("attempts", ATTEMPTS)), float(said.get("backoff", BACKOFF)), float(said.get("pause", PAUSE))
+        window = SlidingWindow(self.limit, float(said.get("windowseconds", MINUTE)))
         for symbol in partition.symbols:
+            def get(symbol: str = symbol) -> str:
+                return fetch(lambda: self.transport(kind, symbol, said), attempts, backoff, window)
+
             try:
-                yield provider, symbol, self.transport(kind, symbol, self.options), None
+                yield provider, symbol, with_rate_limit_retry(get, pause=pause) if kind == "bar_list" else get(), None
             except Exception as e:  # a symbol's failure is a row
                 yield provider, symbol, None, f"{type(e).__name__}: {e}"
 
 
-class PayloadSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "rest_payloads"
+def register(spark: SparkSession, **transports: Transport) -> None:
+    """Make the format known to a session, with ``transports`` of one's own beside http and replay."""
+    known = {"http": http, "replay": replay, **transports}
 
-    def schema(self) -> str:
-        return SCHEMA
+    class PayloadSource(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "rest_payloads"
 
-    def reader(self, schema) -> PayloadReader:
-        return PayloadReader(self.options)
+        def schema(self) -> str:
+            return SCHEMA
 
+        def reader(self, schema) -> PayloadReader:
+            return PayloadReader(self.options, known)
 
-def register(spark: SparkSession) -> None:
     spark.dataSource.register(PayloadSource)

@@ -1,27 +1,27 @@
-"""Stored tables: versions of Parquet under a folder, and append-only logs.
+"""Stored tables under a folder: keyed tables in buckets of their key, and append-only logs, all as plain Parquet.
 
-A version is written whole under a new name and then named in a small table of its own,
-so that readers see the old or the new one and never a part; what is read is never overwritten.
+A keyed table is partitioned by ``bucket``, a hash of its key. An upsert reads the buckets that
+it touches, and puts them back by Spark's dynamic partition overwrite; others aren't read or written.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tidebook.functions import schemas
 from tidebook.operators import upsert as upserts
+from tidebook.sources import scratch
 
-VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("path", T.StringType())])
+#: Buckets of a keyed table, fixed once a store is written to: about a GB each, of some hundred GB.
+BUCKETS = 256
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         try:
@@ -33,30 +33,55 @@ class Store:
 
     # tables with keys
 
-    def current(self, table: str) -> tuple[int, str | None]:
-        last = self._read(f"{self.root}/{table}/versions", VERSIONS).orderBy(F.desc("version"), "path").first()
-        return (last["version"], last["path"]) if last else (0, None)
+    def _bucket(self, name: str) -> Column:
+        """A symbol's rows lie together, but for news, of which a symbol may have any number."""
+        key = schemas.TABLES[name][0]
+        return F.pmod(F.xxhash64(*(key if name == "news" else key[:1])), F.lit(self.buckets)).cast("int")
+
+    def _with_buckets(self, name: str) -> DataFrame:
+        return self._read(f"{self.root}/{name}", T.StructType([*schemas.schema(name).fields, T.StructField("bucket", T.IntegerType())]))
 
     def table(self, name: str) -> DataFrame:
         """The rows of a keyed table; none if it was never written."""
-        _, path = self.current(name)
-        return self.spark.read.schema(schemas.schema(name)).parquet(path) if path else schemas.empty(self.spark, name)
+        return self._with_buckets(name).drop("bucket")
 
     def history(self, symbol: str) -> DataFrame:
-        """date, open, high, low, close, volume of a symbol, by date, nothing as the empty text."""
-        rows = self.table("ohlcv").where(F.col("symbol") == symbol)
+        """date, open, high, low, close, volume of a symbol, by date, nothing as the empty text. One bucket is read."""
+        one = self._bucket("ohlcv")
+        bucket = self.spark.range(1).select(F.lit(symbol).alias("symbol")).select(one).first()[0]
+        rows = self._with_buckets("ohlcv").where((F.col("bucket") == bucket) & (F.col("symbol") == symbol))
         return rows.orderBy("date").select(*[F.coalesce(c, F.lit("")).alias(c) for c in schemas.BAR])
 
-    def replace(self, name: str, rows: DataFrame) -> None:
-        version, _ = self.current(name)
-        path = f"{self.root}/{name}/data/{version + 1:08d}-{uuid.uuid4().hex[:8]}"
-        key = schemas.TABLES[name][0]
-        # clustered by key: a symbol's rows lie together, so a point query skips most row groups
-        schemas.with_text(rows, name).repartitionByRange(*key).sortWithinPartitions(*key).write.parquet(path)
-        self.spark.createDataFrame([(version + 1, path)], VERSIONS).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}/versions")
+    def _put(self, name: str) -> None:
+        """Put staged buckets in the places of the old ones. Doing it again changes nothing, so a run that ended in between is made good."""
+        staged = f"{self.root}/_staged/{name}"
+        if scratch.exists(self.spark, f"{staged}/_SUCCESS"):
+            rows = self._read(staged, self._with_buckets(name).schema)
+            rows.repartition("bucket").sortWithinPartitions("bucket", *schemas.TABLES[name][0]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.root}/{name}")
+        scratch.delete(self.spark, staged)
 
     def upsert(self, name: str, incoming: DataFrame, now: str, order: list[str]) -> None:
-        self.replace(name, upserts.upsert_table(name, self.table(name), incoming, now, order))
+        """Put ``incoming`` over the stored rows by key; of its rows with one key the last by ``order`` wins.
+
+        The new rows are staged first, for Spark can't read what it overwrites, and so that nothing is lost
+        if the driver ends while buckets are exchanged. One writer at a time (``lock``).
+        """
+        self._put(name)
+        keys = list(schemas.TABLES[name][0])
+        ordered = schemas.with_text(incoming.withColumn("updated_at", F.lit(now)), name, [F.col(c).alias(f"__order_{c}") for c in order])
+        ordered = ordered.where(F.coalesce(F.col(keys[-1]), F.lit("")) != "")
+        new = upserts.last_wins(ordered, keys, [f"__order_{c}" for c in order]).select(*schemas.columns(name), self._bucket(name).alias("bucket"))
+        new.write.mode("overwrite").parquet(f"{self.root}/_new/{name}")
+        new = self._read(f"{self.root}/_new/{name}", new.schema)
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]  # ``buckets`` at most
+        if touched:
+            old = self._with_buckets(name).where(F.col("bucket").isin(touched))
+            marked = old.select("*", F.lit(0).alias("__new")).unionByName(new.select("*", F.lit(1).alias("__new")))
+            # dealt by bucket once: the grouping by bucket and key, and the files, need no other shuffle
+            merged = upserts.last_wins(marked.repartition(F.col("bucket")), ["bucket", *keys], ["__new"]).select(*schemas.columns(name), "bucket")
+            merged.write.mode("overwrite").parquet(f"{self.root}/_staged/{name}")
+            self._put(name)
+        scratch.delete(self.spark, f"{self.root}/_new/{name}")
 
     # logs
 
@@ -64,8 +89,9 @@ class Store:
         return self._read(f"{self.root}/bronze", schemas.BRONZE)
 
     def archive(self, payloads: DataFrame) -> None:
-        """Keep payloads as they came, before anything is made of them."""
-        payloads.select(*schemas.BRONZE.names).write.mode("append").partitionBy("provider").parquet(f"{self.root}/bronze")
+        """Keep payloads as they came, before anything is made of them, a folder for each provider's run."""
+        columns = [F.col(c) if c in payloads.columns else F.lit(None).cast("string").alias(c) for c in schemas.BRONZE.names]
+        payloads.select(*columns).write.mode("append").partitionBy("provider", "seq").parquet(f"{self.root}/bronze")
 
     def log(self) -> DataFrame:
         return self._read(f"{self.root}/fetch_log", schemas.FETCH_LOG)
@@ -73,6 +99,20 @@ class Store:
     def record(self, events: DataFrame) -> None:
         events.select(*schemas.FETCH_LOG.names).write.mode("append").parquet(f"{self.root}/fetch_log")
 
+    def runs(self) -> DataFrame:
+        return self._read(f"{self.root}/runs", schemas.RUNS)
+
+    def record_run(self, run: DataFrame) -> None:
+        run.select(*schemas.RUNS.names).coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+
+    # documents
+
+    def save(self, label: str, rows: DataFrame) -> str:
+        """A report or summary as a JSON document under ``label``, in the place of the one before; where it is."""
+        path = f"{self.root}/documents/{label}"
+        rows.coalesce(1).write.mode("overwrite").json(path)
+        return path
+
 
 def files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """path and length of the files under a folder, at any depth; contents aren't read."""

@@ -24,7 +24,7 @@ def upsert_batch(store: Store, kind: str, batch: DataFrame, now: str) -> None:
     rows = normalize.ROWS[kind](batch, ["key", "seq"]).withColumnRenamed("key", name)
     # payloads in turn, rows of a payload by date, and by place where dates are equal
     order = ["seq", "date", "pos"] if kind != "news" else ["seq", "datetime", "url", "pos"]
-    store.upsert(table, rows, now, order)
+    store.upsert(table, rows, now, order)  # of a batch's buckets alone
 
 
 def stream_payloads(spark: SparkSession, folder: str, store: Store, kind: str, checkpoint: str, files_per_batch: int = 1000, clock=None) -> StreamingQuery:
