@@ -2,60 +2,60 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.functions.workers import ship
+from tidebook.sources.scratch import delete, new_path, shared_dir
 
-__all__ = ["WHITE_SPACE", "WORD_BREAK", "held_out", "id_hash", "materialize", "new_path", "only", "packed", "shared_dir", "ship", "text_key"]
+__all__ = [
+    "WHITE_SPACE", "WORD_BREAK", "Memory", "discard", "free_name", "held_out", "id_hash", "join_counted", "materialize", "new_path", "only", "packed", "shared_dir", "ship", "text_key"
+]
 
 #: The six ASCII white-space characters that separate words: space, tab, LF, VT, FF, CR.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 #: Spark's setting by which a query's shuffle files are deleted at its end.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+PARTITIONS = "spark.sql.shuffle.partitions"
+#: A key with over one part in HOT_KEYS of a table's rows, and over HOT_ROWS of them, is hot; there are HOT_KEYS such keys at most.
+HOT_KEYS = 1000
+HOT_ROWS = 1000
 
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
 
-    It is what the session says in ``spark.checkpoint.dir``. Only where that is
-    unset (local runs and tests) a temporary folder is made and set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        made = tempfile.mkdtemp(prefix="tidebook-")
-        atexit.register(shutil.rmtree, made, ignore_errors=True)
-        base = f"file://{made}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tidebook"
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, parts: int = 1) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs the tasks it ran, not the
-    stages before the table. Shuffle files of the write go as soon as it is done.
+    stages before the table. Shuffle files of the write go as soon as it is done, the
+    table by ``discard`` or when the driver ends. Its shuffles have ``parts`` partitions at
+    least, for what grows with the input more than the session's number allows for.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
+    wanted = {CLEAN_UP: "true", PARTITIONS: str(max(parts, int(spark.conf.get(PARTITIONS))))}
+    before = {k: spark.conf.get(k, None) for k in wanted}
     try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    back = spark.read.schema(df.schema).parquet(path)
+    _written[back] = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing is to be computed from any more."""
+    for t in tables:
+        if path := _written.pop(t, None):
+            delete(t.sparkSession, path)
 
 
 def id_hash(id_col: str = "doc_id") -> Column:
@@ -78,9 +78,55 @@ def text_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col).isNull(), F.col(text_col))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def only(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text", once: bool = False) -> DataFrame:
     """The rows of ``docs`` that ``kept`` (doc_id, text_key) names, with all their columns; ``once``: of repeated rows one."""
-    keys = kept.select(F.coalesce("doc_id", F.lit(-1)).alias("__id"), F.col("text_key").alias("__text")).distinct()
-    marked = docs.withColumns({"__id": F.coalesce(F.col(id_col), F.lit(-1)), "__text": text_key(id_col, text_col)})
-    found = marked.join(keys, ["__id", "__text"], "left_semi")
-    return (found.dropDuplicates(["__id", "__text"]) if once else found).select(*docs.columns)
+    named, text = free_name(docs, "__id"), free_name(docs, "__text")
+    keys = kept.select(F.coalesce("doc_id", F.lit(-1)).alias(named), F.col("text_key").alias(text)).distinct()
+    marked = docs.withColumns({named: F.coalesce(F.col(id_col), F.lit(-1)), text: text_key(id_col, text_col)})
+    found = marked.join(keys, [named, text], "left_semi")
+    return (found.dropDuplicates([named, text]) if once else found).drop(named, text)
+
+
+def join_counted(left: DataFrame, right: DataFrame, key: str, right_key: str, n_col: str, total: int, null_safe: bool = False) -> DataFrame:
+    """``left`` joined with ``right``, which has every ``right_key`` once, with the number of ``left``'s rows of that key in ``n_col``.
+
+    Of ``left``'s ``total`` rows, those with a hot key stay where they are: ``right``'s rows of hot keys, HOT_KEYS at
+    most, are broadcast. The others meet in a shuffle, and no key has more than its share there.
+    """
+    on = F.col(key).eqNullSafe(F.col(right_key)) if null_safe else F.col(key) == F.col(right_key)
+    most = max(HOT_ROWS, total // HOT_KEYS)
+    if total <= most:
+        return left.join(right, on)
+    hot, cold = F.broadcast(right.where(F.col(n_col) > most)), right.where(F.col(n_col) <= most)
+    return left.join(hot, on).unionByName(left.join(hot.select(right_key), on, "left_anti").join(cold, on))
+
+
+class Memory(dict):
+    """What is known of words, forgotten once it takes more than about ``limit`` bytes.
+
+    ``room()`` is asked between batches; what one batch has is kept until the next is begun.
+    """
+
+    #: What an entry takes beside its word and its value's own bytes, about.
+    ENTRY = 180
+
+    def __init__(self, limit: int = 64 << 20):
+        super().__init__()
+        self.limit, self.size = limit, 0
+
+    def learn(self, word: bytes | str, value) -> None:
+        self[word] = value
+        self.size += len(word) + (len(value) if isinstance(value, (bytes, tuple)) else 0) + self.ENTRY
+
+    def room(self) -> None:
+        if self.size > self.limit:
+            self.clear()
+            self.size = 0

@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, packed, ship
-from .token_counts import by_bytes, load_tokenizer
+from .common import Memory, materialize, packed, ship
+from .token_counts import by_bytes, load_tokenizer, tokenizer_steps
 
 #: Bins that one packing task keeps open, and pieces that one task packs.
 OPEN_BINS = 1024
@@ -21,9 +21,6 @@ PIECES_PER_TASK = 65_536
 #: Pieces that are looked at together: of these the longest go first. With 4096 about 0.01 % more
 #: sequences are made than all ids need, without any look-ahead 0.9 %.
 LOOK_AHEAD = 4096
-#: Words whose ids a worker keeps; on reaching it, the memory is emptied.
-KNOWN_WORDS = 1_200_000
-
 #: Texts made only of lines of words with single spaces between, all of plain
 #: printable characters, can be cut before each space and around each line feed:
 #: the byte-level pre-tokenizer cuts there too. Other texts are encoded whole.
@@ -41,8 +38,9 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.bare: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.bare, self.spaced = Memory(), Memory()
+        # only this pre-tokenizer, with nothing before it, is known to cut regular texts before spaces and around line feeds
+        self.by_words = tokenizer_steps(path) == ([], ["ByteLevel"])
         self.line_feed = self.whole("\n")
         special = [(t.content, k) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
         if not special:
@@ -52,23 +50,23 @@ class WordIds:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
+    def learn(self, known: Memory, words: set[str], lead: str) -> None:
         """Encode new words, many in one text with a special token between, which never merges with what is beside it."""
         mark, mark_id = self.mark
         for w in [w for w in words if mark in w]:
-            known[w] = self.whole(lead + w)
+            known.learn(w, self.whole(lead + w))
         for batch in by_bytes([w for w in words if mark not in w]):
             found = self.tokenizer.encode_batch_fast([mark.join([lead + w for w in batch])], add_special_tokens=False)[0]
             ids = np.array(found.ids, "<u4")
             cuts = np.flatnonzero(ids == mark_id)
             data, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-            known.update((w, data[x:y]) for w, x, y in zip(batch, starts, ends))
+            for w, x, y in zip(batch, starts, ends):
+                known.learn(w, data[x:y])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [[line.split(" ") for line in x.split("\n")] if regular(x) else None for x in texts]
+        split = [[line.split(" ") for line in x.split("\n")] if self.by_words and regular(x) else None for x in texts]
         lines = [line for x in split if x for line in x]
-        if len(self.spaced) + len(self.bare) > KNOWN_WORDS:
-            self.bare, self.spaced = {}, {}
+        self.bare.room(), self.spaced.room()
         self.learn(self.bare, {x[0] for x in lines}.difference(self.bare), "")
         self.learn(self.spaced, set().union(*(x[1:] for x in lines)).difference(self.spaced), " ")
         get, bare = self.spaced.__getitem__, self.bare

@@ -11,13 +11,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, only, ship, text_key
+from .common import discard, join_counted, materialize, only, packed, ship, text_key
 
 SEED = 42
 BITS = 64
 #: Shingles whose bits are counted at once, and members of a block bucket compared in one task.
 SHINGLES_AT_ONCE = 1 << 16
 BUCKET_MEMBERS = 8192
+#: Fingerprints under a mask that one task of a shuffle has, about.
+KEYS_PER_TASK = 4_000_000
 
 
 # --- fingerprints ---------------------------------------------------------------
@@ -197,18 +199,19 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, blocks: int | None
     """
     spark = distinct.sparkSession
     ship(spark)
-    blocks = blocks or blocks_for(distinct.count(), distance)
+    n = distinct.count()
+    blocks = blocks or blocks_for(n, distance)
     masks = block_masks(distance, blocks)
     as_array = np.array(masks, "u8")
     keys = F.array(*[F.lit(signed(m)) for m in masks])
     rows = distinct.select(F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))).alias("combo"), "fp")
     bucket = F.col("fp").bitwiseAND(F.get(keys, F.col("combo")))
     found = (
-        rows.repartition("combo", bucket)
+        rows.repartition(F.col("combo"), bucket)
         .sortWithinPartitions("combo", bucket, "fp")
         .mapInArrow(lambda batches: _bucket_links(batches, as_array, distance), "a bigint, b bigint, combo int, chunk int")
     )
-    found = materialize(found, "simhash-links")
+    found = materialize(found, "simhash-links", packed(n * len(masks), KEYS_PER_TASK))
     small = found.where("chunk < 0").select("a", "b")
     large = found.where("chunk >= 0").select("combo", F.col("a").alias("fp"), "chunk", F.col("a").bitwiseAND(F.get(keys, F.col("combo"))).alias("bucket"))
     chunks = large.groupBy("combo", "bucket").agg(F.max("chunk").alias("last"))
@@ -229,27 +232,37 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps until nothing changes: each node's
     neighbours are linked to the smallest of them, as joins and groupings that
-    Spark shuffles, with each round written to the shared folder.
+    Spark shuffles, with each round written to the shared folder. The links of a
+    node that very many others are linked to are never gathered in one task.
     """
-    spark = links.sparkSession
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = materialize(links, "components")
-    before = None
+    n, before = links.count(), None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
-        large = both.join(least, F.col("a") == F.col("n")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"), "degree")
+        large = join_counted(both, least, "a", "n", "degree", 2 * n).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = materialize(large, "components")
+        n = large.count()
+        down = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree")).select(F.col("a").alias("n"), "m", "degree")
         small = (
-            large.join(down, F.col("a") == F.col("n"))
+            join_counted(large, down, "a", "n", "degree", n)
             .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
             .select("x.a", "x.b").where("a <> b").distinct()
         )
-        links = materialize(small, "components")
-        state = links.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-        if state == before:
+        old, links = links, materialize(small, "components")
+        n, mark = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        discard(old, large)
+        if (n, mark) == before:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = state
+        before = n, mark
+
+
+def with_classes(rooted: DataFrame, node: str) -> DataFrame:
+    """(node, n, first, n_docs) from (node, first, n, root): the smallest ``first`` and the sum of ``n`` of each root's nodes."""
+    classes = rooted.groupBy("root").agg(F.min("first").alias("least"), F.sum("n").alias("n_docs"), F.count(F.lit(1)).alias("nodes"))
+    found = join_counted(rooted.select(node, "n", "root"), classes.withColumnRenamed("root", "r"), "root", "r", "nodes", rooted.count())
+    return found.select(node, "n", F.col("least").alias("first"), "n_docs")
 
 
 def near_duplicates(
@@ -278,13 +291,11 @@ def near_duplicates(
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
     distinct = materialize(marked.groupBy("fp").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     roots = connected_components(fingerprint_links(distinct.select("fp"), distance, blocks))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first", "n", F.coalesce("root", "fp").alias("root")
-    )
-    classes = rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n_docs"))
-    of_fp = rooted.select("fp", "root").join(classes, "root").select(F.col("fp").alias("f"), "first", "n_docs")
-    # many documents may share a fingerprint: adaptive execution splits such a partition of the left side
-    return marked.join(of_fp, F.col("fp") == F.col("f")).select(
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
+    of_fp = with_classes(materialize(rooted, "simhash-rooted"), "fp").withColumnRenamed("fp", "f")
+    # many documents may share a fingerprint
+    found = join_counted(marked, of_fp, "fp", "f", "n", marked.count())
+    return found.select(
         "doc_id", "text_key", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("first.doc_id").alias("component_id"), F.col("first.text_key").alias("first_key"), "n_docs",
     )

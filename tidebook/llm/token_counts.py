@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
 from collections.abc import Iterator
 
@@ -10,12 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import Memory, ship
 
 #: Bytes of text encoded by one call, and the length from which a text is split.
 BATCH_BYTES = 1 << 20
-#: Words whose token counts a worker keeps; on reaching it, the memory is emptied.
-KNOWN_WORDS = 1_200_000
+#: Pre-tokenizers that drop white space, and normalizers that do nothing to a word because of the words beside it.
+DROPPING = frozenset(("BertPreTokenizer", "Whitespace", "WhitespaceSplit", "Split, others removed"))
+WORD_BY_WORD = frozenset(("NFC", "NFD", "Lowercase", "StripAccents", "Replace of white space"))
 
 
 @functools.lru_cache(maxsize=4)
@@ -30,6 +32,38 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+def _steps(rule: dict | None) -> list[str]:
+    """Types of a rule's steps, with what matters of their settings."""
+    if rule is None:
+        return []
+    if rule["type"] == "Sequence":
+        return [n for r in rule.get("normalizers") or rule.get("pretokenizers") or () for n in _steps(r)]
+    said = rule["type"]
+    if rule.get("add_prefix_space"):
+        said += " with a space"
+    if said == "Split" and rule.get("behavior") == "Removed" and rule.get("invert"):
+        said += ", others removed"
+    if said == "Replace" and rule.get("pattern") == {"Regex": r"\s+"} and rule.get("content") == " ":
+        said += " of white space"
+    return [said]
+
+
+@functools.lru_cache(maxsize=4)
+def tokenizer_steps(path: str) -> tuple[list[str], list[str]]:
+    """What a .json tokenizer does with a text before it looks for tokens: its normalizers and its pre-tokenizers."""
+    with open(path, "rb") as f:
+        rules = json.load(f)
+    return _steps(rules.get("normalizer")), _steps(rules.get("pre_tokenizer"))
+
+
+def drops_white_space(path: str) -> bool:
+    """Whether a tokenizer's file says that white space is dropped and words don't touch each other, so that their counts add up to the text's."""
+    if not path.endswith(".json"):
+        return False
+    normalizers, pre = tokenizer_steps(path)
+    return WORD_BY_WORD.issuperset(normalizers) and not DROPPING.isdisjoint(pre) and not any("with a space" in x for x in pre)
+
+
 @functools.lru_cache(maxsize=4)
 def load_pieces(path: str):
     import sentencepiece
@@ -72,15 +106,13 @@ class WordCounts:
 
     def __init__(self, path: str):
         self.encode = load_tokenizer(path).encode_batch
-        self.known: dict[bytes, int] = {}
+        self.known = Memory()
 
     def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known, new = {}, words
-        for batch in by_bytes(list(new)):
-            found = self.encode([w.decode() for w in batch], add_special_tokens=False)
-            self.known.update(zip(batch, map(len, found)))
+        self.known.room()
+        for batch in by_bytes(list(words.difference(self.known))):
+            for w, found in zip(batch, self.encode([w.decode() for w in batch], add_special_tokens=False)):
+                self.known.learn(w, len(found))
 
     def __call__(self, texts: list[bytes]) -> list[int]:
         counts, parts, size = [0] * len(texts), [], 0
@@ -128,24 +160,28 @@ def _count(batches: Iterator[pa.RecordBatch], path: str, words_apart: bool) -> I
 def count_tokens(
     docs: DataFrame,
     tokenizer_path: str,
-    words_apart: bool = True,
+    words_apart: bool | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """The number of tokens of every whole text, without begin, end or added special tokens.
 
     Texts go to Python in Arrow batches and only lengths come back. Encoding is done
-    in batches of about ``BATCH_BYTES``; longer texts are split at white space. With
-    ``words_apart`` (for tokenizers that drop white space, such as the word BPE)
-    distinct words are encoded once and their counts are added; without it, and for
-    .model files, each text is encoded as a whole. Strings of special tokens inside
-    texts are handled as the library does by default.
+    in batches of about ``BATCH_BYTES``; longer texts are split at white space. Where the
+    tokenizer's file says that it drops white space, such as the word BPE's, distinct words
+    are encoded once and their counts are added; for others, and for .model files, each text is
+    encoded as a whole. ``words_apart`` says which, and is refused where words can't be
+    taken apart. Strings of special tokens inside texts are handled as the library does by default.
 
     Returns doc_id, n_bytes (UTF-8), n_tokens; a row per row of ``docs``. Null and
     empty texts have 0 of each; null ids and repeated rows are kept; an empty table
     gives no rows. Other columns are ignored.
     """
     ship(docs.sparkSession)
+    able = drops_white_space(tokenizer_path)
+    if words_apart and not able:
+        raise ValueError(f"the tokenizer of {tokenizer_path} doesn't drop white space: words can't be counted apart")
+    words_apart = able if words_apart is None else words_apart
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
