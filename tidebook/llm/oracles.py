@@ -26,7 +26,8 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (pos * 40 // n):
 
 TOP_K = """WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND coalesce(list_sum(list_transform(embedding, lambda x: pow(abs(256 * x::DOUBLE) + 1, 2))), 0) < pow(2::DOUBLE, 62)),
 s AS (
   SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.x, b.x)::BIGINT AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 50 = 0),
@@ -52,10 +53,15 @@ hosts AS (SELECT source, count(*)::DOUBLE AS n, count(*) FILTER (base_failed OR
 corpus AS (SELECT sum(k) / sum(n) AS mean, sum(n) AS docs, count(*) AS hosts, sum(k * k / n) AS kkn, sum(n * n) AS nn FROM hosts),
 spread AS (SELECT mean, mean * (1 - mean) AS within, docs - nn / docs AS free, kkn - docs * mean * mean - (hosts - 1) * mean * (1 - mean) AS over FROM corpus),
 prior AS (SELECT mean, greatest(1.0, least(10000.0, CASE WHEN free > 0 AND over / free > 0 THEN within / (over / free) - 1 ELSE 10000.0 END)) AS strength FROM spread),
-verdicts AS (
-  SELECT source, (k + mean * strength) / (n + strength) >= {q.POOR_RATE} AND (k + mean * strength) / (n + strength) >= {q.POOR_TIMES} * mean AS poor FROM hosts, prior)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (poor AND soft_failed) AS kept
-FROM r JOIN verdicts v ON v.source IS NOT DISTINCT FROM r.source"""
+verdicts AS (SELECT source, (k + mean * strength) / (n + strength) AS rate, mean FROM hosts, prior),
+missed AS (
+  SELECT *, word_chars / greatest(n_words, 1)::DOUBLE AS mean_chars, CASE WHEN soft_failed THEN greatest(
+      n_symbols / ({q.MAX_SYMBOLS_PER_WORD}::DOUBLE * greatest(n_words, 1)), n_dup_lines / ({q.MAX_DUP_LINES}::DOUBLE * greatest(len(lines), 1)),
+      {q.MEAN_WORD_CHARS[0]}::DOUBLE / greatest(mean_chars, 0.01::DOUBLE), mean_chars / {q.MEAN_WORD_CHARS[1]}::DOUBLE, 1::DOUBLE) ELSE 1::DOUBLE END AS miss
+  FROM r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (soft_failed AND (rate >= {q.POOR_RATE} AND rate >= {q.POOR_TIMES} * mean OR rate * pow(miss, {q.MISS_POWER}) >= 1 - rate)) AS kept
+FROM missed m JOIN verdicts v ON v.source IS NOT DISTINCT FROM m.source"""
 
 WARC = """WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, WORD_BREAK, materialize, only, text_key
+from .common import WHITE_SPACE, WORD_BREAK, join_counted, materialize, only, text_key
 
 SYMBOLS = "#*$%&|<>"
 #: Rules of a single document.
@@ -21,8 +21,11 @@ POOR_TIMES = 2.0
 #: A document's miss is how many times a softer rule's limit it reaches; a host's odds of failure times the miss to
 #: this power are the document's odds, and at 1 the host is poor for it. A rule set on its limit says nothing by itself.
 MISS_POWER = 2
-#: Copies of a host's verdict, so that a host with a third of all documents is joined in so many tasks.
-SALTS = 32
+
+
+def host_of(url: Column) -> Column:
+    """The host that a URL names, in lower case, without its user and port; null where there is none."""
+    return F.nullif(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit(""))
 
 
 def words_of(text: Column) -> Column:
@@ -138,14 +141,12 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Returns doc_id, host, text_key (of id and text), the measures, base_failed, soft_failed, host_poor, kept; a
     row per row of ``docs``. Null or empty text has no words and fails; a null host is
     a host of its own; repeated rows are judged alike; an empty table gives no rows.
-    Other columns are ignored.
+    Other columns are ignored. Where hosts are in URLs, ``host_of`` gives them.
     """
     ruled = materialize(with_rules(document_measures(docs, id_col, text_col, host_col)), "quality-measures")
-    verdicts = host_verdicts(ruled).select(
-        F.col("host").alias("h"), "poor", "rate", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s")
-    )
-    salted = ruled.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(verdicts, F.col("host").eqNullSafe(F.col("h")) & (F.col("salt") == F.col("s")))
+    verdicts = host_verdicts(ruled).select(F.col("host").alias("h"), "n", "poor", "rate")
+    # a host with a third of all documents is joined where they are
+    joined = join_counted(ruled, verdicts, "host", "h", "n", ruled.count(), null_safe=True)
     # odds rate / (1 - rate), without a division by 0
     poor = F.col("poor") | (F.col("rate") * F.pow("miss", F.lit(MISS_POWER)) >= 1 - F.col("rate"))
     return joined.withColumn("poor", poor).select(
