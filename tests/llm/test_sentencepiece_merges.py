@@ -29,4 +29,36 @@ def test_ids_are_the_librarys(spark):
 
 def test_the_first_of_equal_pairs_is_merged():
     assert viterbi.merged("aaaaa", {"a": 0.0, "aa": -1.0, "aaaa": -2.0}) == ["aaaa", "a"]
-    assert np.frombuffer(viterbi.MergeEncoder(MODEL).ids(""), "<i4").tolist() == []
+    assert np.frombuffer(viterbi.encoder(MODEL).ids(""), "<i4").tolist() == []
+
+
+def test_pairs_are_the_merges_with_a_window_of_bounded_width(spark):
+    """The search gives what merging whole texts gives, however they are fed, and holds no more than a window."""
+    v = viterbi.vocabulary(MODEL)
+    search = viterbi.StreamingPairs(v)
+    for text in [v.normalize(t) for t in texts(spark)[::3]]:
+        for step in (7, 10_000):
+            found, widest = [], 0
+            for at in range(0, len(text), step):
+                found += search.feed(text[at : at + step])
+                widest = max(widest, len(search.text))
+            assert found + search.finish() == viterbi.merged(text, v.score)
+            assert widest <= 4 * v.longest
+
+
+def test_pairs_of_a_made_model():
+    """Pieces that several pairs of others make up, against merges of random texts."""
+    class Made:
+        score = {p: -k for k, p in enumerate(["a", "b", "c", "ab", "bc", "abc", "ca", "aa", "aabc", "cab", "bcab", "abab"])}
+        longest = 4
+
+        def __init__(self):
+            self.matches = viterbi.ahocorasick.Automaton()
+            for p, x in self.score.items():
+                self.matches.add_word(p, (len(p), x))
+            self.matches.make_automaton()
+
+    search, draw = viterbi.StreamingPairs(Made()), random.Random(9)
+    for _ in range(2000):
+        text = "".join(draw.choices("abcd", weights=[5, 5, 5, 1], k=draw.randint(0, 40)))
+        assert search.feed(text) + search.finish() == viterbi.merged(text, Made.score)

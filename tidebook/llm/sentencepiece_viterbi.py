@@ -1,10 +1,14 @@
-"""SentencePiece encoding, by streaming Viterbi for unigram models and by merges for BPE models, and decoding.
+"""SentencePiece encoding by streaming Viterbi, for unigram and for BPE models, and decoding.
 
-A BPE model's scores are the order of its merges: no sum of them says how a text is cut.
-In a unigram model, the best segmentation of a text is the one whose pieces' scores have the largest sum.
-It is found from left to right: each boundary keeps its best score and a pointer to the boundary
-before. Only the boundaries of the last ``longest`` characters can still be extended; once the
-pointers of all of these lead back to one boundary, all before it is settled and is given out.
+A text is segmented from left to right: each boundary keeps a pointer to the boundary before. Only the
+boundaries of the last ``longest`` characters can still be extended; once the pointers of all of
+these lead back to one boundary, all before it is settled and is given out.
+
+In a unigram model the best segmentation is the one whose pieces' scores have the largest sum. A BPE model's scores
+are the order of its merges, and no sum of them says how a text is cut. There a piece may follow another only if
+merging the two pieces' characters by themselves gives just these two. Merges of one place don't change what is
+done at another, so a segmentation all of whose neighbours are such pairs is the one that merging the whole text
+gives, and the only one: every boundary has just one piece that may end there.
 """
 
 from __future__ import annotations
@@ -20,13 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import Memory, ship
 
 SPACE = "▁"
 #: Unknown characters score this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
-#: Stretches whose ids a worker keeps; on reaching it, the memory is emptied.
-KNOWN_STRETCHES = 1_200_000
 
 
 class Vocabulary:
@@ -171,11 +173,11 @@ class Encoder:
     up word by word; the others, with runs of spaces, stretch by stretch.
     """
 
-    def __init__(self, path: str):
-        self.v = Vocabulary(path)
-        self.known: dict[str, bytes] = {}  # by stretch or word, with its space sign
-        self.spaced: dict[str, bytes] = {}  # by word, of the word with a space sign before it
-        self.search = StreamingViterbi(self.v)
+    def __init__(self, path: str, merges: bool):
+        self.v = vocabulary(path)
+        self.known = Memory()  # by stretch or word, with its space sign
+        self.spaced = Memory()  # by word, of the word with a space sign before it
+        self.search = (StreamingPairs if merges else StreamingViterbi)(self.v)
         self.by_words = self.v.spaces_lead and self.v.prefix and self.v.stretch.findall("a\na") == ["a", "\n", "a"]
         self.line_feed = self.ids("\n")
 
@@ -187,16 +189,15 @@ class Encoder:
         found = self.v.stretch.findall(text)
         for s in found:
             if s not in self.known:
-                self.known[s] = self.ids(s)
+                self.known.learn(s, self.ids(s))
         return list(map(self.known.__getitem__, found))
 
-    def learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
+    def learn(self, known: Memory, words: set[str], lead: str) -> None:
         for w in words:
-            known[w] = self.ids(lead + w)
+            known.learn(w, self.ids(lead + w))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) + len(self.spaced) > KNOWN_STRETCHES:
-            self.known, self.spaced = {}, {}
+        self.known.room(), self.spaced.room()
         split = [[line.split(" ") for line in x.split("\n")] if self.by_words and x and x[0] != " " and "  " not in x and SPACE not in x else None for x in texts]
         self.learn(self.known, {line[0] for x in split if x for line in x[1:]}.difference(self.known), "")
         self.learn(self.spaced, set().union(*(line[1:] for x in split if x for line in x), (x[0][0] for x in split if x)).difference(self.spaced), SPACE)
@@ -234,23 +235,61 @@ def merged(text: str, scores: dict[str, float]) -> list[str]:
     return [p for p in pieces if p is not None]
 
 
-class MergeEncoder(Encoder):
-    """Ids as a BPE model gives them. No merge crosses the boundaries between stretches, since no piece does."""
+class StreamingPairs(StreamingViterbi):
+    """The search for a BPE model: an edge counts if its piece may follow the one that ends where it begins."""
 
-    def ids(self, stretch: str) -> bytes:
-        return np.array([i for p in merged(stretch, self.v.score) for i in self.v.ids_of(p)], "<i4").tobytes()
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__(vocabulary)
+        self.last = ""  # the piece that was given out last
+        self.pairs = Memory(48 << 20)
 
+    def learn(self, pair: tuple[str, str]) -> bool:
+        """Whether the second piece may follow the first, which is "" at a text's start."""
+        before, piece = pair
+        found = merged(before + piece, self.v.score) == ([before, piece] if before else [piece])
+        self.pairs.learn(pair, found)
+        return found
 
-@functools.lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """By Viterbi, whatever the model's type."""
-    return Encoder(path)
+    def feed(self, text: str) -> list[str]:
+        v, matches, known = self.v, self.v.matches.iter, self.pairs.get
+        out: list[str] = []
+        self.pairs.room()
+        for at in range(0, len(text), v.longest):
+            done = len(self.text)
+            self.text += text[at : at + v.longest]
+            held, back = self.text, self.back
+            # a character that no piece has is merged with nothing and may follow anything
+            back += [-1 if c in v.score else k for k, c in enumerate(held[done:], done)]
+            # pieces that end in the new part may begin in the old one
+            context = max(0, done - v.longest + 1)
+            for last, (length, _) in matches(held, context):
+                if last >= done and back[last + 1] < 0:
+                    start = last + 1 - length
+                    pair = (held[back[start] : start] if start else self.last), held[start : last + 1]
+                    fits = known(pair)
+                    if self.learn(pair) if fits is None else fits:
+                        back[last + 1] = start
+            if len(held) > 2 * v.longest:
+                out += self.settle()
+        return out
+
+    def settle(self) -> list[str]:
+        self.best = self.back  # there are no sums
+        out = super().settle()
+        if out:
+            self.last = out[-1]
+        return out
+
+    def finish(self) -> list[str]:
+        out = super().finish()
+        self.last = ""
+        return out
 
 
 @functools.lru_cache(maxsize=4)
-def model_encoder(path: str) -> Encoder:
-    """By the method of the model's type."""
-    return MergeEncoder(path) if vocabulary(path).merges else encoder(path)
+def encoder(path: str, merges: bool | None = None) -> Encoder:
+    """By sums of scores or by merges; by default as the model's type says."""
+    return Encoder(path, vocabulary(path).merges if merges is None else merges)
 
 
 @functools.lru_cache(maxsize=4)
@@ -265,7 +304,7 @@ def decode_ids(v: Vocabulary, ids: np.ndarray) -> str:
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """The column "text" becomes "ids"; it is the last."""
-    encode = model_encoder(path)
+    encode = encoder(path)
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             rows = batch.slice(at, 256)
@@ -288,12 +327,11 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
 def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """doc_id, the columns in ``keep``, and ids (array<int>) of every whole text.
 
-    A BPE model's segmentation is made by its merges; a unigram model's has the largest sum of
-    piece scores, and among equals longer last pieces win. Spaces are written as the model does, with one before the text if
+    A BPE model's segmentation is that of its merges, found by the pairs of pieces that may be neighbours; a
+    unigram model's has the largest sum of piece scores, and among equals longer last pieces win. Spaces are written as the model does, with one before the text if
     the model says so. Characters that no piece has become the ids of their bytes. Null and
     empty texts have no ids; null ids, ties and repeated rows are kept; an empty table gives no
-    rows. A text is never cut: what is held beside it is a window,
-    and for merges the longest stretch between boundaries that no piece crosses.
+    rows. A text is never cut: what is held beside it is a window.
     """
     ship(docs.sparkSession)
     keep = keep or []
