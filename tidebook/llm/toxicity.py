@@ -1,7 +1,13 @@
-"""A toxicity classifier that is held to equal scores when groups of people are swapped."""
+"""A toxicity classifier that is held to equal scores when groups of people are swapped.
+
+Learning has a logistic loss on labelled texts and a penalty on score changes: of a labelled text that names groups of
+people, versions are made with other groups in their places, and the squared differences of their scores count
+as loss. So what tells a toxic text can't be which group it names.
+"""
 
 from __future__ import annotations
 
+import logging
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -12,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, materialize, ship
+from .common import Memory, discard, free_name, held_out, materialize, ship
 
 #: Labelled rows that are learnt from, at most (those with the smallest hash of their id), and features kept.
 MAX_LABELLED = 20_000
@@ -25,11 +31,11 @@ RIDGE = 0.02
 INTERCEPT = 20.0
 COUNTERFACTUAL = 1.0
 THRESHOLD = 0.7
-#: Words whose features a worker keeps; on reaching it, the memory is emptied.
-KNOWN_WORDS = 300_000
+#: Versions with swapped groups that a labelled text has, at most.
+COUNTERFACTUALS = 3
 COUNTED_FEATURES = 500_000
 
-#: Terms for groups of people. Within a line each may be swapped for any other.
+#: Terms for groups of people, in English, French, German and Spanish. Within a line each may be swapped for any other.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys", "transgender"),
     ("woman", "man", "girl", "boy"),
@@ -41,8 +47,25 @@ IDENTITY_TERMS = (
     ("disabled", "deaf", "blind", "autistic"),
     ("immigrants", "refugees", "foreigners", "natives"),
     ("old", "young", "elderly", "teenage"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"),
+    ("africains", "américains", "asiatiques", "arabes", "chinois", "turcs", "polonais"),
+    ("homosexuels", "hétérosexuels", "lesbiennes", "bisexuels"),
+    ("immigrés", "réfugiés", "étrangers", "autochtones"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("christen", "muslime", "juden", "buddhisten", "atheisten"),
+    ("afrikaner", "amerikaner", "asiaten", "araber", "chinesen", "türken", "polen"),
+    ("homosexuelle", "heterosexuelle", "schwule", "lesben", "bisexuelle"),
+    ("einwanderer", "flüchtlinge", "ausländer", "einheimische"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"),
+    ("africanos", "americanos", "asiáticos", "árabes", "chinos", "turcos", "polacos"),
+    ("homosexuales", "heterosexuales", "lesbianas", "bisexuales"),
+    ("inmigrantes", "refugiados", "extranjeros", "nativos"),
 )
 
+Terms = tuple[tuple[str, ...], ...]
+
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -60,16 +83,19 @@ def text_features(words: set[str]) -> set[str]:
     return counts.keys() | {f"{f}2" for f, n in counts.items() if n > 1}
 
 
-def swapped(words: set[str], salt: str) -> set[str] | None:
-    """The words with each identity term replaced by another of its line; None without any such term."""
-    out = None
-    for line in IDENTITY_TERMS:
-        for term in line:
-            if term in words:
-                others = [t for t in line if t != term]
-                out = set(words) if out is None else out
-                out.discard(term)
-                out.add(others[xxhash.xxh32_intdigest(f"{salt}/{term}") % len(others)])
+def swapped(words: set[str], terms: Terms = IDENTITY_TERMS, most: int = COUNTERFACTUALS) -> list[set[str]]:
+    """The words with each identity term replaced by another of its line, in up to ``most`` ways; none without any such term.
+
+    The k-th way takes the k-th term after each in its line, round and round, so that ways differ as long as lines have terms.
+    """
+    named = [(term, line) for line in terms if len(line) > 1 for term in line if term in words]
+    if not named:
+        return []
+    out = []
+    for k in range(1, min(most, max(len(line) for _, line in named) - 1) + 1):
+        other = words.difference(t for t, _ in named)
+        other.update(line[(line.index(t) + 1 + (k - 1) % (len(line) - 1)) % len(line)] for t, line in named)
+        out.append(other)
     return out
 
 
@@ -104,18 +130,17 @@ class Features:
             if f.endswith("*2"):
                 self.number.setdefault(f[:-1], -1 - k)
         self.twice = {self.number[f[:-1]]: k for k, f in enumerate(names) if f.endswith("*2")}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Memory(32 << 20)
 
     def __getstate__(self):
-        return {"number": self.number, "twice": self.twice, "known": {}}
+        return {"number": self.number, "twice": self.twice, "known": Memory(32 << 20)}
 
     def of(self, words: set[str]) -> set[int]:
         known = self.known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
+        known.room()
         get = self.number.get
         for w in words.difference(known):
-            known[w] = tuple(k for f in features_of(w) if (k := get(f)) is not None)
+            known.learn(w, tuple(k for f in features_of(w) if (k := get(f)) is not None))
         out, twice = set(), self.twice
         for w in words:
             for k in known[w]:
@@ -125,17 +150,16 @@ class Features:
         return {k for k in out if k >= 0}
 
 
-def _rows(batches: Iterator[pa.RecordBatch], features: Features) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch], features: Features, terms: Terms, most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         labels, found, other = [], [], []
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = words_in(text or "")
-            swap = swapped(words, str(len(text or "")))
             labels.append(label)
             found.append(sorted(features.of(words)))
-            other.append(None if swap is None else sorted(features.of(swap)))
+            other.append([sorted(features.of(x)) for x in swapped(words, terms, most)])
         kind = pa.list_(pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(found, kind), pa.array(other, kind)], ["toxic", "found", "swapped"])
+        yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(found, kind), pa.array(other, pa.list_(kind))], ["toxic", "found", "swapped"])
 
 
 def sparse(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,40 +167,44 @@ def sparse(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array([k for r in rows for k in r], "int64")
 
 
-def fit(labels: np.ndarray, found: list[list[int]], swaps: list[list[int] | None], n: int, ridge: float = RIDGE, counterfactual: float = COUNTERFACTUAL, pull: float = INTERCEPT, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit(
+    labels: np.ndarray, found: list[list[int]], swaps: list[list[list[int]]], n: int, ridge: float = RIDGE, counterfactual: float = COUNTERFACTUAL, pull: float = INTERCEPT, steps: int = 400
+) -> tuple[np.ndarray, float]:
     """Weights and intercept of a logistic regression.
 
     Minimizes the mean log loss + ridge / 2 * |w|^2 / rows + counterfactual / 2 * the
-    mean square of score (logit) changes under swapped groups, with the intercept drawn to the
-    label's log odds, by gradient steps with momentum, each feature's step scaled by a
-    bound of its curvature.
+    mean square of score (logit) changes under swapped groups + pull / 2 * the intercept's squared
+    distance from the label's log odds / rows, by gradient steps with momentum, each feature's
+    step scaled by a bound of its curvature. ``swaps`` has the features of each text's versions
+    with other groups; the mean is over the texts that have any, and of each over its versions.
     """
     m = len(labels)
     weights, intercept = np.zeros(n), 0.0
     if not m:
         return weights, intercept
     i, j = sparse(found)
-    pairs = [(a, b) for a, b in zip(found, swaps) if b is not None]
-    ci, cj = sparse([a for a, _ in pairs])
-    di, dj = sparse([b for _, b in pairs])
+    pairs = [(a, b, 1 / len(bs)) for a, bs in zip(found, swaps) for b in bs]
+    ci, cj = sparse([a for a, _, _ in pairs])
+    di, dj = sparse([b for _, b, _ in pairs])
     per_row = np.bincount(i, minlength=m)
     # each feature's curvature is bounded by its rows, weighted with how many features they share it with
     bound = np.bincount(j, weights=(1 + per_row[i]) / 4, minlength=n) / m + ridge / m
     if pairs:
-        p = len(pairs)
-        size = np.bincount(ci, minlength=p) + np.bincount(di, minlength=p)
-        bound += counterfactual * (np.bincount(cj, weights=size[ci], minlength=n) + np.bincount(dj, weights=size[di], minlength=n)) / p
+        p, share = len(pairs), np.array([x for _, _, x in pairs])
+        share /= share.sum()
+        size = share * (np.bincount(ci, minlength=p) + np.bincount(di, minlength=p))
+        bound += counterfactual * (np.bincount(cj, weights=size[ci], minlength=n) + np.bincount(dj, weights=size[di], minlength=n))
     bias_bound = (1 + per_row).mean() / 4 + pull / m
-    share = min(max(float(labels.mean()), 0.5 / m), 1 - 0.5 / m)
-    intercept = prior = float(np.log(share / (1 - share)))
+    rate = min(max(float(labels.mean()), 0.5 / m), 1 - 0.5 / m)
+    intercept = prior = float(np.log(rate / (1 - rate)))
     look, look_bias, t = weights.copy(), intercept, 1.0
     for _ in range(steps):
         z = look_bias + np.bincount(i, weights=look[j], minlength=m)
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / m
         slope = np.bincount(j, weights=error[i], minlength=n) + ridge * look / m
         if pairs:
-            change = np.bincount(ci, weights=look[cj], minlength=p) - np.bincount(di, weights=look[dj], minlength=p)
-            slope += counterfactual / p * (np.bincount(cj, weights=change[ci], minlength=n) - np.bincount(dj, weights=change[di], minlength=n))
+            change = share * (np.bincount(ci, weights=look[cj], minlength=p) - np.bincount(di, weights=look[dj], minlength=p))
+            slope += counterfactual * (np.bincount(cj, weights=change[ci], minlength=n) - np.bincount(dj, weights=change[di], minlength=n))
         new, new_bias = look - slope / bound, look_bias - (error.sum() + pull * (look_bias - prior) / m) / bias_bound
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         look, look_bias = new + (t - 1) / t_new * (new - weights), new_bias + (t - 1) / t_new * (new_bias - intercept)
@@ -185,8 +213,11 @@ def fit(labels: np.ndarray, found: list[list[int]], swaps: list[list[int] | None
 
 
 class Classifier:
-    def __init__(self, features: Features, weights: np.ndarray, intercept: float):
+    """What was learnt, from how many labelled texts, and on how many of these the penalty acted."""
+
+    def __init__(self, features: Features, weights: np.ndarray, intercept: float, n_labelled: int = 0, n_swapped: int = 0):
         self.features, self.weights, self.intercept = features, weights.tolist(), intercept
+        self.n_labelled, self.n_swapped = n_labelled, n_swapped
 
     def scores(self, texts: list[str | None]) -> list[float]:
         w, of = self.weights, self.features.of
@@ -194,21 +225,49 @@ class Classifier:
         return (1 / (1 + np.exp(-np.clip(z, -40, 40)))).tolist()
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> Classifier:
+def drawn(known: DataFrame, most: int) -> DataFrame:
+    """Of the rows (__id, __toxic), the ``most`` with the smallest hash of their id.
+
+    The share of hashes that holds them is known beforehand, so that each task hands
+    on no more than its part of them; without that every task would hand on ``most`` rows to the one that sorts them.
+    """
+    draw = F.pmod(F.xxhash64(F.lit(11), "__id"), F.lit(1 << 40))
+    n = known.count()
+    share = (most + 8 * most**0.5 + 100) / max(1, n)
+    some = known if share >= 1 else known.where(draw < int(share * (1 << 40)))
+    if share < 1 and some.count() < most:  # ids that repeat may all hash high
+        some = known
+    return some.orderBy(draw, "__id", "__toxic").limit(most)
+
+
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    max_labelled: int = MAX_LABELLED,
+    terms: Terms = IDENTITY_TERMS,
+    counterfactual: float = COUNTERFACTUAL,
+    counterfactuals: int = COUNTERFACTUALS,
+) -> Classifier:
     """Learn from labelled rows: words and word beginnings that tell toxic texts, with the counterfactual penalty.
 
     At most ``max_labelled`` labels are used, a bounded number that is broadcast to the
     scan of ``docs``. Features are counted in the tasks; kept are those whose
     association with the label couldn't be chance among so many, by their likelihood
     ratio, and the identity terms that occur, so that the penalty can act on them.
+
+    ``terms`` are lines of words for groups of people that may be swapped within their line; each labelled text that has
+    any gets up to ``counterfactuals`` versions with others, and ``counterfactual`` weighs the score changes. How many
+    labelled texts that were is logged, and kept in ``n_swapped``; where it is 0 the penalty does nothing.
     """
     spark = docs.sparkSession
     ship(spark)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.select(F.col(id_col).alias("__id"), (F.col(label_col) > 0).cast("int").alias("__toxic")).distinct()
-    known = known.orderBy(F.xxhash64(F.lit(11), "__id"), "__id", "__toxic").limit(max_labelled)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    training = texts.join(F.broadcast(known), F.col("id") == F.col("__id")).select("text", F.col("__toxic").alias("toxic"))
+    training = texts.join(F.broadcast(drawn(known, max_labelled)), F.col("id") == F.col("__id")).select("text", F.col("__toxic").alias("toxic"))
     training = materialize(training, "toxicity-training")
 
     n, toxic = training.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
@@ -223,17 +282,20 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         least = 2 * np.log(max(10, counted.count()))
         top = counted.withColumn("ratio", ratio).where(F.col("ratio") >= float(least)).orderBy(F.desc("ratio"), "feature").limit(MAX_FEATURES)
         names = [r["feature"] for r in top.collect()]
-        groups = [f for line in IDENTITY_TERMS for term in line for f in features_of(term)]
-        names += [r["feature"] for r in counted.where(F.col("feature").isin(groups)).orderBy("feature").collect() if r["feature"] not in set(names)]
+        groups = [f for line in terms for term in line for f in features_of(term)]
+        names += sorted({r["feature"] for r in counted.where(F.col("feature").isin(groups)).collect()}.difference(names))
     features = Features(names)
-    rows = training.mapInArrow(lambda b: _rows(b, features), "toxic int, found array<int>, swapped array<int>").toArrow()  # max_labelled rows of few numbers
+    rows = training.mapInArrow(lambda b: _rows(b, features, terms, counterfactuals), "toxic int, found array<int>, swapped array<array<int>>").toArrow()  # max_labelled ids' rows of few numbers
     labels_, found, swaps = (rows.column(c).to_pylist() for c in ("toxic", "found", "swapped"))
-    order = sorted(range(len(labels_)), key=lambda k: (labels_[k], found[k], swaps[k] or []))  # the same sums in any order of rows
+    order = sorted(range(len(labels_)), key=lambda k: (labels_[k], found[k], swaps[k]))  # the same sums in any order of rows
     labels_, found, swaps = ([x[k] for k in order] for x in (labels_, found, swaps))
-    weights, intercept = fit(np.array(labels_, float), found, swaps, len(names))
+    weights, intercept = fit(np.array(labels_, float), found, swaps, len(names), counterfactual=counterfactual)
     if not 0 < rate < 1:
         intercept = -40.0 if rate < 1 else 40.0
-    return Classifier(features, weights, intercept)
+    discard(training, counted)
+    n_swapped = sum(map(bool, swaps))
+    logging.getLogger(__name__).info("%d labelled texts, the penalty acts on %d of them", n, n_swapped)
+    return Classifier(features, weights, intercept, n, n_swapped)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.RecordBatch]:
@@ -242,19 +304,29 @@ def _score(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.
         scores: list[float] = []
         for at in range(0, batch.num_rows, 512):
             scores += model.scores(batch.column(0).slice(at, 512).to_pylist())
-        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], [*batch.schema.names[1:], "__score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], [*batch.schema.names[1:], "score"])
 
 
-def score(docs: DataFrame, model: Classifier, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns in ``keep`` (all by default) and __score, 0 to 1, of every whole text."""
+def score(docs: DataFrame, model: Classifier, text_col: str = "text", keep: list[str] | None = None, as_col: str = "__score") -> DataFrame:
+    """The columns in ``keep`` (all by default) and ``as_col``, 0 to 1, of every whole text."""
     ship(docs.sparkSession)
-    kept = docs.select(*keep) if keep else docs
+    kept = docs.select(*keep) if keep is not None else docs
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    rows = docs.select(F.col(text_col).cast("string").alias("__text"), *kept.columns)
-    return rows.mapInArrow(lambda b: _score(b, model), f"{kinds}, __score double")
-
-
-def toxicity(docs: DataFrame, labels: DataFrame, fold: int = 3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
+    rows = docs.select(F.col(text_col).cast("string").alias(free_name(kept, "__text")), *kept.columns)
+    return rows.mapInArrow(lambda b: _score(b, model), f"{kinds}, `{as_col}` double")
+
+
+def toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    fold: int = 3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    max_labelled: int = MAX_LABELLED,
+    terms: Terms = IDENTITY_TERMS,
+    counterfactual: float = COUNTERFACTUAL,
+) -> DataFrame:
     """Score every whole text, learning from labels of rows that aren't held out.
 
     Held out are rows with crc32(id as text) mod ``fold`` equal to 1. Only words decide a
@@ -264,14 +336,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, fold: int = 3, id_col: str = "d
     one score (0, or 1 if all are toxic); repeated rows are scored alike; an empty table gives
     no rows. Other columns are ignored.
     """
-    model = learn(docs, labels.where(~held_out(fold, id_col)), id_col, text_col, label_col, max_labelled)
-    return score(docs, model, text_col, [id_col]).select(
+    model = learn(docs, labels.where(~held_out(fold, id_col)), id_col, text_col, label_col, max_labelled, terms, counterfactual)
+    return score(docs, model, text_col, [id_col], "__score").select(
         F.col(id_col).alias("doc_id"), held_out(fold, id_col).alias("held_out"), F.col("__score").alias("score"),
         (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"),
     )
 
 
-def keep_civil(docs: DataFrame, labels: DataFrame, fold: int = 3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD) -> DataFrame:
+def keep_civil(
+    docs: DataFrame,
+    labels: DataFrame,
+    fold: int = 3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    max_labelled: int = MAX_LABELLED,
+    threshold: float = THRESHOLD,
+    terms: Terms = IDENTITY_TERMS,
+) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score below ``threshold``."""
-    model = learn(docs, labels.where(~held_out(fold, id_col)), id_col, text_col, label_col, max_labelled)
-    return score(docs, model, text_col).where(F.col("__score") < threshold).drop("__score")
+    model = learn(docs, labels.where(~held_out(fold, id_col)), id_col, text_col, label_col, max_labelled, terms)
+    as_col = free_name(docs, "__score")
+    return score(docs, model, text_col, as_col=as_col).where(F.col(as_col) < threshold).drop(as_col)
