@@ -4,6 +4,10 @@ The largest inner products of a query are its nearest neighbours once every vect
 gets one more component sqrt(R^2 - |x|^2), with R the largest norm, and the query a 0:
 then the squared distance is |q|^2 + R^2 - 2 * (q . x). So a metric tree over the
 longer vectors answers the search, while scores are integer inner products.
+
+A tree over all vectors is kept in two parts. Its upper levels are regions: a table of routing vectors with covering
+radii, split again and again until a region has no more than TREE_ROWS vectors; queries go down it in joins.
+Each such region is then an M-tree of pages that one task searches. Every region has an R of its own.
 """
 
 from __future__ import annotations
@@ -16,23 +20,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, packed, ship
+from .common import discard, join_counted, materialize, packed, ship
 
-#: Entries of a node's page; vectors of one tree; regions that trees are made from; queries searched together.
+#: Entries of a node's page; vectors of one tree; regions that a region is split into at most, about; vectors dealt to regions in one task; queries searched together.
 PAGE = 64
 TREE_ROWS = 4096
-MAX_REGIONS = 1024
+FANOUT = 512
+DEALT_ROWS = 65_536
 QUERY_BLOCK = 2048
-#: Bounds are compared with this much to spare, for the rounding of square roots.
+#: Regions are split so many times at most: enough for any number of vectors that are not all alike.
+MAX_LEVELS = 12
+#: Squared norms below this: no score overflows.
+MAX_SQUARES = float(1 << 62)
+#: Bounds are compared with this much to spare of themselves and of the norms, for distances lose so much of these by rounding at most.
 SLACK = 1e-6
 
-NODES = "tree bigint, node int, leaf boolean, parent_distances array<double>, radii array<double>, children array<int>, ids array<bigint>, vectors binary"
+NODES = "region string, r2 bigint, node int, leaf boolean, parent_distances array<double>, radii array<double>, children array<int>, ids array<bigint>, vectors binary"
 
 
 def quantize(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """id and v, with floor(scale * x) of each component; rows without an id or with null or non-finite components are left out."""
+    """id and v, with floor(scale * x) of each component.
+
+    Rows without an id, with null or non-finite components, or with a squared norm of 2^62 or more after scaling, beyond
+    which scores aren't integers of 64 bits, are left out.
+    """
     x = F.col(vector_col)
     usable = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    squares = F.aggregate(x, F.lit(0.0), lambda s, c: s + F.pow(F.abs(c.cast("double") * scale) + 1, F.lit(2.0)))
+    usable = usable & (squares < MAX_SQUARES)
     return table.where(F.col(id_col).isNotNull() & x.isNotNull()).where(usable).select(
         F.col(id_col).cast("bigint").alias("id"), F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("bigint")).alias("v")
     )
@@ -59,7 +74,7 @@ def distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
 # --- building -------------------------------------------------------------------
 
 
-def build(ids: np.ndarray, x: np.ndarray, r2: int, tree: int) -> list[dict]:
+def build(ids: np.ndarray, x: np.ndarray, r2: int, seed: int = 7) -> list[dict]:
     """The pages of one M-tree, node 0 its root.
 
     A leaf's entries are vectors, an inner node's are routing vectors with covering
@@ -68,7 +83,7 @@ def build(ids: np.ndarray, x: np.ndarray, r2: int, tree: int) -> list[dict]:
     """
     pages: list[dict] = []
     long = longer(x, r2)
-    draw = np.random.default_rng(tree)
+    draw = np.random.default_rng(seed)
 
     def page(rows: np.ndarray, parent: np.ndarray | None) -> int:
         number = len(pages)
@@ -96,12 +111,15 @@ def build(ids: np.ndarray, x: np.ndarray, r2: int, tree: int) -> list[dict]:
     return pages
 
 
-def _build(rows: pa.Table, r2: int) -> pa.Table:
-    tree = rows.column("tree")[0].as_py()
+def _build(rows: pa.Table) -> pa.Table:
+    region = rows.column("region")[0].as_py()
     rows = rows.sort_by([("id", "ascending")])
-    pages = build(rows.column("id").to_numpy(), matrix(rows.column("v")), r2, tree)
+    x = matrix(rows.column("v"))
+    r2 = int((x * x).sum(axis=1).max())
+    pages = build(rows.column("id").to_numpy(), x, r2)
     return pa.table({
-        "tree": pa.array([tree] * len(pages), pa.int64()),
+        "region": pa.array([region] * len(pages)),
+        "r2": pa.array([r2] * len(pages), pa.int64()),
         "node": pa.array(range(len(pages)), pa.int32()),
         "leaf": pa.array([p["leaf"] for p in pages]),
         "parent_distances": pa.array([list(p["parent_distances"]) for p in pages], pa.list_(pa.float64())),
@@ -116,9 +134,11 @@ def _build(rows: pa.Table, r2: int) -> pa.Table:
 
 
 class Tree:
-    def __init__(self, pages: pa.Table, r2: int):
-        self.r2, self.pages = r2, {}
-        for p in pages.to_pylist():
+    """The pages of one region; ``computed`` counts the inner products and distances that searches have taken."""
+
+    def __init__(self, pages: list[dict], r2: int):
+        self.r2, self.pages, self.computed = r2, {}, 0
+        for p in pages:
             n = len(p["ids"])
             x = np.frombuffer(p["vectors"], "<i8")
             x = x.reshape(n, len(x) // n)
@@ -130,19 +150,20 @@ class Tree:
     def search(self, own: int, q: np.ndarray, k: int, least: int | None) -> list[tuple[int, int]]:
         """The k best (score, id) but for the id ``own``, and not those below the score ``least`` already reached."""
         base = int((q * q).sum()) + self.r2
-        point = np.append(q, 0).astype("float64")
+        point, rounding = np.append(q, 0).astype("float64"), SLACK * (base + 1) ** 0.5
         best: list[tuple[int, int]] = []  # heap of (score, -id)
         reach = np.inf if least is None else (max(0, base - 2 * least)) ** 0.5
         queue: list[tuple[float, int, float | None]] = [(0.0, 0, None)]
         while queue:
             bound, node, up = heapq.heappop(queue)
-            if bound > reach * (1 + SLACK) + SLACK:
+            spare = reach * (1 + SLACK) + rounding
+            if bound > spare:
                 break
             leaf, away, radii, children, ids, x, routing = self.pages[node]
-            spare = reach * (1 + SLACK) + SLACK
             if leaf:
                 # an entry's distance is at least |d(q, parent) - d(entry, parent)|: most need no computing
                 rows = np.arange(len(ids)) if up is None else np.flatnonzero(np.abs(away - up) <= spare)
+                self.computed += len(rows)
                 for score, i in zip((x[rows] @ q).tolist(), ids[rows].tolist()):
                     if i == own or least is not None and score < least:
                         continue
@@ -154,6 +175,7 @@ class Tree:
                     reach = min(reach, max(0, base - 2 * best[0][0]) ** 0.5)
             else:
                 rows = np.arange(len(ids)) if up is None else np.flatnonzero(np.abs(away - up) - radii <= spare)
+                self.computed += len(rows)
                 apart = point - routing[rows]
                 to = np.sqrt((apart * apart).sum(axis=1))
                 for r, d in zip(rows.tolist(), to.tolist()):
@@ -163,94 +185,143 @@ class Tree:
         return sorted(((s, -i) for s, i in best), key=lambda b: (-b[0], b[1]))
 
 
-def _search(pages: pa.Table, queries: pa.Table, r2: int, k: int) -> pa.Table:
+def _search(pages: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     out: list[tuple[int, int, int]] = []
     if pages.num_rows and queries.num_rows:
-        tree = Tree(pages, r2)
+        tree = Tree(pages.to_pylist(), pages.column("r2")[0].as_py())
         for own, q, least in zip(queries.column("id").to_pylist(), matrix(queries.column("v")), queries.column("least").to_pylist()):
             out += [(own, i, s) for s, i in tree.search(own, q, k, least)]
     return pa.table({name: pa.array([x[c] for x in out], pa.int64()) for c, name in enumerate(("query_id", "vec_id", "score"))})
 
 
-# --- on Spark -------------------------------------------------------------------
+# --- regions --------------------------------------------------------------------
+
+
+def _deal(rows: pa.Table, centres: pa.Table) -> pa.Table:
+    """Vectors of a region to the nearest of its centres, whose regions they become."""
+    near, away = np.zeros(rows.num_rows, "int64"), np.zeros(rows.num_rows)
+    if rows.num_rows and centres.num_rows:
+        centres = centres.sort_by([("id", "ascending")])
+        r2 = rows.column("r2")[0].as_py()
+        points, x = longer(matrix(centres.column("v")), r2), matrix(rows.column("v"))
+        for at in range(0, len(x), 4096):
+            apart = distances(longer(x[at : at + 4096], r2), points)
+            near[at : at + 4096], away[at : at + 4096] = apart.argmin(axis=1), apart.min(axis=1)
+    parent, n = rows.column("region").to_pylist(), max(1, centres.num_rows)
+    used = centres.column("v").to_pylist() if centres.num_rows else [[]]
+    # a centre comes along with one of its vectors, so that it is kept once for each task
+    first = np.zeros(rows.num_rows, bool)
+    first[np.unique(near, return_index=True)[1]] = True
+    return pa.table({
+        "parent": pa.array(parent, pa.string()),
+        "region": pa.array([f"{p}/{k}" if n > 1 else p for p, k in zip(parent, near.tolist())], pa.string()),
+        "id": rows.column("id"), "v": rows.column("v"), "away": pa.array(away), "parent_r2": rows.column("r2"),
+        "centre": pa.array([used[k] if f else None for k, f in zip(near.tolist(), first.tolist())], pa.list_(pa.int64())),
+    })
+
+
+DEALT = "parent string, region string, id bigint, v array<bigint>, away double, parent_r2 bigint, centre array<bigint>"
+
+
+def _go_down(children: pa.Table, queries: pa.Table, first: bool) -> pa.Table:
+    """Queries at a region go on to its children: the nearest one if ``first``, else all that may hold a score of ``least`` or more."""
+    rows, found = [], []
+    if children.num_rows and queries.num_rows:
+        children = children.sort_by([("child", "ascending")])
+        r2, q = children.column("r2")[0].as_py(), matrix(queries.column("v"))
+        away = distances(np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype("float64"), longer(matrix(children.column("centre")), r2))
+        names, radii = children.column("child").to_pylist(), children.column("radius").to_numpy()
+        for i, least in enumerate(queries.column("least").to_pylist()):
+            if first:
+                wanted = [int(away[i].argmin())]
+            else:
+                base = int((q[i] * q[i]).sum()) + r2
+                reach = np.inf if least is None else max(0, base - 2 * least) ** 0.5
+                wanted = np.flatnonzero(away[i] - radii <= reach * (1 + SLACK) + SLACK * (base + 1) ** 0.5).tolist()
+            found += [names[k] for k in wanted]
+            rows += [i] * len(wanted)
+    taken = queries.select(["id", "v", "least", "home"]).take(pa.array(rows, pa.int64()))
+    return taken.append_column("at", pa.array(found, pa.string()))
+
+
+ASKED = "id bigint, v array<bigint>, least bigint, home string, at string"
 
 
 class Index:
-    """M-trees over all vectors of one length: the table of their pages, and what routes queries to them."""
+    """A metric tree over vectors of any lengths: levels of regions, and the pages of the regions that are not split."""
 
     def __init__(self, vectors: DataFrame, seed: int = 7):
-        """``vectors``: id, v as quantize() gives them, all of one length.
+        """``vectors``: id, v as quantize() gives them.
 
-        Up to MAX_REGIONS vectors, one for each TREE_ROWS, are drawn as centres of
-        regions: a bounded number, with which nothing but the routing is decided. All
-        vectors go to their nearest centre's region, and a region with more than
-        TREE_ROWS vectors, such as one around a very common vector, has several trees.
+        All vectors of one length are a region to begin with. A region with more than TREE_ROWS vectors is split:
+        some of its vectors, about as many as parts are wanted, are drawn as centres by a hash of their id, and every vector
+        goes to the nearest. Regions of any size are dealt in tasks of about DEALT_ROWS vectors. Nothing
+        is collected but numbers of rows.
         """
-        spark = vectors.sparkSession
-        ship(spark)
-        n, norm = vectors.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0).cast("bigint"), lambda s, c: s + c * c))).first()
-        self.r2 = r2 = int(norm or 0)
-        drawn = vectors.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(min(MAX_REGIONS, packed(n, TREE_ROWS))).collect()
-        self.centres = longer(np.array([r["v"] for r in drawn], "int64").reshape(len(drawn), -1), r2) if drawn else np.zeros((0, 1))
-        centres = self.centres
-
-        def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if b.num_rows:
-                    away = distances(longer(matrix(b.column(1)), r2), centres)
-                    near = away.argmin(axis=1)
-                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near.astype("int32")), pa.array(away.min(axis=1))], ["id", "v", "region", "away"])
-
-        dealt = materialize(vectors.select("id", "v").mapInArrow(assign, "id bigint, v array<bigint>, region int, away double"), "mtree-dealt")
-        regions = dealt.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).collect()  # MAX_REGIONS at most
-        self.trees = {r["region"]: packed(r["n"], TREE_ROWS) for r in regions}
-        self.radii = np.array([next((r["radius"] for r in regions if r["region"] == k), -np.inf) for k in range(len(centres))])
-        shares = F.get(F.array(*[F.lit(self.trees.get(k, 1)) for k in range(max(1, len(centres)))]), F.col("region"))
-        tree = F.col("region").cast("bigint") * (1 << 32) + F.pmod(F.xxhash64("id"), shares)
-        self.pages = materialize(dealt.withColumn("tree", tree).groupBy("tree").applyInArrow(lambda rows: _build(rows, r2), NODES), "mtree-pages")
-
-    def route(self, queries: DataFrame, first: bool) -> DataFrame:
-        """(id, v, least, tree) for the trees that each query is to search.
-
-        ``first``: one tree of the nearest region. Else all that may hold a score of
-        ``least`` or more by their region's radius, but for that first one.
+        ship(vectors.sparkSession)
+        squares = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, c: s + c * c)
+        whole = materialize(vectors.select(F.size("v").cast("string").alias("region"), "id", "v"), "mtree-vectors")
+        self.levels: list[DataFrame] = []
+        done, left, most = [], whole, None
+        for level in range(MAX_LEVELS):
+            sizes = left.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.max(squares).alias("r2")).withColumnRenamed("region", "r")
+            sizes = materialize(sizes, "mtree-sizes")
+            total, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+            if largest <= TREE_ROWS or most is not None and largest >= most:
+                break
+            most = largest
+            sized = materialize(join_counted(left, sizes, "region", "r", "n", total), "mtree-sized")
+            large = F.col("n") > TREE_ROWS
+            done.append(sized.where(~large).select("region", "id", "v"))
+            wanted = F.least(F.lit(FANOUT), F.ceil(F.col("n") / TREE_ROWS) * 2)
+            # the number drawn varies; that none is drawn, and the region stays as it is, has a chance of e^-8 at most
+            drawn = sized.where(large & (F.pmod(F.xxhash64(F.lit(seed + level), "id"), F.lit(1 << 40)) < (wanted + 6) / F.col("n") * (1 << 40)))
+            tasks = F.ceil(F.col("n") / DEALT_ROWS)
+            rows = sized.where(large).select("region", F.pmod(F.xxhash64("id"), tasks).alias("task"), "id", "v", "r2")
+            centres = drawn.select(F.col("region").alias("of"), F.explode(F.sequence(F.lit(0).cast("bigint"), tasks - 1)).alias("of_task"), "id", "v")
+            dealt = rows.groupBy("region", "task").cogroup(centres.groupBy("of", "of_task")).applyInArrow(_deal, DEALT)
+            dealt = materialize(dealt, "mtree-dealt", packed(total, DEALT_ROWS))
+            children = dealt.groupBy(F.col("region").alias("child")).agg(
+                F.min("parent").alias("region"), F.max("away").alias("radius"), F.min("parent_r2").alias("r2"), F.any_value("centre", True).alias("centre")
+            )
+            self.levels.append(materialize(children.where("child <> region").select("region", "child", "radius", "r2", "centre"), "mtree-level"))
+            left = dealt.select("region", "id", "v")
+        done.append(left)
+        rows = done[0]
+        for part in done[1:]:
+            rows = rows.unionByName(part)
+        self.pages = materialize(rows.groupBy("region").applyInArrow(_build, NODES), "mtree-pages")
+
+    def route(self, queries: DataFrame, first: bool, blocks: int) -> DataFrame:
+        """(id, v, least, home, at) for the regions that each query (id, v, least, home) is to search.
+
+        ``first``: one region, by the nearest centres. Else all that may hold a score of
+        ``least`` or more by their radius, but for ``home``.
         """
-        centres, radii, trees, r2 = self.centres, self.radii, self.trees, self.r2
-
-        def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                q = matrix(b.column(1))
-                away = distances(np.concatenate([q, np.zeros((len(q), 1))], axis=1), centres)
-                rows, found = [], []
-                for i, least in enumerate(b.column(2).to_pylist()):
-                    home = int(away[i].argmin())
-                    if first:
-                        wanted = [home << 32]
-                    else:
-                        reach = np.inf if least is None else max(0, int((q[i] * q[i]).sum()) + r2 - 2 * least) ** 0.5
-                        near = np.flatnonzero(away[i] - radii <= reach * (1 + SLACK) + SLACK).tolist()
-                        wanted = [(k << 32) + t for k in near for t in range(trees.get(k, 0)) if (k, t) != (home, 0)]
-                    found += wanted
-                    rows += [i] * len(wanted)
-                taken = b.take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(found, pa.int64())], ["id", "v", "least", "tree"])
-
-        return queries.select("id", "v", "least").mapInArrow(routed, "id bigint, v array<bigint>, least bigint, tree bigint")
+        going = queries.withColumn("at", F.size("v").cast("string"))
+        for level in self.levels:
+            asked, children = in_blocks(going, level, blocks)
+            moved = children.groupBy("region", "block").cogroup(asked.groupBy("at", "in_block")).applyInArrow(lambda c, q: _go_down(c, q, first), ASKED)
+            # regions that this level doesn't split are where their queries stay
+            going = moved.unionByName(going.join(level.select(F.col("region").alias("at")).distinct(), "at", "left_anti").select("id", "v", "least", "home", "at"))
+            going = materialize(going, "mtree-routed")
+        return going if first else going.where(~F.col("at").eqNullSafe(F.col("home")))
 
     def search(self, routed: DataFrame, k: int, blocks: int) -> DataFrame:
-        """query_id, vec_id, score of each tree's best, searched by blocks of queries."""
-        r2 = self.r2
-        routed = routed.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-        wanted = routed.select("tree", "block").distinct()
-        pages = self.pages.join(wanted, "tree")
-        asked = routed.select("id", "v", "least", F.col("tree").alias("in_tree"), F.col("block").alias("in_block"))
-        return pages.groupBy("tree", "block").cogroup(asked.groupBy("in_tree", "in_block")).applyInArrow(
-            lambda p, q: _search(p, q, r2, k), "query_id bigint, vec_id bigint, score bigint"
+        """query_id, vec_id, score of the best of each region, searched by blocks of queries."""
+        asked, pages = in_blocks(routed, self.pages, blocks)
+        return pages.groupBy("region", "block").cogroup(asked.groupBy("at", "in_block")).applyInArrow(
+            lambda p, q: _search(p, q, k), "query_id bigint, vec_id bigint, score bigint"
         )
 
 
+def in_blocks(asked: DataFrame, regions: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """Queries with the number of their block, and the regions' rows once for each block that has a query there."""
+    asked = asked.withColumn("in_block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    wanted = asked.select(F.col("at").alias("wanted"), F.col("in_block").alias("block")).distinct()
+    return asked, regions.join(wanted, F.col("region") == F.col("wanted")).drop("wanted")
+
+
 def best_of(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -266,34 +337,27 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` highest integer inner products of every query with all other rows of ``table``.
 
-    Trees are built over all vectors; a query first searches one tree of its
-    nearest region, and with the k-th score found there it goes to all trees that may
-    hold as much. Best-first search within a tree: nodes by their smallest possible
+    A tree is built over all vectors; a query first goes down to one region, and with the k-th score found there it
+    goes to all that may hold as much. Best-first search within a region: nodes by their smallest possible
     distance, entries passed over by their stored distance to the node's own routing
-    vector.
+    vector. Of equal vectors, however many, the k + 1 with the smallest ids are in the tree: ties go to
+    the smaller vec_id, so no other can be among a query's best.
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; fewer
-    rows than k where there are fewer vectors. Rows with a null id, a null vector, or null
-    or non-finite components take no part. Vectors meet those of equal length only. Repeated ids
-    count as the same vector where they are equal, and a query never meets its own id. An
-    empty table gives no rows. Other columns are ignored.
+    rows than k where there are fewer vectors. Rows with a null id, a null vector, null
+    or non-finite components, or components so large that scores would overflow 64 bits, take no part. Vectors meet
+    those of equal length only. Repeated ids count as the same vector where they are equal, and a query never
+    meets its own id. An empty table gives no rows. Other columns are ignored.
     """
-    spark = table.sparkSession
-    vectors = materialize(quantize(table, id_col, vector_col, scale).distinct(), "mtree-vectors")
-    asked = quantize(queries, id_col, vector_col, scale).distinct().withColumn("least", F.lit(None).cast("bigint"))
-    asked = materialize(asked, "mtree-queries")
-    results = None
-    lengths = [r[0] for r in vectors.select(F.size("v")).distinct().collect()]
-    for length in lengths:
-        index = Index(vectors.where(F.size("v") == length))
-        mine = asked.where(F.size("v") == length)
-        blocks = packed(mine.count(), QUERY_BLOCK)
-        first = materialize(index.search(index.route(mine, True), k, blocks), "mtree-first")
-        reached = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s")).where(F.col("n") >= k)
-        bounded = mine.drop("least").join(reached, F.col("id") == F.col("query_id"), "left").select("id", "v", F.col("s").alias("least"))
-        rest = index.search(index.route(bounded, False), k, blocks)
-        part = best_of(first.unionByName(rest), k)
-        results = part if results is None else results.unionByName(part)
-    if results is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    return results.select("query_id", "rank", "vec_id", "score")
+    vectors = quantize(table, id_col, vector_col, scale).distinct()
+    copies = Window.partitionBy("v").orderBy("id")
+    index = Index(vectors.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).select("id", "v"))
+    asked = quantize(queries, id_col, vector_col, scale).distinct()
+    asked = materialize(asked.select("id", "v", F.lit(None).cast("bigint").alias("least"), F.lit(None).cast("string").alias("home")), "mtree-queries")
+    blocks = packed(asked.count(), QUERY_BLOCK)
+    routed = index.route(asked, True, blocks)
+    first = materialize(index.search(routed, k, blocks), "mtree-first")
+    reached = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s")).where(F.col("n") >= k)
+    bounded = routed.select("id", "v", F.col("at").alias("home")).join(reached, F.col("id") == F.col("query_id"), "left")
+    rest = index.search(index.route(bounded.select("id", "v", F.col("s").alias("least"), "home"), False, blocks), k, blocks)
+    return best_of(first.unionByName(rest), k).select("query_id", "rank", "vec_id", "score")
