@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, materialize, ship
+from .common import discard, held_out, materialize, packed, ship
 
 #: Model size: hidden states, words that are classes of their own, classes of word endings and their letters.
 STATES = 8
@@ -34,6 +34,12 @@ DOCUMENTS_AT_ONCE = 1024
 #: A block of documents is closed at so many distinct words or bytes of text.
 BLOCK_WORDS = 1_000_000
 BLOCK_BYTES = 8 << 20
+#: The most frequent words, those with a class of their own among them, of so many bytes at most each: they are broadcast.
+COMMON_WORDS = 65_536
+COMMON_BYTES = 48
+#: Words of blocks, and blocks, that one task of a shuffle has, about.
+WORDS_PER_TASK = 2_000_000
+BLOCKS_PER_TASK = 4
 
 END = ""  # no word is empty
 
@@ -344,39 +350,46 @@ def score_documents(
     ship(spark)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), held_out(fold, id_col).alias("held"), F.col(text_col).cast("string").alias("text"))
     blocks = materialize(rows.mapInArrow(_blocks, BLOCK_SQL), "hmm-blocks")
+    n_blocks, n_words = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
+    by_word, by_block = packed(n_words, WORDS_PER_TASK), packed(n_blocks, BLOCKS_PER_TASK)
 
     local = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
         "block", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("n")
     )
-    vocabulary = materialize(local.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "hmm-vocabulary")
+    vocabulary = materialize(local.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "hmm-vocabulary", by_word)
     tokens, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    own = vocabulary.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(OWN_CLASSES).select("word")
-    own = [r["word"] for r in own.collect()]  # OWN_CLASSES words at most
-    own_classes = F.broadcast(spark.createDataFrame([(w, k + 1) for k, w in enumerate(own)], "own_word string, own int"))
-    n_classes = 1 + len(own) + ENDING_CLASSES
-
-    def with_class(words: DataFrame) -> DataFrame:
-        joined = words.join(own_classes, F.col("word") == F.col("own_word"), "left")
-        return joined.withColumn("kind", class_of(F.col("word"), F.col("own"), len(own))).drop("own_word", "own")
-
-    summed = with_class(vocabulary).groupBy("kind").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()  # a row per class at most
+    short = vocabulary.where((F.col("word") != END) & (F.octet_length("word") <= COMMON_BYTES))
+    common = short.orderBy(F.desc("c"), "word").limit(COMMON_WORDS).collect()  # of bounded number and size
+    n_own = min(OWN_CLASSES, len(common))
+    known = [(r["word"], r["c"], k + 1 if k < n_own else None) for k, r in enumerate(common)]
+    known = F.broadcast(spark.createDataFrame(known, "w string, known_c bigint, own int"))
+    n_classes = 1 + n_own + ENDING_CLASSES
+    kind = class_of(F.col("word"), F.col("own"), n_own).alias("kind")
+
+    classes = vocabulary.join(known, F.col("word") == F.col("w"), "left").select("c", kind)
+    summed = classes.groupBy("kind").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()  # a row per class at most
     class_tokens, class_words = np.zeros(n_classes), np.zeros(n_classes)
     class_tokens[summed.column("kind").to_numpy()] = summed.column("n").to_numpy()
     class_words[summed.column("kind").to_numpy()] = summed.column("v").to_numpy()
     shares = Shares(tokens, distinct, class_tokens, class_words)
 
-    # counts and classes go back to the blocks, in the places of their words. A word occurs once in a block
-    # at most, so none has more than a row for each block, and a block gathers as many rows as it has words
-    counted = local.select("block", "place", "word").join(vocabulary, "word", "left")
-    counted = with_class(counted).select("block", "place", F.coalesce("c", F.lit(0)).alias("c"), "kind")
+    # counts and classes go back to the blocks, in the places of their words. Common words and the end, which nearly
+    # all blocks have, are looked up where they are; only the others meet their counts in a shuffle
+    ends = vocabulary.where(F.col("word") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    marked = local.select("block", "place", "word").join(known, F.col("word") == F.col("w"), "left")
+    marked = marked.withColumn("known_c", F.when(F.col("word") == END, F.lit(ends)).otherwise(F.col("known_c")))
+    here = marked.where("known_c is not null").select("block", "place", F.col("known_c").alias("c"), kind)
+    others = marked.where("known_c is null").select("block", "place", "word", "own").join(vocabulary, "word", "left")
+    counted = here.unionByName(others.select("block", "place", F.coalesce("c", F.lit(0)).alias("c"), kind))
     places = counted.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "c", "kind"))).alias("x"))
     places = places.select("block", F.col("x.c").alias("counts"), F.col("x.kind").alias("kinds"))
     coded = blocks.select("block", "doc_ids", "held", "lengths", "codes").join(places, "block")
-    coded = materialize(coded.select("doc_ids", "held", "lengths", "codes", "counts", "kinds"), "hmm-coded")
+    coded = materialize(coded.select("doc_ids", "held", "lengths", "codes", "counts", "kinds"), "hmm-coded", max(by_word, by_block))
+    discard(blocks, vocabulary)
 
     model, likelihoods = train(coded, class_tokens, states, rounds)
     logging.getLogger(__name__).info("log likelihood before each round: %s", likelihoods)
-    first_ending = 1 + len(own)
+    first_ending = 1 + n_own
     kinds = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     scored = coded.mapInArrow(lambda b: _score(b, model, shares, first_ending), kinds)
     return scored.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
