@@ -238,6 +238,9 @@ def test_simhash(docs, rows):
 
 @pytest.mark.parametrize("blocks", [5, 7, 9])
 def test_fingerprint_links_in_dense_clusters(spark, blocks, monkeypatch):
+    from tidebook.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 20)  # nodes with more links than that are joined as hot ones
     draw = random.Random(blocks)
     values = set()
     for _ in range(6):
@@ -281,19 +284,16 @@ def test_deduplicate_keeps_one_of_each_group(docs, rows):
     assert sorted(map(repr, ids)) == sorted(repr(k) for k, _ in classes)
 
 
-def test_top_k(spark):
+def test_top_k(spark, monkeypatch):
     draw = np.random.default_rng(2)
     x = draw.normal(0, 0.3, (700, 8)).round(1)
     x[100:300] = x[100]  # a very common vector
     rows = [(k, [float(c) for c in v]) for k, v in enumerate(x)]
     rows += [(700, None), (701, [None] * 8), (702, [float("nan")] + [0.0] * 7), (703, [float("inf")] + [0.0] * 7), (None, [1.0] * 8), (750, [9.0, 9.0]), (800, [1.0, -1.0])]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    old = mtree.TREE_ROWS, mtree.PAGE
-    mtree.TREE_ROWS = 150
-    try:
-        got = sorted(tuple(r) for r in mtree.top_k(table, table.where("vec_id % 50 = 0"), k=5).collect())
-    finally:
-        mtree.TREE_ROWS, mtree.PAGE = old
+    for name, value in (("TREE_ROWS", 40), ("FANOUT", 3), ("DEALT_ROWS", 100), ("QUERY_BLOCK", 6)):
+        monkeypatch.setattr(mtree, name, value)
+    got = sorted(tuple(r) for r in mtree.top_k(table, table.where("vec_id % 50 = 0"), k=5).collect())
     usable = [(i, [math.floor(256 * c) for c in v]) for i, v in rows if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
     want = []
     for i, q in usable:
@@ -311,6 +311,36 @@ def test_tree_passes_over_most_vectors():
     pages = mtree.build(np.arange(4000), x, r2, 1)
     seen = sum(len(p["ids"]) for p in pages if p["leaf"])
     assert seen == 4000 and max(len(p["ids"]) for p in pages) <= mtree.PAGE
+    tree = mtree.Tree([p | {"node": k} for k, p in enumerate([p | {"vectors": p["vectors"].astype("<i8").tobytes()} for p in pages])], r2)
+    for q in range(0, 4000, 40):
+        scores = x @ x[q]
+        want = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
+        assert tree.search(q, x[q], 5, None) == [(-s, i) for s, i in want]
+    assert tree.computed < 0.1 * 100 * 4000  # of a hundred searches
+
+
+def test_regions_of_clustered_vectors(spark, monkeypatch):
+    """On clusters, of the regions few are searched, and a hot vector's copies are few in the tree."""
+    draw = np.random.default_rng(6)
+    centres = draw.normal(0, 2, (60, 8))
+    centres *= 4 / np.linalg.norm(centres, axis=1, keepdims=True)
+    x = centres[draw.integers(0, 60, 3000)] + draw.normal(0, 0.02, (3000, 8))
+    x[:1000] = x[0]
+    table = spark.createDataFrame([(k, [float(c) for c in v]) for k, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    for name, value in (("TREE_ROWS", 64), ("FANOUT", 8), ("DEALT_ROWS", 500)):
+        monkeypatch.setattr(mtree, name, value)
+    routed = []
+    route = mtree.Index.route
+    monkeypatch.setattr(mtree.Index, "route", lambda self, q, first, blocks: routed.append(r := route(self, q, first, blocks)) or r)
+    got = sorted(tuple(r) for r in mtree.top_k(table, table.where("vec_id % 50 = 0"), k=5).collect())
+    v = np.floor(256 * x).astype("int64")
+    want = []
+    for q in range(0, 3000, 50):
+        best = sorted((-int(s), i) for i, s in enumerate(v @ v[q]) if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert got == want
+    regions = mtree.Index(mtree.quantize(table).where("id = 0 or id >= 1000")).pages.select("region").distinct().count()
+    assert regions > 30 and routed[1].count() < 0.25 * 60 * regions
 
 
 def test_warc_round_trip(spark, tmp_path):
@@ -457,9 +487,11 @@ def test_streaming_viterbi_finds_the_best_segmentation(pieces, rows):
     from tidebook.llm.sentencepiece_viterbi import StreamingViterbi
 
     score = lambda found: sum(pieces.score.get(p, pieces.unknown_score) for p in found)
-    for _, text, *_ in rows:
-        text = pieces.normalize(text or "")[:1500]
-        for step in (1, 7, 10_000):
+    for k, (_, text, *_) in enumerate(rows):
+        text = pieces.normalize(text or "")
+        if len(text) > 3000 and k % 4:
+            continue  # the plain version is slow
+        for step in (7, 10_000) if len(text) > 1000 else (1, 7, 10_000):
             stream, found, widest = StreamingViterbi(pieces), [], 0
             for at in range(0, len(text), step):
                 found += stream.feed(text[at : at + step])
@@ -482,7 +514,7 @@ def test_encoding_is_the_librarys_for_unigrams(pieces, rows):
     sp = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
     texts = [t for _, t, *_ in rows if t and len(t) < 400 and t.isprintable() and "  " not in t and "▁" not in t and all(c in pieces.score for c in t.replace(" ", "▁"))]
     assert len(texts) > 20
-    got = [np.frombuffer(x, "<i4").tolist() for x in encoder(tokenizer_path("piece_bpe_32k.model"))(texts)]
+    got = [np.frombuffer(x, "<i4").tolist() for x in encoder(tokenizer_path("piece_bpe_32k.model"), merges=False)(texts)]
     assert got == sp.encode(texts)
 
 
@@ -546,12 +578,9 @@ def test_swapping_groups_hardly_changes_scores(labelled):
     model = toxicity.learn(docs, labels)
     logit = lambda t: math.log((s := model.scores([t])[0]) / (1 - s))
     gap = abs(logit("the muslim neighbour") - logit("the christian neighbour"))
+    assert model.n_labelled == 1500 and 1200 < model.n_swapped < 1500
     # the same without the penalty takes the group for a sign
-    old, toxicity.fit.__defaults__ = toxicity.fit.__defaults__, (toxicity.RIDGE, 0.0, toxicity.INTERCEPT, 400)
-    try:
-        free = toxicity.learn(docs, labels)
-    finally:
-        toxicity.fit.__defaults__ = old
+    free = toxicity.learn(docs, labels, counterfactual=0.0)
     free_logit = lambda t: math.log((s := free.scores([t])[0]) / (1 - s))
     assert gap < 0.3 and gap < 0.3 * abs(free_logit("the muslim neighbour") - free_logit("the christian neighbour"))
     assert model.scores(["a muslim family"])[0] < 0.5 < model.scores(["such vermin idiots"])[0]
@@ -592,8 +621,9 @@ def test_pipeline_stages(spark):
     first = spark.createDataFrame(list(kept[0].items()), "doc_id bigint, text string")
     assert set(kept[1]) == {r.doc_id for r in toxicity.toxicity(first, labels).where("predicted = 0").collect()}
     ids = sorted(kept[1])
-    prints = [brute_fingerprint(kept[1][i]) for i in ids]
-    comp = brute_components(ids, [(a, b) for a in range(len(ids)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 4])
+    words = [words_of(kept[1][i].lower()) for i in ids]  # near copies: five-word shingles, Jaccard similarity of 0.8 or more
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in words]
+    comp = brute_components(ids, [(a, b) for a in range(len(ids)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
     assert sorted(kept[2]) == sorted(min(i for i, k in zip(ids, comp) if k == c) for c in set(comp))
     packed = corpus_pipeline.STAGES[-1][1](spark, before, sf_dir)
     assert {r.doc_id for r in packed.collect()} == set(kept[2])
