@@ -23,6 +23,8 @@ from urllib.request import Request, urlopen
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tidebook.functions.workers import ship
+
 Transport = Callable[[str, str, dict[str, str]], str]
 SCHEMA = "provider string, key string, payload string, error string"
 #: Seconds that a request may take, calls for one payload, and seconds before each further one, times its number.
@@ -156,6 +158,7 @@ class PayloadReader(DataSourceReader):
 
 def register(spark: SparkSession, **transports: Transport) -> None:
     """Make the format known to a session, with ``transports`` of one's own beside http and replay."""
+    ship(spark)
     known = {"http": http, "replay": replay, **transports}
 
     class PayloadSource(DataSource):
