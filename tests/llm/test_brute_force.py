@@ -65,18 +65,27 @@ def test_sharding(docs, rows):
     for stratum, n in strata.items():
         each = [sum(1 for r in placed if r.shard == s and r.stratum == stratum) for s in range(7)]
         assert max(each) - min(each) <= 2, (stratum, n, each)
-    # the order itself: rank within the stratum by md5, then fractional rank
+    # the order itself: rank within the stratum by md5, then fractional rank, shifted for each stratum
     by = defaultdict(list)
     for r in placed:
-        by[r.stratum].append((hashlib.md5(("42:" + ("" if r.doc_id is None else str(r.doc_id))).encode()).hexdigest(), -1 if r.doc_id is None else r.doc_id, r.text_crc32, r.size, r.shard, r.slot))
+        by[r.stratum].append((hashlib.md5(f"42:{'' if r.doc_id is None else r.doc_id}:{r.text_crc32}".encode()).hexdigest(), -1 if r.doc_id is None else r.doc_id, r.text_crc32, r.size, r.shard, r.slot))
     order = []
     for stratum, found in by.items():
         for k, f in enumerate(sorted(found)):
-            order.append(((2 * (k + 1) - 1) / (2 * len(found)), stratum is not None, stratum or "", f))
+            u = (int(hashlib.md5(("42" if stratum is None else "42/" + stratum).encode()).hexdigest()[:8], 16) + 0.5) / (1 << 32)
+            order.append((((k + 1) - u) / len(found), stratum is not None, stratum or "", f))
     order.sort()
     assert [(f[4], f[5]) for *_, f in order] == sorted((r.shard, r.slot) for r in placed)
 
 
+def test_strata_of_one_row_are_spread_over_shards(spark):
+    rows = [(k, f"t{k}", "big" if k < 400 else f"host{k}") for k in range(800)]
+    placed = sharding.interleave_shards(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), n_shards=8).collect()
+    small = Counter(r.shard for r in placed if r.stratum != "big")
+    assert set(small) == set(range(8)) and 30 <= min(small.values()) and max(small.values()) <= 75
+    assert max(Counter(r.shard for r in placed).values()) == 100
+
+
 def test_quality_measures(docs, rows):
     def measures(text):
         text = text or ""

@@ -18,9 +18,10 @@ crcs AS MATERIALIZED (
 
 SHARDING = f"""WITH {CRC},
 d AS (
-  SELECT doc_id, source, octet_length(encode(coalesce(d.text, ''))) + 16 AS size, text_crc32, md5('42:' || coalesce(doc_id::VARCHAR, '')) AS k
+  SELECT doc_id, source, octet_length(encode(coalesce(d.text, ''))) + 16 AS size, text_crc32, md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || text_crc32) AS k,
+    (('0x' || substr(md5('42' || coalesce('/' || source, '')), 1, 8))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4294967296::DOUBLE AS u
   FROM documents d JOIN crcs ON crcs.text = coalesce(d.text, '')),
-f AS (SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY k, doc_id, text_crc32, size) - 1) / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS f FROM d),
+f AS (SELECT *, ((row_number() OVER (PARTITION BY source ORDER BY k, doc_id, text_crc32, size))::DOUBLE - u) / (count(*) OVER (PARTITION BY source))::DOUBLE AS f FROM d),
 p AS (SELECT *, row_number() OVER (ORDER BY f, source NULLS FIRST, doc_id NULLS FIRST, text_crc32, size) - 1 AS pos, count(*) OVER () AS n FROM f)
 SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (pos * 40 // n)::INTEGER AS shard, pos - ((pos * 40 // n) * n + 39) // 40 AS slot, NULL::INTEGER AS grown_shard FROM p"""
 

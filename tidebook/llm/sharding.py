@@ -23,8 +23,9 @@ def interleave_shards(
 ) -> DataFrame:
     """Deal documents into ``n_shards`` shards that each have the corpus's mixture of strata.
 
-    Rows of a stratum are shuffled by md5(seed:id) and ranked from 1 to n; a row's
-    fractional rank is (2 * rank - 1) / (2 * n). All rows are sorted by it, and the
+    Rows of a stratum are shuffled by md5(seed:id:crc32 of the text) and ranked from 1 to n; a row's
+    fractional rank is (rank - u) / n, with u between 0 and 1 drawn for each stratum by a hash of its name, so that
+    strata of a row or two are spread over all shards as well. All rows are sorted by it, and the
     sequence is cut into ``n_shards`` runs. So shard sizes differ by one row at
     most, and a stratum's rows in any two shards by a few at most.
 
@@ -45,21 +46,24 @@ def interleave_shards(
         F.col(stratum_col).cast("string").alias("stratum"),
         (F.octet_length(text) + F.lit(16)).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary")).alias("key"),
+        F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.crc32(text).cast("string")).cast("binary")).alias("key"),
     ).withColumn("cell", F.conv(F.substring("key", 1, 3), 16, 10).cast("int") % STRATUM_CELLS)
+    # never null, so that the window over cells and the join with their counts are dealt alike
+    rows = rows.withColumn("named", F.when(F.col("stratum").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.col("stratum"))))
 
-    in_order = Window.partitionBy("stratum").orderBy("cell")
+    in_order = Window.partitionBy("named").orderBy("cell")
+    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(str(seed)), F.col("named")).cast("binary")), 1, 8), 16, 10).cast("double")
     cells = (
-        rows.groupBy("stratum", "cell").agg(F.count(F.lit(1)).alias("n"))
+        rows.groupBy("named", "cell").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("before", F.coalesce(F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("total", F.sum("n").over(Window.partitionBy("stratum")))
-        .select(F.col("stratum").alias("s"), F.col("cell").alias("c"), "before", "total")
+        .withColumn("total", F.sum("n").over(Window.partitionBy("named")))
+        .select("named", "cell", "before", "total", ((drawn + 0.5) / float(1 << 32)).alias("u"))
     )
-    in_cell = Window.partitionBy("stratum", "cell").orderBy("key", "doc_id", "text_crc32", "size")
+    in_cell = Window.partitionBy("named", "cell").orderBy("key", "doc_id", "text_crc32", "size")
     ranked = (
         rows.withColumn("place", F.row_number().over(in_cell))
-        .join(cells, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")))
-        .withColumn("fraction", (2 * (F.col("before") + F.col("place")) - 1) / (2 * F.col("total")).cast("double"))
+        .join(cells, ["named", "cell"])
+        .withColumn("fraction", ((F.col("before") + F.col("place")).cast("double") - F.col("u")) / F.col("total").cast("double"))
         .withColumn("part", F.least(F.floor(F.col("fraction") * RANK_CELLS), F.lit(RANK_CELLS - 1)).cast("int"))
         .select("doc_id", "stratum", "size", "text_crc32", "fraction", "part")
     )
