@@ -52,6 +52,7 @@ BRONZE = T.StructType([
 #: A run as it ended.
 RUNS = T.StructType([
     T.StructField("seq", T.LongType(), False), T.StructField("provider", T.StringType(), False), T.StructField("kind", T.StringType(), False),
-    T.StructField("status", T.StringType(), False), T.StructField("force", T.BooleanType(), False), T.StructField("started_at", T.StringType()), T.StructField("finished_at", T.StringType()),
+    T.StructField("status", T.StringType(), False), T.StructField("dry_run", T.BooleanType(), False), T.StructField("force", T.BooleanType(), False),
+    T.StructField("started_at", T.StringType()), T.StructField("finished_at", T.StringType()),
     T.StructField("processed", T.LongType()), T.StructField("failed", T.LongType()), T.StructField("skipped_rate_limit", T.LongType()), T.StructField("total_remaining_start", T.LongType()),
 ])

@@ -37,6 +37,21 @@ def pending(symbols: DataFrame, statuses: DataFrame, provider: str, today: str,
     return rest.select("symbol", "line", priority(F.col("status")).alias("priority")).orderBy("priority", "line").limit(limit)
 
 
+def first_lines(symbols: DataFrame, limit: int | None = None) -> DataFrame:
+    """A list (line, symbol) in its order, or the first ``limit`` of it."""
+    ordered = symbols.orderBy("line")
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def current_run(log: DataFrame, runs: DataFrame) -> DataFrame:
+    """One row for a run that goes on (or broke off), none without: seq, processed, failed, skipped, last_symbol and updated_at."""
+    ended = runs.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("ended"))  # one row
+    going = log.join(F.broadcast(ended), F.col("seq") > F.col("ended"))
+    counts = run_counts(going, "seq")
+    last = going.groupBy(F.col("seq").alias("s")).agg(F.max_by("symbol", F.struct("at", "symbol")).alias("last_symbol"), F.max("at").alias("updated_at"))
+    return counts.join(last, F.col("seq") == F.col("s")).drop("s").orderBy(F.desc("seq")).limit(1)
+
+
 def done_today(symbols: DataFrame, statuses: DataFrame, provider: str, today: str, total: int) -> DataFrame:
     """One row: progress_done (``total`` at most) and progress_total."""
     mine = statuses.where((F.col("provider") == provider) & (F.to_date("last_success_at") == F.lit(today).cast("date")))

@@ -33,6 +33,7 @@ class Run:
     keys_set: tuple[bool, ...] = (True,)
     max_symbols: int | None = None
     force: bool = False
+    dry_run: bool = False
     transports: dict[str, rest.Transport] = field(default_factory=dict)
     symbols_at_once: int = SYMBOLS_AT_ONCE
 
@@ -48,14 +49,17 @@ def plan(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) -> Dat
     """symbol, line, priority, key_index (null: no call left) of the symbols that this run is to collect.
 
     Keys are used up one after the other. The first symbol for which no call is left is
-    in the plan as well, to be recorded as skipped; those behind it are not.
+    in the plan as well, to be recorded as skipped; those behind it are not. A dry run needs no calls, and has no keys.
     """
+    limit = run.provider.max_symbols_per_run if run.max_symbols is None else run.max_symbols
+    if run.dry_run:
+        chosen = planner.pending(symbols, planner.latest_status(store.log()), run.provider.name, run.today, limit, run.force)
+        return chosen.withColumn("key_index", F.lit(None).cast("int"))
     slots = [r for r in budget(spark, store, run).orderBy("key_index").collect() if r.allowed]  # a row per key
     ends, total = [], 0
     for r in slots:
         total += r.remaining
         ends.append((r.key_index, total))
-    limit = run.provider.max_symbols_per_run if run.max_symbols is None else run.max_symbols
     chosen = planner.pending(symbols, planner.latest_status(store.log()), run.provider.name, run.today, min(limit, total + 1), run.force)
     chosen = chosen.withColumn("n", F.row_number().over(Window.orderBy("priority", "line")))  # over a run's symbols, limited before
     key = F.lit(None).cast("int")
@@ -89,7 +93,7 @@ def collect(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) ->
     Payloads are archived before anything is made of them, so that bad ones are kept too. A symbol that fails
     is a row of its own and holds up no other. Symbols are taken ``symbols_at_once`` at a time,
     and what became of them is recorded before the next ones: a run that breaks off loses those at most, and the next
-    one goes on from there. The run itself is recorded at its end.
+    one goes on from there. The run itself is recorded at its end. A dry run records its symbols as such and does nothing else.
     """
     planned = plan(spark, store, symbols, run).orderBy("priority", "line").collect()  # a run's symbols, limited by its budget
     slots = budget(spark, store, run).agg(F.sum(F.when(F.col("has_key"), F.col("remaining")).otherwise(0)).alias("n"), F.max("allowed").alias("any")).first()
@@ -100,7 +104,7 @@ def collect(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) ->
         some = [r for r in left[: run.symbols_at_once] if r.key_index == key]
         left = left[len(some) :]
         if key is None:
-            rows = [(r.symbol, "skipped_rate_limit", 0, EXHAUSTED) for r in some]
+            rows = [(r.symbol, "dry_run", 0, None) if run.dry_run else (r.symbol, "skipped_rate_limit", 0, EXHAUSTED) for r in some]
             results = spark.createDataFrame(rows, "symbol string, status string, rows bigint, error string")
         else:
             results = _collect_some(spark, store, run, seq, [r.symbol for r in some], key)
@@ -111,8 +115,8 @@ def collect(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) ->
     mine = store.log().where(F.col("seq") == seq)
     count = lambda *s: F.count_if(F.col("status").isin(*s))
     store.record_run(mine.agg(count("done", "dry_run").alias("processed"), count("failed").alias("failed"), count("skipped_rate_limit").alias("skipped_rate_limit")).select(
-        F.lit(seq).cast("bigint").alias("seq"), F.lit(run.provider.name).alias("provider"), F.lit(run.kind).alias("kind"), F.lit(FINISHED if slots["any"] else EXHAUSTED).alias("status"),
-        F.lit(run.force).alias("force"), F.lit(run.now).alias("started_at"), F.lit(run.now).alias("finished_at"), "processed", "failed", "skipped_rate_limit",
+        F.lit(seq).cast("bigint").alias("seq"), F.lit(run.provider.name).alias("provider"), F.lit(run.kind).alias("kind"), F.lit(FINISHED if slots["any"] or run.dry_run else EXHAUSTED).alias("status"),
+        F.lit(run.dry_run).alias("dry_run"), F.lit(run.force).alias("force"), F.lit(run.now).alias("started_at"), F.lit(run.now).alias("finished_at"), "processed", "failed", "skipped_rate_limit",
         F.lit(slots["n"]).cast("bigint").alias("total_remaining_start"),
     ))
     return mine.select("symbol", "status", "rows", "error")

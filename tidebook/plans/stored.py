@@ -12,7 +12,7 @@ from tidebook.operators import normalize, planner, summary
 from tidebook.plans import collect, queries
 from tidebook.plans.queries import TODAY, table
 from tidebook.sources import config, scratch
-from tidebook.sources.store import Store, files
+from tidebook.sources.store import Store, dataset_files, files
 from tidebook.streaming import ingest
 
 BUCKETS = 8
@@ -177,6 +177,44 @@ def news_archive(spark, sf_dir):
     return normalize.news_envelopes(store.bronze()).select(kept.alias("x")).select("x.symbol", "x.from", "x.to", F.size("x.items").alias("items"), F.element_at("x.items", 1)["headline"].alias("first"))
 
 
+def dry_run_statuses(spark, sf_dir):
+    """A dry run of symbols of which some are known: recorded, but nothing fetched."""
+    store, symbols = new_store(spark), queries.symbol_list(spark, sf_dir)
+    store.record(queries.log(spark, sf_dir).where(F.to_date("at") < TODAY))
+    run = collect.Run(config.Provider("primary", enabled=True, daily_limit=1), "bar_list", TODAY, NOW, max_symbols=20, dry_run=True)
+    done = collect.collect(spark, store, symbols, run)
+    return done.select("symbol", "status", "rows", F.lit(store.bronze().count()).alias("payloads"))
+
+
+def current_run(spark, sf_dir):
+    """Days of the log as runs of which all but the last have ended."""
+    log = queries.log(spark, sf_dir).withColumn("seq", F.datediff(F.to_date("at"), F.lit("2024-01-01").cast("date")).cast("bigint") + 1)
+    runs = log.groupBy("seq").agg(F.count(F.lit(1)).alias("n")).where("seq < 30")
+    return planner.current_run(log, runs).withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+
+
+def kept_files(spark, sf_dir):
+    """Bars and news as files of comma-separated values, and how many there are of each data set."""
+    root = scratch.new_path(spark, "legacy")
+    table(spark, sf_dir, "nation").select("n_regionkey", "n_name").repartition(1, "n_regionkey").write.partitionBy("n_regionkey").csv(f"{root}/ohlcv")
+    table(spark, sf_dir, "region").coalesce(1).write.csv(f"{root}/news")
+    return dataset_files(spark, root)
+
+
+def first_series(spark, sf_dir):
+    return planner.first_lines(queries.symbol_list(spark, sf_dir), 25)
+
+
+def stored_news(spark, sf_dir):
+    """The news of one source from some days, out of all that were upserted."""
+    store = new_store(spark)
+    payloads = queries.news_payloads(table(spark, sf_dir, "documents").select("doc_id", "source", F.substring("text", 1, 40).alias("text"), "lang"))
+    rows = normalize.news(payloads, ["key"]).withColumnRenamed("key", "symbol")
+    store.upsert("news", rows, STAMPS[0], ["datetime", "url", "pos"])
+    source = table(spark, sf_dir, "documents").agg(F.min("source")).first()[0]
+    return store.news(source, "2023-11-15", "2023-12-31").drop("updated_at")
+
+
 def archive_names(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     return customers.select("c_custkey", casts.archive_name(F.replace("c_name", F.lit("#"), F.lit("/")), F.lit(STAMPS[1])).alias("name"))
@@ -191,5 +229,6 @@ QUERIES = {
     for f in (
         stored_bars, stored_history, stored_indicators, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, collected_run, collected_bars,
         recorded_runs, configured_symbols, configured_keys, news_days, news_archive, archive_names, progress_text,
+        dry_run_statuses, current_run, kept_files, first_series, stored_news,
     )
 }

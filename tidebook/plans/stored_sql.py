@@ -48,5 +48,17 @@ ORACLES: dict[str, str] = {
     "news_days": "SELECT * FROM (VALUES (0, '2024-01-13', '2024-01-20'), (1, '2024-01-02', '2024-01-20'), (2, '2024-01-07', '2024-01-09')) t(n, first, last)",
     "news_archive": "SELECT CAST(conv_id AS VARCHAR) AS symbol, '2024-01-13' AS \"from\", '2024-01-20' AS \"to\", CAST(count(*) AS INTEGER) AS items, arg_min(role, turn) AS first FROM conversations GROUP BY 1",
     "archive_names": "SELECT c_custkey, replace(replace(c_name, '#', '/'), '/', '_') || '_20240120T000000Z.json' AS name FROM customer",
+    "dry_run_statuses": f"""WITH {LOG.replace("FROM events)", f"FROM events WHERE CAST(ts AS DATE) < DATE '{TODAY}')")}, {SYMBOLS}
+      SELECT symbol, 'dry_run' AS status, CAST(0 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS payloads FROM (
+        SELECT s.symbol FROM symbols s LEFT JOIN latest USING (symbol) ORDER BY CASE WHEN status = 'failed' THEN 0 WHEN status IS NULL THEN 1 WHEN status = 'skipped_rate_limit' THEN 2 ELSE 3 END, s.line LIMIT 20)""",
+    "current_run": f"""WITH {LOG}, g AS (SELECT *, date_diff('day', DATE '2024-01-01', CAST("at" AS DATE)) + 1 AS run FROM log), m AS (SELECT * FROM g WHERE run = (SELECT max(run) FROM g) AND run >= 30)
+      SELECT run AS seq, count(*) FILTER (status IN ('done', 'dry_run')) AS processed, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped_rate_limit') AS skipped,
+        arg_max(symbol, row("at", symbol)) AS last_symbol, max("at") AS updated_at FROM m GROUP BY run""",
+    "kept_files": "SELECT * FROM (VALUES ('ohlcv', CAST(5 AS BIGINT)), ('indicators', 0), ('macro', 0), ('news', 1)) t(dataset, files)",
+    "first_series": f"WITH {SYMBOLS} SELECT line, symbol FROM symbols ORDER BY line LIMIT 25",
+    "stored_news": """SELECT source AS symbol, CAST(doc_id AS VARCHAR) AS id, strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS datetime,
+      strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%d') AS date, substr(text, 1, 40) AS headline, '' AS source, '' AS summary, '' AS url,
+      CASE WHEN doc_id % 2 = 0 THEN 'True' ELSE 'False' END AS image, lang AS category FROM documents
+      WHERE source = (SELECT min(source) FROM documents) AND CAST(make_timestamp((1700000000 + doc_id * 3600) * 1000000) AS DATE) BETWEEN DATE '2023-11-15' AND DATE '2023-12-31'""",
     "progress_text": f"WITH {LOG} SELECT 'collected ' || least(count(*), 100) || ' of 100' AS message FROM ({SUCCEEDED})",
 }

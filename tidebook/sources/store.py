@@ -52,6 +52,11 @@ class Store:
         rows = self._with_buckets("ohlcv").where((F.col("bucket") == bucket) & (F.col("symbol") == symbol))
         return rows.orderBy("date").select(*[F.coalesce(c, F.lit("")).alias(c) for c in schemas.BAR])
 
+    def news(self, symbol: str, first: str = "", last: str = "9999") -> DataFrame:
+        """A symbol's news of some days, by time, then id, then address."""
+        rows = self.table("news").where((F.col("symbol") == symbol) & F.col("date").between(first, last))
+        return rows.orderBy("datetime", "id", "url")
+
     def _put(self, name: str) -> None:
         """Put staged buckets in the places of the old ones. Doing it again changes nothing, so a run that ended in between is made good."""
         staged = f"{self.root}/_staged/{name}"
@@ -118,3 +123,12 @@ def files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """path and length of the files under a folder, at any depth; contents aren't read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
     return found.select("path", "length")
+
+
+def dataset_files(spark: SparkSession, root: str, datasets: tuple[str, ...] = tuple(schemas.TABLES), pattern: str = "*.csv") -> DataFrame:
+    """dataset and files of data that was kept as files, a folder for each; folders that aren't there have none."""
+    out = spark.createDataFrame([(d, 0) for d in datasets], "dataset string, files bigint")
+    for d in datasets:
+        if scratch.exists(spark, f"{root}/{d}"):
+            out = out.unionByName(files(spark, f"{root}/{d}", pattern).agg(F.count(F.lit(1)).alias("files")).select(F.lit(d).alias("dataset"), "files"))
+    return out.groupBy("dataset").agg(F.sum("files").alias("files"))
