@@ -95,8 +95,12 @@ def test_memories_are_bounded_by_bytes():
     m = common.Memory(10_000)
     m.learn("x" * 20_000, b"")
     assert len(m) == 1
-    m.room()
+    m.room(["x" * 20_000])
     assert len(m) == m.size == 0
+    for k in range(60):
+        m.learn(f"w{k}", b"1234")
+    m.room(["w3", "w70", "w7"])
+    assert dict(m) == {"w3": b"1234", "w7": b"1234"} and m.size == 2 * (6 + m.ENTRY)
 
 
 def test_kind_of_tokenizer_is_read_from_its_file(spark):

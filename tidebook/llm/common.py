@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
@@ -110,9 +111,9 @@ def join_counted(left: DataFrame, right: DataFrame, key: str, right_key: str, n_
 
 
 class Memory(dict):
-    """What is known of words, forgotten once it takes more than about ``limit`` bytes.
+    """What is known of words; once it takes more than about ``limit`` bytes, what the batch at hand doesn't have is forgotten.
 
-    ``room()`` is asked between batches; what one batch has is kept until the next is begun.
+    ``room()`` is asked before each batch with its words, so that those met again and again stay.
     """
 
     #: What an entry takes beside its word and its value's own bytes, about.
@@ -122,11 +123,17 @@ class Memory(dict):
         super().__init__()
         self.limit, self.size = limit, 0
 
-    def learn(self, word: bytes | str, value) -> None:
+    def learn(self, word: bytes | str | tuple, value) -> None:
         self[word] = value
         self.size += len(word) + (len(value) if isinstance(value, (bytes, tuple)) else 0) + self.ENTRY
 
-    def room(self) -> None:
+    def room(self, wanted: Iterable = ()) -> None:
         if self.size > self.limit:
+            kept = {w: self[w] for w in wanted if w in self}
             self.clear()
             self.size = 0
+            for w, value in kept.items():
+                self.learn(w, value)
+            if self.size > self.limit // 2:  # a batch of very many or very long words
+                self.clear()
+                self.size = 0

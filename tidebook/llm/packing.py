@@ -66,9 +66,9 @@ class WordIds:
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [[line.split(" ") for line in x.split("\n")] if self.by_words and regular(x) else None for x in texts]
         lines = [line for x in split if x for line in x]
-        self.bare.room(), self.spaced.room()
-        self.learn(self.bare, {x[0] for x in lines}.difference(self.bare), "")
-        self.learn(self.spaced, set().union(*(x[1:] for x in lines)).difference(self.spaced), " ")
+        for known, words, lead in ((self.bare, {x[0] for x in lines}, ""), (self.spaced, set().union(*(x[1:] for x in lines)), " ")):
+            known.room(words)
+            self.learn(known, words.difference(known), lead)
         get, bare = self.spaced.__getitem__, self.bare
         return [
             self.whole(text) if x is None else self.line_feed.join([bare[line[0]] + b"".join(map(get, line[1:])) for line in x])

@@ -197,10 +197,12 @@ class Encoder:
             known.learn(w, self.ids(lead + w))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        self.known.room(), self.spaced.room()
         split = [[line.split(" ") for line in x.split("\n")] if self.by_words and x and x[0] != " " and "  " not in x and SPACE not in x else None for x in texts]
-        self.learn(self.known, {line[0] for x in split if x for line in x[1:]}.difference(self.known), "")
-        self.learn(self.spaced, set().union(*(line[1:] for x in split if x for line in x), (x[0][0] for x in split if x)).difference(self.spaced), SPACE)
+        bare = {line[0] for x in split if x for line in x[1:]}
+        led = set().union(*(line[1:] for x in split if x for line in x), (x[0][0] for x in split if x))
+        for known, words, lead in ((self.known, bare, ""), (self.spaced, led, SPACE)):
+            known.room(words)
+            self.learn(known, words.difference(known), lead)
         out, get, known, spaced = [], self.spaced.__getitem__, self.known, self.spaced
         for text, x in zip(texts, split):
             if x is None:

@@ -137,7 +137,7 @@ class Features:
 
     def of(self, words: set[str]) -> set[int]:
         known = self.known
-        known.room()
+        known.room(words)
         get = self.number.get
         for w in words.difference(known):
             known.learn(w, tuple(k for f in features_of(w) if (k := get(f)) is not None))
