@@ -123,6 +123,10 @@ class Memory(dict):
         super().__init__()
         self.limit, self.size = limit, 0
 
+    def new(self, words: Iterable) -> list:
+        """Those of the words that aren't known. (A set's difference with this would go through all that is.)"""
+        return [w for w in words if w not in self]
+
     def learn(self, word: bytes | str | tuple, value) -> None:
         self[word] = value
         self.size += len(word) + (len(value) if isinstance(value, (bytes, tuple)) else 0) + self.ENTRY

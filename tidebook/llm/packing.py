@@ -50,7 +50,7 @@ class WordIds:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, known: Memory, words: set[str], lead: str) -> None:
+    def learn(self, known: Memory, words: list[str], lead: str) -> None:
         """Encode new words, many in one text with a special token between, which never merges with what is beside it."""
         mark, mark_id = self.mark
         for w in [w for w in words if mark in w]:
@@ -68,7 +68,7 @@ class WordIds:
         lines = [line for x in split if x for line in x]
         for known, words, lead in ((self.bare, {x[0] for x in lines}, ""), (self.spaced, set().union(*(x[1:] for x in lines)), " ")):
             known.room(words)
-            self.learn(known, words.difference(known), lead)
+            self.learn(known, known.new(words), lead)
         get, bare = self.spaced.__getitem__, self.bare
         return [
             self.whole(text) if x is None else self.line_feed.join([bare[line[0]] + b"".join(map(get, line[1:])) for line in x])

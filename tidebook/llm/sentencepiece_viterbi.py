@@ -192,7 +192,7 @@ class Encoder:
                 self.known.learn(s, self.ids(s))
         return list(map(self.known.__getitem__, found))
 
-    def learn(self, known: Memory, words: set[str], lead: str) -> None:
+    def learn(self, known: Memory, words: list[str], lead: str) -> None:
         for w in words:
             known.learn(w, self.ids(lead + w))
 
@@ -202,7 +202,7 @@ class Encoder:
         led = set().union(*(line[1:] for x in split if x for line in x), (x[0][0] for x in split if x))
         for known, words, lead in ((self.known, bare, ""), (self.spaced, led, SPACE)):
             known.room(words)
-            self.learn(known, words.difference(known), lead)
+            self.learn(known, known.new(words), lead)
         out, get, known, spaced = [], self.spaced.__getitem__, self.known, self.spaced
         for text, x in zip(texts, split):
             if x is None:

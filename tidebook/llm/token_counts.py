@@ -110,7 +110,7 @@ class WordCounts:
 
     def learn(self, words: set[bytes]) -> None:
         self.known.room(words)
-        for batch in by_bytes(list(words.difference(self.known))):
+        for batch in by_bytes(self.known.new(words)):
             for w, found in zip(batch, self.encode([w.decode() for w in batch], add_special_tokens=False)):
                 self.known.learn(w, len(found))
 

@@ -139,7 +139,7 @@ class Features:
         known = self.known
         known.room(words)
         get = self.number.get
-        for w in words.difference(known):
+        for w in known.new(words):
             known.learn(w, tuple(k for f in features_of(w) if (k := get(f)) is not None))
         out, twice = set(), self.twice
         for w in words:
