@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidebook.plans.oracles import BARS, LOG, SUCCEEDED, SYMBOLS
+from tidebook.plans.oracles import BARS, LOG, MACD, ORDERED, RSI, SEGMENTS, SMA_WINDOWS, SUCCEEDED, SYMBOLS
 from tidebook.plans.queries import TODAY
 from tidebook.plans.stored import STAMPS
 
@@ -19,17 +19,23 @@ RESULTS = f"""{SYMBOLS}, results AS (
   FROM (SELECT *, row_number() OVER (ORDER BY line) AS n FROM symbols) WHERE n <= 41)"""
 
 
+def _text(value: str, name: str) -> str:
+    """A number as text, nothing as the empty text."""
+    return f"coalesce(regexp_replace(regexp_replace(printf('%.6f', {value}), '0+$', ''), '\\.$', ''), '') AS {name}"
+
+
 def _sma(p: int) -> str:
-    text = f"regexp_replace(regexp_replace(printf('%.6f', avg(c) OVER w{p}), '0+$', ''), '\\.$', '')"
-    return f"CASE WHEN count(c) OVER w{p} = {p} THEN {text} ELSE '' END AS sma_{p}"
+    return f"CASE WHEN count(close) OVER w{p} = {p} THEN avg(close) OVER w{p} END AS sma_{p}"
 
 
 ORACLES: dict[str, str] = {
     "stored_bars": f"WITH {STORED} SELECT * FROM stored",
     "stored_history": f"WITH {STORED} SELECT date, open, high, low, close, volume FROM stored WHERE symbol = '3-MEDIUM'",
-    "stored_indicators": f"""WITH {TEXT}, closes AS (SELECT symbol, date, close, CAST(close AS DOUBLE) AS c FROM texts)
-      SELECT symbol, date, close, {_sma(20)}, {_sma(50)}, CASE WHEN symbol IN ('1-URGENT', '2-HIGH') THEN '{STAMPS[1]}' ELSE '{STAMPS[0]}' END AS updated_at FROM closes
-      WINDOW w20 AS (PARTITION BY symbol ORDER BY date ROWS 19 PRECEDING), w50 AS (PARTITION BY symbol ORDER BY date ROWS 49 PRECEDING)""",
+    "stored_indicators": f"""WITH RECURSIVE {TEXT}, closes AS (SELECT symbol, date, CAST(close AS DOUBLE) AS close FROM texts), {SEGMENTS}, {ORDERED}, {MACD}, {RSI},
+      sma AS (SELECT symbol, date, {_sma(20)}, {_sma(50)}, {_sma(200)} FROM seg {SMA_WINDOWS})
+      SELECT t.*, {_text('sma_20', 'sma_20')}, {_text('sma_50', 'sma_50')}, {_text('sma_200', 'sma_200')}, {_text('rsi_14', 'rsi_14')},
+        {_text('m.macd', 'macd_12_26')}, {_text('sig.e', 'macd_signal_9')}, {_text('m.macd - sig.e', 'macd_hist')}, CASE WHEN t.symbol IN ('1-URGENT', '2-HIGH') THEN '{STAMPS[1]}' ELSE '{STAMPS[0]}' END AS updated_at
+      FROM texts t LEFT JOIN sma USING (symbol, date) LEFT JOIN rsi USING (symbol, date) LEFT JOIN m USING (symbol, date) LEFT JOIN sig USING (symbol, date)""",
     "written_report": f"WITH {STORED} SELECT 'pass' AS status, CAST(0 AS BIGINT) AS issue_count, CAST(0 AS BIGINT) AS rows_indicators, CAST(0 AS BIGINT) AS rows_macro, CAST(0 AS BIGINT) AS rows_news, count(*) AS rows_ohlcv FROM stored",
     "written_summary": f"WITH {STORED} SELECT '{TODAY}' AS date, CAST(0 AS BIGINT) AS raw_count, count(*) AS ohlcv, CAST(0 AS BIGINT) AS news, CAST(0 AS BIGINT) AS run_count FROM stored",
     "recorded_statuses": f"WITH {LOG} SELECT provider, symbol, status, rows, last_success_at FROM latest",
