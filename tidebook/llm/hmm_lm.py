@@ -11,6 +11,7 @@ of bounded number, while counts of all words of the corpus take part.
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Iterator
 from itertools import chain
 
@@ -37,6 +38,8 @@ BLOCK_BYTES = 8 << 20
 #: The most frequent words, those with a class of their own among them, of so many bytes at most each: they are broadcast.
 COMMON_WORDS = 65_536
 COMMON_BYTES = 48
+#: Counts within this ratio are taken for alike where the most frequent words are chosen.
+LEVEL = 1.05
 #: Words of blocks, and blocks, that one task of a shuffle has, about.
 WORDS_PER_TASK = 2_000_000
 BLOCKS_PER_TASK = 4
@@ -326,6 +329,26 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, shares: Shares, firs
             ], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 
+def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[str, int]]:
+    """(word, count) of the most frequent words but long ones, by count and then by word: as many levels of counts as have ``most`` words at most.
+
+    The level is found from how many words each level has, a bounded number of rows, so that no task and not the driver gets
+    more than ``most`` words; a sort with a limit would bring that many from each task.
+    """
+    short = vocabulary.where((F.col("word") != END) & (F.octet_length("word") <= COMMON_BYTES))
+    level = F.floor(F.log(F.col("c").cast("double")) / math.log(LEVEL))
+    levels = sorted(((r["level"], r["n"]) for r in short.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    total, least = 0, None
+    for at, n in levels:
+        total += n
+        if total > most:
+            break
+        least = at
+    if least is None:
+        return []
+    return sorted(((r["word"], r["c"]) for r in short.where(level >= least).collect()), key=lambda x: (-x[1], x[0]))
+
+
 def score_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -358,10 +381,9 @@ def score_documents(
     )
     vocabulary = materialize(local.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "hmm-vocabulary", by_word)
     tokens, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    short = vocabulary.where((F.col("word") != END) & (F.octet_length("word") <= COMMON_BYTES))
-    common = short.orderBy(F.desc("c"), "word").limit(COMMON_WORDS).collect()  # of bounded number and size
+    common = most_frequent(vocabulary, COMMON_WORDS)  # of bounded number and size
     n_own = min(OWN_CLASSES, len(common))
-    known = [(r["word"], r["c"], k + 1 if k < n_own else None) for k, r in enumerate(common)]
+    known = [(w, c, k + 1 if k < n_own else None) for k, (w, c) in enumerate(common)]
     known = F.broadcast(spark.createDataFrame(known, "w string, known_c bigint, own int"))
     n_classes = 1 + n_own + ENDING_CLASSES
     kind = class_of(F.col("word"), F.col("own"), n_own).alias("kind")

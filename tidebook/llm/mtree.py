@@ -262,7 +262,7 @@ class Index:
         squares = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, c: s + c * c)
         whole = materialize(vectors.select(F.size("v").cast("string").alias("region"), "id", "v"), "mtree-vectors")
         self.levels: list[DataFrame] = []
-        done, left, most = [], whole, None
+        done, left, most, spent = [], whole, None, [whole]
         for level in range(MAX_LEVELS):
             sizes = left.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.max(squares).alias("r2")).withColumnRenamed("region", "r")
             sizes = materialize(sizes, "mtree-sizes")
@@ -271,6 +271,7 @@ class Index:
                 break
             most = largest
             sized = materialize(join_counted(left, sizes, "region", "r", "n", total), "mtree-sized")
+            spent += [sizes, sized]
             large = F.col("n") > TREE_ROWS
             done.append(sized.where(~large).select("region", "id", "v"))
             wanted = F.least(F.lit(FANOUT), F.ceil(F.col("n") / TREE_ROWS) * 2)
@@ -286,11 +287,13 @@ class Index:
             )
             self.levels.append(materialize(children.where("child <> region").select("region", "child", "radius", "r2", "centre"), "mtree-level"))
             left = dealt.select("region", "id", "v")
+            spent.append(dealt)
         done.append(left)
         rows = done[0]
         for part in done[1:]:
             rows = rows.unionByName(part)
         self.pages = materialize(rows.groupBy("region").applyInArrow(_build, NODES), "mtree-pages")
+        discard(*spent)
 
     def route(self, queries: DataFrame, first: bool, blocks: int) -> DataFrame:
         """(id, v, least, home, at) for the regions that each query (id, v, least, home) is to search.
