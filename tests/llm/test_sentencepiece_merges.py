@@ -54,8 +54,8 @@ def test_pairs_of_a_made_model():
 
         def __init__(self):
             self.matches = viterbi.ahocorasick.Automaton()
-            for p, x in self.score.items():
-                self.matches.add_word(p, (len(p), x))
+            for k, (p, x) in enumerate(self.score.items()):
+                self.matches.add_word(p, (len(p), x, k))
             self.matches.make_automaton()
 
     search, draw = viterbi.StreamingPairs(Made()), random.Random(9)

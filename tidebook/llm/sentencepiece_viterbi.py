@@ -29,6 +29,9 @@ from .common import Memory, ship
 SPACE = "▁"
 #: Unknown characters score this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
+#: Pairs of pieces of which a worker keeps whether they may be neighbours, and bytes of words' ids it keeps.
+KNOWN_PAIRS = 600_000
+KNOWN_BYTES = 160 << 20
 
 
 class Vocabulary:
@@ -69,7 +72,7 @@ class Vocabulary:
         self.longest = max(map(len, self.score))
         self.matches = ahocorasick.Automaton()  # all pieces that end at a place, the longest first
         for piece, score in self.score.items():
-            self.matches.add_word(piece, (len(piece), score))
+            self.matches.add_word(piece, (len(piece), score, self.id[piece]))
         self.matches.make_automaton()
         self.unknown_score = min(self.score.values()) - UNKNOWN_PENALTY
         joined = {c for p in self.score if len(p) > 1 for c in p} - {SPACE}
@@ -114,7 +117,7 @@ class StreamingViterbi:
             held, best, back = self.text, self.best, self.back
             # pieces that end in the new part may begin in the old one
             context = max(0, done - v.longest + 1)
-            for last, (length, score) in matches(held[context:]):
+            for last, (length, score, _) in matches(held[context:]):
                 if (end := context + last + 1) > done:
                     while len(best) <= end:
                         self.open_boundary(held, best, back, scores)
@@ -176,7 +179,7 @@ class Encoder:
     def __init__(self, path: str, merges: bool):
         self.v = vocabulary(path)
         self.known = Memory()  # by stretch or word, with its space sign
-        self.spaced = Memory()  # by word, of the word with a space sign before it
+        self.spaced = Memory(KNOWN_BYTES)  # by word, of the word with a space sign before it
         self.search = (StreamingPairs if merges else StreamingViterbi)(self.v)
         self.by_words = self.v.spaces_lead and self.v.prefix and self.v.stretch.findall("a\na") == ["a", "\n", "a"]
         self.line_feed = self.ids("\n")
@@ -243,34 +246,38 @@ class StreamingPairs(StreamingViterbi):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__(vocabulary)
         self.last = ""  # the piece that was given out last
-        self.pairs = Memory(48 << 20)
+        self.ends = [-1]  # at each boundary the id of the piece that ends there, below 0 at a text's start and after unknown characters
+        self.pairs: dict[int, bool] = {}
 
-    def learn(self, pair: tuple[str, str]) -> bool:
-        """Whether the second piece may follow the first, which is "" at a text's start."""
-        before, piece = pair
-        found = merged(before + piece, self.v.score) == ([before, piece] if before else [piece])
-        self.pairs.learn(pair, found)
+    def learn(self, pair: int, before: str, piece: str) -> bool:
+        """Whether ``piece`` may follow ``before``, which is "" where nothing is that it could be merged with."""
+        found = self.pairs[pair] = merged(before + piece, self.v.score) == ([before, piece] if before else [piece])
         return found
 
     def feed(self, text: str) -> list[str]:
-        v, matches, known = self.v, self.v.matches.iter, self.pairs.get
+        v, matches = self.v, self.v.matches.iter
         out: list[str] = []
-        self.pairs.room()
+        if len(self.pairs) > KNOWN_PAIRS:
+            self.pairs.clear()
+        known = self.pairs.get
         for at in range(0, len(text), v.longest):
             done = len(self.text)
             self.text += text[at : at + v.longest]
-            held, back = self.text, self.back
+            held, back, ends = self.text, self.back, self.ends
             # a character that no piece has is merged with nothing and may follow anything
             back += [-1 if c in v.score else k for k, c in enumerate(held[done:], done)]
+            ends += [-1] * (len(held) - done)
             # pieces that end in the new part may begin in the old one
-            context = max(0, done - v.longest + 1)
-            for last, (length, _) in matches(held, context):
+            for last, (length, _, piece) in matches(held, max(0, done - v.longest + 1)):
                 if last >= done and back[last + 1] < 0:
                     start = last + 1 - length
-                    pair = (held[back[start] : start] if start else self.last), held[start : last + 1]
+                    before = ends[start]
+                    pair = before << 24 | piece
                     fits = known(pair)
-                    if self.learn(pair) if fits is None else fits:
-                        back[last + 1] = start
+                    if fits is None:
+                        fits = self.learn(pair, "" if before < 0 else self.last if not start else held[back[start] : start], held[start : last + 1])
+                    if fits:
+                        back[last + 1], ends[last + 1] = start, piece
             if len(held) > 2 * v.longest:
                 out += self.settle()
         return out
@@ -279,12 +286,12 @@ class StreamingPairs(StreamingViterbi):
         self.best = self.back  # there are no sums
         out = super().settle()
         if out:
-            self.last = out[-1]
+            self.last, self.ends = out[-1], self.ends[-len(self.back) :]
         return out
 
     def finish(self) -> list[str]:
         out = super().finish()
-        self.last = ""
+        self.last, self.ends = "", [-1]
         return out
 
 
