@@ -253,7 +253,7 @@ def test_source_archive_and_store(spark, tmp_path):
     read = spark.read.format("rest_payloads").option("provider", "primary").option("kind", "bar_list").option("folder", f"file://{folder}").option("symbols", json.dumps(["A", "B/C", "missing"])).load()
     got = {r.key: r for r in read.collect()}
     assert got["missing"].payload is None and "No such file" in got["missing"].error and got["A"].error is None
-    store = Store(spark, str(tmp_path / "store"))
+    store = Store(spark, str(tmp_path / "store"), buckets=4)
     assert store.table("ohlcv").count() == 0 and store.log().count() == 0 and store.bronze().count() == 0
     store.archive(read.select("provider", "key", F.current_timestamp().alias("fetched_at"), "payload", F.lit(1).cast("long").alias("seq")))
     rows = normalize.bar_list(store.bronze(), ["key", "seq"]).withColumnRenamed("key", "symbol")
@@ -278,7 +278,7 @@ def test_addresses():
 def test_stream(spark, tmp_path):
     from tidebook.streaming.ingest import stream_payloads
 
-    inbox, store = tmp_path / "inbox", Store(spark, str(tmp_path / "store"))
+    inbox, store = tmp_path / "inbox", Store(spark, str(tmp_path / "store"), buckets=4)
     inbox.mkdir()
 
     def put(name, key, seq, close):
