@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op9_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
     "op10_warc": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
+    "op13_spelling_variants": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
 
 

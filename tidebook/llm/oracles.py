@@ -6,15 +6,21 @@ from . import quality_rules as q
 
 WORD = r"'[^\x20\x09-\x0D]+'"
 
-CRC = """crc_table AS MATERIALIZED (
+CRC_TABLE = """crc_table AS MATERIALIZED (
   SELECT list(c ORDER BY i) AS v FROM (
     SELECT i, list_reduce(list_prepend(i::UBIGINT, [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS c
-    FROM range(256) t(i))),
+    FROM range(256) t(i)))"""
+
+
+def crc32(text: str) -> str:
+    """crc32 of a text's UTF-8 bytes, beside ``crc_table``."""
+    return f"""xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::UBIGINT)),
+    lambda c, b: xor(c >> 8, v[((xor(c, b) & 255) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT"""
+
+
+CRC = f"""{CRC_TABLE},
 texts AS MATERIALIZED (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
-crcs AS MATERIALIZED (
-  SELECT text, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::UBIGINT)),
-    lambda c, b: xor(c >> 8, v[((xor(c, b) & 255) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS text_crc32
-  FROM texts, crc_table)"""
+crcs AS MATERIALIZED (SELECT text, {crc32("text")} AS text_crc32 FROM texts, crc_table)"""
 
 SHARDING = f"""WITH {CRC},
 d AS (
@@ -71,9 +77,33 @@ SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN first < page_id THEN
   CASE WHEN first < page_id THEN first END AS refers_to
 FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest"""
 
+SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, w, count(*) AS c FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents)
+  WHERE length(w) >= 7 GROUP BY ALL),
+slips AS (SELECT w, c, {crc32("coalesce(doc_id::VARCHAR, '') || ':' || w")} AS h FROM runs, crc_table),
+words AS (SELECT CASE WHEN h % 31 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, c FROM slips),
+v AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM words WHERE length(word) >= 7 GROUP BY 1 HAVING sum(c) >= 2),
+wild AS (SELECT word, n, i, word[:i - 1] || '*' || word[i + 1:] AS k FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+cut AS (SELECT DISTINCT word, n, replace(k, '*', '') AS k FROM wild),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM wild a JOIN wild b ON a.k = b.k AND a.word <> b.word
+  UNION ALL SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = cut.k
+  UNION ALL SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = cut.k),
+best AS (SELECT word, count(*) AS n_near, max(n) AS n FROM near GROUP BY 1),
+forms AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.n >= 10 * v.n THEN b.n END AS form_n,
+    (SELECT min(other) FROM near WHERE near.word = v.word AND near.n = b.n AND b.n >= 10 * v.n) AS form
+  FROM v LEFT JOIN best b ON b.word = v.word),
+way AS (SELECT word, form AS root FROM forms WHERE form IS NOT NULL UNION ALL SELECT way.word, f.form FROM way JOIN forms f ON f.word = way.root WHERE f.form IS NOT NULL),
+roots AS (SELECT w.word, w.root FROM way w JOIN forms f ON f.word = w.root WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM forms f LEFT JOIN roots r ON r.word = f.word"""
+
 ORACLES: dict[str, str] = {
     "op1_sharding": SHARDING,
     "op4_exact_top_k": TOP_K,
     "op5_quality_rules": QUALITY,
     "op10_warc": WARC,
+    "op13_spelling_variants": SPELLING,
 }
