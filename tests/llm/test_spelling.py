@@ -52,9 +52,8 @@ def rows():
         letters = "abàÿ" if k % 2 else "abc"
         text = " ".join("".join(draw.choice(letters) for _ in range(draw.randint(5, 8))) for _ in range(60))
         out.append((k, text.capitalize() if k % 3 else text.replace(" ", "_9")))
-    chain = "chained"  # chained x 2 <- chainee x 20 <- chainef x 200 <- chaineg x 2000, and so on by doubling
-    for k, n in enumerate((2, 20, 200, 2000)):
-        out.append((100 + k, f"{chain[:-1]}{'defg'[k]} " * n))
+    for k, n in enumerate((2, 20, 200, 2000)):  # each the form of the one before, from chained to zzzined
+        out.append((100 + k, f"{'z' * k}{'chained'[k:]} " * n))
     out += [(200, "equally " * 2), (201, "equallx " * 20 + "equallz " * 20)]  # a tie of forms
     long = "".join(draw.choice("abcdefgh") for _ in range(300))
     for k, word in enumerate((long, long[:150] + "z" + long[150:], long[:150] + "z" + long[151:], long[:64], long[:65], long[:66], long[:65] + "z", long[:64] + "z", "a" * 90, "a" * 91)):
