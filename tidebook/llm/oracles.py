@@ -77,6 +77,31 @@ SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN first < page_id THEN
   CASE WHEN first < page_id THEN first END AS refers_to
 FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest"""
 
+PREFIX_TRIE = f"""WITH {CRC_TABLE},
+t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+  FROM conversations),
+c AS (SELECT c, c - c % 100 AS base, {crc32("c::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id AS c FROM conversations), crc_table),
+turns AS (
+  SELECT c.c, 0 AS own, t.i, role, text FROM c JOIN t ON t.c = c.base AND t.i <= h
+  UNION ALL SELECT c.c, 1, t.i, role, text FROM c JOIN t ON t.c = c.c AND t.i > h),
+paths AS MATERIALIZED (
+  SELECT c, list(sha256(role || chr(0) || text) ORDER BY own, i) AS p, list(length(text) ORDER BY own, i) AS chars FROM turns GROUP BY 1
+  UNION ALL SELECT c, [], [] FROM c WHERE c NOT IN (SELECT c FROM turns)),
+steps AS (SELECT c, len(p) AS n, chars, p, unnest(range(0, len(p) + 1)) AS d FROM paths),
+members AS MATERIALIZED (SELECT c, d, d = n AS ended, sha256(array_to_string(p[:d], '')) AS k, sha256(array_to_string(p[:d - 1], '')) AS up, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars FROM steps),
+nodes AS MATERIALIZED (
+  SELECT k, d, min(CASE WHEN d > 0 THEN up END) AS up, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ended), '')) AS ends_sha256
+  FROM members GROUP BY k, d),
+children AS (SELECT up AS k, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY 1),
+ways AS (SELECT DISTINCT a.k AS top, b.k AS k FROM members a JOIN members b ON a.c = b.c AND a.d <= b.d),
+sums AS (
+  SELECT top AS k, sum(n.saved)::BIGINT AS saved_tokens, count(*) FILTER (ch.n IS NULL) AS n_leaves
+  FROM ways w JOIN nodes n ON n.k = w.k LEFT JOIN children ch ON ch.k = w.k GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.k = n.k LEFT JOIN children ch ON ch.k = n.k LEFT JOIN nodes p ON p.k = n.up"""
+
 SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
 runs AS (
   SELECT doc_id, w, count(*) AS c FROM (
@@ -105,5 +130,6 @@ ORACLES: dict[str, str] = {
     "op4_exact_top_k": TOP_K,
     "op5_quality_rules": QUALITY,
     "op10_warc": WARC,
+    "op12_prefix_trie": PREFIX_TRIE,
     "op13_spelling_variants": SPELLING,
 }

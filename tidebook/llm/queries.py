@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hmm_lm, mtree, packing, sharding, simhash, spelling, token_counts, toxicity, warc
+from . import hmm_lm, mtree, packing, prefix_trie, sharding, simhash, spelling, token_counts, toxicity, warc
 from . import sentencepiece_viterbi as viterbi
 from . import quality_rules as quality
 
@@ -67,6 +67,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"), family=100, most=6)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(_table(spark, sf_dir, "documents"), min_length=7, min_count=2, slip_every=31)
 
@@ -82,5 +86,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
