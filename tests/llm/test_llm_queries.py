@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op9_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
     "op10_warc": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
+    "op11_chat_windows": "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
     "op12_prefix_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
     "op13_spelling_variants": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }

@@ -77,6 +77,33 @@ SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN first < page_id THEN
   CASE WHEN first < page_id THEN first END AS refers_to
 FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest"""
 
+CHAT_WINDOWS = r"""WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) t(k)),
+s AS (SELECT conv_id, arg_min(text, (turn IS NOT NULL, turn, text)) AS system_text, arg_min(coalesce(turn, -1), (turn IS NOT NULL, turn, text)) AS system_turn FROM c WHERE role = 'system' GROUP BY 1),
+escaped AS (
+  SELECT c.*, (octet_length(encode(text)) + 3) // 4 + 4 AS tokens, coalesce(role = 'system' AND text = system_text AND coalesce(turn, -1) = system_turn, false) AS is_system,
+    CASE role WHEN 'user' THEN '[INST] ' WHEN 'assistant' THEN '[/INST] ' WHEN 'system' THEN '[SYS] ' ELSE '[ROLE] ' || regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\]|SYS\]|/?ROLE\])', '\1\\\2\3', 'g') || '[/ROLE] ' END
+      || regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|SYS\]|/?ROLE\])', '\1\\\2\3', 'g') || '</s>' AS shown,
+    CASE WHEN system_text IS NULL THEN 0 ELSE length('[SYS] ' || regexp_replace(system_text, '([<\[])(\\*)(/?s>|/?INST\]|SYS\]|/?ROLE\])', '\1\\\2\3', 'g') || '</s>') END AS system_chars,
+    greatest(4, 2048 - 256 - CASE WHEN system_text IS NULL THEN 0 ELSE (octet_length(encode(system_text)) + 3) // 4 + 4 END) AS room
+  FROM c LEFT JOIN s ON s.conv_id = c.conv_id),
+t AS (SELECT *, sum(tokens) OVER w - tokens AS began FROM escaped WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+b AS (SELECT *, tokens > room // 4 AS alone, began // (room - room // 4) AS stretch FROM t),
+f AS (SELECT *, coalesce(alone OR lag(alone) OVER w OR stretch <> lag(stretch) OVER w, true) AS first FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY began)),
+k AS (SELECT *, sum(first::INTEGER) OVER (PARTITION BY conv_id ORDER BY began) AS k FROM f),
+past AS (
+  SELECT a.conv_id, a.k, sum(length(p.shown)) AS chars, bool_or(p.is_system) AS has_system FROM k a JOIN k p ON p.conv_id = a.conv_id AND p.began < a.began AND p.began >= a.began - 256
+  WHERE a.first GROUP BY 1, 2),
+spans AS (SELECT conv_id, k, sum(length(shown)) AS chars, bool_or(is_system) AS has_system, max(system_chars) AS system_chars FROM k GROUP BY 1, 2),
+formatted AS (
+  SELECT a.conv_id, sum(3 + a.chars + coalesce(p.chars, 0) + CASE WHEN a.has_system OR coalesce(p.has_system, false) THEN 0 ELSE system_chars END)::BIGINT AS formatted_chars
+  FROM spans a LEFT JOIN past p ON p.conv_id = a.conv_id AND p.k = a.k GROUP BY 1)
+SELECT c.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256, any_value(formatted_chars) AS formatted_chars
+FROM c JOIN formatted f ON f.conv_id = c.conv_id GROUP BY 1"""
+
 PREFIX_TRIE = f"""WITH {CRC_TABLE},
 t AS (
   SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
@@ -130,6 +157,7 @@ ORACLES: dict[str, str] = {
     "op4_exact_top_k": TOP_K,
     "op5_quality_rules": QUALITY,
     "op10_warc": WARC,
+    "op11_chat_windows": CHAT_WINDOWS,
     "op12_prefix_trie": PREFIX_TRIE,
     "op13_spelling_variants": SPELLING,
 }

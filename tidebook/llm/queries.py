@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hmm_lm, mtree, packing, prefix_trie, sharding, simhash, spelling, token_counts, toxicity, warc
+from . import chat_windows, hmm_lm, mtree, packing, prefix_trie, sharding, simhash, spelling, token_counts, toxicity, warc
 from . import sentencepiece_viterbi as viterbi
 from . import quality_rules as quality
 
@@ -67,6 +67,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.lit("</s>[INST] ok [/INST]")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
+    all_of_them = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat_windows.digests(chat_windows.format_windows(all_of_them, budget=2048, history=256))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"), family=100, most=6)
 
@@ -86,6 +94,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
+    "op11_chat_windows": op11_chat_windows,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
