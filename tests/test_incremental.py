@@ -1,0 +1,117 @@
+"""What is computed on from stored states is what a computation of everything gives, and little is computed."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidebook.operators import incremental, indicators
+from tidebook.plans import refresh
+from tidebook.sources.store import Store
+
+BARS = "symbol string, date string, open string, high string, low string, close string, volume string"
+DAYS = [f"{y}-{m:02d}-{d:02d}" for y in range(2018, 2022) for m in range(1, 13) for d in range(1, 29)]
+
+
+def bars(seed=1, symbols=("A", "B", "C"), days=DAYS):
+    draw, out = random.Random(seed), {}
+    for s in symbols:
+        price = 100.0
+        for k, d in enumerate(days):
+            price *= draw.uniform(0.97, 1.031)
+            out[s, d] = "" if s == "B" and k % 500 == 499 else "nan" if s == "C" and k == 900 else f"{price:.4f}"
+    return out
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(s, d, "1", "9", "0", c, str(k)) for k, ((s, d), c) in enumerate(rows.items())], BARS)
+
+
+def stored(store):
+    return {(r.symbol, r.date): tuple(r)[2:] for r in store.table("indicators").drop("updated_at").collect()}
+
+
+def whole(spark, store):
+    return {(r.symbol, r.date): tuple(r)[2:] for r in indicators.indicator_rows(store.table("ohlcv")).collect()}
+
+
+def alike(a, b):
+    assert a.keys() == b.keys()
+    for key in a:
+        for x, y in zip(a[key], b[key]):
+            assert x == y or x and y and abs(float(x) - float(y)) <= 1e-6 + 1e-9 * abs(float(y)), (key, a[key], b[key])
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    made = Store(spark, str(tmp_path / "store"), buckets=2)
+    refresh.upsert_bars(made, frame(spark, bars()), "t0", ["date"])
+    assert refresh.refresh(made, "t0").count() == 3 * len(DAYS)
+    return made
+
+
+def test_changes_dirty_no_more_than_they_reach(spark, store):
+    alike(stored(store), whole(spark, store))
+    # a new day: a row for each symbol is computed, from the last states, and no stored bar is read
+    refresh.upsert_bars(store, frame(spark, {(s, "2022-01-01"): "120" for s in "ABC"}), "t1", ["date"])
+    made = refresh.refresh(store, "t1")
+    assert sorted((r.symbol, r.date) for r in made.collect()) == [(s, "2022-01-01") for s in "ABC"]
+    alike(stored(store), whole(spark, store))
+    # the same again changes nothing
+    refresh.upsert_bars(store, frame(spark, {("A", "2022-01-01"): "120"}).withColumn("volume", F.lit("0")), "t2", ["date"])
+    assert refresh.refresh(store, "t2").count() == 0
+    # a correction in A reaches as far as the means remember, one in B to its next gap
+    refresh.upsert_bars(store, frame(spark, {("A", DAYS[300]): "55", ("A", DAYS[301]): "56", ("B", DAYS[480]): "77"}), "t3", ["date"])
+    made = {s: sorted(r.date for r in rows) for s, rows in _by_symbol(refresh.refresh(store, "t3").collect()).items()}
+    assert made.keys() == {"A", "B"} and made["B"][-1] == DAYS[498] and made["B"][0] <= DAYS[480]
+    assert DAYS[500] < made["A"][-1] < DAYS[1100] and len(made["A"]) < 800
+    alike(stored(store), whole(spark, store))
+    assert store.table("indicator_states").count() < 0.05 * 3 * len(DAYS)
+    # a late day, a gap that is filled, a new gap, a new symbol, and a symbol's last day corrected
+    late = {("A", "2019-03-30"): "90", ("B", DAYS[499]): "80", ("C", DAYS[700]): "", ("D", DAYS[3]): "5", ("C", "2022-01-01"): "121"}
+    refresh.upsert_bars(store, frame(spark, late), "t4", ["date"])
+    refresh.refresh(store, "t4")
+    alike(stored(store), whole(spark, store))
+    assert refresh.marks(store).count() == 0
+
+
+def _by_symbol(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r.symbol, []).append(r)
+    return out
+
+
+def test_a_refresh_that_breaks_off_is_done_by_the_next(spark, store, monkeypatch):
+    refresh.upsert_bars(store, frame(spark, {("A", DAYS[1000]): "3"}), "t1", ["date"])
+    put = Store.upsert
+
+    def breaks(self, name, *rest):
+        if name == "indicator_states":
+            raise KeyboardInterrupt
+        put(self, name, *rest)
+
+    monkeypatch.setattr(Store, "upsert", breaks)
+    with pytest.raises(KeyboardInterrupt):
+        refresh.refresh(store, "t1")
+    monkeypatch.setattr(Store, "upsert", put)
+    refresh.upsert_bars(store, frame(spark, {("A", DAYS[1000]): "4"}), "t2", ["date"])  # the later of two marks counts
+    refresh.refresh(store, "t2")
+    alike(stored(store), whole(spark, store))
+
+
+def test_states_are_packed_without_loss():
+    draw, a = random.Random(2), incremental.Running()
+    for k in range(300):
+        a.add(None if k == 40 else draw.random())
+        b = incremental.Running()
+        b.load(incremental.unpack(incremental.pack(a.numbers())))
+        assert b.numbers() == a.numbers() and incremental.met(a.numbers(), b.numbers())
+        x = draw.random()
+        assert b.add(x) == [y if y is None else pytest.approx(y, abs=0) for y in a.add(x)]
+    assert not incremental.met(a.numbers(), a.numbers()[:-1]) and not incremental.met(a.numbers(), [*a.numbers()[:-1], 9.0])
+
+
+def test_nothing_changed_in_an_empty_store(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
+    assert refresh.refresh(store, "t").count() == 0 and store.table("indicators").count() == 0

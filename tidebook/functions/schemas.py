@@ -16,15 +16,17 @@ TABLES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "macro": (("series_id", "date"), ("value", "realtime_start", "realtime_end")),
     "news": (("symbol", "id"), ("datetime", "date", "headline", "source", "summary", "url", "image", "category")),
 }
+#: What isn't data of providers but is stored by key as well: states that indicators are computed on from.
+KEYED = TABLES | {"indicator_states": (("symbol", "date"), ("state",))}
 
 
 def columns(table: str) -> list[str]:
-    key, others = TABLES[table]
+    key, others = KEYED[table]
     return [*key, *others, "updated_at"]
 
 
 def schema(table: str) -> T.StructType:
-    key = {*TABLES[table][0], "updated_at"}
+    key = {*KEYED[table][0], "updated_at"}
     return T.StructType([T.StructField(c, T.StringType(), c not in key) for c in columns(table)])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import casts, schemas
 from tidebook.operators import normalize, planner, summary
-from tidebook.plans import collect, queries
+from tidebook.plans import collect, queries, refresh
 from tidebook.plans.queries import TODAY, table
 from tidebook.sources import config, scratch
 from tidebook.sources.store import Store, dataset_files, files
@@ -71,6 +71,35 @@ def stored_indicators(spark, sf_dir):
     return store.table("indicators")
 
 
+def gapped_bars_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars as text, with a day without a close in every other year."""
+    missing = queries.gap() & (F.year("date") % 2 == 0)
+    return bars_as_text(spark, sf_dir).withColumn("close", F.when(missing, F.lit("")).otherwise(F.col("close")))
+
+
+def incremental_indicators(spark, sf_dir):
+    """Indicators of the bars before June 1998, and then of two batches of later days, each computed on from the stored states."""
+    store, bars = new_store(spark), gapped_bars_as_text(spark, sf_dir)
+    for first, end in (("", "1998-06-01"), ("1998-06-01", "1998-06-20"), ("1998-06-20", "9999")):
+        refresh.upsert_bars(store, bars.where((F.col("date") >= first) & (F.col("date") < end)), STAMPS[0], ["date"])
+        refresh.refresh(store, STAMPS[0])
+    return store.table("indicators").drop("updated_at")
+
+
+def corrected_indicators(spark, sf_dir):
+    """Indicators after corrections: closes of some days that were wrong, a day that came late, and a gap that is filled; what they made dirty is computed again."""
+    store, bars = new_store(spark), gapped_bars_as_text(spark, sf_dir)
+    wrong = F.col("date").isin("1994-03-01", "1994-03-02", "1997-01-15") & (F.col("symbol") == "1-URGENT")
+    late = (F.col("date") == "1995-09-01") & (F.col("symbol") == "2-HIGH")
+    filled = (F.col("date") == "1996-02-01") & (F.col("symbol") == "5-LOW")
+    begun = bars.where(~late).withColumn("close", F.when(wrong, F.lit("1.5")).when(filled, F.lit("n/a")).otherwise(F.col("close")))
+    refresh.upsert_bars(store, begun, STAMPS[0], ["date"])
+    refresh.refresh(store, STAMPS[0])
+    refresh.upsert_bars(store, bars.where(wrong | late | filled), STAMPS[1], ["date"])
+    refresh.refresh(store, STAMPS[1])
+    return store.table("indicators").drop("updated_at")
+
+
 def written_report(spark, sf_dir):
     store = two_batches(spark, sf_dir)
     collect.report(store)
@@ -227,7 +256,7 @@ def progress_text(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        stored_bars, stored_history, stored_indicators, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, collected_run, collected_bars,
+        stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, collected_run, collected_bars,
         recorded_runs, configured_symbols, configured_keys, news_days, news_archive, archive_names, progress_text,
         dry_run_statuses, current_run, kept_files, first_series, stored_news,
     )

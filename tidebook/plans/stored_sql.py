@@ -28,6 +28,14 @@ def _sma(p: int) -> str:
     return f"CASE WHEN count(close) OVER w{p} = {p} THEN avg(close) OVER w{p} END AS sma_{p}"
 
 
+#: All indicators of the bars as text, with a gap in every other year, however they were come by.
+KEPT_UP = f"""WITH RECURSIVE {TEXT}, gapped AS (SELECT * REPLACE (CASE WHEN substr(date, 6) = '06-13' AND CAST(substr(date, 1, 4) AS INTEGER) % 2 = 0 THEN '' ELSE close END AS close) FROM texts),
+  closes AS (SELECT symbol, date, TRY_CAST(close AS DOUBLE) AS close FROM gapped), {SEGMENTS}, {ORDERED}, {MACD}, {RSI},
+  sma AS (SELECT symbol, date, {_sma(20)}, {_sma(50)}, {_sma(200)} FROM seg {SMA_WINDOWS})
+  SELECT t.*, {_text('sma_20', 'sma_20')}, {_text('sma_50', 'sma_50')}, {_text('sma_200', 'sma_200')}, {_text('rsi_14', 'rsi_14')},
+    {_text('m.macd', 'macd_12_26')}, {_text('sig.e', 'macd_signal_9')}, {_text('m.macd - sig.e', 'macd_hist')}
+  FROM gapped t LEFT JOIN sma USING (symbol, date) LEFT JOIN rsi USING (symbol, date) LEFT JOIN m USING (symbol, date) LEFT JOIN sig USING (symbol, date)"""
+
 ORACLES: dict[str, str] = {
     "stored_bars": f"WITH {STORED} SELECT * FROM stored",
     "stored_history": f"WITH {STORED} SELECT date, open, high, low, close, volume FROM stored WHERE symbol = '3-MEDIUM'",
@@ -36,6 +44,8 @@ ORACLES: dict[str, str] = {
       SELECT t.*, {_text('sma_20', 'sma_20')}, {_text('sma_50', 'sma_50')}, {_text('sma_200', 'sma_200')}, {_text('rsi_14', 'rsi_14')},
         {_text('m.macd', 'macd_12_26')}, {_text('sig.e', 'macd_signal_9')}, {_text('m.macd - sig.e', 'macd_hist')}, CASE WHEN t.symbol IN ('1-URGENT', '2-HIGH') THEN '{STAMPS[1]}' ELSE '{STAMPS[0]}' END AS updated_at
       FROM texts t LEFT JOIN sma USING (symbol, date) LEFT JOIN rsi USING (symbol, date) LEFT JOIN m USING (symbol, date) LEFT JOIN sig USING (symbol, date)""",
+    "incremental_indicators": KEPT_UP,
+    "corrected_indicators": KEPT_UP,
     "written_report": f"WITH {STORED} SELECT 'pass' AS status, CAST(0 AS BIGINT) AS issue_count, CAST(0 AS BIGINT) AS rows_indicators, CAST(0 AS BIGINT) AS rows_macro, CAST(0 AS BIGINT) AS rows_news, count(*) AS rows_ohlcv FROM stored",
     "written_summary": f"WITH {STORED} SELECT '{TODAY}' AS date, CAST(0 AS BIGINT) AS raw_count, count(*) AS ohlcv, CAST(0 AS BIGINT) AS news, CAST(0 AS BIGINT) AS run_count FROM stored",
     "recorded_statuses": f"WITH {LOG} SELECT provider, symbol, status, rows, last_success_at FROM latest",

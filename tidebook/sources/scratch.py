@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidebook.functions.workers import is_local
 
@@ -61,3 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` written once to the shared folder and read back."""
+    path = new_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -35,7 +35,7 @@ class Store:
 
     def _bucket(self, name: str) -> Column:
         """A symbol's rows lie together, but for news, of which a symbol may have any number."""
-        key = schemas.TABLES[name][0]
+        key = schemas.KEYED[name][0]
         return F.pmod(F.xxhash64(*(key if name == "news" else key[:1])), F.lit(self.buckets)).cast("int")
 
     def _with_buckets(self, name: str) -> DataFrame:
@@ -62,7 +62,7 @@ class Store:
         staged = f"{self.root}/_staged/{name}"
         if scratch.exists(self.spark, f"{staged}/_SUCCESS"):
             rows = self._read(staged, self._with_buckets(name).schema)
-            rows.repartition("bucket").sortWithinPartitions("bucket", *schemas.TABLES[name][0]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.root}/{name}")
+            rows.repartition("bucket").sortWithinPartitions("bucket", *schemas.KEYED[name][0]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.root}/{name}")
         scratch.delete(self.spark, staged)
 
     def upsert(self, name: str, incoming: DataFrame, now: str, order: list[str]) -> None:
@@ -72,7 +72,7 @@ class Store:
         if the driver ends while buckets are exchanged. One writer at a time (``lock``).
         """
         self._put(name)
-        keys = list(schemas.TABLES[name][0])
+        keys = list(schemas.KEYED[name][0])
         ordered = schemas.with_text(incoming.withColumn("updated_at", F.lit(now)), name, [F.col(c).alias(f"__order_{c}") for c in order])
         ordered = ordered.where(F.coalesce(F.col(keys[-1]), F.lit("")) != "")
         new = upserts.last_wins(ordered, keys, [f"__order_{c}" for c in order]).select(*schemas.columns(name), self._bucket(name).alias("bucket"))
