@@ -121,6 +121,9 @@ ORACLES: dict[str, str] = {
     "rsi_flat": f"WITH {BARS} SELECT symbol, date, CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY date) > 14 THEN 100.0::DOUBLE END AS rsi_14 FROM bars",
     "macd": f"""WITH RECURSIVE {BARS}, {GAPPED}, {SEGMENTS}, {ORDERED}, {MACD}
       SELECT c.symbol, c.date, {MACD_COLUMNS} FROM closes c LEFT JOIN m USING (symbol, date) LEFT JOIN sig USING (symbol, date)""",
+    "scanned_indicators": f"""WITH RECURSIVE {BARS.replace("o_orderpriority AS symbol", "'ALL' AS symbol")}, {GAPPED}, {SEGMENTS}, {ORDERED}, {MACD}, {RSI}
+      SELECT c.symbol, c.date, close, round(rsi_14, 4) + 0.0 AS rsi_14, round(m.macd, 4) + 0.0 AS macd_12_26, round(sig.e, 4) + 0.0 AS macd_signal_9, round(m.macd - sig.e, 4) + 0.0 AS macd_hist
+      FROM closes c LEFT JOIN rsi USING (symbol, date) LEFT JOIN m USING (symbol, date) LEFT JOIN sig USING (symbol, date)""",
     "indicators_full": f"""WITH RECURSIVE {BARS}, {GAPPED}, {SEGMENTS}, {ORDERED}, {MACD}, {RSI},
       sma AS (SELECT symbol, date, {_sma_columns()} FROM seg {SMA_WINDOWS})
       SELECT c.symbol, c.date, round(c.close, 6) + 0.0 AS close, sma_20, sma_50, sma_200, {r6('rsi_14', 'rsi_14')}, {MACD_COLUMNS}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import casts
 from tidebook.operators import bars as bar_ops
-from tidebook.operators import indicators, listing, normalize, planner, summary, upsert, validate
+from tidebook.operators import indicators, listing, normalize, planner, scan, summary, upsert, validate
 
 TODAY = "2024-01-20"
 
@@ -124,6 +124,13 @@ def macd(spark, sf_dir):
     return rounded(indicators.recursive(gapped(spark, sf_dir)).select("symbol", "date", "macd_12_26", "macd_signal_9", "macd_hist"))
 
 
+def scanned_indicators(spark, sf_dir):
+    """All orders as one symbol, whose history is dealt out by stretches of 64 days."""
+    orders = table(spark, sf_dir, "orders")
+    bars = bar_ops.daily_bars(orders, F.lit("ALL"), F.col("o_orderdate"), F.col("o_totalprice"), [F.col("o_orderkey")])
+    return rounded(scan.recursive(bars.select("symbol", "date", F.when(~gap(), F.col("close")).alias("close")), days=64), 4)
+
+
 def indicators_full(spark, sf_dir):
     return rounded(indicators.all_indicators(gapped(spark, sf_dir)))
 
@@ -355,7 +362,7 @@ def raw_archive_counts(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        ohlcv_bars, event_bars, sma, sma_with_gaps, ema_12, ema_with_gaps, rsi_14, rsi_flat, macd, indicators_full, indicator_text, indicators_processed,
+        ohlcv_bars, event_bars, sma, sma_with_gaps, ema_12, ema_with_gaps, rsi_14, rsi_flat, macd, scanned_indicators, indicators_full, indicator_text, indicators_processed,
         price_delta_gain_loss, upsert_last_wins, upsert_idempotent, duplicate_keys, invalid_rows, validation_issues, validation_rollup, table_counts,
         symbol_history, normalize_ohlcv_list, normalize_ohlcv_map, normalize_macro, normalize_news, normalize_errors, listing_symbols, merge_symbols,
         latest_status, pending_symbols, done_today, not_done_today, budget_remaining, call_decisions, active_key, calls_in_last_minute, run_counters, last_20_runs,
