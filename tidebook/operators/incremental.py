@@ -89,6 +89,11 @@ def met(state: list[float], stored: list[float], close: float = CLOSE) -> bool:
     return bool(np.allclose(state, stored, rtol=0, atol=close * largest, equal_nan=True))
 
 
+def picked(date: str, every: int) -> bool:
+    """Whether a date's state is stored: by a hash, so that other dates have no say in it."""
+    return zlib.crc32(date.encode()) % every == 0
+
+
 def _go_on(batches: Iterator[pa.RecordBatch], every: int) -> Iterator[pa.RecordBatch]:
     """Rows by symbol and date, a bar before the state stored for its date. A bar is held back until what follows it is known."""
     schema = pa.schema([(c, pa.float64() if t == "double" else pa.string()) for c, t in (x.split() for x in OUT.split(", "))])
@@ -96,8 +101,7 @@ def _go_on(batches: Iterator[pa.RecordBatch], every: int) -> Iterator[pa.RecordB
 
     def let_go(keep: bool) -> None:
         if held:
-            picked = keep or zlib.crc32(held[1].encode()) % every == 0
-            out.append((*held, pack(running.numbers()) if picked else None))
+            out.append((*held, pack(running.numbers()) if keep or picked(held[1], every) else None))
 
     def made() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)

@@ -26,6 +26,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What is in a folder; nothing if it isn't there."""
+    if not exists(spark, path):
+        return []
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [x.getPath().getName() for x in found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(found)]
+
+
 def _delete_at_exit(spark: SparkSession, path: str) -> None:
     found, conf = spark._jvm.org.apache.hadoop.fs.Path(path), spark.sparkContext._jsc.hadoopConfiguration()
 

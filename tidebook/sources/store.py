@@ -1,11 +1,14 @@
 """Stored tables under a folder: keyed tables in buckets of their key, and append-only logs, all as plain Parquet.
 
-A keyed table is partitioned by ``bucket``, a hash of its key. An upsert reads the buckets that
-it touches, and puts them back by Spark's dynamic partition overwrite; others aren't read or written.
+A keyed table is partitioned by ``bucket``, a hash of its key. An upsert appends its batch and no more; readers take
+a batch's rows over those of the buckets and of earlier batches. Now and then, and at the end of a run, batches are merged into the
+buckets that they touch, by Spark's dynamic partition overwrite; others aren't read or written.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,8 @@ from tidebook.sources import scratch
 
 #: Buckets of a keyed table, fixed once a store is written to: about a GB each, of some hundred GB.
 BUCKETS = 256
+#: Batches of a table that are kept beside its buckets before they are merged into them.
+MERGE_AFTER = 16
 
 
 class Store:
@@ -41,15 +46,40 @@ class Store:
     def _with_buckets(self, name: str) -> DataFrame:
         return self._read(f"{self.root}/{name}", T.StructType([*schemas.schema(name).fields, T.StructField("bucket", T.IntegerType())]))
 
+    def _batch_numbers(self, name: str) -> list[int]:
+        """Of whole batches; one whose write broke off has none of Spark's marks."""
+        at = f"{self.root}/_batches/{name}"
+        return sorted(int(x.removeprefix("batch=")) for x in scratch.names(self.spark, at) if scratch.exists(self.spark, f"{at}/{x}/_SUCCESS"))
+
+    def _batches(self, name: str) -> DataFrame | None:
+        """Rows of the batches that aren't merged, the last of each key; None if there are none."""
+        numbers, at = self._batch_numbers(name), f"{self.root}/_batches/{name}"
+        if not numbers:
+            return None
+        kind = T.StructType([*self._with_buckets(name).schema.fields, T.StructField("batch", T.IntegerType())])
+        rows = self.spark.read.schema(kind).option("basePath", at).parquet(*[f"{at}/batch={n}" for n in numbers])
+        if len(numbers) > 1:
+            rows = upserts.last_wins(rows, list(schemas.KEYED[name][0]), ["batch"])
+        return rows.drop("batch")
+
+    def _rows(self, name: str) -> DataFrame:
+        """The rows with their buckets. Only batches and their keys are shuffled or broadcast, not what is in buckets, unless they are many."""
+        base, batches = self._with_buckets(name), self._batches(name)
+        if batches is None:
+            return base
+        new = batches.select(*[F.col(c).alias(f"__{c}") for c in schemas.KEYED[name][0]])
+        same = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in schemas.KEYED[name][0]])
+        return base.join(new, same, "left_anti").unionByName(batches)
+
     def table(self, name: str) -> DataFrame:
         """The rows of a keyed table; none if it was never written."""
-        return self._with_buckets(name).drop("bucket")
+        return self._rows(name).drop("bucket")
 
     def history(self, symbol: str) -> DataFrame:
         """date, open, high, low, close, volume of a symbol, by date, nothing as the empty text. One bucket is read."""
         one = self._bucket("ohlcv")
         bucket = self.spark.range(1).select(F.lit(symbol).alias("symbol")).select(one).first()[0]
-        rows = self._with_buckets("ohlcv").where((F.col("bucket") == bucket) & (F.col("symbol") == symbol))
+        rows = self._rows("ohlcv").where((F.col("bucket") == bucket) & (F.col("symbol") == symbol))
         return rows.orderBy("date").select(*[F.coalesce(c, F.lit("")).alias(c) for c in schemas.BAR])
 
     def news(self, symbol: str, first: str = "", last: str = "9999") -> DataFrame:
@@ -68,25 +98,32 @@ class Store:
     def upsert(self, name: str, incoming: DataFrame, now: str, order: list[str]) -> None:
         """Put ``incoming`` over the stored rows by key; of its rows with one key the last by ``order`` wins.
 
-        The new rows are staged first, for Spark can't read what it overwrites, and so that nothing is lost
-        if the driver ends while buckets are exchanged. One writer at a time (``lock``).
+        The rows are written once, as a batch. One writer at a time (``lock``).
         """
-        self._put(name)
         keys = list(schemas.KEYED[name][0])
         ordered = schemas.with_text(incoming.withColumn("updated_at", F.lit(now)), name, [F.col(c).alias(f"__order_{c}") for c in order])
         ordered = ordered.where(F.coalesce(F.col(keys[-1]), F.lit("")) != "")
         new = upserts.last_wins(ordered, keys, [f"__order_{c}" for c in order]).select(*schemas.columns(name), self._bucket(name).alias("bucket"))
-        new.write.mode("overwrite").parquet(f"{self.root}/_new/{name}")
-        new = self._read(f"{self.root}/_new/{name}", new.schema)
-        touched = [r[0] for r in new.select("bucket").distinct().collect()]  # ``buckets`` at most
-        if touched:
-            old = self._with_buckets(name).where(F.col("bucket").isin(touched))
-            marked = old.select("*", F.lit(0).alias("__new")).unionByName(new.select("*", F.lit(1).alias("__new")))
-            # dealt by bucket once: the grouping by bucket and key, and the files, need no other shuffle
-            merged = upserts.last_wins(marked.repartition(F.col("bucket")), ["bucket", *keys], ["__new"]).select(*schemas.columns(name), "bucket")
-            merged.write.mode("overwrite").parquet(f"{self.root}/_staged/{name}")
-            self._put(name)
-        scratch.delete(self.spark, f"{self.root}/_new/{name}")
+        numbers = self._batch_numbers(name)
+        new.write.mode("overwrite").parquet(f"{self.root}/_batches/{name}/batch={numbers[-1] + 1 if numbers else 1}")
+        if len(numbers) + 1 >= MERGE_AFTER:
+            self.merge(name)
+
+    def merge(self, name: str) -> None:
+        """Merge a table's batches into the buckets that they touch.
+
+        The merged buckets are staged first, for Spark can't read what it overwrites. Batches go last, so that readers
+        and a merge that is done again after a break find the same rows.
+        """
+        self._put(name)
+        numbers, batches = self._batch_numbers(name), self._batches(name)
+        if batches is None:
+            return
+        touched = [r[0] for r in batches.select("bucket").distinct().collect()]  # ``buckets`` at most
+        self._rows(name).where(F.col("bucket").isin(touched)).write.mode("overwrite").parquet(f"{self.root}/_staged/{name}")
+        self._put(name)
+        for n in numbers:  # the oldest first: what is still there after a break is newer than what is gone
+            scratch.delete(self.spark, f"{self.root}/_batches/{name}/batch={n}")
 
     # logs
 
