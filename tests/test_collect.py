@@ -60,7 +60,7 @@ def test_calls_are_repeated_and_kept_within_the_rate(spark, tmp_path):
         import time
 
         with open(f"{calls}/{symbol}", "a") as f:
-            f.write(f"{time.monotonic()}\n")
+            f.write(f"{time.time()}\n")
         n = len(open(f"{calls}/{symbol}").readlines())
         if symbol == "FLAKY" and n == 1 or symbol == "DOWN":
             raise OSError("no route")
@@ -71,14 +71,16 @@ def test_calls_are_repeated_and_kept_within_the_rate(spark, tmp_path):
         return json.dumps({"values": [{"datetime": "2024-01-02", "close": "5"}]})
 
     store = Store(spark, str(tmp_path / "store"), buckets=4)
-    run = collect.Run(Provider("primary", enabled=True, daily_limit=100, max_symbols_per_run=50, per_minute_limit=3), "bar_list", "2024-01-03", "2024-01-03 22:30:00", QUICK | {"windowSeconds": "1"}, transports={"fake": fake})
+    run = collect.Run(Provider("primary", enabled=True, daily_limit=100, max_symbols_per_run=50, per_minute_limit=3), "bar_list", "2024-01-03", "2024-01-03 22:30:00", QUICK | {"windowSeconds": "6"}, transports={"fake": fake}, symbols_at_once=2)
     got = {r.symbol: (r.status, r.error) for r in collect.collect(spark, store, listed(spark, "FINE", "FLAKY", "DOWN", "BUSY", "BAD"), run).collect()}
     assert {s: x for s, (x, _) in got.items()} == {"FINE": "done", "FLAKY": "done", "DOWN": "failed", "BUSY": "done", "BAD": "failed"}
     assert "no route" in got["DOWN"][1] and got["BAD"][1] == "bad symbol"
     made = {p.name: [float(x) for x in p.read_text().split()] for p in calls.iterdir()}
     assert {s: len(x) for s, x in made.items()} == {"FINE": 1, "FLAKY": 2, "DOWN": 2, "BUSY": 2, "BAD": 1}
     times = sorted(t for x in made.values() for t in x)
-    assert all(b - a > 0.99 for a, b in zip(times, times[3:]))  # never over three in a second
+    assert all(b - a > 5.99 for a, b in zip(times, times[3:]))  # never over three in six seconds, over all batches of the run
+    kept = {r.key: r for r in store.bronze().collect()}
+    assert "Rate limit" in kept["BUSY"].earlier and len(json.loads(kept["BUSY"].calls)) == 2 and kept["FINE"].earlier is None
     assert store.table("ohlcv").count() == 3
 
 
@@ -104,6 +106,29 @@ def test_a_run_that_breaks_off_keeps_what_it_did(spark, tmp_path, monkeypatch):
     assert sorted(r.close for r in store.table("ohlcv").collect()) == ["1", "2", "3", "4", "5"]
 
 
+def test_a_break_between_archive_and_record(spark, tmp_path, monkeypatch):
+    """What the run before archived keeps its number to itself, and nothing is counted twice."""
+    def fake(kind, symbol, options):
+        return json.dumps({"values": [{"datetime": "2024-01-02", "close": "1"}]})
+
+    store = Store(spark, str(tmp_path / "store"), buckets=4)
+    run = collect.Run(PRIMARY, "bar_list", "2024-01-03", "2024-01-03 22:30:00", QUICK, transports={"fake": fake}, clock=lambda: "2024-01-03 22:47:00")
+    record = Store.record
+
+    def breaks(self, events):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(Store, "record", breaks)
+    with pytest.raises(KeyboardInterrupt):
+        collect.collect(spark, store, listed(spark, "S1", "S2"), run)
+    monkeypatch.setattr(Store, "record", record)
+    assert store.bronze().count() == 2 and store.log().count() == 0
+    got = [tuple(r) for r in collect.collect(spark, store, listed(spark, "S1", "S2", "S1"), run).orderBy("symbol").collect()]
+    assert got == [("S1", "done", 1, None), ("S2", "done", 1, None)]
+    assert {r.seq for r in store.bronze().collect()} == {1, 2} and store.log().count() == 2
+    assert [(r.seq, r.processed, r.started_at, r.finished_at) for r in store.runs().collect()] == [(2, 2, "2024-01-03 22:30:00", "2024-01-03 22:47:00")]
+
+
 def test_listings_become_the_list_of_symbols(spark, tmp_path):
     from tidebook.sources import config
 

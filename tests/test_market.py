@@ -213,17 +213,29 @@ def test_lines_and_providers(spark, tmp_path):
     assert config.keys(spark, [p], {"B": "secret"}).orderBy("key_index").select("has_key").collect() == [(False,), (True,)]
 
 
-def test_sliding_window():
-    rest.SlidingWindow(0, clock=lambda: 1 / 0).wait()
-    early, naps = iter([0.0, 1.0, 30.0, 59.0, 60.5]), []
-    w = rest.SlidingWindow(1, clock=lambda: next(early), sleep=naps.append)
-    w.wait(), w.wait()
-    assert naps == [59.0, 30.0, 1.0] and w.calls == [60.5]  # a sleep that was too short is followed by another
-    times, slept = iter([0.0, 1.0, 2.0, 61.0]), []
-    w = rest.SlidingWindow(2, clock=lambda: next(times), sleep=slept.append)
-    for _ in range(3):
-        w.wait()
-    assert slept == [58.0] and w.calls == [61.0]
+class Clock:
+    """Time that passes by sleeping, a little less than was asked for."""
+
+    def __init__(self, now=1000.0, short=0.0):
+        self.now, self.short, self.slept = now, short, []
+
+    def sleep(self, seconds):
+        self.slept.append(seconds)
+        self.now += max(seconds - self.short, 0.25)
+
+
+def test_call_times():
+    free = Clock()
+    calls = rest.CallTimes(0, clock=lambda: free.now, sleep=free.sleep)
+    for _ in range(5):
+        calls.take()
+    assert not free.slept and len(calls.times) == 5
+    c = Clock(short=1.0)
+    calls = rest.CallTimes(2, clock=lambda: c.now, sleep=c.sleep, times=[950.0, 990.0])  # those of an earlier read count
+    for _ in range(4):
+        calls.take()
+    assert calls.times[2] >= 1010 and len(c.slept) > 3  # a sleep that was too short is followed by another
+    assert all(b - a >= 60 for a, b in zip(calls.times, calls.times[2:]))
 
 
 def test_retries():
@@ -235,13 +247,17 @@ def test_retries():
             raise OSError("down")
         return "ok"
 
-    assert rest.fetch(flaky, sleep=slept.append) == "ok" and slept == [2.0]
-    with pytest.raises(RuntimeError):
-        rest.fetch(lambda: 1 / 0, sleep=slept.append)
-    answers = iter(['{"status":"error","message":"Rate limit reached"}', '{"values":[]}'])
-    paused = []
-    assert rest.with_rate_limit_retry(lambda: next(answers), paused.append) == '{"values":[]}' and paused == [60]
-    assert rest.with_rate_limit_retry(lambda: '{"status":"error","message":"bad symbol"}', paused.append) and paused == [60]
+    calls = rest.CallTimes(0)
+    assert rest.fetch(flaky, rest.schedule(2, 2.0), calls, sleep=slept.append) == "ok" and slept == [2.0] and len(calls.times) == 2
+    with pytest.raises(RuntimeError, match="after 2 attempts"):
+        rest.fetch(lambda: 1 / 0, rest.schedule(2, 2.0), calls, sleep=slept.append)
+    with pytest.raises(ValueError):
+        rest.schedule(0, 1.0)
+    said = '{"status":"error","message":"Rate limit reached"}'
+    answers, paused = iter([said, '{"values":[]}']), []
+    assert rest.asked_again(lambda: next(answers), paused.append) == ('{"values":[]}', said) and paused == [60]
+    bad = '{"status":"error","message":"bad symbol"}'
+    assert rest.asked_again(lambda: bad, paused.append) == (bad, None) and paused == [60]
 
 
 def test_source_archive_and_store(spark, tmp_path):

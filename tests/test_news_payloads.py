@@ -1,7 +1,5 @@
 """Payloads of bounded size, and none that is lost in silence."""
 
-import pytest
-
 from tidebook.operators import normalize
 from tidebook.plans import queries
 
@@ -17,11 +15,11 @@ def test_news_of_a_source_come_in_payloads_of_bounded_size(spark, monkeypatch):
     assert sorted(map(repr, queries.normalize_news(spark, DATA).collect())) == whole
 
 
-def test_large_payload_that_is_not_read_is_told(spark, monkeypatch):
-    monkeypatch.setattr(normalize, "READABLE_BYTES", 20)
-    payloads = spark.createDataFrame([("a", '[{"id":1,"headline":"a long one"}]'), ("b", "[" + "x" * 30), ("c", "["), ("d", None)], "key string, payload string")
+def test_a_payload_that_cannot_be_read_is_its_symbols_failure(spark):
+    """Of any size: no payload ends the job, and others go through."""
+    payloads = spark.createDataFrame([("a", '[{"id":1,"headline":"fine"}]'), ("b", "[" + "x" * (17 << 20)), ("c", "["), ("d", None)], "key string, payload string")
     errors = {r.key: r.error for r in normalize.payload_errors(payloads, "news", ["key"]).collect()}
-    assert errors == {"a": None, "b": normalize.TOO_LARGE, "c": "not JSON", "d": "not JSON"}
-    assert [r.id for r in normalize.news(payloads.where("key <> 'b'"), ["key"]).collect()] == ["1"]
-    with pytest.raises(Exception, match="too large"):
-        normalize.news(payloads, ["key"]).collect()
+    assert errors == {"a": None, "b": normalize.UNREADABLE, "c": normalize.UNREADABLE, "d": normalize.UNREADABLE}
+    assert [r.id for r in normalize.news(payloads, ["key"]).collect()] == ["1"]
+    found = {r.key: (r.status, r.error) for r in normalize.collect_results(payloads, "news", ["key"]).collect()}
+    assert found == {"a": ("done", None)} | {k: ("failed", normalize.UNREADABLE) for k in "bcd"}

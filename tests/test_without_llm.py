@@ -1,5 +1,6 @@
 """The rest works where the corpus operators and their tests are not there, with the pipeline's file or without."""
 
+import os
 import shutil
 import subprocess
 import sys
@@ -9,7 +10,8 @@ import pytest
 
 REPO = Path(__file__).resolve().parents[1]
 SAY = "import __spark_entry__ as e; q = e.queries(); print(len(q), 'pipeline' in q, set(e.oracle_sql()) <= set(q))"
-ENV = {"PATH": "/usr/bin:/bin", "PYTHONPATH": "", "PYSPARK_PYTHON": sys.executable}
+#: The parent's, so that what it can import is found there too; but for what names this repository.
+ENV = os.environ | {"PYSPARK_PYTHON": sys.executable, "PYTHONPATH": os.pathsep.join(p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and not Path(p).resolve().is_relative_to(REPO))}
 
 
 @pytest.fixture
@@ -38,8 +40,9 @@ def test_entry_without_llm(copy, pipeline_too):
 def test_the_other_tests_without_llm(copy):
     """All of them are collected there; those of the operators and sources, and some of the queries, are run."""
     (copy / "corpus_pipeline.py").unlink(missing_ok=True)
-    assert python(copy, "-m", "pytest", "tests", "--collect-only", "-q").returncode == 0
-    others = [p.name for p in (copy / "tests").glob("test_*.py") if p.name not in ("test_without_llm.py", "test_queries.py", "test_collect.py")]
+    collected = python(copy, "-m", "pytest", "tests", "--collect-only", "-q")
+    assert collected.returncode == 0, collected.stdout[-3000:] + collected.stderr[-3000:]
+    others = [p.name for p in (copy / "tests").glob("test_*.py") if p.name not in ("test_without_llm.py", "test_queries.py")]
     said = python(copy, "-m", "pytest", "-x", "-q", "-p", "no:cacheprovider", *(f"tests/{n}" for n in others), "tests/test_queries.py::test_entry", "tests/test_queries.py::test_all_have_sql")
     assert said.returncode == 0, said.stdout[-3000:]
 

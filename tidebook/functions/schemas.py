@@ -45,11 +45,12 @@ FETCH_LOG = T.StructType([
     T.StructField("status", T.StringType(), False), T.StructField("rows", T.LongType()), T.StructField("error", T.StringType()),
     T.StructField("at", T.TimestampType(), False), T.StructField("seq", T.LongType(), False),
 ])
-#: Payloads as they came, with the days asked for where the request had any, kept before anything is made of them; or why none came.
+#: Payloads as they came, with the days asked for where the request had any, kept before anything is made of them; or why none came. ``earlier`` is a payload that
+#: said that a rate limit was reached, ``calls`` the times of the calls (seconds, a JSON list).
 BRONZE = T.StructType([
     T.StructField("provider", T.StringType(), False), T.StructField("key", T.StringType(), False), T.StructField("fetched_at", T.TimestampType(), False),
     T.StructField("payload", T.StringType()), T.StructField("asked_from", T.StringType()), T.StructField("asked_to", T.StringType()), T.StructField("error", T.StringType()),
-    T.StructField("seq", T.LongType(), False),
+    T.StructField("earlier", T.StringType()), T.StructField("calls", T.StringType()), T.StructField("seq", T.LongType(), False),
 ])
 #: A run as it ended.
 RUNS = T.StructType([

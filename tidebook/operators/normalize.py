@@ -17,9 +17,8 @@ SERIES = "Time Series (Daily)"
 SERIES_FIELDS = {"open": "1. open", "high": "2. high", "low": "3. low", "close": "4. close", "volume": "5. volume"}
 
 
-#: A payload of more bytes that doesn't parse may be one that is too large to be read, and isn't passed over.
-READABLE_BYTES = 16 << 20
-TOO_LARGE = "not JSON, or too large to be read"
+#: What is said of a payload that can't be parsed, be it none of JSON or, by its parts' sizes, beyond Spark's variants.
+UNREADABLE = "not JSON"
 
 
 #: Spark's setting by which, of members of one name in an object, the last counts instead of none of the payload.
@@ -31,9 +30,8 @@ def _allow_repeated_names(payloads: DataFrame) -> None:
 
 
 def _json(payload: Column) -> Column:
-    json = F.try_parse_json(payload)
-    lost = json.isNull() & (F.octet_length(payload) > READABLE_BYTES)
-    return F.when(lost, F.raise_error(F.lit(f"payload is {TOO_LARGE}")).cast("variant")).otherwise(json)
+    """The payload as a variant; null, and so no rows, for one that ``payload_errors`` says can't be read."""
+    return F.try_parse_json(payload)
 
 
 def _items(payloads: DataFrame, keep: list[str], items: Column) -> DataFrame:
@@ -142,9 +140,8 @@ ERRORS = {"bar_list": bar_list_error, "bar_map": bar_map_error, "macro": macro_e
 def payload_errors(payloads: DataFrame, kind: str, keep: list[str]) -> DataFrame:
     """(keep, error, rate_limited) of every payload: what it says instead of rows, null if nothing."""
     _allow_repeated_names(payloads)
-    large = F.coalesce(F.octet_length("payload") > READABLE_BYTES, F.lit(False))
-    rows = payloads.select(*keep, large.alias("__large"), F.try_parse_json(F.col("payload")).alias("__json"))
-    error = F.when(F.col("__json").isNull(), F.when(F.col("__large"), F.lit(TOO_LARGE)).otherwise(F.lit("not JSON"))).otherwise(ERRORS[kind](F.col("__json")))
+    rows = payloads.select(*keep, _json(F.col("payload")).alias("__json"))
+    error = F.when(F.col("__json").isNull(), F.lit(UNREADABLE)).otherwise(ERRORS[kind](F.col("__json")))
     rows = rows.select(*keep, error.alias("error"))
     return rows.withColumn("rate_limited", F.coalesce(F.lower("error").contains("rate limit"), F.lit(False)))
 

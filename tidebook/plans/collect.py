@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,9 +23,13 @@ SYMBOLS_AT_ONCE = 50
 EXHAUSTED, FINISHED = "all_keys_exhausted", "finished"
 
 
+def utc_now() -> str:
+    return time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())
+
+
 @dataclass(frozen=True)
 class Run:
-    """What decides a run beside the stored tables. Times are given, so that a run can be repeated."""
+    """What decides a run beside the stored tables. ``now`` is given, so that a run can be repeated; ``clock`` says when it ended."""
 
     provider: Provider
     kind: str
@@ -36,6 +42,7 @@ class Run:
     dry_run: bool = False
     transports: dict[str, rest.Transport] = field(default_factory=dict)
     symbols_at_once: int = SYMBOLS_AT_ONCE
+    clock: Callable[[], str] = utc_now
 
 
 def budget(spark: SparkSession, store: Store, run: Run) -> DataFrame:
@@ -75,13 +82,27 @@ def days(run: Run) -> tuple[str | None, str | None]:
     return planner.date_range(run.today, run.options.get("from"), run.options.get("to"))
 
 
-def payloads(spark: SparkSession, run: Run, symbols: list[str], key_index: int | None = None) -> DataFrame:
-    """provider, key, payload, error of these symbols, by the run's transport and within its provider's rate."""
+def recent_calls(store: Store, run: Run) -> list[float]:
+    """Times of the provider's calls that still count towards its rate, of this run and those before: as many as the rate allows, and no more.
+
+    They are in the archive, so batches of a run, and a run after one that broke off, go on in one row of calls.
+    """
+    limit = run.provider.per_minute_limit
+    if limit <= 0:
+        return []
+    since = time.time() - float(run.options.get("windowSeconds", rest.MINUTE))
+    at = store.bronze().where(F.col("provider") == run.provider.name).select(F.explode(F.from_json("calls", "array<double>")).alias("at"))
+    return [r["at"] for r in at.where(F.col("at") > since).orderBy(F.desc("at")).limit(limit).collect()]
+
+
+def payloads(spark: SparkSession, run: Run, symbols: list[str], key_index: int | None = None, called_at: list[float] | None = None) -> DataFrame:
+    """provider, key, payload, error, earlier, calls of these symbols, by the run's transport and within its provider's rate."""
     p, (first, last) = run.provider, days(run)
     envs = p.key_envs()
     options = {
         "provider": p.name, "kind": run.kind, "symbols": json.dumps(symbols), "perMinute": p.per_minute_limit, "base": p.base_url, "interval": p.interval, "outputsize": p.outputsize,
         "keyEnv": envs[key_index] if key_index is not None and key_index < len(envs) else p.api_key_env,
+        "calledAt": json.dumps(called_at or []),
     } | ({"from": first, "to": last} if first else {}) | run.options
     rest.register(spark, **run.transports)
     return spark.read.format("rest_payloads").options(**options).load()
@@ -93,12 +114,13 @@ def collect(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) ->
     Payloads are archived before anything is made of them, so that bad ones are kept too. A symbol that fails
     is a row of its own and holds up no other. Symbols are taken ``symbols_at_once`` at a time,
     and what became of them is recorded before the next ones: a run that breaks off loses those at most, and the next
-    one goes on from there. The run itself is recorded at its end. A dry run records its symbols as such and does nothing else.
+    one goes on from there, under a number that nothing archived or recorded has. A symbol that is listed twice is asked for once. The run
+    itself is recorded at its end. A dry run records its symbols as such and does nothing else.
     """
     planned = plan(spark, store, symbols, run).orderBy("priority", "line").collect()  # a run's symbols, limited by its budget
     slots = budget(spark, store, run).agg(F.sum(F.when(F.col("has_key"), F.col("remaining")).otherwise(0)).alias("n"), F.max("allowed").alias("any")).first()
-    seq = max(t.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] for t in (store.log(), store.runs())) + 1
-    left = planned
+    seq = max(t.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] for t in (store.log(), store.runs(), store.bronze())) + 1
+    left = list({r.symbol: r for r in reversed(planned)}.values())[::-1]
     while left:
         key = left[0].key_index
         some = [r for r in left[: run.symbols_at_once] if r.key_index == key]
@@ -112,11 +134,13 @@ def collect(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) ->
             F.lit(run.provider.name).alias("provider"), F.lit(key).cast("int").alias("key_index"), "symbol", "status", "rows", "error",
             F.lit(run.now).cast("timestamp").alias("at"), F.lit(seq).cast("bigint").alias("seq"),
         ))
+    if run.kind in TARGETS:
+        store.merge(TARGETS[run.kind][0])
     mine = store.log().where(F.col("seq") == seq)
     count = lambda *s: F.count_if(F.col("status").isin(*s))
     store.record_run(mine.agg(count("done", "dry_run").alias("processed"), count("failed").alias("failed"), count("skipped_rate_limit").alias("skipped_rate_limit")).select(
         F.lit(seq).cast("bigint").alias("seq"), F.lit(run.provider.name).alias("provider"), F.lit(run.kind).alias("kind"), F.lit(FINISHED if slots["any"] or run.dry_run else EXHAUSTED).alias("status"),
-        F.lit(run.dry_run).alias("dry_run"), F.lit(run.force).alias("force"), F.lit(run.now).alias("started_at"), F.lit(run.now).alias("finished_at"), "processed", "failed", "skipped_rate_limit",
+        F.lit(run.dry_run).alias("dry_run"), F.lit(run.force).alias("force"), F.lit(run.now).alias("started_at"), F.lit(run.clock()).alias("finished_at"), "processed", "failed", "skipped_rate_limit",
         F.lit(slots["n"]).cast("bigint").alias("total_remaining_start"),
     ))
     return mine.select("symbol", "status", "rows", "error")
@@ -125,10 +149,10 @@ def collect(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) ->
 def _collect_some(spark: SparkSession, store: Store, run: Run, seq: int, symbols: list[str], key_index: int) -> DataFrame:
     """Fetch, archive, normalize and upsert; symbol, status, rows, error of each."""
     first, last = days(run)
-    fetched = payloads(spark, run, symbols, key_index)
+    fetched = payloads(spark, run, symbols, key_index, recent_calls(store, run))
     store.archive(fetched.select(
         "provider", "key", F.lit(run.now).cast("timestamp").alias("fetched_at"), "payload", F.lit(first).cast("string").alias("asked_from"), F.lit(last).cast("string").alias("asked_to"),
-        "error", F.lit(seq).cast("bigint").alias("seq"),
+        "error", "earlier", "calls", F.lit(seq).cast("bigint").alias("seq"),
     ))
     # the folder of this run alone is read
     kept = store.bronze().where((F.col("provider") == run.provider.name) & (F.col("seq") == seq) & F.col("key").isin(symbols))

@@ -13,7 +13,7 @@ from tidebook.plans import collect, queries, refresh
 from tidebook.plans.queries import TODAY, table
 from tidebook.sources import config, scratch
 from tidebook.sources.store import Store, dataset_files, files
-from tidebook.streaming import ingest
+from tidebook.streaming import ingest, live
 
 BUCKETS = 8
 NOW = f"{TODAY} 22:30:00"
@@ -100,6 +100,19 @@ def corrected_indicators(spark, sf_dir):
     return store.table("indicators").drop("updated_at")
 
 
+def live_stream_indicators(spark, sf_dir):
+    """Bars as a stream: years in turn, one bar corrected and one that comes late, with a restart before those."""
+    store, bars, inbox, checkpoint = new_store(spark), gapped_bars_as_text(spark, sf_dir), scratch.new_path(spark, "inbox"), scratch.new_path(spark, "stream")
+    late = (F.col("symbol") == "2-HIGH") & F.col("date").isin("1994-05-05", "1997-05-05")
+    wrong = bars.withColumn("close", F.when(late, F.lit("1.5")).otherwise(F.col("close"))).where("not (symbol = '2-HIGH' and date = '1997-05-05')")
+    for rows in ((wrong.where("date < '1996'"), wrong.where("date >= '1996'")), (bars.where(late),)):
+        for some in rows:
+            some.withColumn("seq", F.lit(1)).coalesce(1).write.mode("append").json(inbox)
+        source = spark.readStream.schema(live.BARS).option("maxFilesPerTrigger", 1).json(inbox)
+        live.keep_indicators(source, store, checkpoint, STAMPS[0]).awaitTermination()
+    return store.table("indicators").drop("updated_at")
+
+
 def written_report(spark, sf_dir):
     store = two_batches(spark, sf_dir)
     collect.report(store)
@@ -237,7 +250,7 @@ def first_series(spark, sf_dir):
 def stored_news(spark, sf_dir):
     """The news of one source from some days, out of all that were upserted."""
     store = new_store(spark)
-    payloads = queries.news_payloads(table(spark, sf_dir, "documents").select("doc_id", "source", F.substring("text", 1, 40).alias("text"), "lang"))
+    payloads = queries.news_payloads(table(spark, sf_dir, "documents").select("doc_id", "source", "text", "lang"))
     rows = normalize.news(payloads, ["key"]).withColumnRenamed("key", "symbol")
     store.upsert("news", rows, STAMPS[0], ["datetime", "url", "pos"])
     source = table(spark, sf_dir, "documents").agg(F.min("source")).first()[0]
@@ -256,7 +269,7 @@ def progress_text(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, collected_run, collected_bars,
+        stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, live_stream_indicators, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, collected_run, collected_bars,
         recorded_runs, configured_symbols, configured_keys, news_days, news_archive, archive_names, progress_text,
         dry_run_statuses, current_run, kept_files, first_series, stored_news,
     )

@@ -46,6 +46,7 @@ ORACLES: dict[str, str] = {
       FROM texts t LEFT JOIN sma USING (symbol, date) LEFT JOIN rsi USING (symbol, date) LEFT JOIN m USING (symbol, date) LEFT JOIN sig USING (symbol, date)""",
     "incremental_indicators": KEPT_UP,
     "corrected_indicators": KEPT_UP,
+    "live_stream_indicators": KEPT_UP,
     "written_report": f"WITH {STORED} SELECT 'pass' AS status, CAST(0 AS BIGINT) AS issue_count, CAST(0 AS BIGINT) AS rows_indicators, CAST(0 AS BIGINT) AS rows_macro, CAST(0 AS BIGINT) AS rows_news, count(*) AS rows_ohlcv FROM stored",
     "written_summary": f"WITH {STORED} SELECT '{TODAY}' AS date, CAST(0 AS BIGINT) AS raw_count, count(*) AS ohlcv, CAST(0 AS BIGINT) AS news, CAST(0 AS BIGINT) AS run_count FROM stored",
     "recorded_statuses": f"WITH {LOG} SELECT provider, symbol, status, rows, last_success_at FROM latest",
@@ -73,7 +74,7 @@ ORACLES: dict[str, str] = {
     "kept_files": "SELECT * FROM (VALUES ('ohlcv', CAST(5 AS BIGINT)), ('indicators', 0), ('macro', 0), ('news', 1)) t(dataset, files)",
     "first_series": f"WITH {SYMBOLS} SELECT line, symbol FROM symbols ORDER BY line LIMIT 25",
     "stored_news": """SELECT source AS symbol, CAST(doc_id AS VARCHAR) AS id, strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS datetime,
-      strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%d') AS date, substr(text, 1, 40) AS headline, '' AS source, '' AS summary, '' AS url,
+      strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%d') AS date, text AS headline, '' AS source, '' AS summary, '' AS url,
       CASE WHEN doc_id % 2 = 0 THEN 'True' ELSE 'False' END AS image, lang AS category FROM documents
       WHERE source = (SELECT min(source) FROM documents) AND CAST(make_timestamp((1700000000 + doc_id * 3600) * 1000000) AS DATE) BETWEEN DATE '2023-11-15' AND DATE '2023-12-31'""",
     "progress_text": f"WITH {LOG} SELECT 'collected ' || least(count(*), 100) || ' of 100' AS message FROM ({SUCCEEDED})",

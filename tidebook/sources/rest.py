@@ -5,10 +5,10 @@ provider, key, payload, error. What fetches is a transport, a function of (kind,
 text: "http" asks the provider at the option ``base``, with the key in the environment variable that ``keyEnv``
 names; "replay" reads payloads kept in ``folder``; others are given to ``register`` by name.
 
-All calls go through one limiter, ``perMinute`` calls in any minute, so a limited source is read by
-one task; without a limit, by as many as ``symbolsPerTask`` makes. A call that fails is tried again
-``attempts`` times in all, and prices again once if they say that a rate limit was reached. A symbol
-that still fails is a row with its error, not a failed job, and Spark doesn't spend calls again.
+A limited source makes ``perMinute`` calls in any minute at most, counting those that ``calledAt`` says were made before, so it is
+read by one task; without a limit, by as many as ``symbolsPerTask`` makes. A row has the times of its calls, from which the next read
+goes on. A call that fails is tried again ``attempts`` times in all, and prices again once if they say that a rate limit was
+reached; what they said is kept as ``earlier``. A symbol that still fails is a row with its error, not a failed job, and Spark doesn't spend calls again.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 import os
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
@@ -26,7 +26,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from tidebook.functions.workers import ship
 
 Transport = Callable[[str, str, dict[str, str]], str]
-SCHEMA = "provider string, key string, payload string, error string"
+SCHEMA = "provider string, key string, payload string, error string, earlier string, calls string"
 #: Seconds that a request may take, calls for one payload, and seconds before each further one, times its number.
 TIMEOUT = 30
 ATTEMPTS = 2
@@ -48,38 +48,45 @@ def url(kind: str, base: str, symbol: str, key: str, options: dict[str, str]) ->
     return f"{base}?{urlencode(asked)}"
 
 
-class SlidingWindow:
-    """At most ``limit`` calls in any ``seconds``; 0 or less: any number."""
+class CallTimes:
+    """When a provider was called, and when it may be called again: the call ``limit`` places back must be ``seconds`` old. 0 or less: at any time."""
 
-    def __init__(self, limit: int, seconds: float = MINUTE, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+    def __init__(self, limit: int, seconds: float = MINUTE, times: Iterable[float] = (), clock: Callable[[], float] = time.time, sleep: Callable[[float], None] = time.sleep):
         self.limit, self.seconds, self.clock, self.sleep = limit, seconds, clock, sleep
-        self.calls: list[float] = []
-
-    def wait(self) -> None:
-        """Return once a call is admitted; a sleep that was too short is followed by another."""
-        if self.limit <= 0:
-            return
-        while True:
-            now = self.clock()
-            self.calls = [t for t in self.calls if now - t < self.seconds]
-            if len(self.calls) < self.limit:
-                break
-            self.sleep(self.seconds - (now - self.calls[0]))
-        self.calls.append(now)
-
-
-def fetch(get: Callable[[], str], attempts: int = ATTEMPTS, backoff: float = BACKOFF, window: SlidingWindow | None = None, sleep: Callable[[float], None] = time.sleep) -> str:
-    """Call ``get`` until it gives something, ``attempts`` times at most, waiting longer each time."""
-    for attempt in range(1, attempts + 1):
-        if window:
-            window.wait()
+        self.times = sorted(times)
+
+    def slot(self) -> float:
+        """The time of the next call, be it now or later."""
+        now = self.clock()
+        return now if self.limit <= 0 or len(self.times) < self.limit else max(now, self.times[-self.limit] + self.seconds)
+
+    def take(self) -> None:
+        """Wait for the next slot and note the call."""
+        at = self.slot()
+        while (early := at - self.clock()) > 0:
+            self.sleep(early)
+        self.times.append(max(at, self.clock()))
+
+
+def schedule(attempts: int, backoff: float) -> list[float]:
+    """Seconds to wait before each attempt."""
+    if attempts < 1:
+        raise ValueError("attempts must be 1 or more")
+    return [backoff * k for k in range(attempts)]
+
+
+def fetch(get: Callable[[], str], waits: Iterable[float], calls: CallTimes, sleep: Callable[[float], None] = time.sleep) -> str:
+    """What ``get`` gives at the first of the attempts that doesn't fail."""
+    said: list[Exception] = []
+    for wait in waits:
+        if wait:
+            sleep(wait)
+        calls.take()
         try:
             return get()
         except Exception as e:  # whatever a transport may raise
-            if attempt == attempts:
-                raise RuntimeError(f"no answer after {attempts} attempts: {e}") from e
-            sleep(backoff * attempt)
-    raise ValueError("attempts must be 1 or more")
+            said.append(e)
+    raise RuntimeError(f"no answer after {len(said)} attempts: {said[-1]}") from said[-1]
 
 
 def rate_limited(payload: str) -> bool:
@@ -93,13 +100,13 @@ def rate_limited(payload: str) -> bool:
     return "rate limit" in str(said.get("message") or said.get("status") or "").lower()
 
 
-def with_rate_limit_retry(get: Callable[[], str], sleep: Callable[[float], None] = time.sleep, pause: float = PAUSE) -> str:
-    """``get`` again, once, after ``pause`` seconds if its payload says that a rate limit was reached."""
-    payload = get()
-    if rate_limited(payload):
-        sleep(pause)
-        payload = get()
-    return payload
+def asked_again(get: Callable[[], str], sleep: Callable[[float], None] = time.sleep, pause: float = PAUSE) -> tuple[str, str | None]:
+    """A payload, and the one before it if that said that a rate limit was reached: then ``get`` is called once more after ``pause`` seconds."""
+    first = get()
+    if not rate_limited(first):
+        return first, None
+    sleep(pause)
+    return get(), first
 
 
 # --- transports -----------------------------------------------------------------
@@ -144,16 +151,19 @@ class PayloadReader(DataSourceReader):
     def read(self, partition: SymbolPartition) -> Iterator[tuple]:
         said = self.options
         provider, kind = said.get("provider", ""), said.get("kind", "bar_list")
-        attempts, backoff, pause = int(said.get("attempts", ATTEMPTS)), float(said.get("backoff", BACKOFF)), float(said.get("pause", PAUSE))
-        window = SlidingWindow(self.limit, float(said.get("windowseconds", MINUTE)))
+        waits, pause = schedule(int(said.get("attempts", ATTEMPTS)), float(said.get("backoff", BACKOFF))), float(said.get("pause", PAUSE))
+        calls = CallTimes(self.limit, float(said.get("windowseconds", MINUTE)), json.loads(said.get("calledat", "[]")))
         for symbol in partition.symbols:
+            before, payload, earlier, error = len(calls.times), None, None, None
+
             def get(symbol: str = symbol) -> str:
-                return fetch(lambda: self.transport(kind, symbol, said), attempts, backoff, window)
+                return fetch(lambda: self.transport(kind, symbol, said), waits, calls)
 
             try:
-                yield provider, symbol, with_rate_limit_retry(get, pause=pause) if kind == "bar_list" else get(), None
+                payload, earlier = asked_again(get, pause=pause) if kind == "bar_list" else (get(), None)
             except Exception as e:  # a symbol's failure is a row
-                yield provider, symbol, None, f"{type(e).__name__}: {e}"
+                error = f"{type(e).__name__}: {e}"
+            yield provider, symbol, payload, error, earlier, json.dumps(calls.times[before:])
 
 
 def register(spark: SparkSession, **transports: Transport) -> None:

@@ -21,8 +21,11 @@ from tidebook.plans import refresh
 from tidebook.sources import scratch
 from tidebook.sources.store import Store
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: What the stream's session needs: a state store with several values a key, and no batches without rows, which states that may expire would ask for without end.
+NEEDED = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 BARS = "symbol string, " + ", ".join(f"{c} string" for c in schemas.BAR) + ", seq long"
 #: Milliseconds without a bar after which a symbol's running state goes; its last date stays.
 STATE_TTL = 30 * 24 * 3600 * 1000
@@ -96,7 +99,6 @@ def keep_indicators(source: DataFrame, store: Store, checkpoint: str, now: str,
     A batch that is run again puts the same rows; a stream without a checkpoint begins from the store's own states.
     """
     spark: SparkSession = store.spark
-    spark.conf.set(PROVIDER, ROCKS_DB)
     begun = scratch.exists(spark, f"{checkpoint}/commits")
     made = live_indicators(source, None if begun else scratch.written(last_states(store), "states"), ttl, every)
 
@@ -110,4 +112,11 @@ def keep_indicators(source: DataFrame, store: Store, checkpoint: str, now: str,
             refresh.upsert_bars(store, behind.select("symbol", *schemas.BAR, "seq"), now, ["seq"])
             refresh.refresh(store, now, every)
 
-    return made.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    before = {k: spark.conf.get(k, None) for k in NEEDED}
+    try:
+        for k, v in NEEDED.items():
+            spark.conf.set(k, v)
+        return made.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()  # in a session of its own from here
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
