@@ -40,6 +40,8 @@ COMMON_WORDS = 65_536
 COMMON_BYTES = 48
 #: Counts within this ratio are taken for alike where the most frequent words are chosen.
 LEVEL = 1.05
+#: Parts of a hash's range among which words of one count are chosen.
+HASH_PARTS = 4096
 #: Words of blocks, and blocks, that one task of a shuffle has, about.
 WORDS_PER_TASK = 2_000_000
 BLOCKS_PER_TASK = 4
@@ -330,23 +332,32 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, shares: Shares, firs
 
 
 def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[str, int]]:
-    """(word, count) of the most frequent words but long ones, by count and then by word: as many levels of counts as have ``most`` words at most.
+    """(word, count) of the ``most`` most frequent words but long ones, by count and then by a hash of the word.
 
-    The level is found from how many words each level has, a bounded number of rows, so that no task and not the driver gets
-    more than ``most`` words; a sort with a limit would bring that many from each task.
+    Where to cut is found from how many words each level of counts has, then each count of the level that doesn't fit, then each part of the
+    hash's range for the count that doesn't: so that no task and not the driver gets more than these words and the last part's;
+    a sort with a limit would bring ``most`` from each task.
     """
     short = vocabulary.where((F.col("word") != END) & (F.octet_length("word") <= COMMON_BYTES))
     level = F.floor(F.log(F.col("c").cast("double")) / math.log(LEVEL))
-    levels = sorted(((r["level"], r["n"]) for r in short.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    total, least = 0, None
-    for at, n in levels:
-        total += n
-        if total > most:
+    part = F.pmod(F.xxhash64("word"), F.lit(HASH_PARTS))
+    rows, taken, room = short, short.limit(0), most
+    for key, largest_first in ((level, True), (F.col("c"), True), (part, False)):
+        sizes = sorted(((r["key"], r["n"]) for r in rows.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=largest_first)
+        fit = 0
+        while fit < len(sizes) and sizes[fit][1] <= room:
+            room -= sizes[fit][1]
+            fit += 1
+        if fit:
+            last = sizes[fit - 1][0]
+            taken = taken.unionByName(rows.where(key >= last if largest_first else key <= last))
+        if fit == len(sizes) or not room:
+            room = 0
             break
-        least = at
-    if least is None:
-        return []
-    return sorted(((r["word"], r["c"]) for r in short.where(level >= least).collect()), key=lambda x: (-x[1], x[0]))
+        rows = rows.where(key == sizes[fit][0])
+    found = [(r["word"], r["c"], r["h"]) for r in (taken.unionByName(rows) if room else taken).select("word", "c", F.xxhash64("word").alias("h")).collect()]
+    chosen = sorted(found, key=lambda x: (-x[1], x[2] % HASH_PARTS, x[2], x[0]))[:most]
+    return sorted(((w, c) for w, c, _ in chosen), key=lambda x: (-x[1], x[0]))
 
 
 def score_documents(

@@ -13,11 +13,13 @@ Each such region is then an M-tree of pages that one task searches. Every region
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, join_counted, materialize, packed, ship
@@ -30,29 +32,80 @@ DEALT_ROWS = 65_536
 QUERY_BLOCK = 2048
 #: Regions are split so many times at most: enough for any number of vectors that are not all alike.
 MAX_LEVELS = 12
-#: Squared norms below this: no score overflows.
+#: Vectors with squared norms below this are in the tree: their scores with each other fit into 64 bits, and so do distances' squares.
 MAX_SQUARES = float(1 << 62)
+#: Vectors with larger ones are compared one by one, so many queries with so many vectors at a time.
+LARGE_QUERIES, LARGE_VECTORS = 256, 4096
 #: Bounds are compared with this much to spare of themselves and of the norms, for distances lose so much of these by rounding at most.
 SLACK = 1e-6
 
 NODES = "region string, r2 bigint, node int, leaf boolean, parent_distances array<double>, radii array<double>, children array<int>, ids array<bigint>, vectors binary"
 
 
+def usable(vector_col: str) -> Column:
+    """Whether a vector is there, with components that are all finite numbers."""
+    x = F.col(vector_col)
+    return x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+
+
+def in_tree(vector_col: str, scale: int) -> Column:
+    squares = F.aggregate(vector_col, F.lit(0.0), lambda s, c: s + F.pow(F.abs(c.cast("double") * scale) + 1, F.lit(2.0)))
+    return squares < MAX_SQUARES
+
+
 def quantize(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """id and v, with floor(scale * x) of each component.
+    """id and v, with floor(scale * x) of each component, of the vectors that go into the tree.
 
-    Rows without an id, with null or non-finite components, or with a squared norm of 2^62 or more after scaling, beyond
-    which scores aren't integers of 64 bits, are left out.
+    Rows without an id and with null or non-finite components are left out; so are those with a squared norm of 2^62 or more after
+    scaling, which ``large`` has.
     """
     x = F.col(vector_col)
-    usable = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    squares = F.aggregate(x, F.lit(0.0), lambda s, c: s + F.pow(F.abs(c.cast("double") * scale) + 1, F.lit(2.0)))
-    usable = usable & (squares < MAX_SQUARES)
-    return table.where(F.col(id_col).isNotNull() & x.isNotNull()).where(usable).select(
+    return table.where(F.col(id_col).isNotNull() & usable(vector_col)).where(in_tree(vector_col, scale)).select(
         F.col(id_col).cast("bigint").alias("id"), F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("bigint")).alias("v")
     )
 
 
+def finite(table: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
+    """id, x (components as they are) and whether the vector is too large for the tree, of all rows that take part."""
+    rows = table.where(F.col(id_col).isNotNull() & usable(vector_col))
+    return rows.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("x"), (~in_tree(vector_col, scale)).alias("large")).distinct()
+
+
+def _exact(vector: Iterable[float], scale: int) -> list[int]:
+    return [math.floor(y) if abs(y := c * scale) < float("inf") else int(c) * scale for c in vector]
+
+
+def _all_scores(queries: pd.DataFrame, vectors: pd.DataFrame, k: int, scale: int) -> pd.DataFrame:
+    """The k best of some queries among some vectors, in integers of any size; scores beyond 64 bits are none."""
+    most, out = (1 << 63) - 1, []
+    lengths = vectors["x"].map(len).to_numpy()
+    for n in set(lengths.tolist()):
+        some = vectors[lengths == n]
+        ids = some["id"].to_numpy()
+        columns = np.array([_exact(x, scale) for x in some["x"]], object).reshape(len(some), n).T
+        for own, x in zip(queries["id"], queries["x"]):
+            if len(x) == n:
+                scores = np.array(_exact(x, scale), object) @ columns if n else np.zeros(len(some), "int64")
+                found = ((int(s), -int(i)) for s, i in zip(scores, ids) if i != own and -most <= s <= most)
+                out += [(own, -i, s) for s, i in heapq.nlargest(k, found)]
+    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+
+
+def large_pairs(queries: DataFrame, vectors: DataFrame, k: int, scale: int) -> DataFrame:
+    """query_id, vec_id, score: candidates of pairs of which one vector at least is too large for the tree.
+
+    Such queries meet all vectors and such vectors all queries, in blocks: each pair of a block of queries and a part of the vectors is a
+    group of bounded size, whose integers are exact.
+    """
+    def compared(asked: DataFrame, others: DataFrame) -> DataFrame:
+        blocks, parts = packed(asked.count(), LARGE_QUERIES), packed(others.count(), LARGE_VECTORS)
+        q = asked.select("id", "x", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part"))
+        v = others.select("id", "x", F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
+        return q.groupBy("block", "part").cogroup(v.groupBy("block", "part")).applyInPandas(lambda a, b: _all_scores(a, b, k, scale), "query_id bigint, vec_id bigint, score bigint")
+
+    return compared(queries, vectors.where("large")).unionByName(compared(queries.where("large"), vectors.where("not large")))
+
+
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Vectors of one length as rows."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -348,8 +401,8 @@ def top_k(
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; fewer
     rows than k where there are fewer vectors. Rows with a null id, a null vector, null
-    or non-finite components, or components so large that scores would overflow 64 bits, take no part. Vectors meet
-    those of equal length only. Repeated ids count as the same vector where they are equal, and a query never
+    or non-finite components take no part. Vectors so large that their scores might overflow 64 bits are compared with all others one by one, in
+    blocks; only a pair whose score does overflow is no pair. Vectors meet those of equal length only. Repeated ids count as the same vector where they are equal, and a query never
     meets its own id. An empty table gives no rows. Other columns are ignored.
     """
     vectors = quantize(table, id_col, vector_col, scale).distinct()
@@ -363,4 +416,7 @@ def top_k(
     reached = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s")).where(F.col("n") >= k)
     bounded = routed.select("id", "v", F.col("at").alias("home")).join(reached, F.col("id") == F.col("query_id"), "left")
     rest = index.search(index.route(bounded.select("id", "v", F.col("s").alias("least"), "home"), False, blocks), k, blocks)
-    return best_of(first.unionByName(rest), k).select("query_id", "rank", "vec_id", "score")
+    found = first.unionByName(rest)
+    if not (everything := finite(table, id_col, vector_col, scale)).where("large").isEmpty():
+        found = found.unionByName(large_pairs(finite(queries, id_col, vector_col, scale), everything, k, scale))
+    return best_of(found, k).select("query_id", "rank", "vec_id", "score")
