@@ -120,3 +120,12 @@ def test_columns_of_any_name_stay(spark):
     docs, labels = hostile(spark, ("a", "b"), ["scum", "vermin"], 60)
     kept = toxicity.keep_civil(docs, labels)
     assert kept.columns == docs.columns and {(r["__score"], r["__id"], r["__text"]) for r in kept.collect()} == {(0.5, 1, "x")}
+
+
+def test_an_id_on_very_many_rows_is_one_labelled_text(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(50_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.concat(F.lit("fine words "), F.col("id").cast("string")).alias("text"))
+    others = spark.range(100, 160).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "vile words here").otherwise("kind words here").alias("text"))
+    labels = others.select("doc_id", (F.col("doc_id") % 2 == 0).cast("int").alias("toxic")).unionByName(spark.range(7, 8).select(F.col("id").alias("doc_id"), F.lit(0).alias("toxic")))
+    assert toxicity.learn(docs.unionByName(others), labels).n_labelled == 61

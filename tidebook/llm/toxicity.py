@@ -260,14 +260,17 @@ def learn(
 
     ``terms`` are lines of words for groups of people that may be swapped within their line; each labelled text that has
     any gets up to ``counterfactuals`` versions with others, and ``counterfactual`` weighs the score changes. How many
-    labelled texts that were is logged, and kept in ``n_swapped``; where it is 0 the penalty does nothing.
+    labelled texts that were is logged, and kept in ``n_swapped``; where it is 0 the penalty does nothing. An id on several rows is
+    learnt from once: of its texts, that with the smallest hash.
     """
     spark = docs.sparkSession
     ship(spark)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.select(F.col(id_col).alias("__id"), (F.col(label_col) > 0).cast("int").alias("__toxic")).distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    training = texts.join(F.broadcast(drawn(known, max_labelled)), F.col("id") == F.col("__id")).select("text", F.col("__toxic").alias("toxic"))
+    rows = texts.join(F.broadcast(drawn(known, max_labelled)), F.col("id") == F.col("__id"))
+    # a row for each label, so that no more than ``max_labelled`` come to the driver, whatever an id is repeated on
+    training = rows.groupBy("id", F.col("__toxic").alias("toxic")).agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "toxic")
     training = materialize(training, "toxicity-training")
 
     n, toxic = training.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
