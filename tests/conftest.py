@@ -7,6 +7,10 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
+def pytest_configure(config):
+    config.addinivalue_line("markers", "slow: takes minutes; run with all others here, and only collected where the corpus operators are left out")
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = (

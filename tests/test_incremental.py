@@ -9,6 +9,8 @@ from tidebook.operators import incremental, indicators
 from tidebook.plans import refresh
 from tidebook.sources.store import Store
 
+pytestmark = pytest.mark.slow
+
 BARS = "symbol string, date string, open string, high string, low string, close string, volume string"
 DAYS = [f"{y}-{m:02d}-{d:02d}" for y in range(2018, 2022) for m in range(1, 13) for d in range(1, 29)]
 

@@ -10,6 +10,8 @@ from tidebook.plans import refresh
 from tidebook.sources.store import Store
 from tidebook.streaming import live
 
+pytestmark = pytest.mark.slow
+
 
 def put(folder, name, rows):
     folder.mkdir(exist_ok=True)

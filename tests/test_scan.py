@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidebook.operators import indicators, scan
 
+pytestmark = pytest.mark.slow
+
 FIRST = datetime.date(2001, 1, 1)
 
 

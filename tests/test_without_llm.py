@@ -38,12 +38,12 @@ def test_entry_without_llm(copy, pipeline_too):
 
 
 def test_the_other_tests_without_llm(copy):
-    """All of them are collected there; those of the operators and sources, and some of the queries, are run."""
+    """All of them are collected there; those of the operators and sources but the slow ones, and some of the queries, are run."""
     (copy / "corpus_pipeline.py").unlink(missing_ok=True)
     collected = python(copy, "-m", "pytest", "tests", "--collect-only", "-q")
     assert collected.returncode == 0, collected.stdout[-3000:] + collected.stderr[-3000:]
     others = [p.name for p in (copy / "tests").glob("test_*.py") if p.name not in ("test_without_llm.py", "test_queries.py")]
-    said = python(copy, "-m", "pytest", "-x", "-q", "-p", "no:cacheprovider", *(f"tests/{n}" for n in others), "tests/test_queries.py::test_entry", "tests/test_queries.py::test_all_have_sql")
+    said = python(copy, "-m", "pytest", "-x", "-q", "-p", "no:cacheprovider", "-m", "not slow", *(f"tests/{n}" for n in others), "tests/test_queries.py::test_entry", "tests/test_queries.py::test_all_have_sql")
     assert said.returncode == 0, said.stdout[-3000:]
 
 
