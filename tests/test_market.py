@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import casts, schemas
 from tidebook.operators import indicators, listing, normalize, planner, upsert, validate
-from tidebook.sources import config, rest
+from tidebook.sources import config, rest, scratch
 from tidebook.sources.store import Store, files
 
 
@@ -318,30 +318,41 @@ def test_schemas():
     assert schemas.columns("news")[:2] == ["symbol", "id"] and schemas.columns("news")[-1] == "updated_at"
 
 
-def test_upsert_touches_its_buckets_alone(spark, tmp_path):
+def test_a_merge_touches_its_buckets_alone(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"), buckets=8)
-    rows = [(f"S{k}", "2024-01-01", str(k)) for k in range(40)]
-    store.upsert("ohlcv", spark.createDataFrame(rows, "symbol string, date string, close string"), "one", ["date"])
+    rows, one = [(f"S{k}", "2024-01-01", str(k)) for k in range(40)], "symbol string, date string, close string"
+    store.upsert("ohlcv", spark.createDataFrame(rows, one), "one", ["date"])
+    assert store.table("ohlcv").count() == 40 and not (tmp_path / "store/ohlcv").exists()  # an upsert writes its batch and no more
+    store.merge("ohlcv")
     before = {p: p.stat().st_mtime_ns for p in (tmp_path / "store/ohlcv").rglob("*.parquet")}
     assert len({p.parent for p in before}) == 8
-    store.upsert("ohlcv", spark.createDataFrame([("S3", "2024-01-01", "x"), ("S3", "", "y")], "symbol string, date string, close string"), "two", ["date"])
+    store.upsert("ohlcv", spark.createDataFrame([("S3", "2024-01-01", "x"), ("S3", "", "y")], one), "two", ["date"])
+    for _ in range(2):  # with the batch beside the buckets, and merged
+        found = {r.symbol: (r.close, r.updated_at) for r in store.table("ohlcv").collect()}
+        assert found == {s: ("x", "two") if s == "S3" else (c, "one") for s, _, c in rows} and store.table("ohlcv").count() == 40
+        assert [r.close for r in store.history("S7").collect()] == ["7"] and [r.close for r in store.history("S3").collect()] == ["x"] and store.history("none").count() == 0
+        store.merge("ohlcv")
     after = {p: p.stat().st_mtime_ns for p in (tmp_path / "store/ohlcv").rglob("*.parquet")}
     assert len({p.parent for p in before.items() ^ after.items() for p in [p[0]]}) == 1
-    found = {r.symbol: (r.close, r.updated_at) for r in store.table("ohlcv").collect()}
-    assert found == {s: ("x", "two") if s == "S3" else (c, "one") for s, _, c in rows}
-    assert [r.close for r in store.history("S7").collect()] == ["7"] and store.history("none").count() == 0
 
 
-def test_an_upsert_that_broke_off_is_made_good(spark, tmp_path, monkeypatch):
+def test_merges_and_batches_that_broke_off_are_made_good(spark, tmp_path, monkeypatch):
     store, one = Store(spark, str(tmp_path / "store"), buckets=4), "symbol string, date string, close string"
+    closes = lambda: {r.symbol: r.close for r in store.table("ohlcv").collect()}
     store.upsert("ohlcv", spark.createDataFrame([("A", "d", "1")], one), "one", ["date"])
+    store.merge("ohlcv")
+    store.upsert("ohlcv", spark.createDataFrame([("A", "d", "2")], one), "two", ["date"])
     put = Store._put
     monkeypatch.setattr(Store, "_put", lambda self, name: None)
-    store.upsert("ohlcv", spark.createDataFrame([("A", "d", "2")], one), "two", ["date"])  # staged, not put in its place
-    assert store.table("ohlcv").first().close == "1"
-    monkeypatch.setattr(Store, "_put", put)
-    store.upsert("ohlcv", spark.createDataFrame([("B", "d", "3")], one), "three", ["date"])
-    assert {r.symbol: r.close for r in store.table("ohlcv").collect()} == {"A": "2", "B": "3"}
+    monkeypatch.setattr(scratch, "delete", lambda spark, path: None)
+    store.merge("ohlcv")  # staged, not put in its place, and the batch is still there
+    monkeypatch.undo()
+    assert Store._put is put and closes() == {"A": "2"}
+    store.upsert("ohlcv", spark.createDataFrame([("A", "d", "4"), ("B", "d", "3")], one), "three", ["date"])
+    (tmp_path / "store/_batches/ohlcv/batch=9").mkdir()  # a write that broke off has no mark
+    assert closes() == {"A": "4", "B": "3"}
+    store.merge("ohlcv")
+    assert closes() == {"A": "4", "B": "3"} and not store._batch_numbers("ohlcv")
 
 
 def test_members_are_judged_by_type(spark):
