@@ -11,9 +11,9 @@ from tidebook.functions import casts, schemas
 from tidebook.operators import normalize, planner, summary
 from tidebook.plans import collect, queries, refresh
 from tidebook.plans.queries import TODAY, table
-from tidebook.sources import config, scratch
+from tidebook.sources import config, payload_files, scratch
 from tidebook.sources.store import Store, dataset_files, files
-from tidebook.streaming import ingest, live
+from tidebook.streaming import collecting, ingest, live
 
 BUCKETS = 8
 NOW = f"{TODAY} 22:30:00"
@@ -164,6 +164,21 @@ def streamed_bars(spark, sf_dir):
     return store.table("ohlcv").drop("updated_at")
 
 
+def replayed_stream(spark, sf_dir):
+    """Payloads of each symbol, written as files by name, asked for as a stream that stops in the middle of the list and is started again."""
+    store, folder, spool, checkpoint = new_store(spark), scratch.new_path(spark, "payloads"), scratch.new_path(spark, "spool"), scratch.new_path(spark, "stream")
+    fields = [F.col("date").alias("datetime"), "open", "high", "low", "close", "volume"]
+    payloads = bars_as_text(spark, sf_dir).groupBy("symbol").agg(F.to_json(F.struct(F.collect_list(F.struct(*fields)).alias("values"))).alias("payload"))
+    payload_files.register(spark)
+    payloads.select(F.concat("symbol", F.lit(".json")).alias("name"), "payload").write.format("payload_files").option("folder", folder).mode("append").save()
+    symbols = [r.symbol for r in payloads.select("symbol").orderBy("symbol").collect()]  # the kinds of priority, which are a list of symbols
+    options = {"transport": "replay", "folder": folder, "symbolsPerBatch": "2"}
+    for some in (symbols[:2], symbols):
+        collecting.drain(collecting.collect_stream(spark, store, "primary", "bar_list", some, spool, checkpoint, NOW, options))
+    log = store.log().select("symbol", "status", F.col("rows").alias("payload_rows"), F.col("seq").alias("batch"))
+    return store.table("ohlcv").join(F.broadcast(log), "symbol").drop("updated_at")
+
+
 def fake(kind: str, symbol: str, options: dict[str, str]) -> str:
     """A provider that knows symbols by number: of ten one fails, one says that it is unknown, and one has no bars."""
     last = int(symbol) % 10
@@ -269,7 +284,7 @@ def progress_text(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, live_stream_indicators, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, collected_run, collected_bars,
+        stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, live_stream_indicators, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, replayed_stream, collected_run, collected_bars,
         recorded_runs, configured_symbols, configured_keys, news_days, news_archive, archive_names, progress_text,
         dry_run_statuses, current_run, kept_files, first_series, stored_news,
     )

@@ -148,22 +148,29 @@ class PayloadReader(DataSourceReader):
         size = len(self.symbols) if self.limit > 0 else max(1, int(self.options.get("symbolspertask", "1")))
         return [SymbolPartition(self.symbols[k : k + size]) for k in range(0, len(self.symbols), max(1, size))]
 
-    def read(self, partition: SymbolPartition) -> Iterator[tuple]:
+    def call_times(self, times: Iterable[float]) -> CallTimes:
+        return CallTimes(self.limit, float(self.options.get("windowseconds", MINUTE)), times)
+
+    def ask(self, symbol: str, calls: CallTimes) -> tuple:
+        """A symbol's row, whatever becomes of it; its calls are added to ``calls``."""
         said = self.options
         provider, kind = said.get("provider", ""), said.get("kind", "bar_list")
         waits, pause = schedule(int(said.get("attempts", ATTEMPTS)), float(said.get("backoff", BACKOFF))), float(said.get("pause", PAUSE))
-        calls = CallTimes(self.limit, float(said.get("windowseconds", MINUTE)), json.loads(said.get("calledat", "[]")))
-        for symbol in partition.symbols:
-            before, payload, earlier, error = len(calls.times), None, None, None
+        before, payload, earlier, error = len(calls.times), None, None, None
 
-            def get(symbol: str = symbol) -> str:
-                return fetch(lambda: self.transport(kind, symbol, said), waits, calls)
+        def get() -> str:
+            return fetch(lambda: self.transport(kind, symbol, said), waits, calls)
 
-            try:
-                payload, earlier = asked_again(get, pause=pause) if kind == "bar_list" else (get(), None)
-            except Exception as e:  # a symbol's failure is a row
-                error = f"{type(e).__name__}: {e}"
-            yield provider, symbol, payload, error, earlier, json.dumps(calls.times[before:])
+        try:
+            payload, earlier = asked_again(get, pause=pause) if kind == "bar_list" else (get(), None)
+        except Exception as e:  # a symbol's failure is a row
+            error = f"{type(e).__name__}: {e}"
+        return provider, symbol, payload, error, earlier, json.dumps(calls.times[before:])
+
+    def read(self, partition: SymbolPartition) -> Iterator[tuple]:
+        calls = self.call_times(json.loads(self.options.get("calledat", "[]")))
+        for symbol in partition.symbols:
+            yield self.ask(symbol, calls)
 
 
 def register(spark: SparkSession, **transports: Transport) -> None:
