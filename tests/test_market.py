@@ -185,11 +185,28 @@ def test_calls_in_window_over_slices(spark):
     assert got == {k: sum(1 for u in at if 0 <= t - u < 60) for k, t in enumerate(at)}
 
 
-def test_date_range():
-    assert planner.date_range("2024-01-10") == ("2024-01-03", "2024-01-10")
-    assert planner.date_range("2024-01-10", "2024-01-01", "2024-01-02") == ("2024-01-01", "2024-01-02")
-    with pytest.raises(ValueError):
-        planner.date_range("2024-01-10", "2024-02-01")
+def test_days_of_news(spark):
+    asked = [(None, None, None), ("2024-01-01", "2024-01-02", 5), ("", "2024-01-09", 2), ("2024-02-01", None, None), ("x", None, None), (None, "2024-13-01", None)]
+    got = planner.news_days(spark.createDataFrame(asked, "from_date string, to_date string, days_back int"), "2024-01-10").collect()
+    assert [(r["first"], r["last"]) for r in got if r.in_order] == [("2024-01-03", "2024-01-10"), ("2024-01-01", "2024-01-02"), ("2024-01-07", "2024-01-09")]
+    assert [r.in_order for r in got] == [True] * 3 + [False] * 3
+
+
+def test_places_are_counted_over_stretches(spark):
+    draw = random.Random(3)
+    rows = [(p, f"s{k}", draw.randint(0, 40), draw.randint(0, 3)) for k in range(200) for p in ("p", "q")]
+    got = planner.running_ranks(spark.createDataFrame(rows, "provider string, symbol string, line long, priority int"), stretch=8)
+    want = {(r[0], r[1]): n for p in ("p", "q") for n, r in enumerate(sorted((r for r in rows if r[0] == p), key=lambda r: (r[3], r[2], r[1])), 1)}
+    assert {(r.provider, r.symbol): r.n for r in got.collect()} == want
+
+
+def test_calls_of_several_providers(spark):
+    lists = spark.createDataFrame([(p, k, f"s{k}", 1) for p in ("p", "q", "r", "none") for k in range(6)], "provider string, line long, symbol string, priority int")
+    slots = spark.createDataFrame([("p", 0, 2, True), ("p", 1, 9, False), ("p", 2, 1, True), ("q", 0, 50, True), ("r", 0, 0, False)], "provider string, key_index int, remaining long, allowed boolean")
+    limits = spark.createDataFrame([("p", 10), ("q", 3), ("r", 10)], "provider string, max_symbols long")
+    got = sorted((r.provider, r.n, r.symbol, r.key_index) for r in planner.allocate(lists, slots, limits).collect())
+    assert got == [("p", 1, "s0", 0), ("p", 2, "s1", 0), ("p", 3, "s2", 2), ("p", 4, "s3", None), ("q", 1, "s0", 0), ("q", 2, "s1", 0), ("q", 3, "s2", 0), ("r", 1, "s0", None)]
+    assert planner.allocate(lists.limit(0), slots, limits).count() == 0
 
 
 def test_merge_symbols(spark):

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 #: Statuses by what is collected first; those not listed here, such as done and dry_run, come last.
 PRIORITY = {"failed": 0, None: 1, "skipped_rate_limit": 2}
 LAST_PRIORITY = 3
+#: Lines of a list that one task counts.
+STRETCH = 65_536
+#: Days of news before the last one.
+DAYS_BACK = 7
 
 
 def latest_status(log: DataFrame) -> DataFrame:
@@ -24,17 +28,53 @@ def priority(status: Column) -> Column:
     return out
 
 
+def waiting(lists: DataFrame, statuses: DataFrame, today: str, force: bool = False) -> DataFrame:
+    """provider, symbol, line, priority of what the providers' lists (provider, line, symbol) have to be asked for; what succeeded ``today`` is left out unless ``force``."""
+    known = statuses.select("provider", "symbol", "status", F.to_date("last_success_at").alias("day"))
+    joined = lists.select("provider", "line", "symbol").join(known, ["provider", "symbol"], "left")
+    done = F.coalesce(F.col("day") == F.lit(today).cast("date"), F.lit(False))
+    return (joined if force else joined.where(~done)).select("provider", "symbol", "line", priority(F.col("status")).alias("priority"))
+
+
 def pending(symbols: DataFrame, statuses: DataFrame, provider: str, today: str, limit: int, force: bool = False) -> DataFrame:
     """symbol, line, priority of the next ``limit`` symbols: failed ones, then new ones, then skipped ones, then the rest.
 
     ``symbols`` (line, symbol) come in the order of their lines; those that succeeded ``today`` are left out
     unless ``force``. Ends in a top-k: no full sort.
     """
-    mine = statuses.where(F.col("provider") == provider).select("symbol", "status", F.to_date("last_success_at").alias("day"))
-    joined = symbols.select("line", "symbol").join(mine, "symbol", "left")
-    done = F.coalesce(F.col("day") == F.lit(today).cast("date"), F.lit(False))
-    rest = joined if force else joined.where(~done)
-    return rest.select("symbol", "line", priority(F.col("status")).alias("priority")).orderBy("priority", "line").limit(limit)
+    mine = waiting(symbols.withColumn("provider", F.lit(provider)), statuses, today, force)
+    return mine.select("symbol", "line", "priority").orderBy("priority", "line").limit(limit)
+
+
+def running_ranks(candidates: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """``waiting`` with n, the place of a symbol among its provider's by priority and line, from 1.
+
+    Places are counted within stretches of ``stretch`` lines, each a task's work, and begin behind the running sum of
+    what is in the stretches before, so a long list doesn't meet in one task.
+    """
+    at = candidates.withColumn("__stretch", F.floor(F.coalesce("line", F.lit(-1)) / stretch))
+    cell = ["provider", "priority", "__stretch"]
+    before = Window.partitionBy("provider").orderBy("priority", "__stretch").rowsBetween(Window.unboundedPreceding, -1)  # a row per stretch
+    sizes = at.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n")).select(*cell, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy(*cell).orderBy("line", "symbol"))
+    return at.withColumn("__within", within).join(sizes, cell).withColumn("n", F.col("__within") + F.col("__before")).drop("__stretch", "__within", "__before")
+
+
+def allocate(candidates: DataFrame, slots: DataFrame, limits: DataFrame) -> DataFrame:
+    """provider, symbol, line, priority, n, key_index (null: no call left) of what all providers are to be asked for in one run.
+
+    ``candidates``: as ``waiting`` gives them; ``slots``: ``key_slots``; ``limits``: provider and max_symbols. The calls left on a provider's keys, one key after
+    the other, are intervals of running sums; a symbol's place falls into one of them. The first symbol behind
+    all of them is there as well, to be recorded as skipped; a provider that has no limit's row is asked for nothing.
+    """
+    up_to = Window.partitionBy("provider").orderBy("key_index").rowsBetween(Window.unboundedPreceding, 0)
+    keys = slots.where("allowed").withColumn("__last", F.sum("remaining").over(up_to))
+    keys = keys.select(F.col("provider").alias("__provider"), "key_index", (F.col("__last") - F.col("remaining")).alias("__first"), "__last")  # a row per key
+    calls = keys.groupBy(F.col("__provider").alias("provider")).agg(F.max("__last").alias("__calls"))
+    room = limits.join(calls, "provider", "left").select("provider", F.least("max_symbols", F.coalesce("__calls", F.lit(0)) + 1).alias("__room"))
+    asked = running_ranks(candidates).join(F.broadcast(room), "provider").where(F.col("n") <= F.col("__room")).drop("__room")  # a row per provider
+    inside = (F.col("provider") == F.col("__provider")) & (F.col("n") > F.col("__first")) & (F.col("n") <= F.col("__last"))
+    return asked.join(F.broadcast(keys), inside, "left").select("provider", "symbol", "line", "priority", "n", "key_index")
 
 
 def first_lines(symbols: DataFrame, limit: int | None = None) -> DataFrame:
@@ -125,12 +165,17 @@ def last_runs(runs: DataFrame, order: list[str], keep: int = 20) -> DataFrame:
     return runs.orderBy(*[F.desc(c) for c in order]).limit(keep)
 
 
-def date_range(today: str, from_date: str | None = None, to_date: str | None = None, days_back: int = 7) -> tuple[str, str]:
-    """First and last day to ask news for."""
-    from datetime import date, timedelta
+def news_days(requests: DataFrame, today: str) -> DataFrame:
+    """Adds first and last, the days of news that each request is for, and in_order: whether it is one that can be asked.
 
-    end = date.fromisoformat(to_date or today)
-    start = date.fromisoformat(from_date) if from_date else end - timedelta(days=days_back)
-    if start > end:
-        raise ValueError("the first day comes after the last")
-    return start.isoformat(), end.isoformat()
+    ``requests``: from_date, to_date (text, may be empty) and days_back. Without a last day it is ``today``; without a first
+    it is as many days before the last. A text that is no day, or a first day behind the last, can't be asked.
+    """
+    given = {c: F.nullif(F.col(c), F.lit("")) for c in ("from_date", "to_date")}
+    day = {c: F.try_to_date(v) for c, v in given.items()}
+    last = F.when(given["to_date"].isNull(), F.lit(today).cast("date")).otherwise(day["to_date"])
+    back = F.date_sub(F.col("__last"), F.coalesce("days_back", F.lit(DAYS_BACK)).cast("int"))
+    first = F.when(given["from_date"].isNull(), back).otherwise(day["from_date"])
+    made = requests.withColumn("__last", last).withColumn("__first", first)
+    fine = F.coalesce(F.col("__first") <= F.col("__last"), F.lit(False))
+    return made.select(*requests.columns, F.col("__first").cast("string").alias("first"), F.col("__last").cast("string").alias("last"), fine.alias("in_order"))

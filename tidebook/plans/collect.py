@@ -59,27 +59,23 @@ def plan(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) -> Dat
     in the plan as well, to be recorded as skipped; those behind it are not. A dry run needs no calls, and has no keys.
     """
     limit = run.provider.max_symbols_per_run if run.max_symbols is None else run.max_symbols
+    statuses = planner.latest_status(store.log())
     if run.dry_run:
-        chosen = planner.pending(symbols, planner.latest_status(store.log()), run.provider.name, run.today, limit, run.force)
-        return chosen.withColumn("key_index", F.lit(None).cast("int"))
-    slots = [r for r in budget(spark, store, run).orderBy("key_index").collect() if r.allowed]  # a row per key
-    ends, total = [], 0
-    for r in slots:
-        total += r.remaining
-        ends.append((r.key_index, total))
-    chosen = planner.pending(symbols, planner.latest_status(store.log()), run.provider.name, run.today, min(limit, total + 1), run.force)
-    chosen = chosen.withColumn("n", F.row_number().over(Window.orderBy("priority", "line")))  # over a run's symbols, limited before
-    key = F.lit(None).cast("int")
-    for index, end in reversed(ends):
-        key = F.when(F.col("n") <= end, F.lit(index)).otherwise(key)
-    return chosen.withColumn("key_index", key).drop("n")
-
-
-def days(run: Run) -> tuple[str | None, str | None]:
+        return planner.pending(symbols, statuses, run.provider.name, run.today, limit, run.force).withColumn("key_index", F.lit(None).cast("int"))
+    candidates = planner.waiting(symbols.withColumn("provider", F.lit(run.provider.name)), statuses, run.today, run.force)
+    limits = spark.createDataFrame([(run.provider.name, limit)], "provider string, max_symbols bigint")
+    return planner.allocate(candidates, budget(spark, store, run), limits).select("symbol", "line", "priority", "key_index")
+
+
+def days(spark: SparkSession, run: Run) -> tuple[str | None, str | None]:
     """The first and last day to ask for; only news are asked for by day."""
     if run.kind != "news":
         return None, None
-    return planner.date_range(run.today, run.options.get("from"), run.options.get("to"))
+    asked = spark.createDataFrame([(run.options.get("from"), run.options.get("to"), None)], "from_date string, to_date string, days_back int")
+    made = planner.news_days(asked, run.today).first()
+    if not made.in_order:
+        raise ValueError(f"no days to ask news for: {made.from_date!r} to {made.to_date!r}")
+    return made["first"], made["last"]
 
 
 def recent_calls(store: Store, run: Run) -> list[float]:
@@ -97,7 +93,7 @@ def recent_calls(store: Store, run: Run) -> list[float]:
 
 def payloads(spark: SparkSession, run: Run, symbols: list[str], key_index: int | None = None, called_at: list[float] | None = None) -> DataFrame:
     """provider, key, payload, error, earlier, calls of these symbols, by the run's transport and within its provider's rate."""
-    p, (first, last) = run.provider, days(run)
+    p, (first, last) = run.provider, days(spark, run)
     envs = p.key_envs()
     options = {
         "provider": p.name, "kind": run.kind, "symbols": json.dumps(symbols), "perMinute": p.per_minute_limit, "base": p.base_url, "interval": p.interval, "outputsize": p.outputsize,
@@ -148,7 +144,7 @@ def collect(spark: SparkSession, store: Store, symbols: DataFrame, run: Run) ->
 
 def _collect_some(spark: SparkSession, store: Store, run: Run, seq: int, symbols: list[str], key_index: int) -> DataFrame:
     """Fetch, archive, normalize and upsert; symbol, status, rows, error of each."""
-    first, last = days(run)
+    first, last = days(spark, run)
     fetched = payloads(spark, run, symbols, key_index, recent_calls(store, run))
     store.archive(fetched.select(
         "provider", "key", F.lit(run.now).cast("timestamp").alias("fetched_at"), "payload", F.lit(first).cast("string").alias("asked_from"), F.lit(last).cast("string").alias("asked_to"),

@@ -158,9 +158,10 @@ ORACLES: dict[str, str] = {
     "normalize_news": """SELECT source AS "key", CAST(doc_id AS VARCHAR) AS id, strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS datetime,
       strftime(make_timestamp((1700000000 + doc_id * 3600) * 1000000), '%Y-%m-%d') AS date, text AS headline, '' AS source, '' AS summary, '' AS url,
       CASE WHEN doc_id % 2 = 0 THEN 'True' ELSE 'False' END AS image, lang AS category FROM documents""",
-    "normalize_errors": "SELECT kind, \"key\", error, coalesce(contains(lower(error), 'rate limit'), FALSE) AS rate_limited FROM (VALUES "
-    + ", ".join(f"('{k}', '{n}', CAST({_quoted(SAID.get((k, n)))} AS VARCHAR))" for k, n, _ in ODD_PAYLOADS)
-    + ') v(kind, "key", error)',
+    "normalize_errors": """SELECT doc_id, kind, form, CASE WHEN error = 'bad' THEN 'bad ' || coalesce(lang, 'none') ELSE error END AS error, coalesce(contains(lower(error), 'rate limit'), FALSE) AS rate_limited
+      FROM documents JOIN (VALUES """
+    + ", ".join(f"({n}, '{k}', '{form}', CAST({_quoted(SAID.get((k, form)))} AS VARCHAR))" for n, (k, form, _) in enumerate(ODD_PAYLOADS))
+    + f") v(n, kind, form, error) ON doc_id % {len(ODD_PAYLOADS)} = n",
     "listing_symbols": "SELECT DISTINCT upper(trim(p_brand)) AS symbol FROM part ORDER BY 1",
     "merge_symbols": """WITH a AS (SELECT 0 AS list, c_custkey AS line, upper(trim(c_mktsegment)) AS symbol FROM customer
       UNION ALL SELECT 1, p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'BUILDING' ELSE upper(trim(p_brand)) END FROM part)
@@ -177,6 +178,20 @@ ORACLES: dict[str, str] = {
       (enabled AND remaining >= 50) AS allowed_cost FROM slots""",
     "active_key": f"""WITH {LOG}, {KEYS}, {SLOTS} SELECT provider, min(CASE WHEN enabled AND has_key AND remaining > 0 THEN key_index END) AS key_index,
       CAST(sum(CASE WHEN has_key THEN remaining ELSE 0 END) AS BIGINT) AS total_remaining FROM slots GROUP BY provider""",
+    "allocated_calls": f"""WITH {LOG.replace("SELECT 'primary' AS provider", "SELECT CASE WHEN event_id % 4 = 0 THEN 'backup' ELSE 'primary' END AS provider")}, {SYMBOLS}, {KEYS}, {SLOTS},
+      limits(provider, most) AS (VALUES ('primary', 450), ('backup', 700), ('off', 700)),
+      lists AS (SELECT provider, line, symbol, most FROM symbols, limits WHERE provider = 'primary' OR provider = 'backup' AND line % 3 = 0 OR provider = 'off' AND line % 10 = 0),
+      waiting AS (SELECT l.provider, l.symbol, l.line, most, CASE WHEN status = 'failed' THEN 0 WHEN status IS NULL THEN 1 WHEN status = 'skipped_rate_limit' THEN 2 ELSE 3 END AS priority
+        FROM lists l LEFT JOIN latest t ON t.provider = l.provider AND t.symbol = l.symbol WHERE coalesce(CAST(last_success_at AS DATE) <> DATE '{TODAY}', TRUE)),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY provider ORDER BY priority, line) AS n FROM waiting),
+      ends AS (SELECT provider, key_index, sum(remaining) OVER (PARTITION BY provider ORDER BY key_index) AS until FROM slots WHERE enabled AND has_key AND remaining > 0)
+      SELECT provider, symbol, line, priority, n, (SELECT min(key_index) FROM ends e WHERE e.provider = r.provider AND e.until >= r.n) AS key_index
+      FROM ranked r WHERE n <= most AND n <= 1 + coalesce((SELECT max(until) FROM ends e WHERE e.provider = r.provider), 0)""",
+    "news_days": f"""WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'soon' WHEN o_orderkey % 3 <> 0 THEN CAST(CAST(o_orderdate AS DATE) - CAST(o_orderkey % 20 - 1 AS INTEGER) AS VARCHAR) END AS from_date,
+        CASE WHEN o_orderkey % 4 = 0 THEN '' WHEN o_orderkey % 4 <> 1 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS to_date, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 30 AS INTEGER) END AS days_back FROM orders),
+      d AS (SELECT *, CASE WHEN coalesce(to_date, '') = '' THEN DATE '{TODAY}' ELSE TRY_CAST(to_date AS DATE) END AS z FROM r),
+      e AS (SELECT *, CASE WHEN from_date IS NULL THEN z - coalesce(days_back, 7) ELSE TRY_CAST(from_date AS DATE) END AS a FROM d)
+      SELECT o_orderkey, from_date, to_date, days_back, CAST(CAST(a AS DATE) AS VARCHAR) AS first, CAST(z AS VARCHAR) AS last, coalesce(a <= z, FALSE) AS in_order FROM e""",
     "calls_in_last_minute": """SELECT event_id, event_type AS "key", count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) AS calls FROM events""",
     "run_counters": f"""WITH {LOG} SELECT CAST("at" AS DATE) AS run, count(*) FILTER (status IN ('done', 'dry_run')) AS processed, count(*) FILTER (status = 'failed') AS failed,
       count(*) FILTER (status = 'skipped_rate_limit') AS skipped FROM log GROUP BY 1""",

@@ -257,10 +257,13 @@ ODD_PAYLOADS = [
 
 
 def normalize_errors(spark, sf_dir):
-    odd = spark.createDataFrame(ODD_PAYLOADS, "kind string, key string, payload string")
+    """Each document as a payload that says something instead of rows, some of them with the document's language in it."""
+    odd = spark.createDataFrame([(n, *row) for n, row in enumerate(ODD_PAYLOADS)], "n int, kind string, form string, said string")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.pmod("doc_id", F.lit(len(ODD_PAYLOADS))).cast("int").alias("n"), F.coalesce("lang", F.lit("none")).alias("lang"))
+    payloads = docs.join(F.broadcast(odd), "n").select("doc_id", "kind", "form", F.replace("said", F.lit('"bad"'), F.concat(F.lit('"bad '), "lang", F.lit('"'))).alias("payload"))
     out = None
     for kind in normalize.ERRORS:
-        one = normalize.payload_errors(odd.where(F.col("kind") == kind), kind, ["kind", "key"])
+        one = normalize.payload_errors(payloads.where(F.col("kind") == kind), kind, ["doc_id", "kind", "form"])
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -312,6 +315,30 @@ def active_key(spark, sf_dir):
     return planner.active_key(budget_remaining(spark, sf_dir))
 
 
+def provider_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as the lists of three providers: all of them, every third and every tenth."""
+    symbols = symbol_list(spark, sf_dir)
+    names = F.array_compact(F.array(F.lit("primary"), F.when(F.col("line") % 3 == 0, F.lit("backup")), F.when(F.col("line") % 10 == 0, F.lit("off"))))
+    return symbols.select(F.explode(names).alias("provider"), "line", "symbol")
+
+
+def allocated_calls(spark, sf_dir):
+    """What all providers are to be asked for in one run, and with which key."""
+    calls = log(spark, sf_dir).withColumn("provider", F.when(F.col("seq") % 4 == 0, F.lit("backup")).otherwise(F.col("provider")))
+    limits = spark.createDataFrame([("primary", 450), ("backup", 700), ("off", 700)], "provider string, max_symbols bigint")
+    candidates = planner.waiting(provider_lists(spark, sf_dir), planner.latest_status(calls), TODAY)
+    return planner.allocate(candidates, planner.key_slots(api_keys(spark), planner.usage(calls), TODAY), limits)
+
+
+def news_days(spark, sf_dir):
+    """Orders as requests for news, some without a last day, some without a first, and some that can't be asked."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    to_date = F.when(key % 4 == 0, F.lit("")).when(key % 4 != 1, day.cast("string"))
+    from_date = F.when(key % 7 == 0, F.lit("soon")).when(key % 3 != 0, F.date_sub(day, (key % 20 - 1).cast("int")).cast("string"))
+    requests = table(spark, sf_dir, "orders").select("o_orderkey", from_date.alias("from_date"), to_date.alias("to_date"), F.when(key % 5 != 0, (key % 30).cast("int")).alias("days_back"))
+    return planner.news_days(requests, TODAY)
+
+
 def calls_in_last_minute(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("key"), F.col("ts").cast("timestamp").alias("at"))
     return planner.calls_in_window(events, "key", "at", 60).select("event_id", "key", F.col("calls_before").alias("calls"))
@@ -365,7 +392,7 @@ QUERIES = {
         ohlcv_bars, event_bars, sma, sma_with_gaps, ema_12, ema_with_gaps, rsi_14, rsi_flat, macd, scanned_indicators, indicators_full, indicator_text, indicators_processed,
         price_delta_gain_loss, upsert_last_wins, upsert_idempotent, duplicate_keys, invalid_rows, validation_issues, validation_rollup, table_counts,
         symbol_history, normalize_ohlcv_list, normalize_ohlcv_map, normalize_macro, normalize_news, normalize_errors, listing_symbols, merge_symbols,
-        latest_status, pending_symbols, done_today, not_done_today, budget_remaining, call_decisions, active_key, calls_in_last_minute, run_counters, last_20_runs,
+        latest_status, pending_symbols, done_today, not_done_today, budget_remaining, call_decisions, active_key, allocated_calls, news_days, calls_in_last_minute, run_counters, last_20_runs,
         daily_summary, summary_message, format6, try_double, raw_archive_counts,
     )
 }

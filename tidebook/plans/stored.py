@@ -18,20 +18,6 @@ from tidebook.streaming import collecting, ingest, live
 BUCKETS = 8
 NOW = f"{TODAY} 22:30:00"
 STAMPS = ("2024-01-19T00:00:00Z", "2024-01-20T00:00:00Z")
-SETTINGS = """# providers
-primary:
-  enabled: true
-  api_key_envs: KEY_A, KEY_B,KEY_A
-  daily_limit: 800
-  daily_reserve: 100
-  per_minute_limit: 8
-  max_symbols_per_run: 700
-backup:
-  enabled: false
-  api_key_env: KEY_C
-  daily_limit: 25
-  daily_reserve: 30
-"""
 
 
 def new_store(spark: SparkSession) -> Store:
@@ -217,18 +203,20 @@ def configured_symbols(spark, sf_dir):
 
 
 def configured_keys(spark, sf_dir):
-    return config.keys(spark, [config.provider(SETTINGS, name) for name in config.parse_providers(SETTINGS)], {"KEY_B": "secret"})
-
-
-def news_days(spark, sf_dir):
-    asked = [planner.date_range(TODAY), planner.date_range(TODAY, "2024-01-02"), planner.date_range(TODAY, None, "2024-01-09", 2)]
-    return spark.createDataFrame([(k, *x) for k, x in enumerate(asked)], "n int, first string, last string")
+    """Nations as providers in a file of settings, and the keys that it names."""
+    path, n = scratch.new_path(spark, "settings"), F.col("n_nationkey")
+    envs = F.when(n % 2 == 0, F.concat(F.lit("api_key_envs: KEY_A, KEY_"), n, F.lit(",KEY_A"))).otherwise(F.concat(F.lit("api_key_env: KEY_"), n))
+    section = [F.lit("# a provider"), F.concat("n_name", F.lit(":")), F.concat(F.lit("enabled: "), n % 3 == 0), envs, F.concat(F.lit("daily_limit: "), n * 10), F.lit("daily_reserve: 30")]
+    lines = F.concat_ws("\n", *[c if k < 2 else F.concat(F.lit("  "), c) for k, c in enumerate(section)])
+    table(spark, sf_dir, "nation").select(lines.alias("value")).coalesce(1).write.text(path)
+    said = "\n".join(r.value for r in spark.read.text(path).collect())  # a file of settings
+    return config.keys(spark, [config.provider(said, name) for name in config.parse_providers(said)], {f"KEY_{k}": "secret" for k in range(0, 25, 4)})
 
 
 def news_archive(spark, sf_dir):
     """Each conversation as a symbol's news, archived with the days that were asked for."""
     turns = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").cast("string").alias("key")).agg(F.to_json(F.array_sort(F.collect_list(F.struct(F.col("turn").alias("id"), F.col("role").alias("headline"))))).alias("payload"))
-    store, (first, last) = new_store(spark), planner.date_range(TODAY)
+    store, (first, last) = new_store(spark), ("2024-01-13", TODAY)
     store.archive(turns.select(F.lit("news").alias("provider"), "key", F.lit(NOW).cast("timestamp").alias("fetched_at"), "payload", F.lit(first).alias("asked_from"), F.lit(last).alias("asked_to"), F.lit(1).cast("bigint").alias("seq")))
     kept = F.from_json("envelope", "symbol string, from string, to string, items array<struct<id: bigint, headline: string>>")
     return normalize.news_envelopes(store.bronze()).select(kept.alias("x")).select("x.symbol", "x.from", "x.to", F.size("x.items").alias("items"), F.element_at("x.items", 1)["headline"].alias("first"))
@@ -285,7 +273,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, live_stream_indicators, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, replayed_stream, collected_run, collected_bars,
-        recorded_runs, configured_symbols, configured_keys, news_days, news_archive, archive_names, progress_text,
+        recorded_runs, configured_symbols, configured_keys, news_archive, archive_names, progress_text,
         dry_run_statuses, current_run, kept_files, first_series, stored_news,
     )
 }

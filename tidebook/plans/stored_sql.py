@@ -62,9 +62,9 @@ ORACLES: dict[str, str] = {
       count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped_rate_limit') AS skipped_rate_limit, CAST(40 AS BIGINT) AS total_remaining_start FROM results""",
     "configured_symbols": """SELECT line, symbol FROM (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS line, trim(p_brand) AS symbol, p_partkey FROM part)
       WHERE p_partkey % 7 <> 0 AND p_partkey % 11 <> 0""",
-    "configured_keys": """SELECT * FROM (VALUES ('primary', 0, FALSE, CAST(800 AS BIGINT), CAST(100 AS BIGINT), TRUE), ('primary', 1, TRUE, 800, 100, TRUE), ('backup', 0, FALSE, 25, 30, FALSE))
-      t(provider, key_index, has_key, daily_limit, daily_reserve, enabled)""",
-    "news_days": "SELECT * FROM (VALUES (0, '2024-01-13', '2024-01-20'), (1, '2024-01-02', '2024-01-20'), (2, '2024-01-07', '2024-01-09')) t(n, first, last)",
+    "configured_keys": """WITH k AS (SELECT n_nationkey AS n, n_name, 0 AS key_index, CASE WHEN n_nationkey % 2 = 0 THEN FALSE ELSE n_nationkey % 4 = 0 END AS has_key FROM nation
+        UNION ALL SELECT n_nationkey, n_name, 1, n_nationkey % 4 = 0 FROM nation WHERE n_nationkey % 2 = 0)
+      SELECT n_name AS provider, key_index, has_key, CAST(n * 10 AS BIGINT) AS daily_limit, CAST(30 AS BIGINT) AS daily_reserve, n % 3 = 0 AS enabled FROM k""",
     "news_archive": "SELECT CAST(conv_id AS VARCHAR) AS symbol, '2024-01-13' AS \"from\", '2024-01-20' AS \"to\", CAST(count(*) AS INTEGER) AS items, arg_min(role, turn) AS first FROM conversations GROUP BY 1",
     "archive_names": "SELECT c_custkey, replace(replace(c_name, '#', '/'), '/', '_') || '_20240120T000000Z.json' AS name FROM customer",
     "dry_run_statuses": f"""WITH {LOG.replace("FROM events)", f"FROM events WHERE CAST(ts AS DATE) < DATE '{TODAY}')")}, {SYMBOLS}
