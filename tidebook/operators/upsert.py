@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions import schemas
 
 
 def last_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the one that comes last by ``order``. Other columns go along.
+    """One row per key: the one that comes last by ``order``, nothing before anything. Other columns go along.
 
-    An aggregation, not a window: each task reduces its rows before the shuffle, so
-    a key written very often doesn't meet in one task.
+    A window of which only the first row is wanted: each task leaves one row of a key before the shuffle, so
+    a key written very often doesn't meet in one task, and rows are moved as they are.
     """
-    others = [c for c in rows.columns if c not in keys]
-    last = F.max_by(F.struct(*others), F.struct(*order))
-    return rows.groupBy(*keys).agg(last.alias("__last")).select(*keys, *[F.col("__last")[c].alias(c) for c in others])
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order]))
+    return rows.withColumn("__place", place).where("__place = 1").drop("__place")
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -25,16 +24,14 @@ def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[
     Incoming rows whose last key column (date or id) is empty are dropped. Within ``incoming`` the last row by
     ``order`` wins; any incoming row wins over a stored one.
     """
-    others = [c for c in stored.columns if c not in keys]
-    row = F.struct(*others).alias("__row")
     kinds = {f.name: f.dataType.simpleString() for f in incoming.schema.fields}
+    ranks = [f"__{k}" for k in range(len(order))]
     # all in one shuffle: a stored row comes before any incoming one
-    none = [F.lit(None).cast(kinds[c]).alias(f"__{k}") for k, c in enumerate(order)]
-    old = stored.select(*keys, row, F.struct(F.lit(0).alias("__new"), *none).alias("__at"))
-    given = [F.col(c).alias(f"__{k}") for k, c in enumerate(order)]
-    new = incoming.where(F.coalesce(F.col(keys[-1]), F.lit("")) != "").select(*keys, row, F.struct(F.lit(1).alias("__new"), *given).alias("__at"))
-    last = old.unionByName(new).groupBy(*keys).agg(F.max_by("__row", "__at").alias("__row"))
-    return last.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in stored.columns])
+    none = [F.lit(None).cast(kinds[c]).alias(r) for c, r in zip(order, ranks, strict=True)]
+    given = [F.col(c).alias(r) for c, r in zip(order, ranks, strict=True)]
+    old = stored.select(*stored.columns, F.lit(0).alias("__new"), *none)
+    new = incoming.where(F.coalesce(F.col(keys[-1]), F.lit("")) != "").select(*stored.columns, F.lit(1).alias("__new"), *given)
+    return last_wins(old.unionByName(new), keys, ["__new", *ranks]).select(*stored.columns)
 
 
 def upsert_table(table: str, stored: DataFrame, incoming: DataFrame, now: str, order: list[str]) -> DataFrame:
