@@ -75,6 +75,14 @@ def test_versions_swap_every_term():
     assert toxicity.swapped({"x"}, (("x", "y"),)) == [{"y"}]
 
 
+def test_several_terms_of_a_line_are_swapped_together():
+    line = (("old", "young", "elderly", "teenage"),)
+    found = toxicity.swapped({"the", "old", "young"}, line)
+    assert found[0] == {"the", "elderly", "teenage"} and all(len(x) == 3 and x != {"the", "old", "young"} for x in found)
+    assert all(len(x) == 3 for x in toxicity.swapped({"old", "young", "elderly"}, line))
+    assert toxicity.swapped({"the", *line[0]}, line) == []  # a whole line
+
+
 def hostile(spark, line, insults, n=900):
     """Texts of which one in six is toxic; toxic ones name the first group of ``line`` far more often than others do."""
     draw = random.Random(8)

@@ -83,20 +83,23 @@ def text_features(words: set[str]) -> set[str]:
     return counts.keys() | {f"{f}2" for f, n in counts.items() if n > 1}
 
 
+def turns(line: tuple[str, ...], named: set[str]) -> list[set[str]]:
+    """What ``named`` terms of a line become as it is turned round by each number of places; first the turns that keep fewest of them."""
+    made = [{line[(line.index(t) + k) % len(line)] for t in named} for k in range(1, len(line))]
+    return sorted(made, key=lambda x: len(x & named))
+
+
 def swapped(words: set[str], terms: Terms = IDENTITY_TERMS, most: int = COUNTERFACTUALS) -> list[set[str]]:
-    """The words with each identity term replaced by another of its line, in up to ``most`` ways; none without any such term.
+    """The words with identity terms replaced by others of their lines, in up to ``most`` ways; none without any such term.
 
-    The k-th way takes the k-th term after each in its line, round and round, so that ways differ as long as lines have terms.
+    A way turns each line round, so that terms of a line become as many terms of it, and none of them stays where the line has enough
+    others. A text that names a whole line is as it was, and no version.
     """
-    named = [(term, line) for line in terms if len(line) > 1 for term in line if term in words]
-    if not named:
-        return []
-    out = []
-    for k in range(1, min(most, max(len(line) for _, line in named) - 1) + 1):
-        other = words.difference(t for t, _ in named)
-        other.update(line[(line.index(t) + 1 + (k - 1) % (len(line) - 1)) % len(line)] for t, line in named)
-        out.append(other)
-    return out
+    lines = [turns(line, set(line) & words) for line in terms if len(line) > 1 and not words.isdisjoint(line)]
+    kept = words.difference(*(line for line in terms if len(line) > 1))
+    ways = min(most, max(map(len, lines), default=0))
+    versions = [kept.union(*(line[k % len(line)] for line in lines)) for k in range(ways)]
+    return [x for x in versions if x != words]
 
 
 # --- learning -------------------------------------------------------------------
