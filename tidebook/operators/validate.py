@@ -17,6 +17,11 @@ def invalid() -> Column:
     return out
 
 
+def fault() -> Column:
+    """What is wrong with a bar by itself, null if nothing is: for ``Store.upsert_checked``."""
+    return F.when(invalid(), F.lit("invalid_numeric_or_range"))
+
+
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with ``count``."""
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).where("count > 1")
@@ -43,3 +48,9 @@ def report(tables: dict[str, DataFrame]) -> DataFrame:
     found = issues(tables["ohlcv"]).agg(F.count(F.lit(1)).alias("issue_count"))
     counts = table_counts(tables).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("table", "rows")))).alias("checked_tables"))
     return found.crossJoin(counts).select(F.when(F.col("issue_count") == 0, "pass").otherwise("fail").alias("status"), "issue_count", "checked_tables")
+
+
+def checked(checks: DataFrame) -> DataFrame:
+    """status, issue_count and rows stored of each table, from what was counted while its batches were written; no table is read."""
+    counted = checks.groupBy("table").agg(F.sum(F.col("duplicate_keys") + F.col("faulty")).alias("issue_count"), F.sum("no_key").alias("no_key"), F.sum("stored").alias("stored"))
+    return counted.select("table", F.when(F.col("issue_count") == 0, "pass").otherwise("fail").alias("status"), "issue_count", "no_key", "stored")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.functions import casts, schemas
-from tidebook.operators import normalize, planner, summary
+from tidebook.operators import normalize, planner, summary, validate
 from tidebook.plans import collect, queries, refresh
 from tidebook.plans.queries import TODAY, table
 from tidebook.sources import config, payload_files, scratch
@@ -99,6 +99,34 @@ def live_stream_indicators(spark, sf_dir):
     return store.table("indicators").drop("updated_at")
 
 
+def checked_store(spark: SparkSession, sf_dir: str) -> Store:
+    """Bars of which some are broken, twice in their batch or without a date, put into a store by batches that are checked while they are written."""
+    store, bars = new_store(spark), queries.text_bars(spark, sf_dir)
+    nameless = bars.where("substring(date, 6) = '02-02'").withColumn("date", F.lit(""))
+    for stamp, rows in ((STAMPS[0], bars.where("date < '1997'")), (STAMPS[1], bars.where("date >= '1996'").unionByName(nameless))):
+        store.upsert_checked("ohlcv", rows, stamp, ["date"], validate.fault())
+    return store
+
+
+def checked_counts(spark, sf_dir):
+    """What was counted while two batches were written."""
+    return checked_store(spark, sf_dir).checks()
+
+
+def checked_bars(spark, sf_dir):
+    """The bars without a fault, after a merge."""
+    store = checked_store(spark, sf_dir)
+    store.merge("ohlcv")
+    return store.table("ohlcv")
+
+
+def quarantined_bars(spark, sf_dir):
+    """The faulty ones, which stay where they are when batches are merged."""
+    store = checked_store(spark, sf_dir)
+    store.merge("ohlcv")
+    return store.quarantine("ohlcv").drop("updated_at")
+
+
 def written_report(spark, sf_dir):
     store = two_batches(spark, sf_dir)
     collect.report(store)
@@ -272,7 +300,7 @@ def progress_text(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, live_stream_indicators, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, replayed_stream, collected_run, collected_bars,
+        stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, live_stream_indicators, checked_counts, checked_bars, quarantined_bars, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, replayed_stream, collected_run, collected_bars,
         recorded_runs, configured_symbols, configured_keys, news_archive, archive_names, progress_text,
         dry_run_statuses, current_run, kept_files, first_series, stored_news,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidebook.plans.oracles import BARS, LOG, MACD, ORDERED, RSI, SEGMENTS, SMA_WINDOWS, SUCCEEDED, SYMBOLS
+from tidebook.plans.oracles import BARS, INVALID, LOG, MACD, ORDERED, RSI, SEGMENTS, SMA_WINDOWS, SUCCEEDED, SYMBOLS, TEXT_BARS
 from tidebook.plans.queries import TODAY
 from tidebook.plans.stored import STAMPS
 
@@ -36,7 +36,20 @@ KEPT_UP = f"""WITH RECURSIVE {TEXT}, gapped AS (SELECT * REPLACE (CASE WHEN subs
     {_text('m.macd', 'macd_12_26')}, {_text('sig.e', 'macd_signal_9')}, {_text('m.macd - sig.e', 'macd_hist')}
   FROM gapped t LEFT JOIN sma USING (symbol, date) LEFT JOIN rsi USING (symbol, date) LEFT JOIN m USING (symbol, date) LEFT JOIN sig USING (symbol, date)"""
 
+#: Batches of broken and repeated bars, an empty text where there is no value.
+CHECKED = f"""{BARS}, {TEXT_BARS}, flagged AS (SELECT *, CASE WHEN {INVALID} THEN 'invalid_numeric_or_range' ELSE 'stored' END AS outcome FROM text_bars),
+  batches AS (
+    SELECT 1 AS batch, '{STAMPS[0]}' AS updated_at, * FROM flagged WHERE date < '1997' UNION ALL SELECT 2, '{STAMPS[1]}', * FROM flagged WHERE date >= '1996'
+    UNION ALL SELECT 2, '{STAMPS[1]}', * REPLACE ('' AS date, 'no_key' AS outcome) FROM flagged WHERE substr(date, 6) = '02-02')"""
+
 ORACLES: dict[str, str] = {
+    "checked_counts": f"""WITH {CHECKED}, keys AS (SELECT batch, updated_at, symbol, date, count(*) AS n FROM batches WHERE outcome = 'stored' GROUP BY ALL),
+      faults AS (SELECT DISTINCT batch, symbol, date, open, high, low, close, volume, outcome FROM batches WHERE outcome <> 'stored')
+      SELECT 'ohlcv' AS "table", batch, updated_at AS "at", count(*) AS stored, count(*) FILTER (n > 1) AS duplicate_keys,
+        (SELECT count(*) FROM faults f WHERE f.batch = k.batch AND outcome = 'no_key') AS no_key,
+        (SELECT count(*) FROM faults f WHERE f.batch = k.batch AND outcome <> 'no_key') AS faulty FROM keys k GROUP BY batch, updated_at""",
+    "checked_bars": f"WITH {CHECKED} SELECT symbol, date, open, high, low, close, volume, max(updated_at) AS updated_at FROM batches WHERE outcome = 'stored' GROUP BY ALL",
+    "quarantined_bars": f"WITH {CHECKED} SELECT DISTINCT symbol, date, open, high, low, close, volume, outcome, batch FROM batches WHERE outcome <> 'stored'",
     "stored_bars": f"WITH {STORED} SELECT * FROM stored",
     "stored_history": f"WITH {STORED} SELECT date, open, high, low, close, volume FROM stored WHERE symbol = '3-MEDIUM'",
     "stored_indicators": f"""WITH RECURSIVE {TEXT}, closes AS (SELECT symbol, date, CAST(close AS DOUBLE) AS close FROM texts), {SEGMENTS}, {ORDERED}, {MACD}, {RSI},

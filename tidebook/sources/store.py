@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -22,6 +22,12 @@ from tidebook.sources import scratch
 BUCKETS = 256
 #: Batches of a table that are kept beside its buckets before they are merged into them.
 MERGE_AFTER = 16
+#: Outcomes of a checked batch's rows, beside the faults that a check names.
+STORED, NO_KEY = "stored", "no_key"
+CHECKS = T.StructType([
+    T.StructField("table", T.StringType()), T.StructField("batch", T.IntegerType()), T.StructField("at", T.StringType()),
+    *(T.StructField(c, T.LongType()) for c in ("stored", "duplicate_keys", NO_KEY, "faulty")),
+])
 
 
 class Store:
@@ -46,19 +52,37 @@ class Store:
     def _with_buckets(self, name: str) -> DataFrame:
         return self._read(f"{self.root}/{name}", T.StructType([*schemas.schema(name).fields, T.StructField("bucket", T.IntegerType())]))
 
+    def _batch_paths(self, name: str) -> dict[int, str]:
+        """Where batches that aren't merged are, by number. One whose write broke off has none of Spark's marks."""
+        found = {}
+        for kind in ("_batches", "_checked"):
+            at = f"{self.root}/{kind}/{name}"
+            for n in self._whole(at):
+                path = f"{at}/batch={n}" + (f"/outcome={STORED}" if kind == "_checked" else "")
+                if kind == "_batches" or scratch.exists(self.spark, path):  # of a checked batch that was merged only what is in quarantine is left
+                    found[n] = path
+        return dict(sorted(found.items()))
+
     def _batch_numbers(self, name: str) -> list[int]:
-        """Of whole batches; one whose write broke off has none of Spark's marks."""
-        at = f"{self.root}/_batches/{name}"
-        return sorted(int(x.removeprefix("batch=")) for x in scratch.names(self.spark, at) if scratch.exists(self.spark, f"{at}/{x}/_SUCCESS"))
+        return list(self._batch_paths(name))
+
+    def _whole(self, at: str) -> list[int]:
+        return [int(x.removeprefix("batch=")) for x in scratch.names(self.spark, at) if scratch.exists(self.spark, f"{at}/{x}/_SUCCESS")]
+
+    def _next_batch(self, name: str) -> int:
+        return 1 + max([0, *self._whole(f"{self.root}/_batches/{name}"), *self._whole(f"{self.root}/_checked/{name}")])
 
     def _batches(self, name: str) -> DataFrame | None:
         """Rows of the batches that aren't merged, the last of each key; None if there are none."""
-        numbers, at = self._batch_numbers(name), f"{self.root}/_batches/{name}"
-        if not numbers:
+        paths, kind = self._batch_paths(name), T.StructType([*self._with_buckets(name).schema.fields, T.StructField("batch", T.IntegerType())])
+        parts = []
+        for at in (f"{self.root}/_batches/{name}", f"{self.root}/_checked/{name}"):
+            if some := [p for p in paths.values() if p.startswith(f"{at}/")]:
+                parts.append(self.spark.read.schema(kind).option("basePath", at).parquet(*some).select(*kind.names))
+        if not parts:
             return None
-        kind = T.StructType([*self._with_buckets(name).schema.fields, T.StructField("batch", T.IntegerType())])
-        rows = self.spark.read.schema(kind).option("basePath", at).parquet(*[f"{at}/batch={n}" for n in numbers])
-        if len(numbers) > 1:
+        rows = functools.reduce(DataFrame.unionByName, parts)
+        if len(paths) > 1:
             rows = upserts.last_wins(rows, list(schemas.KEYED[name][0]), ["batch"])
         return rows.drop("batch")
 
@@ -104,10 +128,50 @@ class Store:
         ordered = schemas.with_text(incoming.withColumn("updated_at", F.lit(now)), name, [F.col(c).alias(f"__order_{c}") for c in order])
         ordered = ordered.where(F.coalesce(F.col(keys[-1]), F.lit("")) != "")
         new = upserts.last_wins(ordered, keys, [f"__order_{c}" for c in order]).select(*schemas.columns(name), self._bucket(name).alias("bucket"))
-        numbers = self._batch_numbers(name)
-        new.write.mode("overwrite").parquet(f"{self.root}/_batches/{name}/batch={numbers[-1] + 1 if numbers else 1}")
-        if len(numbers) + 1 >= MERGE_AFTER:
+        new.write.mode("overwrite").parquet(f"{self.root}/_batches/{name}/batch={self._next_batch(name)}")
+        if len(self._batch_numbers(name)) >= MERGE_AFTER:
+            self.merge(name)
+
+    def upsert_checked(self, name: str, incoming: DataFrame, now: str, order: list[str], fault: Column) -> dict[str, int]:
+        """``upsert`` of the rows without a ``fault`` (a text, null if there is none); the others go to ``quarantine``. What was counted, also kept in ``checks``.
+
+        All in the one pass that writes the batch: nothing is scanned or shuffled for the counts. They are taken in
+        the job's last stage, of which Spark counts each task once, however often it ran; so rows that are counted are those
+        left of equal ones: ``stored``, ``duplicate_keys`` (keys that rows without a fault have twice or more) and, by fault, distinct faulty rows.
+        A faulty row doesn't win over a good one of its key, stored or incoming. Of a key and a faulty row two at most leave a task.
+        """
+        keys, places = list(schemas.KEYED[name][0]), [f"__order_{c}" for c in order]
+        texts = schemas.with_text(incoming.withColumn("updated_at", F.lit(now)), name, [F.col(c).alias(p) for c, p in zip(order, places, strict=True)])
+        reason = F.when(F.coalesce(F.col(keys[-1]), F.lit("")) == "", F.lit(NO_KEY)).otherwise(fault)
+        tagged = texts.withColumn("outcome", F.coalesce(reason, F.lit(STORED)))
+        # faulty rows are told apart by all that they say, good ones by their key alone
+        whole = F.when(F.col("outcome") != STORED, F.to_json(F.struct(*schemas.columns(name), *places), {"ignoreNullFields": "false"}))
+        window = Window.partitionBy(*keys, "__whole").orderBy(*[F.desc_nulls_last(c) for c in places])
+        two = tagged.withColumn("__whole", whole).withColumn("__place", F.row_number().over(window)).where("__place <= 2")
+        first, good, seen = F.col("__place") == 1, F.col("outcome") == STORED, Observation()
+        counts = [F.count_if(first & good).alias("stored"), F.count_if(~first & good).alias("duplicate_keys"), F.count_if(first & (F.col("outcome") == NO_KEY)).alias(NO_KEY), F.count_if(first & ~good & (F.col("outcome") != NO_KEY)).alias("faulty")]
+        batch = self._next_batch(name)
+        rows = two.observe(seen, *counts).where(first).select(*schemas.columns(name), self._bucket(name).alias("bucket"), "outcome")
+        rows.write.mode("overwrite").partitionBy("outcome").parquet(f"{self.root}/_checked/{name}/batch={batch}")
+        found = {c: int(seen.get[c]) for c in ("stored", "duplicate_keys", NO_KEY, "faulty")}
+        self.spark.createDataFrame([(name, batch, now, *found.values())], CHECKS).coalesce(1).write.mode("append").parquet(f"{self.root}/checks")
+        if len(self._batch_numbers(name)) >= MERGE_AFTER:
             self.merge(name)
+        return found
+
+    def checks(self) -> DataFrame:
+        """What was counted in each checked batch."""
+        return self._read(f"{self.root}/checks", CHECKS)
+
+    def quarantine(self, name: str) -> DataFrame:
+        """Faulty rows of checked batches with ``outcome``, what is wrong, and ``batch``; they stay when batches are merged. Other files aren't read."""
+        at = f"{self.root}/_checked/{name}"
+        kind = T.StructType([*self._with_buckets(name).schema.fields, T.StructField("outcome", T.StringType()), T.StructField("batch", T.IntegerType())])
+        whole = [f"{at}/batch={n}" for n in self._whole(at)]
+        paths = [f"{p}/{x}" for p in whole for x in scratch.names(self.spark, p) if x.startswith("outcome=") and x != f"outcome={STORED}"]
+        if not paths:
+            return self.spark.createDataFrame([], kind).drop("bucket")
+        return self.spark.read.schema(kind).option("basePath", at).parquet(*paths).drop("bucket")
 
     def merge(self, name: str) -> None:
         """Merge a table's batches into the buckets that they touch.
@@ -116,14 +180,14 @@ class Store:
         and a merge that is done again after a break find the same rows.
         """
         self._put(name)
-        numbers, batches = self._batch_numbers(name), self._batches(name)
+        paths, batches = self._batch_paths(name), self._batches(name)
         if batches is None:
             return
         touched = [r[0] for r in batches.select("bucket").distinct().collect()]  # ``buckets`` at most
         self._rows(name).where(F.col("bucket").isin(touched)).write.mode("overwrite").parquet(f"{self.root}/_staged/{name}")
         self._put(name)
-        for n in numbers:  # the oldest first: what is still there after a break is newer than what is gone
-            scratch.delete(self.spark, f"{self.root}/_batches/{name}/batch={n}")
+        for path in paths.values():  # the oldest first: what is still there after a break is newer than what is gone
+            scratch.delete(self.spark, path)
 
     # logs
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidebook.functions import casts
-from tidebook.operators import normalize
+from tidebook.operators import normalize, validate
 from tidebook.sources.store import Store
 
 #: Payload kind: (table, its key column for the symbol)
@@ -19,20 +19,24 @@ TARGETS = {"bar_list": ("ohlcv", "symbol"), "bar_map": ("ohlcv", "symbol"), "mac
 PAYLOADS = "key string, payload string, seq bigint"
 
 
-def upsert_batch(store: Store, kind: str, batch: DataFrame, now: str) -> None:
+def upsert_batch(store: Store, kind: str, batch: DataFrame, now: str, checked: bool = False) -> None:
+    """``checked``: faulty rows go to quarantine, and what was counted is kept with the batch."""
     table, name = TARGETS[kind]
     rows = normalize.ROWS[kind](batch, ["key", "seq"]).withColumnRenamed("key", name)
     # payloads in turn, rows of a payload by date, and by place where dates are equal
     order = ["seq", "date", "pos"] if kind != "news" else ["seq", "datetime", "url", "pos"]
-    store.upsert(table, rows, now, order)  # of a batch's buckets alone
+    if checked:
+        store.upsert_checked(table, rows, now, order, validate.fault() if table == "ohlcv" else F.lit(None).cast("string"))
+    else:
+        store.upsert(table, rows, now, order)  # of a batch's buckets alone
 
 
-def stream_payloads(spark: SparkSession, folder: str, store: Store, kind: str, checkpoint: str, files_per_batch: int = 1000, clock=None) -> StreamingQuery:
+def stream_payloads(spark: SparkSession, folder: str, store: Store, kind: str, checkpoint: str, files_per_batch: int = 1000, clock=None, checked: bool = False) -> StreamingQuery:
     """Upsert JSON lines files (key, payload, seq) that are in ``folder`` or come to it; takes what is there and ends."""
     source = spark.readStream.schema(PAYLOADS).option("maxFilesPerTrigger", files_per_batch).json(folder)
 
     def each(batch: DataFrame, number: int) -> None:
         now = clock() if clock else batch.sparkSession.sql("select current_timestamp() as t").select(casts.iso_z(F.col("t"))).first()[0]
-        upsert_batch(store, kind, batch, now)
+        upsert_batch(store, kind, batch, now, checked)
 
     return source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
