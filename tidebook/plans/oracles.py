@@ -128,6 +128,10 @@ ORACLES: dict[str, str] = {
       sma AS (SELECT symbol, date, {_sma_columns()} FROM seg {SMA_WINDOWS})
       SELECT c.symbol, c.date, round(c.close, 6) + 0.0 AS close, sma_20, sma_50, sma_200, {r6('rsi_14', 'rsi_14')}, {MACD_COLUMNS}
       FROM closes c LEFT JOIN sma USING (symbol, date) LEFT JOIN rsi USING (symbol, date) LEFT JOIN m USING (symbol, date) LEFT JOIN sig USING (symbol, date)""",
+    "indicators_by_sql": f"""WITH RECURSIVE {BARS}, {GAPPED}, {SEGMENTS}, {ORDERED}, {MACD}, {RSI},
+      sma AS (SELECT symbol, date, {_sma_columns()} FROM seg {SMA_WINDOWS})
+      SELECT c.symbol, CAST(c.date AS VARCHAR) AS date, round(c.close, 6) + 0.0 AS close, sma_20, sma_50, sma_200, {r6('rsi_14', 'rsi_14')}, {MACD_COLUMNS}
+      FROM closes c LEFT JOIN sma USING (symbol, date) LEFT JOIN rsi USING (symbol, date) LEFT JOIN m USING (symbol, date) LEFT JOIN sig USING (symbol, date)""",
     "indicator_text": f"""WITH {BARS}, {TEXT_BARS}, closes AS (SELECT *, TRY_CAST(close AS DOUBLE) AS c FROM text_rows),
       seg AS (SELECT *, sum(CASE WHEN c IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING) AS seg FROM closes)
       SELECT symbol, date, open, coalesce(volume, '') AS volume, {TEXT_SMA} FROM seg {SMA_WINDOWS}""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import casts
 from tidebook.operators import bars as bar_ops
-from tidebook.operators import indicators, listing, normalize, planner, scan, summary, upsert, validate
+from tidebook.operators import indicators, listing, normalize, planner, scan, summary, table_functions, upsert, validate
 
 TODAY = "2024-01-20"
 
@@ -135,6 +135,12 @@ def indicators_full(spark, sf_dir):
     return rounded(indicators.all_indicators(gapped(spark, sf_dir)))
 
 
+def indicators_by_sql(spark, sf_dir):
+    """All indicators by the table function that SQL calls."""
+    table_functions.register(spark)
+    return rounded(spark.sql("SELECT * FROM indicators(TABLE({bars}) PARTITION BY symbol ORDER BY date)", bars=gapped(spark, sf_dir)))
+
+
 def indicator_text(spark, sf_dir):
     stored = text_bars(spark, sf_dir).dropDuplicates(["symbol", "date"])
     return indicators.indicator_rows(stored).select("symbol", "date", "open", "volume", "sma_20", "sma_50", "sma_200")
@@ -389,7 +395,7 @@ def raw_archive_counts(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        ohlcv_bars, event_bars, sma, sma_with_gaps, ema_12, ema_with_gaps, rsi_14, rsi_flat, macd, scanned_indicators, indicators_full, indicator_text, indicators_processed,
+        ohlcv_bars, event_bars, sma, sma_with_gaps, ema_12, ema_with_gaps, rsi_14, rsi_flat, macd, scanned_indicators, indicators_full, indicators_by_sql, indicator_text, indicators_processed,
         price_delta_gain_loss, upsert_last_wins, upsert_idempotent, duplicate_keys, invalid_rows, validation_issues, validation_rollup, table_counts,
         symbol_history, normalize_ohlcv_list, normalize_ohlcv_map, normalize_macro, normalize_news, normalize_errors, listing_symbols, merge_symbols,
         latest_status, pending_symbols, done_today, not_done_today, budget_remaining, call_decisions, active_key, allocated_calls, news_days, calls_in_last_minute, run_counters, last_20_runs,

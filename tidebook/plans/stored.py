@@ -13,7 +13,7 @@ from tidebook.plans import collect, queries, refresh
 from tidebook.plans.queries import TODAY, table
 from tidebook.sources import config, payload_files, scratch
 from tidebook.sources.store import Store, dataset_files, files
-from tidebook.streaming import collecting, ingest, live
+from tidebook.streaming import collecting, ingest, live, progress
 
 BUCKETS = 8
 NOW = f"{TODAY} 22:30:00"
@@ -178,6 +178,23 @@ def streamed_bars(spark, sf_dir):
     return store.table("ohlcv").drop("updated_at")
 
 
+def stream_progress(spark, sf_dir):
+    """Bars in files, streamed in two runs, and what a listener kept of them."""
+    store, inbox, checkpoint = new_store(spark), scratch.new_path(spark, "inbox"), scratch.new_path(spark, "stream")
+    values = F.to_json(F.struct(F.array(F.struct(F.col("date").alias("datetime"), "open", "high", "low", "close", "volume")).alias("values")))
+    payloads = bars_as_text(spark, sf_dir).select(F.col("symbol").alias("key"), values.alias("payload"), F.lit(1).cast("bigint").alias("seq"), F.substring("date", 1, 4).alias("year"))
+    heard = progress.listen(spark, store)
+    try:
+        for years in ("year < '1995'", "year >= '1995'"):
+            payloads.where(years).drop("year").write.mode("append").json(inbox)
+            stream = ingest.stream_payloads(spark, inbox, store, "bar_list", checkpoint, clock=lambda: STAMPS[0])
+            stream.awaitTermination()
+            heard.wait(str(stream.runId))
+    finally:
+        spark.streams.removeListener(heard)
+    return progress.current(store).select("runs", "status", "rows")
+
+
 def replayed_stream(spark, sf_dir):
     """Payloads of each symbol, written as files by name, asked for as a stream that stops in the middle of the list and is started again."""
     store, folder, spool, checkpoint = new_store(spark), scratch.new_path(spark, "payloads"), scratch.new_path(spark, "spool"), scratch.new_path(spark, "stream")
@@ -300,7 +317,7 @@ def progress_text(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, live_stream_indicators, checked_counts, checked_bars, quarantined_bars, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, replayed_stream, collected_run, collected_bars,
+        stored_bars, stored_history, stored_indicators, incremental_indicators, corrected_indicators, live_stream_indicators, checked_counts, checked_bars, quarantined_bars, written_report, written_summary, recorded_statuses, archived_payloads, archived_files, streamed_bars, stream_progress, replayed_stream, collected_run, collected_bars,
         recorded_runs, configured_symbols, configured_keys, news_archive, archive_names, progress_text,
         dry_run_statuses, current_run, kept_files, first_series, stored_news,
     )

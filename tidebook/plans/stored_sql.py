@@ -66,6 +66,7 @@ ORACLES: dict[str, str] = {
     "archived_payloads": "SELECT regexp_extract(url, '^(\\w+):', 1) AS provider, page_id % 2 + 1 AS seq, count(*) AS payloads, CAST(sum(octet_length(encode(html))) AS BIGINT) AS bytes FROM pages GROUP BY 1, 2",
     "archived_files": "SELECT CAST(n_regionkey AS BIGINT) AS region, CAST(1 AS BIGINT) AS files, CAST(sum(octet_length(encode(n_name)) + 1) AS BIGINT) AS bytes FROM nation GROUP BY n_regionkey",
     "streamed_bars": f"WITH {TEXT} SELECT symbol, date, open, high, low, close, CASE WHEN substr(date, 6, 2) = '03' THEN 'again' ELSE volume END AS volume FROM texts",
+    "stream_progress": f"WITH {TEXT} SELECT CAST(2 AS BIGINT) AS runs, 'ended' AS status, count(*) AS rows FROM texts",
     "replayed_stream": f"""WITH {TEXT}, listed AS (SELECT symbol, count(*) AS payload_rows, (row_number() OVER (ORDER BY symbol) - 1) // 2 AS stretch FROM texts GROUP BY 1)
       SELECT symbol, date, open, high, low, close, volume, 'done' AS status, payload_rows, stretch + 1 AS batch FROM texts JOIN listed USING (symbol)""",
     "collected_run": f"WITH {RESULTS} SELECT symbol, status, CAST(rows AS BIGINT) AS rows, error FROM results",
