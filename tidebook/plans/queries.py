@@ -381,9 +381,11 @@ def format6(spark, sf_dir):
 
 def try_double(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    forms = ["%s", " %s ", "+%s", "%se2", "%sd", "0x%s", "%s,5", "nan", "inf", "--%s", ""]
-    pick = F.element_at(F.array(*[F.lit(f) for f in forms]), (F.col("l_partkey") % len(forms) + 1).cast("int"))
-    text = F.replace(pick, F.lit("%s"), F.col("l_quantity").cast("bigint").cast("string"))
+    # as SQL casts: to the nearest whole number, halves to the even one
+    q = F.rint("l_quantity").cast("bigint").cast("string")
+    forms = [q, F.concat(F.lit(" "), q, F.lit(" ")), F.when(q.startswith("-"), q).otherwise(F.concat(F.lit("+"), q)), F.concat(q, F.lit("e2")), F.concat(q, F.lit("d")), F.concat(F.lit("0x"), q), F.concat(q, F.lit(",5")), F.lit("nan"), F.lit("inf"), F.concat(F.lit("--"), q)]
+    # a remainder below 0 has no form, "nan" and "inf" are there without a quantity, and a plus before a minus is passed over
+    text = F.coalesce(*[F.when(F.col("l_partkey") % 11 == k, form) for k, form in enumerate(forms)])
     out = casts.try_double(text)
     return lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(~F.isnan(out), out).alias("value"), F.coalesce(F.isnan(out), F.lit(False)).alias("not_a_number"))
 
