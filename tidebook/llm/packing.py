@@ -25,11 +25,20 @@ LOOK_AHEAD = 4096
 #: printable characters, can be cut before each space and around each line feed:
 #: the byte-level pre-tokenizer cuts there too. Other texts are encoded whole.
 OTHER_CHARACTER = re.compile("[^\n -~¡-ɏ]")
+#: A token with a space before its word begins so in a byte-level vocabulary.
+SPACE = "Ġ"
+#: Behind a letter or digit, one of these at a word's end is a token's beginning, and all of what the pre-tokenizer cuts there.
+STOPS = frozenset(",.;:!?")
+
+
+def plain(text: str) -> bool:
+    """Whether all characters are line feeds and plain printable ones; those of ASCII are looked at without the expression."""
+    return text.isascii() and text.replace("\n", "").isprintable() or not OTHER_CHARACTER.search(text)
 
 
 def regular(text: str) -> bool:
     return not (
-        "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or OTHER_CHARACTER.search(text)
+        "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or not plain(text)
     )
 
 
@@ -42,26 +51,52 @@ class WordIds:
         # only this pre-tokenizer, with nothing before it, is known to cut regular texts before spaces and around line feeds
         self.by_words = tokenizer_steps(path) == ([], ["ByteLevel"])
         self.line_feed = self.whole("\n")
-        special = [(t.content, k) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        added = self.tokenizer.get_added_tokens_decoder()
+        special = [(t.content, k) for k, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
         if not special:
             raise ValueError("the tokenizer has no special token to put between words")
-        self.mark = special[0]
+        self.mark, self.added = special[0], [t.content for t in added.values()]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced_token = np.zeros(1 + max(vocabulary.values()), bool)
+        self.spaced_token[[k for token, k in vocabulary.items() if token.startswith(SPACE) and k not in added]] = True
+        self.stops = {x: self.whole(x) for x in STOPS}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, known: Memory, words: list[str], lead: str) -> None:
-        """Encode new words, many in one text with a special token between, which never merges with what is beside it."""
-        mark, mark_id = self.mark
-        for w in [w for w in words if mark in w]:
-            known.learn(w, self.whole(lead + w))
-        for batch in by_bytes([w for w in words if mark not in w]):
-            found = self.tokenizer.encode_batch_fast([mark.join([lead + w for w in batch])], add_special_tokens=False)[0]
-            ids = np.array(found.ids, "<u4")
+    def together(self, words: list[str], lead: str) -> list[bytes]:
+        """Ids of words without added tokens, from one text: spaces tell them apart, else a special token, which never merges with what is beside it."""
+        if lead == " ":
+            ids = self.encoded(" " + " ".join(words))
+            starts = np.flatnonzero(self.spaced_token[ids])
+            ends = [*starts[1:].tolist(), len(ids)]
+        else:
+            mark, mark_id = self.mark
+            ids = self.encoded(mark.join(lead + w for w in words))
             cuts = np.flatnonzero(ids == mark_id)
-            data, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-            for w, x, y in zip(batch, starts, ends):
-                known.learn(w, data[x:y])
+            starts, ends = np.concatenate([[0], cuts + 1]), [*cuts.tolist(), len(ids)]
+        if len(starts) != len(words):
+            raise ValueError("the tokenizer doesn't keep words apart")
+        data = ids.tobytes()
+        return [data[4 * x : 4 * y] for x, y in zip(starts.tolist(), ends)]
+
+    def encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def learn(self, known: Memory, words: list[str], lead: str) -> None:
+        """Encode new words, many in one text. Those that end with a stop are what is before it, which is encoded once, and the stop."""
+        text = "\n".join(words)
+        if any(x in text for x in self.added):
+            for w in [w for w in words if any(x in w for x in self.added)]:
+                known.learn(w, self.whole(lead + w))
+            words = known.new(words)
+        stopped = [w for w in words if w[-1:] in STOPS and w[-2:-1].isalnum()]
+        bases = dict.fromkeys(w[:-1] for w in stopped) | dict.fromkeys(w for w in words if not (w[-1:] in STOPS and w[-2:-1].isalnum()))
+        for batch in by_bytes(known.new(bases)):
+            for w, ids in zip(batch, self.together(batch, lead)):
+                known.learn(w, ids)
+        for w in stopped:
+            known.learn(w, known[w[:-1]] + self.stops[w[-1]])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [[line.split(" ") for line in x.split("\n")] if self.by_words and regular(x) else None for x in texts]
