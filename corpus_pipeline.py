@@ -30,7 +30,10 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (5-word shingles, Jaccard 0.8 or more), the document with the smallest id stays."""
+    """Of each group of near-duplicates (5-word shingles, Jaccard 0.8 or more), the document with the smallest id stays.
+
+    Candidates are those of SimHash fingerprints joined on blocks, as operator 8 has them, and of MinHash bands, as 64 bits reach few of this similarity; all are verified.
+    """
     return near_copies.deduplicate(docs, width=5, similarity=0.8)
 
 

@@ -57,3 +57,27 @@ def test_stage_keeps_one_of_each_group_of_similarity(spark, monkeypatch):
 
 def test_near_copies_of_an_empty_table(spark):
     assert near_copies.near_copies(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_fingerprints_alone_give_candidates(spark, monkeypatch):
+    """Where no band is shared, copies within a few bits of a fingerprint are still found, and verified."""
+    draw, words = random.Random(4), [f"w{k}" for k in range(3000)]
+    long = draw.choices(words, k=1500)
+    copy = [*long[:-1], "changed"]
+    twice = long[:40] * 30
+    found = [" ".join(x) for x in (long, copy, draw.choices(words, k=1500), twice, twice[:-1])]
+    docs = spark.createDataFrame(list(enumerate(found)), "doc_id bigint, text string")
+    given = near_copies._sketches
+
+    def apart(batches, width):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in given(batches, width):
+            keys = (batch.column("node").to_numpy()[:, None] ^ np.arange(32)).ravel()
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * 32, pa.int32()), pa.array(keys))
+            yield batch.set_column(batch.schema.get_field_index("bands"), "bands", lists)
+
+    monkeypatch.setattr(near_copies, "_sketches", apart)
+    kept = sorted(r.doc_id for r in near_copies.deduplicate(docs).collect())
+    assert kept == [0, 2, 3]

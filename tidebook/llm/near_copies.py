@@ -1,6 +1,8 @@
-"""Near copies by the Jaccard similarity of word shingles: candidates by MinHash bands, each verified exactly.
+"""Near copies by the Jaccard similarity of word shingles: candidates by SimHash blocks and by MinHash bands, each verified exactly.
 
-Bands only say which texts may belong together: what they connect is a coarse group, within
+Fingerprints within DISTANCE of 64 bits, joined on pigeonhole blocks as ``simhash`` does it, are candidates. That is a similarity of
+about 0.96: what is less alike, down to the one asked for, no choice of blocks of 64 bits would reach, so MinHash bands add those.
+Blocks and bands only say which texts may belong together: what they connect is a coarse group, within
 which all texts' shingle sets are compared exactly. So a wrong candidate costs time, not a document.
 """
 
@@ -15,10 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, join_counted, materialize, only, packed, ship, text_key
-from .simhash import KEYS_PER_TASK, SEED, connected_components, shingle_hashes, with_classes
+from .simhash import KEYS_PER_TASK, SEED, connected_components, fingerprint_links, fingerprint_of, shingle_hashes, with_classes
 
 WIDTH = 5
 SIMILARITY = 0.8
+#: Fingerprints that differ in so many bits at most are candidates.
+DISTANCE = 4
 #: A pair of similarity s meets in a band at least with 1 - (1 - s^ROWS)^BANDS: 0.99994 at 0.8.
 BANDS = 32
 ROWS = 6
@@ -34,10 +38,13 @@ SHIFTS = _draw.integers(0, 1 << 63, BANDS * ROWS, dtype="u8")
 # --- candidates -----------------------------------------------------------------
 
 
+def distinct_hashes(parts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, "u8")
+
+
 def shingle_set(text: bytes, width: int) -> np.ndarray:
     """The distinct shingles' hashes, sorted."""
-    parts = list(shingle_hashes(text, width))
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, "u8")
+    return distinct_hashes(list(shingle_hashes(text, width)))
 
 
 def band_keys(hashes: np.ndarray) -> np.ndarray:
@@ -55,16 +62,19 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, prints, keys = [], [], [], []
             for text in part.column(2).cast(pa.binary()).to_pylist():
                 words = b" ".join((text or b"").lower().split())
-                found = shingle_set(words, width)
+                parts = list(shingle_hashes(words, width))
+                found = distinct_hashes(parts)
                 nodes.append(xxhash.xxh64_intdigest(words, SEED))
                 sizes.append(len(found))
+                prints.append(fingerprint_of(parts))
                 keys.append(band_keys(found))
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1) * BANDS, pa.int32()), pa.array(np.concatenate(keys).view("i8")))
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:2], pa.array(np.array(nodes, "u8").view("i8")), pa.array(sizes, pa.int64()), bands], ["doc_id", "text_key", "node", "size", "bands"]
+                [*part.columns[:2], pa.array(np.array(nodes, "u8").view("i8")), pa.array(sizes, pa.int64()), pa.array(np.array(prints, "u8").view("i8")), bands],
+                ["doc_id", "text_key", "node", "size", "fp", "bands"],
             )
 
 
@@ -125,6 +135,17 @@ def _shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*part.schema.names[:-1], "shingles"])
 
 
+def _by_fingerprint(distinct: DataFrame) -> DataFrame:
+    """Candidates (a, b) that connect texts of equal fingerprints with the first of them, and those firsts where their fingerprints are within DISTANCE."""
+    firsts = materialize(distinct.groupBy("fp").agg(F.min("node").alias("m"), F.count(F.lit(1)).alias("members")), "copies-fingerprints")
+    shared = firsts.where("members > 1").withColumnRenamed("fp", "f")
+    equal = join_counted(distinct.select("node", "fp"), shared, "fp", "f", "members", distinct.count()).where("node <> m").select(F.col("node").alias("a"), F.col("m").alias("b"))
+    links = fingerprint_links(firsts.select("fp"), DISTANCE)
+    for x in "ab":
+        links = links.join(firsts.select(F.col("fp").alias("f"), F.col("m").alias(f"{x}_first")), F.col(x) == F.col("f")).drop("f")
+    return equal.unionByName(links.select(F.col("a_first").alias("a"), F.col("b_first").alias("b")))
+
+
 def near_copies(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Near-copy component of every document: doc_id, text_key, component_id, first_key, n_docs, as ``simhash.near_duplicates``.
 
@@ -137,10 +158,10 @@ def near_copies(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILAR
     ship(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(id_col, text_col).alias("text_key"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    marked = rows.mapInArrow(lambda batches: _sketches(batches, width), f"doc_id {kind}, text_key bigint, node bigint, size bigint, bands array<bigint>")
+    marked = rows.mapInArrow(lambda batches: _sketches(batches, width), f"doc_id {kind}, text_key bigint, node bigint, size bigint, fp bigint, bands array<bigint>")
     marked = materialize(marked, "copies-sketches")
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
-    distinct = marked.groupBy("node").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    distinct = marked.groupBy("node").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     distinct = materialize(distinct, "copies-distinct")
 
     # all that share a band's key are candidates of its first node: as many rows as members, not pairs
@@ -148,7 +169,7 @@ def near_copies(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILAR
     n_keys = BANDS * distinct.count()
     shared = keys.groupBy("key").agg(F.min("node").alias("m"), F.count(F.lit(1)).alias("members")).where("members > 1").withColumnRenamed("key", "k")
     coarse = join_counted(keys, shared, "key", "k", "members", n_keys).where("node <> m").select(F.col("node").alias("a"), F.col("m").alias("b"))
-    coarse = materialize(coarse.distinct(), "copies-coarse", packed(n_keys, KEYS_PER_TASK))
+    coarse = materialize(coarse.unionByName(_by_fingerprint(distinct.where("size > 0"))).distinct(), "copies-coarse", packed(n_keys, KEYS_PER_TASK))
     groups = connected_components(coarse)
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     groups = materialize(groups.join(distinct.select("node", "size", "first"), "node"), "copies-groups")

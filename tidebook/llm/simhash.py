@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -41,15 +41,19 @@ def shingle_hashes(text: bytes, width: int) -> Iterator[np.ndarray]:
         yield np.fromiter((digest(joined[a : b - 1], SEED) for a, b in zip(starts[at:to], tails[at:to])), "<u8", to - at)
 
 
-def fingerprint(text: bytes, width: int) -> int:
-    """The 64-bit SimHash: a bit is 1 if it is set in over half the shingles' hashes."""
+def fingerprint_of(parts: Iterable[np.ndarray]) -> int:
+    """The 64-bit SimHash of shingles' hashes: a bit is 1 if it is set in over half of them."""
     counts, n = np.zeros(BITS, "int64"), 0
-    for hashes in shingle_hashes(text, width):
+    for hashes in parts:
         counts += np.unpackbits(hashes.view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype="int64")
         n += len(hashes)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, width: int) -> int:
+    return fingerprint_of(shingle_hashes(text, width))
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, found = batch.column(2).cast(pa.binary()), []
