@@ -97,6 +97,13 @@ def test_number_text(spark):
     assert got[:4] == ["100", "0", "-0", ""]
 
 
+def test_texts_of_many_numbers_share_a_python_worker(spark):
+    df = spark.range(3).select(*[F.col("id").cast("double").alias(c) for c in "abc"])
+    texts = df.select(*[F.coalesce(casts.number_text(F.col(c)), F.lit("")).alias(c) for c in "abc"])
+    assert [tuple(r) for r in texts.collect()] == [(str(k),) * 3 for k in range(3)]
+    assert texts._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 @pytest.mark.parametrize(("text", "value"), [("1", 1.0), (" 1.5 ", 1.5), ("1e3", 1000.0), ("5.", 5.0), ("+5", 5.0), (".5", 0.5), ("inf", math.inf), ("-Infinity", -math.inf), ("1d", None), ("1f", None), ("", None), (".", None), ("1,000", None), ("0x10", None), ("None", None), ("--1", None)])
 def test_try_double(spark, text, value):
     assert spark.createDataFrame([(text,)], "t string").select(casts.try_double(F.col("t"))).first()[0] == value

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,9 +19,9 @@ def try_double(text: Column) -> Column:
     return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
 
 
-def _format6(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for v in values:
-        yield v.map(lambda x: f"{x:.6f}".rstrip("0").rstrip("."))
+def _format6(values: pd.Series) -> pd.Series:
+    # of functions on iterators Spark would give each column a Python worker of its own in every task; these share one
+    return values.map(lambda x: f"{x:.6f}".rstrip("0").rstrip("."))
 
 
 def number_text(value: Column) -> Column:
