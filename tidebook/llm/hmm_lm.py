@@ -13,10 +13,11 @@ from __future__ import annotations
 import logging
 import math
 from collections.abc import Iterator
-from itertools import chain
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,13 +29,18 @@ STATES = 8
 OWN_CLASSES = 8192
 ENDING_CLASSES = 4096
 ENDING_LETTERS = 3
-#: Rounds of Baum-Welch, tokens of a segment of a training document, documents computed at once.
+#: Rounds of Baum-Welch, documents computed at once, and tokens at once; beyond these, segments of so many tokens of each at least.
 ROUNDS = 5
+DOCUMENTS_AT_ONCE = 4096
+TOKENS_AT_ONCE = 1 << 17
 SEGMENT = 64
-DOCUMENTS_AT_ONCE = 1024
+#: States are scaled at every so many tokens: by then probabilities of 1e-20 a token are still far from underflow.
+SCALE_EVERY = 8
 #: A block of documents is closed at so many distinct words or bytes of text.
 BLOCK_WORDS = 1_000_000
 BLOCK_BYTES = 8 << 20
+#: Rows whose words are told apart at once.
+BLOCK_ROWS = 256
 #: The most frequent words, those with a class of their own among them, of so many bytes at most each: they are broadcast.
 COMMON_WORDS = 65_536
 COMMON_BYTES = 48
@@ -62,45 +68,51 @@ class Block:
     """Documents as numbers of words in a vocabulary of their own."""
 
     def __init__(self):
-        self.index: dict[bytes, int] = {b"": 0}
-        self.docs: list[tuple[int | None, bool]] = []
-        self.parts: list[np.ndarray] = []
-        self.size = 0
-
-    def add(self, doc: int | None, held: bool, text: bytes) -> None:
-        index = self.index
-        words = text.lower().split()  # bytes: only A-Z change, and only ASCII white space separates
-        for w in dict.fromkeys(words):
-            if w not in index:
-                index[w] = len(index)
-        self.parts.append(np.fromiter(chain(map(index.__getitem__, words), (0,)), "<u4", len(words) + 1))
-        self.docs.append((doc, held))
-        self.size += len(text)
+        self.rows: list[pa.RecordBatch] = []
+        self.lengths: list[np.ndarray] = []
+        self.codes: list[np.ndarray] = []
+        self.words: list[pa.Array] = []
+        self.n_words = self.size = 0  # words that several batches have count in each
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        """Rows of id, whether held out, and text."""
+        texts = pc.ascii_trim_whitespace(pc.fill_null(rows.column(2).cast(pa.string()), ""))
+        # a space behind its last word gives a text an empty one, its end; an empty text is that already
+        texts = pc.if_else(pc.equal(texts, ""), texts, pc.binary_join_element_wise(pc.ascii_lower(texts), "", " "))
+        words = pc.ascii_split_whitespace(texts)
+        found = words.flatten().dictionary_encode()
+        self.rows.append(rows.select([0, 1]))
+        self.lengths.append(pc.list_value_length(words).to_numpy().astype("int64"))
+        self.codes.append(found.indices.to_numpy() + sum(map(len, self.words)))
+        self.words.append(found.dictionary)
+        self.n_words += len(found.dictionary)
 
     def row(self, name: int) -> pa.RecordBatch:
-        codes = np.concatenate(self.parts)
-        lengths = [len(p) for p in self.parts]
-        trains = np.repeat([not held for _, held in self.docs], lengths)
-        counts = np.bincount(codes[trains], minlength=len(self.index))
-        codes = squeezed(codes)
-        words = [w.decode() for w in self.index]
-        docs, held = map(list, zip(*self.docs))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x], t) for x, t in zip([name, words, counts.tolist(), docs, held, lengths, codes], BLOCK.types)], schema=BLOCK
-        )
+        found = pa.concat_arrays(self.words).dictionary_encode()
+        codes = found.indices.to_numpy()[np.concatenate(self.codes)]
+        docs, held = (pa.concat_arrays([r.column(c) for r in self.rows]) for c in (0, 1))
+        lengths = np.concatenate(self.lengths)
+        trains = np.repeat(~held.to_numpy(zero_copy_only=False), lengths)
+        counts = np.bincount(codes[trains], minlength=len(found.dictionary))
+        lists = [found.dictionary, pa.array(counts, pa.int64()), docs, held, pa.array(lengths)]
+        lists = [pa.ListArray.from_arrays([0, len(x)], x) for x in lists]
+        return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *lists, pa.array([squeezed(codes)], pa.binary())], schema=BLOCK)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block, name = Block(), TaskContext.get().partitionId() << 33
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            rows = batch.slice(at, 256)
-            for doc, held, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2).cast(pa.binary()).to_pylist()):
-                block.add(doc, held, text or b"")
-                if len(block.index) >= BLOCK_WORDS or block.size >= BLOCK_BYTES:
-                    yield block.row(name)
-                    block, name = Block(), name + 1
-    if block.docs:
+        ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(), dtype="int64"), 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            stop = min(int(np.searchsorted(ends, done + BLOCK_BYTES - block.size)) + 1, at + BLOCK_ROWS, batch.num_rows)
+            block.add(batch.slice(at, stop - at))
+            block.size += int(ends[stop - 1]) - done
+            at = stop
+            if block.n_words >= BLOCK_WORDS or block.size >= BLOCK_BYTES:
+                yield block.row(name)
+                block, name = Block(), name + 1
+    if block.rows:
         yield block.row(name)
 
 
@@ -131,6 +143,11 @@ class Model:
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
 
+    @cached_property
+    def by_class(self) -> np.ndarray:
+        """Emission probabilities, a row for each class."""
+        return np.ascontiguousarray(self.emit.T)
+
     @classmethod
     def first(cls, totals: np.ndarray, states: int, seed: int = 7) -> Model:
         """Sticky states that emit classes by their totals, each with its own disturbance."""
@@ -147,101 +164,152 @@ class Model:
         return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
 
 
-def expected_counts(model: Model, obs: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """One E-step over sequences (rows of ``obs``, each of ``lengths`` classes): start, transition and emission counts, and log likelihood."""
-    return carried_counts(model, obs, lengths, None, np.ones((len(model.start), len(obs))))[:4]
+class Room:
+    """Arrays that are used again: new ones of their size are paid for page by page."""
 
+    def __init__(self):
+        self.arrays: dict[str, np.ndarray] = {}
 
-def carried_counts(
-    model: Model, obs: np.ndarray, lengths: np.ndarray, before: np.ndarray | None, after: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, np.ndarray | None]:
-    """Counts over segments as in ``expected_counts``, and the scaled backward state at the end of the segments before.
+    def array(self, name: str, rows: int, states: int) -> np.ndarray:
+        held = self.arrays.get(name)
+        if held is None or len(held) < rows or held.shape[1] != states:
+            held = self.arrays[name] = np.empty((rows, states))
+        return held[:rows]
+
+
+def segments(lengths: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The first step of each segment, and how many documents (the longest come first) are going at each of its steps."""
+    going = np.searchsorted(-lengths, -np.arange(int(lengths[0]) if len(lengths) else 0))
+    ends, at = np.cumsum(going), 0
+    while at < len(going):
+        most = (int(ends[at - 1]) if at else 0) + TOKENS_AT_ONCE
+        stop = min(max(int(np.searchsorted(ends, most, side="right")), at + SEGMENT), len(going))
+        yield at, going[at:stop]
+        at = stop
+
+
+def laid(obs: np.ndarray, starts: np.ndarray, first: int, going: np.ndarray) -> np.ndarray:
+    """The classes of a segment step by step: at each step those of the documents still going, which are always the first ones."""
+    cuts = np.cumsum(going) - going
+    document = np.arange(int(going.sum())) - np.repeat(cuts, going)
+    return obs[starts[document] + np.repeat(first + np.arange(len(going)), going)]
+
+
+def forwards(
+    model: Model, codes: np.ndarray, going: np.ndarray, before: np.ndarray | None, room: Room
+) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray], list[int]]:
+    """Emission probabilities and forward states of a segment (a row a token), the scales of the steps that have them, and where steps begin.
 
-    ``before`` is the scaled forward state at the end of the segments before, None where documents
-    start; ``after`` is the scaled backward state at the segments' ends, ones where documents end.
+    ``before`` is the scaled forward state at the end of the segment before, None where documents
+    start. The last step is always scaled.
+    """
+    states = len(model.start)
+    likely, alpha = (room.array(name, len(codes), states) for name in ("likely", "alpha"))
+    model.by_class.take(codes, axis=0, out=likely, mode="clip")
+    cuts, last, old, move, scales = [0, *np.cumsum(going).tolist()], len(going) - 1, before, np.ascontiguousarray(model.move), {}
+    dot, multiply = np.dot, np.multiply
+    for t, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        now, here = alpha[a:b], likely[a:b]
+        if old is None:
+            multiply(here, model.start, now)
+        else:
+            dot(old[: b - a], move, now)
+            multiply(now, here, now)
+        if t % SCALE_EVERY == SCALE_EVERY - 1 or t == last:
+            scales[t] = now.sum(axis=1, keepdims=True)
+            now /= scales[t]
+        old = now
+    return likely, alpha, scales, cuts
+
+
+def last_places(cuts: list[int], going: np.ndarray, stay: int) -> np.ndarray:
+    """Where in a segment's rows the documents end that don't go on behind it (``stay`` do), in their order."""
+    return np.repeat(cuts[:-1], -np.diff(going, append=stay))[::-1] + np.arange(stay, int(going[0]))
+
+
+def segment_counts(
+    model: Model, codes: np.ndarray, going: np.ndarray, before: np.ndarray | None, after: np.ndarray, room: Room
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, np.ndarray | None]:
+    """Start, transition and emission counts of a segment, its log likelihood, and the scaled backward state at the end of the segment before.
 
-    Arrays run over segments last, so that each step is a few operations on long rows.
-    After a segment's end everything is emitted with certainty, which changes nothing.
+    ``before`` is as in ``forwards``; ``after`` is the scaled backward state at the segment's end of the documents that go on behind it.
     """
-    n, width = obs.shape
+    likely, alpha, scales, cuts = forwards(model, codes, going, before, room)
     states, classes = model.emit.shape
-    codes = np.ascontiguousarray(obs.T)
-    uneven = bool((lengths < width).any())
-    inside = np.arange(width)[:, None] < lengths[None, :]
-    likely = np.empty((width, states, n))
-    alpha = np.empty((width, states, n))
-    scale = np.empty((width, n))
-    forwards, backwards = np.ascontiguousarray(model.move.T), np.ascontiguousarray(model.move)
-    for t in range(width):
-        np.take(model.emit, codes[t], axis=1, out=likely[t])
-        if uneven:
-            likely[t][:, ~inside[t]] = 1.0
-        now = (forwards @ alpha[t - 1] if t else model.start[:, None] if before is None else forwards @ before) * likely[t]
-        now.sum(axis=0, out=scale[t])
-        np.divide(now, scale[t], out=alpha[t])
-    move = np.zeros((states, states))
-    beta = after
-    for t in range(width - 1, -1, -1):
-        carried = t or before is not None
-        if carried:
-            ahead = likely[t]
-            ahead *= beta
-            ahead /= scale[t]
-            move += (alpha[t - 1] if t else before) @ (np.where(inside[t], ahead, 0.0) if uneven else ahead).T
-        alpha[t] *= beta
-        if carried:
-            beta = backwards @ ahead
-    move *= model.move
-    if uneven:
-        flat = codes[inside]
-        emit = np.stack([np.bincount(flat, weights=alpha[:, s][inside], minlength=classes) for s in range(states)])
-    else:
-        flat = codes.ravel()
-        emit = np.stack([np.bincount(flat, weights=alpha[:, s].ravel(), minlength=classes) for s in range(states)])
-    start = alpha[0].sum(axis=1) if before is None else np.zeros(states)
-    return start, move, emit, float(np.log(scale).sum()), None if before is None else beta
-
-
-def forward_state(model: Model, obs: np.ndarray, before: np.ndarray | None) -> np.ndarray:
-    """The scaled forward state at the end of full segments (rows of ``obs``)."""
-    codes, forwards, now = np.ascontiguousarray(obs.T), np.ascontiguousarray(model.move.T), before
-    for row in codes:
-        now = (model.start[:, None] if now is None else forwards @ now) * model.emit.take(row, axis=1)
-        now /= now.sum(axis=0)
-    return now
-
-
-def document_counts(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    beta = room.array("beta", len(codes), states)
+    n, stay = int(going[0]), len(after)
+    places = last_places(cuts, going, stay)
+    left = alpha[places].sum(axis=1, keepdims=True)  # of documents that end, since their last scale
+    ll = float(np.log(left).sum() + sum(np.log(s).sum() for s in scales.values()))
+    beta[places] = 1 / left
+    beta[cuts[-2] : cuts[-2] + stay] = after
+    backwards, dot, multiply = np.ascontiguousarray(model.move.T), np.dot, np.multiply
+    for t in range(len(going) - 1, -1, -1):
+        a, b = cuts[t], cuts[t + 1]
+        ahead = likely[a:b]
+        multiply(ahead, beta[a:b], ahead)
+        if t in scales:
+            ahead /= scales[t]
+        if t:
+            past = cuts[t - 1]
+            dot(ahead, backwards, beta[past : past + b - a])
+    # transitions: a token's row and the next one's lie as far apart as documents are going, until some end
+    move = np.zeros((states, states)) if before is None else before[:n].T @ likely[:n]
+    turns = [0, *(np.flatnonzero(np.diff(going)) + 1).tolist(), len(going)]
+    for t, end in zip(turns, turns[1:]):
+        a, b, z = cuts[t], cuts[t + 1], cuts[end]
+        if t:
+            past = cuts[t - 1]
+            move += alpha[past : past + b - a].T @ likely[a:b]
+        move += alpha[a : z - (b - a)].T @ likely[b:z]
+    multiply(alpha, beta, alpha)
+    emit = np.stack([np.bincount(codes, weights=alpha[:, s], minlength=classes) for s in range(states)])
+    start = alpha[:n].sum(axis=0) if before is None else np.zeros(states)
+    return start, move * model.move, emit, ll, None if before is None else likely[:n] @ backwards
+
+
+def document_counts(
+    model: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.ndarray, room: Room | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Counts and log likelihood of whole documents, which lie in ``obs``, the longest first.
 
-    They are computed segment by segment, and states are carried over the cuts: forward states at
-    the cuts first, then from the last segment to the first what lies between.
+    They are computed together, step by step. What is too much at once is computed segment by segment,
+    and states are carried over the cuts: forward states at the cuts first, then from the last segment
+    to the first what lies between.
     """
-    padded = np.concatenate([obs, np.zeros(SEGMENT, obs.dtype)])
-    parts = -(-lengths // SEGMENT)
-    here = [int((parts > k).sum()) for k in range(int(parts[0]))]  # documents that have a segment k
-
-    def rows(k: int, n: int) -> np.ndarray:
-        return padded[starts[:n, None] + k * SEGMENT + np.arange(SEGMENT)].astype("int64")
-
+    room = room or Room()
+    parts = list(segments(lengths))
     before: list[np.ndarray | None] = [None]
-    for k, n in enumerate(here[1:]):
-        last = before[-1]
-        before.append(forward_state(model, rows(k, n), None if last is None else last[:, :n]))
+    for first, going in parts[:-1]:
+        _, alpha, _, cuts = forwards(model, laid(obs, starts, first, going), going, before[-1], room)
+        before.append(alpha[cuts[-2] :].copy())
     states, classes = model.emit.shape
-    start, move, emit, ll, beta = np.zeros(states), np.zeros((states, states)), np.zeros((states, classes)), 0.0, np.ones((states, 0))
-    for k in range(len(here) - 1, -1, -1):
-        n = here[k]
-        after = np.ones((states, n))
-        after[:, : beta.shape[1]] = beta
-        a, b, c, d, beta = carried_counts(model, rows(k, n), np.minimum(SEGMENT, lengths[:n] - k * SEGMENT), before[k], after)
+    start, move, emit, ll, after = np.zeros(states), np.zeros((states, states)), np.zeros((states, classes)), 0.0, np.ones((0, states))
+    for (first, going), state in zip(reversed(parts), reversed(before)):
+        a, b, c, d, after = segment_counts(model, laid(obs, starts, first, going), going, state, after, room)
         start, move, emit, ll = start + a, move + b, emit + c, ll + d
     return start, move, emit, ll
 
 
+def expected_counts(model: Model, obs: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """One E-step over sequences (rows of ``obs``, each of ``lengths`` classes): start, transition and emission counts, and log likelihood."""
+    order = np.argsort(-lengths, kind="stable")
+    return document_counts(model, obs.ravel(), order * obs.shape[1], lengths[order])
+
+
+def at_once(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of documents to be computed together."""
+    ends, at = np.cumsum(lengths), 0
+    while at < len(lengths):
+        most = (int(ends[at - 1]) if at else 0) + TOKENS_AT_ONCE
+        stop = min(max(int(np.searchsorted(ends, most, side="right")), at + 1), at + DOCUMENTS_AT_ONCE)
+        yield at, stop
+        at = stop
+
+
 def _e_step(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     start = np.zeros(len(model.start))
-    move, emit, ll = np.zeros_like(model.move), np.zeros_like(model.emit), 0.0
+    move, emit, ll, room = np.zeros_like(model.move), np.zeros_like(model.emit), 0.0, Room()
     for batch in batches:
         for row, (held, lengths, codes) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("held", "lengths", "codes")))):
             obs = batch.column("kinds")[row].values.to_numpy()[code_array(codes)]
@@ -249,8 +317,8 @@ def _e_step(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
             starts, sizes = (np.cumsum(lengths) - lengths)[trains], lengths[trains]
             order = np.argsort(-sizes, kind="stable")
             starts, sizes = starts[order], sizes[order]
-            for at in range(0, len(starts), DOCUMENTS_AT_ONCE):
-                a, b, c, d = document_counts(model, obs, starts[at : at + DOCUMENTS_AT_ONCE], sizes[at : at + DOCUMENTS_AT_ONCE])
+            for at, stop in at_once(sizes):
+                a, b, c, d = document_counts(model, obs, starts[at:stop], sizes[at:stop], room)
                 start, move, emit, ll = start + a, move + b, emit + c, ll + d
     # (kind, state, place, value), zeros left out
     parts = [(0, start[None, :]), (1, move), (2, emit), (3, np.array([[ll]]))]
@@ -283,27 +351,25 @@ def train(coded: DataFrame, totals: np.ndarray, states: int = STATES, rounds: in
     return model, likelihoods
 
 
-def forward(model: Model, obs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def forward(model: Model, obs: np.ndarray, lengths: np.ndarray, room: Room | None = None) -> np.ndarray:
     """log10 likelihood of each sequence of classes, all laid end to end in ``obs``, by the scaled forward recursion.
 
-    Sequences go along together, the longest first, so that those not yet ended are
-    always the first ones.
+    Sequences go along together as documents do in training, the longest first.
     """
-    order = np.argsort(-lengths, kind="stable")
+    order, room = np.argsort(-lengths, kind="stable"), room or Room()
     starts, sizes = (np.cumsum(lengths) - lengths)[order], lengths[order]
-    going = len(sizes)
-    out, emit, forwards = np.zeros(going), model.emit, np.ascontiguousarray(model.move.T)
-    now = np.tile(model.start[:, None], (1, going))
-    for t in range(int(sizes[0]) if going else 0):
-        while sizes[going - 1] <= t:
-            going -= 1
-        now = now[:, :going] if t == 0 else forwards @ now[:, :going]
-        now = now * emit.take(obs[starts[:going] + t], axis=1)
-        scale = now.sum(axis=0)
-        now /= scale
-        out[:going] += np.log10(scale)
+    found = np.zeros(len(sizes))
+    for at, stop in at_once(sizes):
+        out, before, parts = found[at:stop], None, list(segments(sizes[at:stop]))
+        for k, (first, going) in enumerate(parts):
+            _, alpha, scales, cuts = forwards(model, laid(obs, starts[at:stop], first, going), going, before, room)
+            for t, scale in scales.items():
+                out[: going[t]] += np.log10(scale[:, 0])
+            stay = int(parts[k + 1][1][0]) if k + 1 < len(parts) else 0
+            out[stay : going[0]] += np.log10(alpha[last_places(cuts, going, stay)].sum(axis=1))
+            before = alpha[cuts[-2] :].copy()
     result = np.empty(len(lengths))
-    result[order] = out
+    result[order] = found
     return result
 
 
@@ -315,6 +381,7 @@ class Shares:
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model, shares: Shares, first_ending: int) -> Iterator[pa.RecordBatch]:
+    room = Room()
     for batch in batches:
         for row, (docs, held, lengths, codes) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_ids", "held", "lengths", "codes")))):
             kind, c = (batch.column(name)[row].values.to_numpy() for name in ("kinds", "counts"))
@@ -327,7 +394,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, shares: Shares, firs
                 pa.array(docs, pa.int64()), pa.array(held), pa.array(lengths),
                 pa.array(np.add.reduceat((c > 0)[codes].astype("int64"), cuts)),
                 pa.array(np.add.reduceat(base[codes], cuts)),
-                pa.array(forward(model, kind[codes], lengths) + np.add.reduceat(within[codes], cuts)),
+                pa.array(forward(model, kind[codes], lengths, room) + np.add.reduceat(within[codes], cuts)),
             ], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 
