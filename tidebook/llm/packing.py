@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import functools
 import re
+import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memory, materialize, packed, ship
+from .common import materialize, packed, ship
 from .token_counts import by_bytes, load_tokenizer, tokenizer_steps
 
 #: Bins that one packing task keeps open, and pieces that one task packs.
@@ -21,94 +24,123 @@ PIECES_PER_TASK = 65_536
 #: Pieces that are looked at together: of these the longest go first. With 4096 about 0.01 % more
 #: sequences are made than all ids need, without any look-ahead 0.9 %.
 LOOK_AHEAD = 4096
+#: Bytes of text that are taken apart at a time; a longer text is taken by itself.
+CHUNK_BYTES = 8 << 20
+#: Bytes of words and their ids that a worker remembers, about.
+KNOWN_BYTES = 48 << 20
 #: Texts made only of lines of words with single spaces between, all of plain
 #: printable characters, can be cut before each space and around each line feed:
-#: the byte-level pre-tokenizer cuts there too. Other texts are encoded whole.
-OTHER_CHARACTER = re.compile("[^\n -~¡-ɏ]")
+#: the byte-level pre-tokenizer cuts there too. Texts that have one of these are encoded whole.
+IRREGULAR = ("\\A\\z", "\\A[\n ]", "[\n ]\\z", "[\n ][\n ]", "[^\n -~¡-ɏ]")
 #: A token with a space before its word begins so in a byte-level vocabulary.
 SPACE = "Ġ"
-#: Behind a letter or digit, one of these at a word's end is a token's beginning, and all of what the pre-tokenizer cuts there.
-STOPS = frozenset(",.;:!?")
-
-
-def plain(text: str) -> bool:
-    """Whether all characters are line feeds and plain printable ones; those of ASCII are looked at without the expression."""
-    return text.isascii() and text.replace("\n", "").isprintable() or not OTHER_CHARACTER.search(text)
-
-
-def regular(text: str) -> bool:
-    return not (
-        "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or not plain(text)
-    )
+#: Behind a letter or digit, any of these at a word's end are together all of what the pre-tokenizer cuts there: with an apostrophe it takes only letters.
+STOPS = string.punctuation
+LETTER_OR_DIGIT = "[\\pL\\pN]"
+
+
+class KnownWords:
+    """Ids of words in Arrow arrays; once these take more than about ``limit`` bytes, what the words at hand don't have is forgotten."""
+
+    def __init__(self, encode: Callable[[list[str]], list[pa.Array]], limit: int = KNOWN_BYTES):
+        self.encode, self.limit = encode, limit
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
+
+    @property
+    def size(self) -> int:
+        return self.words.nbytes + self.ids.nbytes
+
+    def __call__(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words, of which new ones are encoded."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null())
+        at = at.fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        at[at < 0] = np.arange(len(self.words), len(self.words) + len(new))
+        self.ids = pa.concat_arrays([self.ids, *self.encode(new.to_pylist())])
+        self.words = pa.concat_arrays([self.words, new])
+        found = self.ids.take(pa.array(at))
+        if self.size > self.limit:
+            self.words, self.ids = words, found
+            if self.size > self.limit // 2:  # very many or very long words
+                self.words, self.ids = words[:0], found[:0]
+        return found
 
 
 class WordIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes, by a byte-level BPE tokenizer."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, by a byte-level BPE tokenizer.
+
+    Arrow takes texts apart into words, distinct words are encoded once and all are looked up. A word here has
+    the line feed before it, if that is what is before it, else the space before it is left out; a text begins like a line.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.bare, self.spaced = Memory(), Memory()
-        # only this pre-tokenizer, with nothing before it, is known to cut regular texts before spaces and around line feeds
-        self.by_words = tokenizer_steps(path) == ([], ["ByteLevel"])
+        self.bases, self.stops = KnownWords(self.words_together), KnownWords(self.stops_together)
         self.line_feed = self.whole("\n")
         added = self.tokenizer.get_added_tokens_decoder()
-        special = [(t.content, k) for k, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
-        if not special:
-            raise ValueError("the tokenizer has no special token to put between words")
-        self.mark, self.added = special[0], [t.content for t in added.values()]
+        # added tokens' strings: texts that have one are encoded whole
+        self.mark = tuple(t.content for t in added.values())
+        self.irregular = "|".join([*IRREGULAR, *map(re.escape, self.mark)])
+        # only this pre-tokenizer, with nothing before it, is known to cut regular texts before spaces and around line feeds
+        self.by_words = tokenizer_steps(path) == ([], ["ByteLevel"]) and len(self.line_feed) == 4 and not any(x in "".join(self.mark) for x in " \n")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced_token = np.zeros(1 + max(vocabulary.values()), bool)
-        self.spaced_token[[k for token, k in vocabulary.items() if token.startswith(SPACE) and k not in added]] = True
-        self.stops = {x: self.whole(x) for x in STOPS}
+        self.begins = np.zeros(1 + max(vocabulary.values()), bool)
+        self.begins[[k for token, k in vocabulary.items() if token.startswith(SPACE) and k not in added]] = True
+        self.begins[np.frombuffer(self.line_feed, "<u4")] = True
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def together(self, words: list[str], lead: str) -> list[bytes]:
-        """Ids of words without added tokens, from one text: spaces tell them apart, else a special token, which never merges with what is beside it."""
-        if lead == " ":
-            ids = self.encoded(" " + " ".join(words))
-            starts = np.flatnonzero(self.spaced_token[ids])
-            ends = [*starts[1:].tolist(), len(ids)]
-        else:
-            mark, mark_id = self.mark
-            ids = self.encoded(mark.join(lead + w for w in words))
-            cuts = np.flatnonzero(ids == mark_id)
-            starts, ends = np.concatenate([[0], cuts + 1]), [*cuts.tolist(), len(ids)]
-        if len(starts) != len(words):
-            raise ValueError("the tokenizer doesn't keep words apart")
-        data = ids.tobytes()
-        return [data[4 * x : 4 * y] for x, y in zip(starts.tolist(), ends)]
-
     def encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learn(self, known: Memory, words: list[str], lead: str) -> None:
-        """Encode new words, many in one text. Those that end with a stop are what is before it, which is encoded once, and the stop."""
-        text = "\n".join(words)
-        if any(x in text for x in self.added):
-            for w in [w for w in words if any(x in w for x in self.added)]:
-                known.learn(w, self.whole(lead + w))
-            words = known.new(words)
-        stopped = [w for w in words if w[-1:] in STOPS and w[-2:-1].isalnum()]
-        bases = dict.fromkeys(w[:-1] for w in stopped) | dict.fromkeys(w for w in words if not (w[-1:] in STOPS and w[-2:-1].isalnum()))
-        for batch in by_bytes(known.new(bases)):
-            for w, ids in zip(batch, self.together(batch, lead)):
-                known.learn(w, ids)
-        for w in stopped:
-            known.learn(w, known[w[:-1]] + self.stops[w[-1]])
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [[line.split(" ") for line in x.split("\n")] if self.by_words and regular(x) else None for x in texts]
-        lines = [line for x in split if x for line in x]
-        for known, words, lead in ((self.bare, {x[0] for x in lines}, ""), (self.spaced, set().union(*(x[1:] for x in lines)), " ")):
-            known.room(words)
-            self.learn(known, known.new(words), lead)
-        get, bare = self.spaced.__getitem__, self.bare
-        return [
-            self.whole(text) if x is None else self.line_feed.join([bare[line[0]] + b"".join(map(get, line[1:])) for line in x])
-            for text, x in zip(texts, split)
-        ]
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words from one text, and where each word's begin: tokens with a space and line feeds tell them apart."""
+        ids = self.encoded((" " + " ".join(words)).replace(" \n", "\n"))
+        starts = np.flatnonzero(self.begins[ids])
+        if len(starts) != len(words):
+            raise ValueError("the tokenizer doesn't keep words apart")
+        return ids, np.append(starts, len(ids))
+
+    def words_together(self, words: list[str]) -> list[pa.Array]:
+        made = [(len(batch), *self.together(batch)) for batch in by_bytes(words)]
+        return [pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((4 * at).astype("int32")), pa.py_buffer(ids)]) for n, ids, at in made]
+
+    def stops_together(self, stops: list[str]) -> list[pa.Array]:
+        """Ids of stops, each of them encoded as a line of its own."""
+        made = [(ids.tobytes(), (4 * at).tolist()) for batch in by_bytes(stops) for ids, at in [self.together(["\n" + x for x in batch])]]
+        return [pa.array([data[x + len(self.line_feed) : y] for x, y in pairwise(at)], pa.binary()) for data, at in made]
+
+    def distinct(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words. Those that end with stops are what is before these, which is encoded once, and the stops."""
+        bases = pc.utf8_rtrim(words, STOPS)
+        stopped = pc.and_(pc.less(pc.binary_length(bases), pc.binary_length(words)), pc.match_substring_regex(bases, LETTER_OR_DIGIT + "\\z"))
+        bases = pc.if_else(stopped, bases, words).dictionary_encode()
+        stops = pc.replace_substring_regex(words.filter(stopped), f"(?s)\\A.*{LETTER_OR_DIGIT}", "").dictionary_encode()
+        ids = self.bases(bases.dictionary).take(bases.indices)
+        more = self.stops(stops.dictionary).take(stops.indices)
+        return pc.replace_with_mask(ids, stopped, pc.binary_join_element_wise(ids.filter(stopped), more, b""))
+
+    def regular(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts that can be taken apart."""
+        if not len(texts):
+            return []
+        lines = pc.replace_substring(pc.binary_join_element_wise("\n", texts, ""), "\n", " \n")
+        words = pc.split_pattern(pc.utf8_slice_codeunits(lines, 1), " ")
+        coded = words.flatten().dictionary_encode()
+        ids = self.distinct(coded.dictionary).cast(pa.large_binary()).take(coded.indices)
+        _, ends, data = ids.buffers()
+        at = np.frombuffer(ends, "int64")[words.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[x + len(self.line_feed) : y]) for x, y in pairwise(at)]
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        whole = pc.match_substring_regex(texts, self.irregular) if self.by_words else pa.repeat(True, len(texts))
+        found = iter(self.regular(texts.filter(pc.invert(whole))))
+        others = iter(texts.filter(whole).to_pylist())
+        return [self.whole(next(others)) if x else next(found) for x in whole.to_pylist()]
 
 
 @functools.lru_cache(maxsize=4)
@@ -126,14 +158,24 @@ def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, bytes]]:
         start, length = start + length, capacity
 
 
+def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Where consecutive runs of about ``limit`` bytes begin and end; a longer text is a run of its own."""
+    sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype="int64")])
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(sizes, sizes[start] + limit, "right")) - 1)
+        yield start, end
+        start = end
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     encode, end = word_ids(path), np.array([end_id], "<u4").tobytes()
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            rows = batch.slice(at, 256)
-            texts = [x or "" for x in rows.column(1).to_pylist()]
+        texts = batch.column(1).cast(pa.string()).fill_null("")
+        for begin, stop in chunks(texts):
+            rows = batch.slice(begin, stop - begin)
             out: list[list] = [[] for _ in range(6)]
-            for doc, found in zip(rows.column(0).to_pylist(), encode(texts)):
+            for doc, found in zip(rows.column(0).to_pylist(), encode(texts.slice(begin, stop - begin))):
                 for k, start, length, ids in cut(found + end, capacity):
                     for column, value in zip(out, (doc, k, start, length, zlib.crc32(ids), ids)):
                         column.append(value)
