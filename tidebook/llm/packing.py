@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidebook.functions.workers import releasing
+
 from .common import materialize, packed, ship
 from .token_counts import by_bytes, load_tokenizer, tokenizer_steps
 
@@ -25,7 +27,9 @@ PIECES_PER_TASK = 65_536
 #: sequences are made than all ids need, without any look-ahead 0.9 %.
 LOOK_AHEAD = 4096
 #: Bytes of text that are taken apart at a time; a longer text is taken by itself.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+#: Bytes of new words that the tokenizer gets at a time; what it makes of them takes about a hundred times as much.
+NEW_BYTES = 256 << 10
 #: Bytes of words and their ids that a worker remembers, about.
 KNOWN_BYTES = 48 << 20
 #: Texts made only of lines of words with single spaces between, all of plain
@@ -103,12 +107,12 @@ class WordIds:
         return ids, np.append(starts, len(ids))
 
     def words_together(self, words: list[str]) -> list[pa.Array]:
-        made = [(len(batch), *self.together(batch)) for batch in by_bytes(words)]
+        made = [(len(batch), *self.together(batch)) for batch in by_bytes(words, NEW_BYTES)]
         return [pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((4 * at).astype("int32")), pa.py_buffer(ids)]) for n, ids, at in made]
 
     def stops_together(self, stops: list[str]) -> list[pa.Array]:
         """Ids of stops, each of them encoded as a line of its own."""
-        made = [(ids.tobytes(), (4 * at).tolist()) for batch in by_bytes(stops) for ids, at in [self.together(["\n" + x for x in batch])]]
+        made = [(ids.tobytes(), (4 * at).tolist()) for batch in by_bytes(stops, NEW_BYTES) for ids, at in [self.together(["\n" + x for x in batch])]]
         return [pa.array([data[x + len(self.line_feed) : y] for x, y in pairwise(at)], pa.binary()) for data, at in made]
 
     def distinct(self, words: pa.Array) -> pa.Array:
@@ -177,7 +181,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id:
             out: list[list] = [[] for _ in range(6)]
             for doc, found in zip(rows.column(0).to_pylist(), encode(texts.slice(begin, stop - begin))):
                 for k, start, length, ids in cut(found + end, capacity):
-                    for column, value in zip(out, (doc, k, start, length, zlib.crc32(ids), ids)):
+                    for column, value in zip(out, (doc, k, start, length, zlib.crc32(ids), ids if with_ids else None)):
                         column.append(value)
             arrays = [pa.array(x, t) for x, t in zip(out, (rows.column(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -207,7 +211,7 @@ def document_pieces(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
-    return rows.mapInArrow(lambda batches: _pieces(batches, tokenizer_path, capacity, end_id, with_ids), schema)
+    return rows.mapInArrow(lambda batches: releasing(_pieces(batches, tokenizer_path, capacity, end_id, with_ids)), schema)
 
 
 def best_fit(sizes: list[int], capacity: int, open_bins: int) -> tuple[list[int], list[int]]:

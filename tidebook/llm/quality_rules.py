@@ -49,11 +49,12 @@ def document_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             F.lit(1), (F.col("n_words") - 2).cast("int"),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
-    lines = F.filter(F.split("text", "\n", -1), lambda x: F.translate(x, WHITE_SPACE, "") != "")
+    # F.translate makes a string of each character, gigabytes of garbage that fill an executor's heap; none of these does
+    lines = F.filter(F.split("text", "\n", -1), lambda x: F.ltrim(x, F.lit(WHITE_SPACE)) != "")
     rows = rows.select(
         "doc_id", "host", "text_key", "n_words",
-        F.char_length(F.translate("text", WHITE_SPACE, "")).cast("long").alias("word_chars"),
-        (F.char_length("text") - F.char_length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         lines.alias("lines"), windows.alias("windows"),
     )
     rows = rows.select(
